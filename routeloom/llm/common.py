@@ -52,13 +52,21 @@ def work_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/routeloom/{name}-{uuid.uuid4().hex}"
 
 
+#: Drops a query's shuffle files as soon as it has been written.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here."""
+    """Write ``df`` to the shared folder and read it back: lineage ends here, and so do its shuffle files."""
     spark = df.sparkSession
     path = work_path(spark, name)
-    df.write.option("compression", "zstd").parquet(path)
-    out = spark.read.schema(df.schema).parquet(path)
-    return out
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

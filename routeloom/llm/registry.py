@@ -6,12 +6,14 @@ from .bpe import op7_byte_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
 from .line_dedup import OP3_SQL, op3_line_dedup
 from .quality_rules import OP10_SQL, op10_quality_rules
+from .suffix_dedup import op4_suffix_dedup
 from .token_counts import op8_token_counts
 
 
 def queries() -> dict:
     return {
         "op3_line_dedup": op3_line_dedup,
+        "op4_suffix_dedup": op4_suffix_dedup,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
