@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op7_byte_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
+from .jaccard_join import op6_jaccard_join
 from .line_dedup import OP3_SQL, op3_line_dedup
 from .quality_rules import OP10_SQL, op10_quality_rules
 from .suffix_dedup import op4_suffix_dedup
@@ -14,6 +15,7 @@ def queries() -> dict:
     return {
         "op3_line_dedup": op3_line_dedup,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op6_jaccard_join": op6_jaccard_join,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
