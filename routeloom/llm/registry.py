@@ -5,16 +5,22 @@ from __future__ import annotations
 from .bpe import op7_byte_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
 from .jaccard_join import op6_jaccard_join
+from .language_mixture import op5_language_mixture
 from .line_dedup import OP3_SQL, op3_line_dedup
+from .quality_classifier import op1_quality_classifier
 from .quality_rules import OP10_SQL, op10_quality_rules
 from .suffix_dedup import op4_suffix_dedup
 from .token_counts import op8_token_counts
+from .warc import OP2_SQL, op2_warc_derivatives
 
 
 def queries() -> dict:
     return {
+        "op1_quality_classifier": op1_quality_classifier,
+        "op2_warc_derivatives": op2_warc_derivatives,
         "op3_line_dedup": op3_line_dedup,
         "op4_suffix_dedup": op4_suffix_dedup,
+        "op5_language_mixture": op5_language_mixture,
         "op6_jaccard_join": op6_jaccard_join,
         "op7_byte_bpe": op7_byte_bpe,
         "op8_token_counts": op8_token_counts,
@@ -25,6 +31,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc_derivatives": OP2_SQL,
         "op3_line_dedup": OP3_SQL,
         "op9_decontaminate": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
