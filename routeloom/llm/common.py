@@ -75,4 +75,4 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def documents(df: DataFrame, *extra: str) -> DataFrame:
     """doc_id and text (null becomes empty) and the named columns, no others."""
-    return df.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)

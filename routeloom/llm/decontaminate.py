@@ -151,8 +151,10 @@ def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, max
     """``df`` with n_words, word_ranges, byte_spans, items, n_hit and contaminated.
 
     A document is contaminated when it has a hit word and at least a twentieth of
-    its words are hit.
+    its words are hit.  Input columns of these names are replaced.
     """
+    added = ("n_words", "word_ranges", "byte_spans", "items", "n_hit", "contaminated")
+    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in added])
     blocks = list(item_blocks(benchmark, max_item_bytes))
     if len(blocks) == 1:
         out = scan_documents(df, blocks[0], window)

@@ -477,7 +477,7 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> Data
     """(doc_id, n_shingles, component_id, row) for each row of ``df``; ``row`` is xxhash64 of its text."""
     spark, m = df.sparkSession, Measure(percent)
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = df.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     b = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
 

@@ -125,7 +125,7 @@ def predict_languages(df: DataFrame, counts: dict[str, np.ndarray]) -> DataFrame
             kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(sets, kind)], ["doc_id", "lang_pred", "score", "languages"])
 
-    return df.select("doc_id", "text").mapInArrow(run, "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
+    return df.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, lang_pred string, score double, languages array<struct<lang:string,share:double>>")
 
 
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,8 +12,8 @@ sides that adaptive execution splits where a hash is hot.  Texts are shuffled
 once, by doc_id, as the streamed side of a hash join: they are never sorted.
 
 Defined results.  A null or empty text is one empty line.  Rows that share a
-doc_id count as one document; a null doc_id is a document of its own, smaller
-than all others.  Keys are compared by 128 bits of hash.
+doc_id count as one document; null doc_ids count as one document, which never
+keeps a line that another document holds.  Keys are compared by 128 bits of hash.
 """
 
 from __future__ import annotations
@@ -64,8 +64,12 @@ def frequent_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Dat
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """All rows and columns of ``df`` plus ``kept_text``, ``n_lines``, ``n_dropped``."""
-    names = df.columns
+    """All rows and columns of ``df`` plus ``kept_text``, ``n_lines``, ``n_dropped``.
+
+    Input columns of these names are replaced.
+    """
+    names = [c for c in df.columns if c not in ("kept_text", "n_lines", "n_dropped")]
+    df = df.select(*[F.col(f"`{c}`") for c in names])
     base = df.withColumn("__text", F.coalesce("text", F.lit("")))
     drops = frequent_lines(documents(df), min_chars, min_docs).select(F.col("doc_id").alias("__id"), "drops")
     joined = base.join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")

@@ -136,7 +136,7 @@ def cascade(ordered: list[Rule]) -> Column:
 
 
 def apply_rules(df: DataFrame, ordered: list[Rule] | None = None) -> DataFrame:
-    """``df`` with the measures, ``rejected_by`` and ``kept``."""
+    """``df`` with the measures, ``rejected_by`` and ``kept``; input columns of these names are replaced."""
     ordered = ordered if ordered is not None else measure_order(df, rules())
     out = with_measures(df).withColumn("rejected_by", cascade(ordered))
     return out.withColumn("kept", F.col("rejected_by").isNull())

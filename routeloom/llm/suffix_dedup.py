@@ -415,7 +415,7 @@ def repeated_spans(df: DataFrame) -> DataFrame:
     """(__id, __row, marks, asks): marked byte runs of each document that has any."""
     spark = df.sparkSession
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = df.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
 
@@ -456,7 +456,7 @@ def drop_repeats(df: DataFrame) -> DataFrame:
     marks = repeated_spans(df).mapInArrow(_join_parts, "__id long, __row long, marks binary")
     marks = materialize(marks, "suffix-marks")
     text = F.coalesce(F.col("text"), F.lit(""))
-    docs = df.select("doc_id", F.xxhash64(text).alias("row"), text.alias("text"))
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
     same = docs["doc_id"].eqNullSafe(marks["__id"]) & (docs["row"] == marks["__row"])
     joined = docs.join(marks.hint("shuffle_hash"), same, "left").select("doc_id", "text", "marks")
     return joined.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")

@@ -122,10 +122,11 @@ def cached_counts(df: DataFrame, path: str, cache_path: str, limit: int = LIMIT)
     )
     same = keyed["doc_id"].eqNullSafe(chosen["__doc"]) & (keyed["content"] == chosen["__content"])
     missing = keyed.join(chosen.hint("shuffle_hash"), same, "left_semi")
-    fresh = encode_counts(missing, path).select("content", F.lit(version).alias("tokenizer"), "n_tokens")
+    # Rows that repeat whole are each a representative; their count is appended once.
+    fresh = encode_counts(missing, path).dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens")
     fresh.write.mode("append").parquet(cache_path)
 
-    # A count may stand twice where rows repeat whole or two runs appended at once.
+    # A count may stand twice where two runs appended at once.
     counts = (
         spark.read.schema(CACHE_SCHEMA)
         .parquet(cache_path)
