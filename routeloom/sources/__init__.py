@@ -1,0 +1 @@
+"""Readers of rasters, vector layers and road extracts, and the profile."""
