@@ -9,9 +9,9 @@ from ..schemas import POINT
 
 
 def population(spark: SparkSession) -> DataFrame:
-    """Nine villages of one cell on a 3 x 3 grid within 20 x 20 cells; 540 people."""
+    """Nine villages of one cell on a 3 x 3 grid within 20 x 20 cells; 540 people, 20 of them at the Depot in cell (2, 2)."""
     i = F.col("id")
-    return spark.range(9).select((2 + 7 * (i / 3).cast("int")).cast("int").alias("row"), (2 + 7 * (i % 3)).cast("int").alias("col"), F.lit(60.0).alias("pop"))
+    return spark.range(9).select((2 + 7 * (i / 3).cast("int")).cast("int").alias("row"), (2 + 7 * (i % 3)).cast("int").alias("col"), F.when(i == 0, 20.0).otherwise(65.0).alias("pop"))
 
 
 def roads(spark: SparkSession) -> DataFrame:

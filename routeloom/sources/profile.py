@@ -10,7 +10,7 @@ from ..errors import GateError
 
 #: Settings that every profile must give, as dotted paths.
 REQUIRED = (
-    "demand.official_population", "demand.cell_m", "demand.depot",
+    "demand.official_population", "demand.cell_m", "demand.depot_cell",
     "roads.access_threshold_m", "roads.max_inaccessible_percent",
     "energy.annual_household_kwh", "energy.household_size", "energy.kg_per_person",
     "truck.flat_kwh_per_km", "truck.mass_kg", "truck.gravity_m_s2", "truck.uphill_efficiency",
@@ -41,7 +41,7 @@ def demo_profile() -> dict:
     """Synthetic settings, labelled so."""
     return {
         "name": "synthetic_demo", "synthetic": True,
-        "demand": {"official_population": 1080.0, "cell_m": 100.0, "depot": "T00"},
+        "demand": {"official_population": 1080.0, "cell_m": 100.0, "depot_cell": [2, 2]},
         "roads": {"access_threshold_m": 200.0, "max_inaccessible_percent": 20},
         "energy": {"annual_household_kwh": 7000.0, "household_size": 2.7, "kg_per_person": 2.0},
         "truck": {"flat_kwh_per_km": 1.03, "mass_kg": 28000.0, "gravity_m_s2": 9.81, "uphill_efficiency": 0.9},
