@@ -2,14 +2,11 @@
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..workspace import materialize, work_path  # noqa: F401  shared by the operators
+
 #: ASCII white space as the contracts define it: space and \t \n \v \f \r.
 ASCII_SPACE = "\\x20\\x09-\\x0D"
 WORD_PATTERN = f"[^{ASCII_SPACE}]+"
@@ -26,49 +23,6 @@ def ascii_lower(col: Column) -> Column:
     return F.when(ascii_only, F.lower(col)).otherwise(F.translate(col, UPPER, LOWER))
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share.
-
-    ``spark.checkpoint.dir`` names it on a cluster.  Where it is unset (local
-    mode, tests) a temporary folder is made, set as the checkpoint folder and
-    removed when the driver ends.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base
-    made = getattr(spark.sparkContext, "_routeloom_shared", None)
-    if made is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-        path = tempfile.mkdtemp(prefix="routeloom-")
-        atexit.register(shutil.rmtree, path, ignore_errors=True)
-        made = f"file://{path}"
-        spark.sparkContext._routeloom_shared = made
-        spark.sparkContext.setCheckpointDir(made)
-    return made
-
-
-def work_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/routeloom/{name}-{uuid.uuid4().hex}"
-
-
-#: Drops a query's shuffle files as soon as it has been written.
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here, and so do its shuffle files."""
-    spark = df.sparkSession
-    path = work_path(spark, name)
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
-    try:
-        df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -41,8 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.components import components
 from .common import materialize, table
-from .graph import components
 from .packed import mix, pack, runs, split_by, unpack
 from .shingles import shingle_sets
 
