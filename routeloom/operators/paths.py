@@ -106,8 +106,23 @@ def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = No
 def reachable(arcs: DataFrame, start: str, backward: bool = False) -> DataFrame:
     """(node) reachable from ``start``, or from which it can be reached, itself included."""
     ends = ("to_node", "from_node") if backward else ("from_node", "to_node")
-    pairs = arcs.select(F.col(ends[0]).alias("a"), F.col(ends[1]).alias("b")).distinct()
     spark = arcs.sparkSession
+    shared = _share(arcs.select(F.col(ends[0]).alias("from_node"), F.col(ends[1]).alias("to_node"), F.lit(0).alias("time_u"), F.lit(0).alias("distance_u"), F.lit("").alias("arc_id")).distinct())
+    if shared is not None:
+
+        def spread(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for b in batches:
+                for source in b["node"]:
+                    seen, todo = {source}, [source]
+                    while todo:
+                        for to, *_ in shared.value.get(todo.pop(), ()):
+                            if to not in seen:
+                                seen.add(to)
+                                todo.append(to)
+                    yield pd.DataFrame({"node": sorted(seen)})
+
+        return spark.createDataFrame([(start,)], "node string").coalesce(1).mapInPandas(spread, "node string")
+    pairs = arcs.select(F.col(ends[0]).alias("a"), F.col(ends[1]).alias("b")).distinct()
     seen = materialize(spark.createDataFrame([(start,)], "node string"), "reached")
     frontier = seen
     while True:

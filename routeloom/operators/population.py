@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..errors import GateError
 from .components import components
 
+#: Adjacencies that one task labels; larger grids are labelled by rounds of joins.
+SMALL_GRAPH = 200_000
 #: Forward half of the eight neighbours: each adjacency once.
 FORWARD = [(0, 1), (1, -1), (1, 0), (1, 1)]
 
@@ -71,7 +73,7 @@ def label_components(cells: DataFrame) -> DataFrame:
     shifts = F.explode(F.array(*[F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r, c in FORWARD]))
     near = keyed.select(F.col("key").alias("a"), "row", "col", shifts.alias("d")).select("a", (F.col("row") + F.col("d.dr")).alias("r"), (F.col("col") + F.col("d.dc")).alias("c"))
     edges = near.join(keyed.select(F.col("key").alias("b"), "row", "col"), (F.col("r") == F.col("row")) & (F.col("c") == F.col("col"))).select("a", "b")
-    root = components(edges, "cells")
+    root = components(edges, "cells", small=SMALL_GRAPH)
     return keyed.join(root, F.col("key") == F.col("node"), "left").withColumn("component", F.coalesce("root", "key")).drop("node", "root", "key")
 
 
