@@ -7,6 +7,7 @@ from .decontaminate import OP9_SQL, op9_decontaminate
 from .jaccard_join import op6_jaccard_join
 from .language_mixture import op5_language_mixture
 from .line_dedup import OP3_SQL, op3_line_dedup
+from .oracles import OP4_SQL, OP6_SQL
 from .quality_classifier import op1_quality_classifier
 from .quality_rules import OP10_SQL, op10_quality_rules
 from .suffix_dedup import op4_suffix_dedup
@@ -33,6 +34,8 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op2_warc_derivatives": OP2_SQL,
         "op3_line_dedup": OP3_SQL,
+        "op4_suffix_dedup": OP4_SQL,
+        "op6_jaccard_join": OP6_SQL,
         "op9_decontaminate": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
     }
