@@ -30,8 +30,19 @@ from .common import table
 NO_DATE = "1970-01-01T00:00:00Z"
 DROPPED = ["script", "style", "noscript", "template"]
 BREAKS = "p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|aside|main|blockquote|pre|hr|title|head|body|form|figure|figcaption"
-#: Named character references that are decoded, the ampersand last; longest first within a prefix.
-ENTITIES = [("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&copy;", "©"), ("&reg;", "®"), ("&middot;", "·"), ("&hellip;", "…"), ("&ndash;", "–"), ("&mdash;", "—"), ("&lsquo;", "‘"), ("&rsquo;", "’"), ("&ldquo;", "“"), ("&rdquo;", "”"), ("&euro;", "€"), ("&amp;", "&")]
+#: Named character references that are decoded.
+ENTITIES = {
+    "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "copy": "©", "reg": "®", "middot": "·", "hellip": "…",
+    "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€",
+}
+REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,6});"
+#: Comments and elements that are dropped with what is in them, to their end or the text's.
+GONE = "(?is)<(?:!--.*?(?:-->|$)|" + "|".join(rf"{t}\b.*?(?:</{t}\s*>|$)" for t in DROPPED) + ")"
+BREAK = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
+TAG = r"<[/!?a-zA-Z][^>]*>"
+#: Blanks other than a single space, and line feeds with blanks around them; neither matches a plain space.
+BLANKS = r"[\t\r\f\x0B][ \t\r\f\x0B]*| [ \t\r\f\x0B]+"
+LINES = r" ?\n[ \n]*"
 LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 LANG = r'(?i)<html\b[^>]*?lang\s*=\s*"([^"]*)"'
@@ -50,39 +61,39 @@ def record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *cut), F.lit(">"))
 
 
-def numeric_references(text: Column) -> Column:
-    """Decimal and hexadecimal character references decoded where they name a character."""
+def decode_references(text: Column) -> Column:
+    """Character references decoded, each once, from the left; unknown ones stay.
+
+    Only what follows an ampersand is looked at.
+    """
+    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
 
     def part(x: Column, i: Column) -> Column:
-        code = F.regexp_extract(x, r"^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});", 1)
-        number = F.when(F.lower(F.substring(code, 1, 1)) == "x", F.conv(F.substring(code, 2, 9), 16, 10)).otherwise(code).cast("int")
+        name = F.regexp_extract(x, REFERENCE, 1)
+        digits = F.substring(name, 2, 9)
+        number = F.when(F.lower(F.substring(name, 2, 1)) == "x", F.conv(F.substring(name, 3, 9), 16, 10)).otherwise(digits).cast("int")
         good = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
-        char = F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32")
-        rest = F.substr(x, F.length(code) + 2)
-        return F.when(i == 0, x).when((code != "") & good, F.concat(char, rest)).otherwise(F.concat(F.lit("&#"), x))
+        numeric = F.when(good, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
+        char = F.when(F.startswith(name, F.lit("#")), numeric).otherwise(F.try_element_at(names, name))
+        return F.when(i == 0, x).otherwise(F.coalesce(F.concat(char, F.substr(x, F.length(name) + 2)), F.concat(F.lit("&"), x)))
 
-    return F.when(F.instr(text, "&#") == 0, text).otherwise(F.array_join(F.transform(F.split(text, "&#"), part), ""))
-
-
-def decode_references(text: Column) -> Column:
-    out = numeric_references(text)
-    for name, char in ENTITIES:
-        out = F.replace(out, F.lit(name), F.lit(char))
-    return out
+    return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(F.transform(F.split(text, "&"), part), ""))
 
 
 def squeeze(text: Column) -> Column:
-    text = F.regexp_replace(text, r"[ \t\r\f\x0B]+", " ")
-    return F.btrim(F.regexp_replace(text, r" ?(\n ?)+", "\n"), F.lit(" \n"))
+    """One space for each run of blanks, one line feed for each run of lines, none at the ends."""
+    return F.btrim(F.regexp_replace(F.regexp_replace(text, BLANKS, " "), LINES, "\n"), F.lit(" \n"))
+
 
+def with_plain_text(df: DataFrame, html: str, to: str) -> DataFrame:
+    """``df`` with the text of a page in column ``to``.
 
-def plain_text(html: Column) -> Column:
-    out = F.regexp_replace(html, r"(?s)<!--.*?(-->|$)", "")
-    for tag in DROPPED:
-        out = F.regexp_replace(out, rf"(?is)<{tag}\b.*?(</{tag}\s*>|$)", "")
-    out = F.regexp_replace(out, rf"(?i)</?({BREAKS})\b[^>]*>", "\n")
-    out = F.regexp_replace(out, r"<[/!?a-zA-Z][^>]*>", "")
-    return squeeze(decode_references(out))
+    What is dropped whole goes first, then tags that break lines, then other tags;
+    references are decoded and blanks squeezed.  Steps that read their input more
+    than once get it as a column, so nothing is worked out twice.
+    """
+    bare = F.regexp_replace(F.regexp_replace(F.regexp_replace(html, GONE, ""), BREAK, "\n"), TAG, "")
+    return df.withColumn(to, bare).withColumn(to, decode_references(F.col(to))).withColumn(to, squeeze(F.col(to)))
 
 
 def responses(pages: DataFrame) -> DataFrame:
@@ -102,20 +113,26 @@ def responses(pages: DataFrame) -> DataFrame:
 def derive(responses_: DataFrame) -> DataFrame:
     """A metadata and a conversion record for each response."""
     c = F.col
-    links = F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(x)), F.lit("\r\n")))
-    title = F.regexp_replace(squeeze(decode_references(F.regexp_extract("payload", TITLE, 1))), "\n", " ")
-    lang = squeeze(F.regexp_extract("payload", LANG, 1))
+    # Fields stand in columns of their own first, so that each is worked out once.
+    found = (
+        responses_.withColumn("__title", F.regexp_extract("payload", TITLE, 1))
+        .withColumn("__title", decode_references(c("__title")))
+        .withColumn("__title", F.regexp_replace(squeeze(c("__title")), "\n", " "))
+        .withColumn("__lang", squeeze(F.regexp_extract("payload", LANG, 1)))
+        .withColumn("__links", F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(x)), F.lit("\r\n"))))
+    )
+    found = with_plain_text(found, "payload", "__text")
     field = lambda name, v: F.when(v == "", "").otherwise(F.concat(F.lit(f"{name}: "), v, F.lit("\r\n")))
     metadata = F.concat(
-        F.concat(F.lit("payload-length: "), F.octet_length("payload").cast("string"), F.lit("\r\n")),
-        field("title", title), field("language", lang), F.array_join(links, ""),
+        F.lit("payload-length: "), F.octet_length("payload").cast("string"), F.lit("\r\n"),
+        field("title", c("__title")), field("language", c("__lang")), F.array_join("__links", ""),
     )
     made = F.array(
         F.struct(F.lit("metadata").alias("record_type"), F.lit("application/warc-fields").alias("content_type"), metadata.alias("block")),
-        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), plain_text(c("payload")).alias("block")),
+        F.struct(F.lit("conversion").alias("record_type"), F.lit("text/plain; charset=utf-8").alias("content_type"), c("__text").alias("block")),
     )
     return (
-        responses_.withColumn("__m", F.explode(made))
+        found.withColumn("__m", F.explode(made))
         .select(
             "page_id",
             "__m.record_type",
@@ -221,23 +238,17 @@ def _oracle() -> str:
         return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
 
     def decoded(x: str) -> str:
-        code = r"regexp_extract(p, '^([0-9]{1,7}|[xX][0-9a-fA-F]{1,6});', 1)"
-        number = f"CASE WHEN lower(substr({code}, 1, 1)) = 'x' THEN TRY_CAST('0x' || substr({code}, 2) AS INTEGER) ELSE TRY_CAST({code} AS INTEGER) END"
-        good = f"({number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343)"
-        part = f"CASE WHEN i = 1 THEN p WHEN {code} <> '' AND {good} THEN chr({number}) || substr(p, length({code}) + 2) ELSE '&#' || p END"
-        out = f"array_to_string(list_transform(string_split({x}, '&#'), lambda p, i: {part}), '')"
-        for name, char in ENTITIES:
-            out = f"replace({out}, {quote(name)}, {quote(char)})"
-        return out
+        name = f"regexp_extract(p, '{REFERENCE}', 1)"
+        number = f"CASE WHEN lower(substr({name}, 2, 1)) = 'x' THEN TRY_CAST('0x' || substr({name}, 3) AS INTEGER) ELSE TRY_CAST(substr({name}, 2) AS INTEGER) END"
+        cases = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in ENTITIES.items())
+        char = f"CASE WHEN {name}[1] = '#' THEN CASE WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 THEN chr({number}) END ELSE CASE {name} {cases} END END"
+        part = f"CASE WHEN i = 1 THEN p ELSE coalesce({char} || substr(p, length({name}) + 2), '&' || p) END"
+        return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {part}), '')"
 
     def squeezed(x: str) -> str:
-        return rf"trim(regexp_replace(regexp_replace({x}, '[ \t\r\f\x0B]+', ' ', 'g'), ' ?(\n ?)+', chr(10), 'g'), ' ' || chr(10))"
+        return f"trim(regexp_replace(regexp_replace({x}, '{BLANKS}', ' ', 'g'), '{LINES}', chr(10), 'g'), ' ' || chr(10))"
 
-    text = r"regexp_replace(payload, '(?s)<!--.*?(-->|$)', '', 'g')"
-    for tag in DROPPED:
-        text = rf"regexp_replace({text}, '(?is)<{tag}\b.*?(</{tag}\s*>|$)', '', 'g')"
-    text = rf"regexp_replace({text}, '(?i)</?({BREAKS})\b[^>]*>', chr(10), 'g')"
-    text = f"regexp_replace({text}, '<[/!?a-zA-Z][^>]*>', '', 'g')"
+    text = f"regexp_replace(regexp_replace(regexp_replace(payload, '{GONE}', '', 'g'), '{BREAK}', chr(10), 'g'), '{TAG}', '', 'g')"
     crlf = "chr(13) || chr(10)"
     field = lambda name, col: f"CASE WHEN {col} = '' THEN '' ELSE '{name}: ' || {col} || {crlf} END"
     return rf"""
