@@ -12,8 +12,10 @@ Steps, each over all rows:
    prefix-filter argument two linked classes share one of their first shingles, so
    components of "share a prefix shingle" hold all links; common passages stand
    last in the order and tie nothing together.
-4. The full sets of each such cluster meet in one task, in blocks when it is large
-   (every pair of blocks meets).  The task stores the globally ordered sets in a
+4. The full sets of each such cluster meet in one task.  A large cluster meets in
+   blocks: first every block with the first one, then whatever stands outside the
+   largest component found so with every block, so a group of near copies of any
+   size costs work in proportion to it.  The task stores the globally ordered sets in a
    prefix tree with compressed edges.  A probe descends level by level, sharing
    the partial overlap of common beginnings, and prunes a subtree when even all
    that remains of the probe and of the subtree's longest set can't reach the
@@ -56,8 +58,9 @@ COMMON, BATCH_SHINGLES = 64, 1_500_000
 COMMON_LEVEL = 2**31 - 1
 #: Text bytes for each bucket of the packed exchanges.
 BUCKET_BYTES = 12 << 20
-#: Classes of a cluster that meet in one task; larger clusters meet block by block.
-BLOCK = 2048
+#: Classes in a block of a cluster, when blocks meet the first one and when what was left open meets
+#: all others, and shingles in a block of either kind; two blocks at most meet in one task.
+BLOCK, WIDE_BLOCK, BLOCK_SHINGLES = 128, 2048, 1_500_000
 _ROW = "bucket int, kind int, data binary"
 POST, LIVE, DOC = 0, 1, 2
 
@@ -473,6 +476,52 @@ def _full_sets(k: int):
     return run
 
 
+def _blocks(classes: F.Column, shingles: F.Column, size: F.Column) -> F.Column:
+    return F.greatest(F.ceil(classes / size), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+
+
+def _meet(docs: DataFrame, spread: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) among the classes that share a task; ``spread`` lists each class's tasks in ``at``."""
+    where = spread.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__id"), F.col("row").alias("__row"), "class", "cluster", "at")
+    full = (
+        docs.withColumn("__k", F.coalesce("doc_id", F.lit(NULL_ID)))
+        .join(where.hint("shuffle_hash"), (F.col("__k") == F.col("__id")) & (F.col("row") == F.col("__row")))
+        .select("cluster", "class", "text", F.explode("at").alias("at"))
+        .select("cluster", "at.i", "at.j", "class", "text")
+        .mapInArrow(_full_sets(words), "cluster long, i int, j int, class long, shingles binary")
+    )
+    return full.groupBy("cluster", "i", "j").applyInArrow(_join_cluster(percent), "a long, b long")
+
+
+def _second_round(member: DataFrame, links: DataFrame) -> DataFrame:
+    """Tasks for what the first round left open in clusters of several blocks.
+
+    Classes of a cluster's largest component need not meet one another again; all
+    others meet every block, in blocks of their own.  The fewer they are, the smaller
+    the blocks that come to them.
+    """
+    root = components(links, "jaccard-first").select(F.bitwise_not("node").alias("__c"), F.col("root").alias("r"))
+    big = member.filter("blocks > 1").withColumn("__n", F.bitwise_not("class")).join(root, F.col("__n") == F.col("__c"), "left").withColumn("r", F.coalesce("r", "class")).drop("__n", "__c")
+    big = materialize(big, "jaccard-open")
+    each = big.groupBy("cluster", "r").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
+    by = each.groupBy("cluster").agg(F.max(F.struct("k", "r", "n")).alias("top"), F.sum("k").alias("k"), F.sum("n").alias("n"))
+    left, size = F.col("k") - F.col("top.k"), F.col("k")
+    wide = F.least(F.lit(WIDE_BLOCK), F.greatest(F.lit(BLOCK), left))
+    by = by.filter(left > 0).select(
+        F.bitwise_not("cluster").alias("__c"),
+        F.col("top.r").alias("giant"),
+        _blocks(left, F.col("n") - F.col("top.n"), F.lit(WIDE_BLOCK)).alias("rest"),
+        _blocks(size, F.col("n"), wide).alias("wide"),
+    )
+    both = big.withColumn("__n", F.bitwise_not("cluster")).join(by.hint("merge"), F.col("__n") == F.col("__c"))
+    own = F.pmod(F.xxhash64("class", F.lit(11)), F.col("rest")).cast("int")
+    mine = F.pmod(F.xxhash64("class", F.lit(13)), F.col("wide")).cast("int")
+    task = lambda i, j: F.struct(i.alias("i"), j.alias("j"))
+    called = F.transform(F.sequence(F.lit(0), F.col("rest") - 1), lambda i: task(i, mine))
+    calls = F.transform(F.sequence(F.lit(0), F.col("wide") - 1), lambda j: task(own, j))
+    return both.withColumn("at", F.when(F.col("r") == F.col("giant"), called).otherwise(F.array_distinct(F.concat(called, calls))))
+
+
 def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, row) for each row of ``df``; ``row`` is xxhash64 of its text."""
     spark, m = df.sparkSession, Measure(percent)
@@ -488,29 +537,22 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> Data
 
     edges = able.select("class", "tokens").mapInArrow(_post_prefixes(b), _ROW).groupBy("bucket").applyInArrow(_make_edges, "a long, b long")
     cluster = components(edges, "jaccard-clusters")
-    placed = able.select("class", "doc_id", "row").join(cluster, F.col("class") == F.col("node")).select("class", "doc_id", "row", F.col("root").alias("cluster"))
+    placed = able.select("class", "doc_id", "row", "n").join(cluster, F.col("class") == F.col("node")).select("class", "doc_id", "row", "n", F.col("root").alias("cluster"))
     placed = materialize(placed, "jaccard-placed")
-    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("size")).filter("size > 1").select(F.bitwise_not("cluster").alias("__c"), F.ceil(F.col("size") / BLOCK).cast("int").alias("blocks"))
-    mine = F.pmod(F.xxhash64("class", F.lit(7)), F.col("blocks")).cast("int")
-    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    spread = (
+    sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n")).filter("size > 1")
+    sizes = sizes.withColumn("blocks", _blocks(F.col("size"), F.col("n"), F.lit(BLOCK)))
+    sizes = materialize(sizes.select(F.bitwise_not("cluster").alias("__c"), "blocks"), "jaccard-sizes")
+    member = (
         placed.withColumn("__n", F.bitwise_not("cluster"))
         .join(sizes.hint("merge"), F.col("__n") == F.col("__c"))
-        .withColumn("mine", mine)
-        .withColumn("other", other)
-        .select("cluster", "class", "doc_id", "row", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"))
-    )
-    where = spread.groupBy("doc_id", "row", "class", "cluster").agg(F.collect_list(F.struct("i", "j")).alias("at"))
-    where = where.select(F.col("doc_id").alias("__id"), F.col("row").alias("__row"), "class", "cluster", "at")
-    key = F.coalesce("doc_id", F.lit(NULL_ID))
-    full = (
-        docs.withColumn("__k", key)
-        .join(where.hint("shuffle_hash"), (F.col("__k") == F.col("__id")) & (F.col("row") == F.col("__row")))
-        .select("cluster", "class", "text", F.explode("at").alias("at"))
-        .select("cluster", "at.i", "at.j", "class", "text")
-        .mapInArrow(_full_sets(words), "cluster long, i int, j int, class long, shingles binary")
+        .select("cluster", "class", "doc_id", "row", "n", "blocks", F.pmod(F.xxhash64("class", F.lit(7)), F.col("blocks")).cast("int").alias("mine"))
     )
-    links = materialize(full.groupBy("cluster", "i", "j").applyInArrow(_join_cluster(percent), "a long, b long"), "jaccard-links")
+    # Every block meets the first one.
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    first_round = member.withColumn("at", F.when(F.col("mine") == 0, F.transform(every, lambda j: F.struct(F.lit(0).alias("i"), j.alias("j")))).otherwise(F.array(F.struct(F.lit(0).alias("i"), F.col("mine").alias("j")))))
+    links = materialize(_meet(docs, first_round, words, percent), "jaccard-links")
+    if sizes.filter("blocks > 1").limit(1).count():
+        links = links.unionByName(materialize(_meet(docs, _second_round(member, links), words, percent), "jaccard-more-links"))
 
     linked = components(links, "jaccard-components")
     firsts = members.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))

@@ -68,8 +68,10 @@ def test_equals_brute_force(spark):
     assert result(spark, rows) == brute(rows)
 
 
-def test_five_words_at_eighty_percent_in_blocks(spark, monkeypatch):
-    monkeypatch.setattr(J, "BLOCK", 5)
+@pytest.mark.parametrize("block", [3, 20])
+def test_five_words_at_eighty_percent_in_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(J, "BLOCK", block)
+    monkeypatch.setattr(J, "WIDE_BLOCK", 2 * block)
     rows = corpus(6, 80)
     assert result(spark, rows, words=5, percent=80) == brute(rows, 5, 80)
 
