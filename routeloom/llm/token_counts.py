@@ -11,7 +11,8 @@ the ends are stripped; otherwise the text is taken as it is.
 
 Scale.  Digests are shuffled, not texts, for the lookup and for choosing one
 representative of each missing digest (a partial minimum, so thousands of copies
-are a row for each map task).  Texts cross the network once, by doc_id, as the
+are a row for each map task).  Two texts of equal 64-bit row hash under one doc_id
+are taken for one row.  Texts cross the network once, by doc_id, as the
 streamed side of a hash join that keeps the representatives.  Copies of one text
 meet again only in the last join, on digests, which adaptive execution splits.
 
@@ -31,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bpe import slices
-from .common import documents, table, work_path
+from .common import documents, materialize, table, work_path
 
 LIMIT = 2048
 CACHE_SCHEMA = "content string, tokenizer string, n_tokens long"
@@ -112,16 +113,20 @@ def cached_counts(df: DataFrame, path: str, cache_path: str, limit: int = LIMIT)
         cache = spark.createDataFrame([], CACHE_SCHEMA)
     known = cache.filter(F.col("tokenizer") == version).select("content", "n_tokens")
 
+    row = F.xxhash64("text")
     docs = documents(df)
-    keyed = docs.select("doc_id", "text", content_digest(F.col("text"), fold).alias("content"))
+    # Digests are made once, and stand for the texts until the misses are encoded.
+    keyed = docs.select("doc_id", row.alias("row"), F.octet_length("text").cast("long").alias("n_bytes"), content_digest(F.col("text"), fold).alias("content"))
+    keyed = materialize(keyed, "token-digests")
     chosen = (
         keyed.groupBy("content")
-        .agg(F.min("doc_id").alias("__doc"))
+        .agg(F.min(F.struct("doc_id", "row")).alias("first"))
         .join(known.select("content"), "content", "left_anti")
-        .select(F.col("content").alias("__content"), "__doc")
+        .select("content", F.col("first.doc_id").alias("__id"), F.col("first.row").alias("__row"))
     )
-    same = keyed["doc_id"].eqNullSafe(chosen["__doc"]) & (keyed["content"] == chosen["__content"])
-    missing = keyed.join(chosen.hint("shuffle_hash"), same, "left_semi")
+    texts = docs.withColumn("row", row)
+    same = texts["doc_id"].eqNullSafe(chosen["__id"]) & (texts["row"] == chosen["__row"])
+    missing = texts.join(chosen.hint("shuffle_hash"), same).select("content", "text")
     # Rows that repeat whole are each a representative; their count is appended once.
     fresh = encode_counts(missing, path).dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens")
     fresh.write.mode("append").parquet(cache_path)
@@ -135,8 +140,7 @@ def cached_counts(df: DataFrame, path: str, cache_path: str, limit: int = LIMIT)
         .agg(F.first("n_tokens").alias("n_tokens"))
         .select(F.reverse("content").alias("__key"), "n_tokens")
     )
-    small = keyed.select("doc_id", F.octet_length("text").cast("long").alias("n_bytes"), F.reverse("content").alias("__c"))
-    out = small.join(counts.hint("merge"), F.col("__c") == F.col("__key"))
+    out = keyed.withColumn("__c", F.reverse("content")).join(counts.hint("merge"), F.col("__c") == F.col("__key"))
     return out.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > limit).alias("over_limit"))
 
 
