@@ -40,11 +40,12 @@ SELECT 'S' || lpad(CAST(n_nationkey AS STRING), 2, '0') AS source_id, n_nationke
        CASE WHEN n_nationkey % 2 = 0 THEN 300.0 + n_nationkey * 30.0 ELSE n_nationkey * 40.0 END AS x2, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 40.0 ELSE 350.0 + n_nationkey * 20.0 END AS y2
 FROM nation"""
 CUSTOMER_POINTS = "SELECT c_custkey AS id, (c_custkey * 37 % 1499) * 1.0 AS x, (c_custkey * 91 % 1493) * 1.0 AS y, c_nationkey AS nation FROM customer"
-#: Two networks of a handful of customers, for the quadratic leg tables.
+#: Every supplier, two networks for each forty keys: legs are quadratic in a network of twenty at most, and grow with the table.
 NETWORK_CUSTOMERS = """
-SELECT 'W' || CAST(s_suppkey % 2 AS STRING) AS network_id, 'C' || lpad(CAST(s_suppkey AS STRING), 6, '0') AS terminal_id, (s_suppkey * 37 % 101) * 50.0 AS x,
+SELECT 'W' || CAST(CAST(floor(s_suppkey / 40) AS BIGINT) * 2 + s_suppkey % 2 AS STRING) AS network_id,
+       'C' || lpad(CAST(s_suppkey AS STRING), CAST(greatest(6, length(CAST(s_suppkey AS STRING))) AS INT), '0') AS terminal_id, (s_suppkey * 37 % 101) * 50.0 AS x,
        (s_suppkey * 53 % 97) * 50.0 AS y, (s_suppkey * 37 % 101) * 50.0 + 30.0 AS anchor_x, (s_suppkey * 53 % 97) * 50.0 - 40.0 AS anchor_y, (s_suppkey % 9) * 10.0 AS z
-FROM supplier WHERE s_suppkey <= 40"""
+FROM supplier"""
 
 
 def rows(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
