@@ -20,7 +20,7 @@ import public_tokenizers
 from routeloom.llm.bpe import encode_documents
 from routeloom.llm.common import materialize, table
 from routeloom.llm.decontaminate import decontaminate
-from routeloom.llm.jaccard_join import jaccard_components
+from routeloom.llm.jaccard_join import jaccard_roots
 from routeloom.llm.line_dedup import dedup_lines
 from routeloom.llm.quality_rules import apply_rules
 
@@ -49,14 +49,20 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near duplicates."""
-    found = jaccard_components(docs, words=5, percent=80)
-    first = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).groupBy(F.col("component_id").alias("__id")).agg(F.min("row").alias("__row"))
+    """The document of smallest id of each group of near duplicates, then of smallest text hash.
+
+    Groups are those of the texts: texts that don't link all stay, under a null or a
+    repeated id too, and so do all texts without shingles.
+    """
+    found = jaccard_roots(docs, words=5, percent=80)
+    lowest = found.filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    alone = F.when(F.col("root").isNull(), F.col("row"))
+    first = lowest.groupBy("root", F.col("component_id").alias("__id"), alone.alias("__alone")).agg(F.min("row").alias("__row")).select("__id", "__row")
 
     def keep(d: DataFrame) -> DataFrame:
-        keyed = d.withColumn("__text_row", F.xxhash64(F.coalesce("text", F.lit(""))))
+        keyed = d.withColumn("__text_row", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("__no_text", F.col("text").isNull())
         same = keyed["doc_id"].eqNullSafe(first["__id"]) & (keyed["__text_row"] == first["__row"])
-        return keyed.join(first.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "__text_row"])
+        return keyed.join(first.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "__text_row", "__no_text"])
 
     return _through(docs, keep)
 

@@ -524,6 +524,11 @@ def _second_round(member: DataFrame, links: DataFrame) -> DataFrame:
 
 def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """(doc_id, n_shingles, component_id, row) for each row of ``df``; ``row`` is xxhash64 of its text."""
+    return jaccard_roots(df, words, percent).drop("root")
+
+
+def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+    """As ``jaccard_components``, and the component's own ``root``, which doesn't hang on ids; null without shingles."""
     spark, m = df.sparkSession, Measure(percent)
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
@@ -558,9 +563,9 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> Data
     firsts = members.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     rooted = firsts.join(linked, F.col("class") == F.col("node"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component"))
-    by_class = linked.join(lowest, "root").select(F.bitwise_not("node").alias("__c"), "component")
+    by_class = linked.join(lowest, "root").select(F.bitwise_not("node").alias("__c"), "component", "root")
     alone = firsts.select(F.bitwise_not("class").alias("__c"), "low")
-    label = materialize(alone.join(by_class, "__c", "left").select("__c", F.coalesce("component", "low").alias("component")), "jaccard-labels")
+    label = materialize(alone.join(by_class, "__c", "left").select("__c", F.coalesce("component", "low").alias("component"), F.coalesce("root", F.bitwise_not("__c")).alias("root")), "jaccard-labels")
     out = members.withColumn("__n", F.bitwise_not("class")).join(label.hint("merge"), F.col("__n") == F.col("__c"), "left")
     no_null = lambda c: F.when(c != NULL_ID, c)
     return out.select(
@@ -568,6 +573,7 @@ def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> Data
         F.col("n").alias("n_shingles"),
         no_null(F.coalesce("component", "doc_id")).alias("component_id"),
         "row",
+        "root",
     )
 
 

@@ -67,3 +67,20 @@ def test_stages_keep_the_columns(spark, tmp_path):
             df = stage(spark, df, str(tmp_path))
             assert df.columns == names
         assert (df.count() > 0) == bool(some)
+
+
+def test_different_texts_under_null_and_repeated_ids_stay(spark, tmp_path):
+    rng = random.Random(5)
+    new = lambda: " ".join("".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(60))
+    near = lambda t: t.rsplit(" ", 1)[0] + " changed"
+    a, b, c, d, e, f = (new() for _ in range(6))
+    keep = [(None, a), (None, b), (None, c), (7, d), (7, e), (9, f), (None, None), (None, ""), (12, None), (12, "")]
+    gone = [(3, near(a)), (8, near(d)), (10, near(f)), (11, near(near(b))), (9, near(c)), (None, b), (7, e), (12, "")]
+    rows = [(*x, "en") for x in keep + gone]
+    got = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=repr) == sorted(keep, key=repr)
+
+    # Linked texts under a null id are still one document.
+    rows = [(None, a, "en"), (None, near(a), "en"), (None, b, "en")]
+    got = [r.text for r in corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string, lang string"), str(tmp_path)).collect()]
+    assert len(got) == 2 and b in got
