@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import combinations
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -26,41 +24,76 @@ def serviceable_pairs(paths: DataFrame, demands: DataFrame, minutes: float = MIN
     return near.filter("site <> demand").unionByName(own).join(demands, "demand")
 
 
-def min_site_cover(pairs: DataFrame, demands: DataFrame) -> list[dict]:
+def min_site_cover(pairs: DataFrame, demands: DataFrame, max_sites: int | None = MAX_SITES) -> list[dict]:
     """The exact cover: fewest sites, then least population-weighted time, then smallest ids.
 
-    Each demand goes to its quickest chosen site.  Enumerates sets of growing size
-    on the driver, so sites and pairs are bounded; more are an error and never an
-    approximation.
+    Each demand goes to its quickest chosen site.  Searches sets of growing size by
+    branch and bound on the driver, so pairs are bounded, and sites unless
+    ``max_sites`` is None; more are an error and never an approximation.
     """
     rows = pairs.select("site", "demand", "time_min", "population").limit(MAX_PAIRS + 1).collect()
     if len(rows) > MAX_PAIRS:
         raise GateError(f"more than {MAX_PAIRS} site-demand pairs")
     wanted = sorted(r.demand for r in demands.select("demand").limit(MAX_PAIRS + 1).collect())
     sites = sorted({r.site for r in rows})
-    if len(sites) > MAX_SITES:
-        raise GateError(f"more than {MAX_SITES} candidate sites")
+    if max_sites is not None and len(sites) > max_sites:
+        raise GateError(f"more than {max_sites} candidate sites")
     cost: dict[str, dict[str, tuple[float, float]]] = {}
     for r in rows:
         cost.setdefault(r.demand, {})[r.site] = (r.time_min, r.population)
     if any(d not in cost for d in wanted):
         raise GateError("a demand has no site within its limits")
-    for k in range(1, len(sites) + 1):
-        best = None
-        for chosen in combinations(sites, k):
-            pick = [min(((cost[d][s][0], s) for s in chosen if s in cost[d]), default=None) for d in wanted]
-            if None in pick:
-                continue
-            total = sum(t * cost[d][s][1] for d, (t, s) in zip(wanted, pick))
-            if best is None or (total, chosen) < best[:2]:
-                best = (total, chosen, pick)
-        if best is not None:
-            return [{"demand": d, "site": s, "time_min": t, "population": cost[d][s][1]} for d, (t, s) in zip(wanted, best[2])]
     if not wanted:
         return []
+    for k in range(1, len(wanted) + 1):
+        pick = _best_cover(k, wanted, cost)
+        if pick is not None:
+            return [{"demand": d, "site": s, "time_min": t, "population": cost[d][s][1]} for d, (t, s) in zip(wanted, pick)]
     raise GateError("no set of sites serves all demands")
 
 
+def _best_cover(k: int, wanted: list[str], cost: dict[str, dict[str, tuple[float, float]]]) -> list[tuple[float, str]] | None:
+    """(time, site) of each demand in the best set of ``k`` sites, if no fewer serve all.
+
+    Branches on the demand with fewest sites left, each branch without the sites of
+    those before it, so no set comes twice.  A branch ends when the sites still to
+    choose can't reach what is open, or when even the quickest sites left cost more
+    than the best set.
+    """
+    reach: dict[str, int] = {}
+    for i, d in enumerate(wanted):
+        for s in cost[d]:
+            reach[s] = reach.get(s, 0) | 1 << i
+    quickest = [sorted((t, s) for s, (t, _) in cost[d].items()) for d in wanted]
+    best: list = []
+
+    def total(pick: list[tuple[float, str]]) -> float:
+        return sum(t * cost[d][s][1] for d, (t, s) in zip(wanted, pick))
+
+    def search(chosen: frozenset[str], barred: frozenset[str], open_: int) -> None:
+        if not open_:
+            pick = [next(p for p in row if p[1] in chosen) for row in quickest]
+            found = (total(pick), sorted(chosen), pick)
+            if not best or found[:2] < best[0][:2]:
+                best[:] = [found]
+            return
+        left = k - len(chosen)
+        sizes = sorted(((r & open_).bit_count() for s, r in reach.items() if s not in barred), reverse=True)
+        if sum(sizes[:left]) < open_.bit_count():
+            return
+        if best:
+            least = [next((p for p in row if p[1] not in barred), None) for row in quickest]
+            if None in least or total(least) > best[0][0] + 1e-9 * abs(best[0][0]):
+                return
+        free = [[s for s in cost[d] if s not in barred] for i, d in enumerate(wanted) if open_ >> i & 1]
+        for s in sorted(min(free, key=len), key=lambda s: (-(reach[s] & open_).bit_count(), s)):
+            search(chosen | {s}, barred, open_ & ~reach[s])
+            barred |= {s}
+
+    search(frozenset(), frozenset(), (1 << len(wanted)) - 1)
+    return best[0][2] if best else None
+
+
 def assign_nearest(pairs: DataFrame) -> DataFrame:
     """Each demand with its quickest site, ties to the shorter and then the smaller id."""
     return pairs.groupBy("demand").agg(F.min(F.struct("time_min", "distance_m", "site")).alias("p"), F.max("population").alias("population")).select("demand", "p.site", "p.time_min", "p.distance_m", "population")

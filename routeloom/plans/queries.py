@@ -360,16 +360,16 @@ def mutual_reach(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- service ----------------------------------------------------------------------------
 
-_FEW = f"SELECT node FROM ({B.TERMINALS}) WHERE k < 8"
-_PAIRS = _paths_sql(_FEW, "SELECT node FROM anchor WHERE false") + f""",
-dem AS (SELECT node AS demand, CAST(w AS DOUBLE) AS population FROM ({B.TERMINALS}) WHERE k < 8),
+_SITES = f"SELECT node FROM ({B.TERMINALS})"
+_PAIRS = _paths_sql(_SITES, "SELECT node FROM anchor WHERE false") + f""",
+dem AS (SELECT node AS demand, CAST(w AS DOUBLE) AS population FROM ({B.TERMINALS})),
 pair AS (SELECT source AS site, node AS demand, round(t / 1e6, 6) AS time_min, round(d / 1e6, 6) AS distance_m FROM best WHERE node IN (SELECT node FROM anchor) AND t <= 2500000 AND d <= 2400000000)
 """
 
 
 def _pairs(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    sources = B.rows(spark, sf, _FEW).select(F.col("node").alias("source"))
-    demands = B.rows(spark, sf, B.TERMINALS).filter("k < 8").select(F.col("node").alias("demand"), F.col("w").cast("double").alias("population"))
+    sources = B.rows(spark, sf, _SITES).select(F.col("node").alias("source"))
+    demands = B.rows(spark, sf, B.TERMINALS).select(F.col("node").alias("demand"), F.col("w").cast("double").alias("population"))
     p = paths.shortest_paths(arcs(spark, sf), sources).join(demands.select(F.col("demand").alias("node")), "node", "left_semi")
     p = p.select(F.col("source").alias("site"), F.col("node").alias("demand"), F.round(F.col("time_u") / 1e6, 6).alias("time_min"), F.round(F.col("distance_u") / 1e6, 6).alias("distance_m"))
     return service.serviceable_pairs(p, demands, 2.5, 2400.0), demands
@@ -381,23 +381,21 @@ def service_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _pairs(spark, sf)[0].select("site", "demand", "time_min", "distance_m", "population")
 
 
-@query(_PAIRS + """, num AS (SELECT node, row_number() OVER (ORDER BY node) - 1 AS i FROM anchor),
-sub AS (SELECT unnest(range(1, 256)) AS m),
-ok AS (SELECT m, demand, min(row(time_min, site)) AS p FROM sub, pair JOIN num ON pair.site = num.node WHERE (m >> i) % 2 = 1 GROUP BY m, demand),
-tot AS (SELECT m, sum(p[1] * population) AS cost, bit_count(m) AS k, (SELECT string_agg(node, ',' ORDER BY node) FROM num WHERE (m >> i) % 2 = 1) AS names FROM ok JOIN dem USING (demand) GROUP BY m HAVING count(*) = 8),
-won AS (SELECT m FROM tot ORDER BY k, round(cost, 6), names LIMIT 1)
-SELECT demand, p[2] AS site, p[1] AS time_min, population FROM ok JOIN dem USING (demand) WHERE m = (SELECT m FROM won)""")
+@query()
 def microgrid_cover(spark: SparkSession, sf: str) -> DataFrame:
-    """Fewest sites, then least population-weighted time, then ids."""
+    """Fewest sites, then least population-weighted time, then ids.
+
+    Without SQL, which would have to list all sets of 25 sites; tested by brute force.
+    """
     pairs, demands = _pairs(spark, sf)
-    return spark.createDataFrame(service.min_site_cover(pairs, demands), "demand string, site string, time_min double, population double")
+    return spark.createDataFrame(service.min_site_cover(pairs, demands, max_sites=None), "demand string, site string, time_min double, population double")
 
 
-@query(_PAIRS + """, a AS (SELECT demand, min(row(time_min, distance_m, site)) AS p FROM pair WHERE site IN ('N00', 'N02', 'N05', 'N07') GROUP BY demand)
+@query(_PAIRS + """, a AS (SELECT demand, min(row(time_min, distance_m, site)) AS p FROM pair GROUP BY demand)
 SELECT p[3] AS site, count(*) AS n_demands, sum(population) AS catchment_population, sum(CASE WHEN demand = p[3] THEN population ELSE 0 END) AS local_population, round(sum(population * p[1]), 6) AS weighted_time FROM a JOIN dem USING (demand) GROUP BY 1""")
 def service_catchments(spark: SparkSession, sf: str) -> DataFrame:
     pairs, _ = _pairs(spark, sf)
-    out = service.catchments(service.assign_nearest(pairs.filter(F.col("site").isin("N00", "N02", "N05", "N07"))))
+    out = service.catchments(service.assign_nearest(pairs))
     return out.withColumn("weighted_time", F.round("weighted_time", 6))
 
 
@@ -571,7 +569,7 @@ def release_checks(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     total = cells.agg(F.sum("pop").alias("p"))
     legs, n = drone.raw_legs(c).groupBy("network_id").agg(F.count(F.lit(1)).alias("legs")), c.groupBy("network_id").agg(F.count(F.lit(1)).alias("n"))
     pairs, demands = _pairs(spark, sf)
-    assigned = spark.createDataFrame(service.min_site_cover(pairs, demands), "demand string, site string, time_min double, population double")
+    assigned = spark.createDataFrame(service.min_site_cover(pairs, demands, max_sites=None), "demand string, site string, time_min double, population double")
     gate = paths.assess(t.select("terminal_id", "truck_anchor_id", F.lit(True).alias("distance_covered")), a, "T00")
     energy = a.select("edge_id", fn.truck_energy(F.col("distance_m"), F.lit(10.0), _T).alias("up"), fn.truck_energy(F.col("distance_m"), F.lit(0.0), _T).alias("flat"))
     return {
