@@ -17,8 +17,10 @@ as text.
 
 from __future__ import annotations
 
+import json
 import zlib
 from collections.abc import Iterator
+from html.entities import html5
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -30,12 +32,17 @@ from .common import table
 NO_DATE = "1970-01-01T00:00:00Z"
 DROPPED = ["script", "style", "noscript", "template"]
 BREAKS = "p|div|br|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|aside|main|blockquote|pre|hr|title|head|body|form|figure|figcaption"
-#: Named character references that are decoded.
-ENTITIES = {
+#: Named character references of the SQL, which knows only these, and links and languages in double quotes.
+SQL_ENTITIES = {
     "nbsp": " ", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "amp": "&", "copy": "©", "reg": "®", "middot": "·", "hellip": "…",
     "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€",
 }
-REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,6});"
+SQL_REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,6});"
+SQL_LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
+SQL_LANG = r'(?i)<html\b[^>]*?lang\s*=\s*"([^"]*)"'
+#: All named references that end in a semicolon, common ones first as a map is searched in order; no-break spaces are blanks.
+ENTITIES = SQL_ENTITIES | {k[:-1]: v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";") and k[:-1] not in SQL_ENTITIES}
+REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 #: Comments and elements that are dropped with what is in them, to their end or the text's.
 GONE = "(?is)<(?:!--.*?(?:-->|$)|" + "|".join(rf"{t}\b.*?(?:</{t}\s*>|$)" for t in DROPPED) + ")"
 BREAK = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
@@ -43,9 +50,22 @@ TAG = r"<[/!?a-zA-Z][^>]*>"
 #: Blanks other than a single space, and line feeds with blanks around them; neither matches a plain space.
 BLANKS = r"[\t\r\f\x0B][ \t\r\f\x0B]*| [ \t\r\f\x0B]+"
 LINES = r" ?\n[ \n]*"
-LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
 TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
-LANG = r'(?i)<html\b[^>]*?lang\s*=\s*"([^"]*)"'
+#: A value in double, single or no quotes, and what may stand between attributes.  Loops don't give back, so they take no stack.
+VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
+OTHER = rf"""(?:[^\s=>"'/][^\s=>/]*+(?:\s*+=\s*+{VALUE})?+|["'=])[\s/]*+"""
+
+
+def attribute(tag: str, name: str) -> str:
+    """Pattern of a tag with the value of its first attribute of that name, quotes included, as its group."""
+    return rf"(?i)<{tag}(?=[\s/])[\s/]*+(?:(?!{name}\s*=){OTHER})*+{name}\s*=\s*({VALUE})"
+
+
+LINK, LANG = attribute("a", "href"), attribute("html", "(?:xml:)?lang")
+
+
+def unquoted(value: Column) -> Column:
+    return F.when(F.substring(value, 1, 1).isin('"', "'"), F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
 
 def labelled_sha1(text: Column) -> Column:
@@ -66,7 +86,7 @@ def decode_references(text: Column) -> Column:
 
     Only what follows an ampersand is looked at.
     """
-    names = F.create_map(*[F.lit(x) for pair in ENTITIES.items() for x in pair])
+    names = F.from_json(F.lit(json.dumps(ENTITIES)), "map<string,string>")
 
     def part(x: Column, i: Column) -> Column:
         name = F.regexp_extract(x, REFERENCE, 1)
@@ -118,8 +138,8 @@ def derive(responses_: DataFrame) -> DataFrame:
         responses_.withColumn("__title", F.regexp_extract("payload", TITLE, 1))
         .withColumn("__title", decode_references(c("__title")))
         .withColumn("__title", F.regexp_replace(squeeze(c("__title")), "\n", " "))
-        .withColumn("__lang", squeeze(F.regexp_extract("payload", LANG, 1)))
-        .withColumn("__links", F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(x)), F.lit("\r\n"))))
+        .withColumn("__lang", squeeze(unquoted(F.regexp_extract("payload", LANG, 1))))
+        .withColumn("__links", F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(unquoted(x))), F.lit("\r\n"))))
     )
     found = with_plain_text(found, "payload", "__text")
     field = lambda name, v: F.when(v == "", "").otherwise(F.concat(F.lit(f"{name}: "), v, F.lit("\r\n")))
@@ -238,9 +258,9 @@ def _oracle() -> str:
         return "'<urn:uuid:' || " + " || '-' || ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))) + " || '>'"
 
     def decoded(x: str) -> str:
-        name = f"regexp_extract(p, '{REFERENCE}', 1)"
+        name = f"regexp_extract(p, '{SQL_REFERENCE}', 1)"
         number = f"CASE WHEN lower(substr({name}, 2, 1)) = 'x' THEN TRY_CAST('0x' || substr({name}, 3) AS INTEGER) ELSE TRY_CAST(substr({name}, 2) AS INTEGER) END"
-        cases = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in ENTITIES.items())
+        cases = " ".join(f"WHEN {quote(k)} THEN {quote(v)}" for k, v in SQL_ENTITIES.items())
         char = f"CASE WHEN {name}[1] = '#' THEN CASE WHEN {number} BETWEEN 1 AND 1114111 AND NOT {number} BETWEEN 55296 AND 57343 THEN chr({number}) END ELSE CASE {name} {cases} END END"
         part = f"CASE WHEN i = 1 THEN p ELSE coalesce({char} || substr(p, length({name}) + 2), '&' || p) END"
         return f"array_to_string(list_transform(string_split({x}, '&'), lambda p, i: {part}), '')"
@@ -260,8 +280,8 @@ WITH r AS (
 d AS (SELECT *, {sha("payload")} AS source_payload_digest FROM r),
 i AS (SELECT *, {rid("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "source_payload_digest")} AS refers_to,
              replace({squeezed(decoded(f"regexp_extract(payload, '{TITLE}', 1)"))}, chr(10), ' ') AS title,
-             {squeezed(f"regexp_extract(payload, '{LANG}', 1)")} AS lang,
-             list_transform(regexp_extract_all(payload, '{LINK}', 1), lambda h: 'outlink: ' || {squeezed(decoded("h"))} || {crlf}) AS links
+             {squeezed(f"regexp_extract(payload, '{SQL_LANG}', 1)")} AS lang,
+             list_transform(regexp_extract_all(payload, '{SQL_LINK}', 1), lambda h: 'outlink: ' || {squeezed(decoded("h"))} || {crlf}) AS links
       FROM d),
 m AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,

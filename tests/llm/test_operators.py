@@ -191,6 +191,36 @@ def test_warc(spark):
         assert r.content_length == len(r.block.encode())
 
 
+def test_warc_attributes_and_references_as_a_parser_reads_them(spark):
+    from html.parser import HTMLParser
+
+    class Reader(HTMLParser):
+        def __init__(self):
+            super().__init__()
+            self.links, self.lang, self.text = [], [], []
+
+        def handle_starttag(self, tag, attrs):
+            self.links += [v for k, v in attrs if tag == "a" and k == "href"]
+            self.lang += [v for k, v in attrs if tag == "html" and k == "lang"]
+
+        def handle_data(self, data):
+            self.text.append(data)
+
+    bodies = [
+        "<a href='/one'>&eacute;&uuml;</a> <A class=k HREF=/two?a=1&amp;b=2>&szlig; &times;</A> <a title='x href=\"no\"' href = \"/it's\">&bull;</a>",
+        "<a data-href=/no rel='a b'href='/&Eacute;\"q\"'>&frac12; &CounterClockwiseContourIntegral;</a><a href=/end/>&unknown; &NotEqualTilde;</a><a name=x>y</a><abbr href=/no>z</abbr>",
+        "<a " + "word " * 50_000 + "href=/far>&hearts;</a>",
+    ]
+    pages = [(i, "u", f"<html {lang}>{b}</html>") for i, (lang, b) in enumerate(zip(("lang='de'", "class=c lang=pt-BR", 'lang="fr"'), bodies))]
+    by = {(r.page_id, r.record_type): r.block for r in warc.derive(warc.responses(spark.createDataFrame(pages, "page_id long, url string, html string"))).collect()}
+    for i, _, html in pages:
+        p = Reader()
+        p.feed(html)
+        p.close()
+        assert by[i, "metadata"].split("\r\n")[1:-1] == [f"language: {p.lang[0]}", *(f"outlink: {x}" for x in p.links)]
+        assert by[i, "conversion"] == "".join(p.text)
+
+
 def test_warc_files_round_trip(spark, tmp_path):
     import gzip
 
