@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def documents(df: DataFrame, *extra: str) -> DataFrame:
     """doc_id and text (null becomes empty) and the named columns, no others."""
     return df.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *extra)
+
+
+def others(df: DataFrame, made: Iterable[str]) -> list[str]:
+    """Columns of ``df`` but those that an operator makes; names are equal whatever their case, as Spark has it."""
+    names = {m.lower() for m in made}
+    return [c for c in df.columns if c.lower() not in names]
+
+
+def fresh(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until no column of ``df`` is called so."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name

@@ -2,35 +2,41 @@
 
 Test items are normalised to words (A-Z lower-cased; a word is a run of letters,
 digits and non-ASCII characters), cut into windows of 13 words, and every window
-becomes one pattern of a single automaton over word numbers.  Each document is
+becomes one pattern of an automaton over word numbers.  Each document is
 normalised the same way and scanned once; a match ends at a word index, which
 maps to byte offsets of the original text.
 
 Scale.  The scan is a map over documents: no shuffle.  The automaton is sent to
-executors only while the items are within ``MAX_ITEM_BYTES``.  Beyond it the
-items are split into blocks under that bound, one scan for each block, and the
-matched word ranges are put together by document; nothing unbounded is
-broadcast.
+executors, so it holds at most ``MAX_ITEM_BYTES`` of item text.  A larger
+benchmark stays a distributed table, dealt by hash into blocks whose sizes are
+counted before any is fetched; each block is one scan whose hits alone are written,
+its broadcast is released, and the hits of all blocks meet by document.  Word
+ranges are merged before they are mapped to bytes, so all columns are the same
+whatever the number of blocks.
 
 Defined results.  Null or empty texts have no words and no hits.  Items without
-words match nothing.  Items with equal windows all count.  Repeated document rows
-are judged separately.  A null item_id stands as the empty string.
+words match nothing.  Items with equal windows all count, and repeated item rows
+count once.  A null item_id stands as the empty string.  Repeated document rows
+are judged separately, and rows of one doc_id by their own texts.  An empty
+benchmark or an empty table of documents gives no hits or no rows.  Input columns
+named like an added one, in any case, are replaced; all others pass through.  A
+text is scanned whole in one call, in memory of about 100 bytes for a word.
 """
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Iterator
-from functools import lru_cache
+from collections.abc import Iterable, Iterator
+from functools import lru_cache, reduce
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .bpe import slices
-from .common import table
+from .common import fresh, materialize, others, table
 
 WINDOW = 13
 #: Text bytes of test items in one automaton (about 60 bytes of memory for each).
@@ -105,109 +111,132 @@ def _scanner(items: tuple[tuple[str, str], ...], window: int) -> Scanner:
     return Scanner(list(items), window)
 
 
-_FOUND = "n_words long, word_ranges array<struct<a:int,b:int>>, byte_spans array<struct<a:int,b:int>>, items array<string>"
+_RANGES = pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))
+#: What a scan gives: the number of words, hit ranges in words and in bytes of the original text, items found.
+_COLUMNS = {"n_words": pa.int64(), "word_ranges": _RANGES, "byte_spans": _RANGES, "items": pa.list_(pa.string())}
+_DDL = {"n_words": "long", "word_ranges": "array<struct<a:int,b:int>>", "byte_spans": "array<struct<a:int,b:int>>", "items": "array<string>"}
+ADDED = (*_COLUMNS, "n_hit", "contaminated")
 
 
-def scan_documents(df: DataFrame, items: list[tuple[str, str]], window: int = WINDOW) -> DataFrame:
-    """``df`` with n_words, word_ranges, byte_spans (in the original UTF-8 text) and items."""
-    shared = df.sparkSession.sparkContext.broadcast(tuple(items))
-    added = T.StructType.fromDDL(_FOUND)
-    schema = T.StructType([*df.schema.fields, *added.fields])
-    arrow = [pa.int64(), *[pa.list_(pa.struct([("a", pa.int32()), ("b", pa.int32())]))] * 2, pa.list_(pa.string())]
+def _with(fields: list[T.StructField], names: Iterable[str]) -> T.StructType:
+    return T.StructType([*fields, *T.StructType.fromDDL(", ".join(f"{n} {_DDL[n]}" for n in names)).fields])
+
+
+def _pairs(ranges: Iterable[tuple[int, int]]) -> list[dict[str, int]]:
+    return [{"a": int(a), "b": int(b)} for a, b in ranges]
+
+
+def _in_bytes(text: str, ranges: list[tuple[int, int]]) -> list[dict[str, int]]:
+    if not ranges:
+        return []
+    at = word_spans(text)
+    return _pairs((at[a, 0], at[b - 1, 1]) for a, b in ranges)
+
+
+def _scan(df: DataFrame, shared: Broadcast, window: int) -> DataFrame:
+    """``df`` with the columns of a scan by the automaton of the shared items."""
+    schema = _with(df.schema.fields, _COLUMNS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scanner = _scanner(shared.value, window)
         for whole in batches:
             for batch in slices(whole, "text"):
-                n, words, spans, names = [], [], [], []
+                n, words, spans, items = [], [], [], []
                 for text in batch.column("text").to_pylist():
                     count, ranges, found = scanner.scan(text or "")
                     n.append(count)
-                    words.append([{"a": a, "b": b} for a, b in ranges])
-                    at = word_spans(text) if ranges else None
-                    spans.append([{"a": int(at[a, 0]), "b": int(at[b - 1, 1])} for a, b in ranges])
-                    names.append(sorted(found))
-                new = [pa.array(v, t) for v, t in zip((n, words, spans, names), arrow)]
+                    words.append(_pairs(ranges))
+                    spans.append(_in_bytes(text, ranges))
+                    items.append(sorted(found))
+                new = [pa.array(v, t) for v, t in zip((n, words, spans, items), _COLUMNS.values())]
                 yield pa.RecordBatch.from_arrays([*batch.columns, *new], names=schema.names)
 
     return df.mapInArrow(run, schema)
 
 
-def item_blocks(benchmark: DataFrame, max_bytes: int = MAX_ITEM_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """Test items in blocks of at most ``max_bytes`` (an item at least), streamed to the driver."""
-    block: list[tuple[str, str]] = []
-    size = 0
-    for r in benchmark.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        n = len((r[1] or "").encode())
-        if block and size + n > max_bytes:
-            yield block
-            block, size = [], 0
-        block.append((r[0] or "", r[1] or ""))
-        size += n
-    yield block
+def _join_blocks(df: DataFrame, ranges: str, items: str) -> DataFrame:
+    """The word ranges and items of several scans (``ranges`` and ``items``: lists of them) as those of one."""
+    kept = [f for f in df.schema.fields if f.name not in (ranges, items)]
+    names = ("word_ranges", "byte_spans", "items")
+    schema = _with(kept, names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for b in slices(whole, "text"):
+                words = [merge_ranges([(r["a"], r["b"]) for part in x or () for r in part]) for x in b.column(ranges).to_pylist()]
+                spans = [_in_bytes(t, r) for t, r in zip(b.column("text").to_pylist(), words)]
+                found = [sorted({i for part in x or () for i in part}) for x in b.column(items).to_pylist()]
+                new = [pa.array(v, _COLUMNS[n]) for n, v in zip(names, ([_pairs(r) for r in words], spans, found))]
+                yield pa.RecordBatch.from_arrays([*[b.column(f.name) for f in kept], *new], names=schema.names)
+
+    return df.mapInArrow(run, schema)
+
+
+def item_blocks(benchmark: DataFrame, max_bytes: int) -> tuple[DataFrame, int]:
+    """Distinct items with their ``block``, and the number of blocks.
+
+    Blocks hold at most ``max_bytes`` of text each, or one item: their number doubles
+    until the largest, as counted, does.
+    """
+    item = F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item_id")
+    items = benchmark.select(item, F.coalesce("text", F.lit("")).alias("text")).distinct()
+    size = F.octet_length("text") + 1
+    n = max(1, -(-(items.agg(F.sum(size)).first()[0] or 0) // max_bytes))
+    while True:
+        dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(n)))
+        over = dealt.groupBy("block").agg(F.sum(size).alias("size"), F.count(F.lit(1)).alias("k")).filter((F.col("size") > max_bytes) & (F.col("k") > 1))
+        if not over.head(1):
+            return dealt, n
+        n *= 2
+
+
+def _block(dealt: DataFrame, i: int) -> tuple[tuple[str, str], ...]:
+    """The items of one block, of a size that has been counted."""
+    return tuple(sorted((r.item_id, r.text) for r in dealt.filter(F.col("block") == i).collect()))
 
 
 def decontaminate(df: DataFrame, benchmark: DataFrame, window: int = WINDOW, max_item_bytes: int = MAX_ITEM_BYTES) -> DataFrame:
-    """``df`` with n_words, word_ranges, byte_spans, items, n_hit and contaminated.
+    """``df`` with n_words, word_ranges, byte_spans (in the original UTF-8 text), items, n_hit and contaminated.
 
     A document is contaminated when it has a hit word and at least a twentieth of
-    its words are hit.  Input columns of these names are replaced.
+    its words are hit.  Input columns of these names, in any case, are replaced.
     """
-    added = ("n_words", "word_ranges", "byte_spans", "items", "n_hit", "contaminated")
-    df = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in added])
-    blocks = list(item_blocks(benchmark, max_item_bytes))
-    if len(blocks) == 1:
-        out = scan_documents(df, blocks[0], window)
+    context = df.sparkSession.sparkContext
+    df = df.select(*[F.col(f"`{c}`") for c in others(df, ADDED)])
+    dealt, n = item_blocks(benchmark, max_item_bytes)
+    if n == 1:
+        out = _scan(df, context.broadcast(_block(dealt, 0)), window)
     else:
-        out = _scan_in_blocks(df, blocks, window)
+        dealt = materialize(dealt, "bench-items")
+        row = F.xxhash64(F.coalesce("text", F.lit("")))
+        base = df.select(F.col("doc_id").cast("long").alias("doc_id"), row.alias("row"), "text")
+        hits = []
+        for i in range(n):
+            shared = context.broadcast(_block(dealt, i))
+            hits.append(materialize(_scan(base, shared, window).filter(F.size("items") > 0).select("doc_id", "row", "word_ranges", "items"), "bench-hits"))
+            shared.destroy()
+        # Rows that repeat whole have equal hits: one of each is kept.
+        key, ranges, items = (fresh(df, f"__bench_{x}") for x in ("row", "ranges", "items"))
+        by_row = reduce(DataFrame.unionByName, hits).distinct().groupBy(F.col("doc_id").alias(f"{key}_id"), F.col("row").alias(key))
+        by_row = by_row.agg(F.collect_list("word_ranges").alias(ranges), F.collect_list("items").alias(items))
+        plain = df.columns
+        counted = _scan(df, context.broadcast(()), window).select(*plain, "n_words")
+        same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{key}_id")) & (row == F.col(key))
+        out = _join_blocks(counted.join(by_row.hint("merge"), same, "left").select(*plain, "n_words", ranges, items), ranges, items)
     hit = F.aggregate("word_ranges", F.lit(0).cast("long"), lambda acc, r: acc + (r["b"] - r["a"]))
     out = out.withColumn("n_hit", hit)
     return out.withColumn("contaminated", (F.col("n_hit") > 0) & (20 * F.col("n_hit") >= F.col("n_words")))
 
 
-def _scan_in_blocks(df: DataFrame, blocks: list[list[tuple[str, str]]], window: int) -> DataFrame:
-    """One scan after another over the same rows, each adding its ranges to the row."""
-    names = df.columns
-    none = "array<struct<a:int,b:int>>"
-    out = df.select(
-        *names,
-        F.lit(0).cast("long").alias("n_words"),
-        F.array().cast(none).alias("word_ranges"),
-        F.array().cast(none).alias("byte_spans"),
-        F.array().cast("array<string>").alias("items"),
-    )
-    for block in blocks:
-        kept = out.withColumnsRenamed({c: f"__{c}" for c in ("n_words", "word_ranges", "byte_spans", "items")})
-        more = scan_documents(kept, block, window)
-        out = more.select(
-            *names,
-            "n_words",
-            _union_ranges("__word_ranges", "word_ranges").alias("word_ranges"),
-            F.concat("__byte_spans", "byte_spans").alias("byte_spans"),
-            F.array_distinct(F.concat("__items", "items")).alias("items"),
-        )
-    return out.withColumn("items", F.sort_array("items"))
-
-
-def _union_ranges(a: str, b: str) -> F.Column:
-    """Sorted union of two lists of ranges, overlapping ones merged."""
-    start = F.array().cast("array<struct<a:int,b:int>>")
-
-    def add(acc: F.Column, r: F.Column) -> F.Column:
-        last = F.get(acc, F.size(acc) - 1)
-        grown = F.struct(last["a"].alias("a"), F.greatest(last["b"], r["b"]).alias("b"))
-        return F.when((F.size(acc) > 0) & (r["a"] <= last["b"]), F.concat(F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(0))), F.array(grown))).otherwise(
-            F.concat(acc, F.array(r))
-        )
-
-    return F.aggregate(F.sort_array(F.concat(a, b)), start, add)
-
-
 def digest(items: F.Column) -> F.Column:
     return F.sha2(F.array_join(items, ","), 256)
 
 
 def op9_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of all documents hit by windows of 13 words of all benchmark items.
+
+    Nulls, empty texts, equal items, repeated rows, empty tables and extra columns: see the module.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = decontaminate(docs, table(spark, sf_dir, "benchmark"))
     return out.select(

@@ -7,13 +7,19 @@ position.
 Scale.  Only (hash, doc_id) pairs are shuffled for the count, once for each
 pair; the counts themselves are partial sums, so a line that stands in a third
 of all documents reaches its reducer as one row for each map task.  The join
-that hands over-frequent hashes back to their documents has exchanges on both
-sides that adaptive execution splits where a hash is hot.  Texts are shuffled
-once, by doc_id, as the streamed side of a hash join: they are never sorted.
+that finds the places of over-frequent hashes has exchanges on both sides that
+adaptive execution splits where a hash is hot.  Texts are shuffled once, by
+doc_id and text hash, into a sort-merge join that spills.  A text's lines are
+split once and its dropped places are taken out of a sequence as a set, so a
+document costs what its own lines cost, however many they are.
 
 Defined results.  A null or empty text is one empty line.  Rows that share a
 doc_id count as one document; null doc_ids count as one document, which never
-keeps a line that another document holds.  Keys are compared by 128 bits of hash.
+keeps a line that another document holds.  A line that stands several times in
+the document that keeps it stays each time.  Repeated rows are all returned.
+An empty table gives an empty result.  Input columns named like an added one, in
+any case, are replaced; all others pass through.  Keys are compared by 128 bits
+of hash, and a row is told by its doc_id and 64 bits of its text.
 """
 
 from __future__ import annotations
@@ -21,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import ascii_lower, documents, table
+from .common import ascii_lower, fresh, others, table
 
 #: What is stripped from both ends of a line before comparison.
 STRIPPED = " \t\n\x0b\x0c\r"
@@ -31,65 +37,61 @@ def line_key(line: Column) -> Column:
     return ascii_lower(F.btrim(line, F.lit(STRIPPED)))
 
 
-def _hash(key: Column) -> Column:
-    """128 bits: two 64-bit hashes under different prefixes."""
-    return F.struct(F.xxhash64(key).alias("a"), F.xxhash64(F.lit("\x01"), key).alias("b"))
+def _keyed_lines(df: DataFrame, min_chars: int) -> DataFrame:
+    """(doc_id, row, pos, a, b) for each line whose key is long enough; a and b are 128 bits of its hash."""
+    lines = df.select("doc_id", "row", F.posexplode(F.transform(F.split("text", "\n"), line_key)).alias("pos", "key"))
+    return lines.filter(F.length("key") >= min_chars).select(
+        "doc_id", "row", "pos", F.xxhash64("key").alias("a"), F.xxhash64(F.lit("\x01"), F.col("key")).alias("b")
+    )
 
 
-def frequent_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
-    """(doc_id, drops): for each document the hashes of its lines that go."""
-    pairs = (
-        df.select("doc_id", F.explode(F.array_distinct(F.transform(F.split("text", "\n"), line_key))).alias("key"))
-        .filter(F.length("key") >= min_chars)
-        .select("doc_id", _hash(F.col("key")).alias("h"))
-        .select("doc_id", F.col("h.a").alias("a"), F.col("h.b").alias("b"))
-        .groupBy("a", "b", "doc_id")
-        .agg(F.lit(1).alias("one"))
-    )
+def dropped_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+    """(doc_id, row, gone): for each row (doc_id, row, text) that loses lines their positions."""
+    lines = _keyed_lines(df, min_chars)
     hot = (
-        pairs.groupBy("a", "b")
+        lines.groupBy("a", "b", "doc_id")
+        .agg(F.lit(1).alias("one"))
+        .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
+        .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "keeper")
     )
-    # Joined on the complements, which no existing partitioning satisfies: both
-    # sides get exchanges that adaptive execution can split where a hash is hot.
-    left = pairs.select("doc_id", F.bitwise_not("a").alias("a"), F.bitwise_not("b").alias("b"))
-    right = hot.select(F.bitwise_not("a").alias("ra"), F.bitwise_not("b").alias("rb"), "keeper")
-    gone = left.join(right.hint("merge"), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(
+    # The lines come straight from the texts, so their exchange is their own and a hot hash can be split.
+    found = lines.join(hot.hint("merge"), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(
         ~F.col("doc_id").eqNullSafe(F.col("keeper"))
     )
-    return gone.groupBy("doc_id").agg(
-        F.collect_list(F.struct(F.bitwise_not("a").alias("a"), F.bitwise_not("b").alias("b"))).alias("drops")
-    )
+    # Rows that repeat whole give each place several times.
+    return found.groupBy("doc_id", "row").agg(F.collect_set("pos").alias("gone"))
 
 
 def dedup_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """All rows and columns of ``df`` plus ``kept_text``, ``n_lines``, ``n_dropped``.
 
-    Input columns of these names are replaced.
+    Input columns of these names, in any case, are replaced.
     """
-    names = [c for c in df.columns if c not in ("kept_text", "n_lines", "n_dropped")]
+    names = others(df, ("kept_text", "n_lines", "n_dropped"))
     df = df.select(*[F.col(f"`{c}`") for c in names])
-    base = df.withColumn("__text", F.coalesce("text", F.lit("")))
-    drops = frequent_lines(documents(df), min_chars, min_docs).select(F.col("doc_id").alias("__id"), "drops")
-    joined = base.join(drops.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("__id")), "left")
-    lines = F.split("__text", "\n")
-
-    def stays(line: Column) -> Column:
-        key = line_key(line)
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("drops"), _hash(key)))
-
-    return joined.withColumn("__lines", lines).withColumn(
-        "__kept", F.when(F.col("drops").isNull(), F.col("__lines")).otherwise(F.filter("__lines", stays))
-    ).select(
+    text, row, lines, kept, gone = (fresh(df, f"__line_{x}") for x in ("text", "row", "all", "kept", "gone"))
+    base = df.withColumn(text, F.coalesce("text", F.lit(""))).withColumn(row, F.xxhash64(text))
+    keys = base.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(row).alias("row"), F.col(text).alias("text"))
+    drops = dropped_lines(keys, min_chars, min_docs).select(F.col("doc_id").alias(f"{gone}_id"), F.col("row").alias(f"{gone}_row"), F.col("gone").alias(gone))
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(f"{gone}_id")) & (F.col(row) == F.col(f"{gone}_row"))
+    joined = base.join(drops.hint("merge"), same, "left").withColumn(lines, F.split(text, "\n"))
+    places = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), F.col(gone))
+    stays = F.transform(places, lambda i: F.get(F.col(lines), i))
+    return joined.withColumn(kept, F.when(F.col(gone).isNull(), F.col(lines)).otherwise(stays)).select(
         *[F.col(f"`{c}`") for c in names],
-        F.array_join("__kept", "\n").alias("kept_text"),
-        F.size("__lines").cast("long").alias("n_lines"),
-        (F.size("__lines") - F.size("__kept")).cast("long").alias("n_dropped"),
+        F.array_join(kept, "\n").alias("kept_text"),
+        F.size(lines).cast("long").alias("n_lines"),
+        (F.size(lines) - F.size(kept)).cast("long").alias("n_dropped"),
     )
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Lines of 20 code points or more found in three documents or more stay in the largest doc_id alone.
+
+    Nulls, empty texts, ties, repeated rows, empty tables and extra columns: see the module.
+    """
     out = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("kept_text", 256).alias("kept_sha256"))
 

@@ -5,97 +5,106 @@ no explode, no shuffle, so a long document or a hot source costs what its own
 characters cost.  Repeated word windows are found by sorting (window hash,
 position) once and comparing neighbours.
 
-Cascade.  Each rule has a measured cost and a rejection rate, both taken from a
-bounded sample of rows (``SAMPLE_ROWS``).  Rules run in the order of rejection
-per cost; ``when(...)`` chains stop at the first rejection, so a document that a
-cheap rule rejects never has the dear rules evaluated for its verdict.  Order
-only changes the work: the verdict is the conjunction of all rules.
-
-Defined results.  A null or empty text has no words and fails the base rule.
-Repeated rows are judged separately; all other columns pass through.
+Cascade.  On a random sample of about ``SAMPLE_ROWS`` rows each rule is evaluated
+with the measures it needs between two readings of the executor's clock; what
+it rejects is counted among the rows that the rules before it leave.  The order is
+greedy: next comes the rule with the most rejections of what is left per
+nanosecond.  ``keep_documents`` asks for the verdict alone, so a measure is worked
+out inside the branch of its rule, and a document that a cheap rule rejects never
+has the dear ones evaluated.  ``apply_rules`` also returns the measures, so there
+only the rules beyond them are short-circuited.  Order changes the work alone: the
+verdict is the conjunction of all rules.
+
+Defined results.  A null or empty text has no words and fails the base rule, and
+comes out as an empty text of ``apply_rules``.  Repeated rows are judged
+separately; ties between rules go to the name that sorts first; an empty table
+gives an empty result.  Input columns named like an added one, in any case, are
+replaced; all others pass through.
 """
 
 from __future__ import annotations
 
-import time
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import WORD_PATTERN, table
+from .common import ASCII_SPACE, fresh, materialize, others, table
 
-#: Rows on which costs and rejection rates of the rules are measured.
-SAMPLE_ROWS = 512
+#: Rows, on average, on which costs and rejection rates of the rules are measured, and readings of each cost.
+SAMPLE_ROWS, READINGS = 512, 3
 SYMBOLS = "#*$%&|<>"
 SPACES = " \t\n\x0b\x0c\r"
+MEASURES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+ADDED = (*MEASURES, "base_failed", "rejected_by", "kept")
+
+Measure = Callable[[str], Column]
 
 
 @dataclass(frozen=True)
 class Rule:
-    """``fails`` is over the text and the base measures."""
+    """``fails`` is over the text, given the measures it names."""
 
     name: str
-    fails: Column
+    fails: Callable[[Column, Measure], Column]
+
+
+#: The contract's base rules; a document that fails one is never kept.
+BASE = [
+    Rule("few_words", lambda t, m: m("n_words") < 50),
+    Rule("repeat_words", lambda t, m: 100 * m("n_repeat_words") > 50 * m("n_words")),
+]
+#: The method's own rules, each an upper bound that ordinary prose stays far below.
+OWN = [
+    Rule("mean_word_length", lambda t, m: (m("word_chars") < 2 * m("n_words")) | (m("word_chars") > 15 * m("n_words"))),
+    Rule("symbols_per_word", lambda t, m: 10 * m("n_symbols") > 3 * m("n_words")),
+    Rule("duplicate_lines", lambda t, m: 2 * m("n_dup_lines") > F.size(F.split(t, "\n"))),
+    Rule("capitals", lambda t, m: 2 * F.length(F.regexp_replace(t, r"[^\p{Lu}]+", "")) > m("word_chars")),
+    Rule("letters", lambda t, m: 2 * F.length(F.regexp_replace(t, r"[^\p{L}\p{M}\p{N}]+", "")) < m("word_chars")),
+]
+
+
+def words_of(text: Column) -> Column:
+    return F.filter(F.split(text, f"[{ASCII_SPACE}]+"), lambda w: w != "")
+
+
+def measured(text: Column, words: Column) -> Measure:
+    """Each measure as an expression over a text and its words."""
+    lines = F.filter(F.split(text, "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
+    made = {
+        "n_words": lambda: F.size(words),
+        "word_chars": lambda: F.length(F.array_join(words, "")),
+        "n_symbols": lambda: F.length(F.regexp_replace(text, f"[^{SYMBOLS}]+", "")),
+        "n_dup_lines": lambda: F.size(lines) - F.size(F.array_distinct(lines)),
+        "n_repeat_words": lambda: repeat_words(words),
+    }
+    return lambda name: made[name]().cast("long")
 
 
-def rules() -> list[Rule]:
-    """The method's own rules, each an upper bound that ordinary prose stays far below."""
-    c = F.col
-    return [
-        Rule("mean_word_length", (c("word_chars") < 2 * c("n_words")) | (c("word_chars") > 15 * c("n_words"))),
-        Rule("symbols_per_word", 10 * c("n_symbols") > 3 * c("n_words")),
-        Rule("duplicate_lines", 2 * c("n_dup_lines") > F.size(F.split(c("text"), "\n"))),
-        Rule("capitals", 2 * F.length(F.regexp_replace(c("text"), r"[^\p{Lu}]", "")) > c("word_chars")),
-        Rule("letters", 2 * F.length(F.regexp_replace(c("text"), r"[^\p{L}\p{M}\p{N}]", "")) < c("word_chars")),
-    ]
+def repeat_words(words: Column) -> Column:
+    """Words covered by a 3-word window that is found twice or more in the array.
 
+    A set of the windows' hashes tells whether any repeats; only then are they sorted.
+    """
+    last = F.size(words) - 2
+    hashes = F.transform(F.slice(words, 1, F.greatest(last, F.lit(0))), lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
 
-def with_measures(df: DataFrame) -> DataFrame:
-    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed."""
-    text = F.coalesce(F.col("text"), F.lit(""))
-    words = F.regexp_extract_all(text, F.lit(f"({WORD_PATTERN})"), F.lit(1))
-    df = df.withColumn("text", text).withColumn("__w", words)
-    symbols = F.length(F.regexp_replace(F.col("text"), f"[^{SYMBOLS}]+", ""))
-    lines = F.filter(F.split(F.col("text"), "\n"), lambda x: F.length(F.btrim(x, F.lit(SPACES))) > 0)
-    measures = {
-        "n_words": F.size("__w"),
-        "word_chars": F.length(F.array_join("__w", "")),
-        "n_symbols": symbols,
-        "n_dup_lines": F.size(lines) - F.size(F.array_distinct(lines)),
-        "n_repeat_words": repeat_words(F.col("__w")),
-    }
-    # Through a generator of one row: a filter on a verdict can't pull the measures
-    # into itself, where each mention of one would work it out again.
-    made = F.explode(F.array(F.struct(*[v.cast("long").alias(k) for k, v in measures.items()])))
-    others = [F.col(f"`{c}`") for c in df.columns if c != "__w" and c not in measures]
-    df = df.withColumn("__m", made).select(*others, "__m.*")
-    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
-    return df.withColumn("base_failed", failed)
+    def count(h: Column) -> Column:
+        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
+        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(F.transform(F.array(ordered), _covered)[0])
 
+    # Bound once by a one-element array, so that nothing is worked out again for each reference.
+    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(F.transform(F.array(hashes), count)[0])
 
-def repeat_words(words: Column) -> Column:
-    """Words covered by a 3-word window that is found twice or more in the array."""
-    last = F.size(words) - 2
-    keyed = F.transform(
-        F.slice(words, 1, F.greatest(last, F.lit(0))),
-        lambda w, i: F.struct(
-            F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)).alias("h"), i.alias("i")
-        ),
-    )
-    ordered = F.sort_array(keyed)
 
-    def twice(x: Column, k: Column, all_: Column) -> Column:
-        return (F.get(all_, k - 1)["h"].eqNullSafe(x["h"])) | (F.get(all_, k + 1)["h"].eqNullSafe(x["h"]))
+def _covered(ordered: Column) -> Column:
+    """Words covered by those windows whose neighbour in (hash, position) order has the same hash."""
 
-    def covered(all_: Column) -> Column:
-        at = F.sort_array(F.transform(F.filter(all_, lambda x, k: twice(x, k, all_)), lambda x: x["i"]))
-        return _cover(at)
+    def twice(x: Column, k: Column) -> Column:
+        return F.get(ordered, k - 1)["h"].eqNullSafe(x["h"]) | F.get(ordered, k + 1)["h"].eqNullSafe(x["h"])
 
-    # Bound once by a one-element array, so that the sort isn't repeated for each reference.
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(
-        F.transform(F.array(ordered), covered)[0]
-    )
+    return _cover(F.sort_array(F.transform(F.filter(ordered, twice), lambda x: x["i"])))
 
 
 def _cover(starts: Column) -> Column:
@@ -110,43 +119,99 @@ def _cover(starts: Column) -> Column:
     return total["n"]
 
 
-def measure_order(df: DataFrame, rule_list: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
-    """Rules ordered by rejection per cost on at most ``sample_rows`` rows.
+def greedy_order(names: list[str], cost: dict[str, int], outcomes: list[tuple[dict[str, bool], int]]) -> list[str]:
+    """Names by rejection per cost, each counted among the rows that the names before it leave.
+
+    ``outcomes``: which rules fail, and how many rows fail so.
+    """
+    out: list[str] = []
+    while len(out) < len(names):
+        left = [(fails, n) for fails, n in outcomes if not any(fails[x] for x in out)]
+
+        def worth(name: str) -> tuple[float, int, str]:
+            return -sum(n for fails, n in left if fails[name]) / max(cost[name], 1), cost[name], name
+
+        out.append(min((x for x in names if x not in out), key=worth))
+    return out
+
 
-    The sample only decides the order of evaluation, never a verdict.  It stays on
-    the executors; the driver receives counts.
+def measure_order(df: DataFrame, rules: list[Rule], sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
+    """``rules`` by rejection per cost on a sample of about ``sample_rows`` rows.
+
+    The sample is a table of its own, a few rows from anywhere, so neither its size
+    nor that of a task grows with ``df``.  The driver receives sums and counts.
     """
-    sample = with_measures(df.select("text").limit(sample_rows)).cache()
-    try:
-        n = max(sample.count(), 1)
-        timed = {}
-        for rule in [Rule("nothing", F.col("n_words") < 0), *rule_list]:
-            began = time.perf_counter()
-            rejected = sample.filter(rule.fails).count()
-            timed[rule.name] = (rejected / n, time.perf_counter() - began)
-        floor = timed.pop("nothing")[1]
-    finally:
-        sample.unpersist()
-    worth = {k: rate / max(cost - floor, 1e-3) for k, (rate, cost) in timed.items()}
-    return sorted(rule_list, key=lambda r: (-worth[r.name], r.name))
-
-
-def cascade(ordered: list[Rule]) -> Column:
+    share = min(1.0, sample_rows / max(df.count(), 1))
+    text = F.coalesce(F.col("text"), F.lit(""))
+    sample = df.select(text.alias("text")).sample(False, share, seed=11) if share < 1 else df.select(text.alias("text"))
+    sample = materialize(sample.repartition(8).select("text", words_of(F.col("text")).alias("words")), "quality-sample")
+    m = measured(F.col("text"), F.col("words"))
+    now = lambda: F.java_method(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+    cost = dict.fromkeys((r.name for r in rules), 2**62)
+    for _ in range(READINGS):
+        # A struct's fields are evaluated in this order: the clock, the rule, the clock.
+        timed = sample.select(*[F.struct(now().alias("a"), r.fails(F.col("text"), m).alias("f"), now().alias("b")).alias(r.name) for r in rules])
+        spent = timed.agg(*[F.sum(F.col(f"{r.name}.b") - F.col(f"{r.name}.a")) for r in rules]).first()
+        for r, ns in zip(rules, spent):
+            cost[r.name] = min(cost[r.name], ns or 0)
+    fails = [r.fails(F.col("text"), m).alias(r.name) for r in rules]
+    outcomes = [(r.asDict(), r["__n"]) for r in sample.select(*fails).groupBy(*cost).agg(F.count(F.lit(1)).alias("__n")).collect()]
+    by_name = {r.name: r for r in rules}
+    return [by_name[x] for x in greedy_order(list(cost), cost, outcomes)]
+
+
+def cascade(ordered: list[Rule], text: Column, m: Measure, first: Column | None = None) -> Column:
     """Name of the first rule that rejects, or null; later rules aren't evaluated."""
-    out = F.when(F.col("base_failed"), F.lit("base"))
+    out = first
     for rule in ordered:
-        out = out.when(rule.fails, F.lit(rule.name))
+        out = (F if out is None else out).when(rule.fails(text, m), F.lit(rule.name))
     return out
 
 
+def _one_row(value: Column) -> Column:
+    """Through a generator of one row: a filter on what comes out can't pull the expression into
+    itself, where each mention would work it out again."""
+    return F.explode(F.array(value))
+
+
+def with_measures(df: DataFrame) -> DataFrame:
+    """Adds n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed; a null text becomes empty."""
+    names = others(df, ADDED)
+    words, made = fresh(df, "__rule_words"), fresh(df, "__rule_measures")
+    df = df.select(*[F.col(f"`{c}`") for c in names]).withColumn("text", F.coalesce(F.col("text"), F.lit("")))
+    m = measured(F.col("text"), F.col(words))
+    df = df.withColumn(words, words_of(F.col("text")))
+    df = df.withColumn(made, _one_row(F.struct(*[m(k).alias(k) for k in MEASURES])))
+    df = df.select(*[F.col(f"`{c}`") for c in names], f"{made}.*")
+    failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
+    return df.withColumn("base_failed", failed)
+
+
 def apply_rules(df: DataFrame, ordered: list[Rule] | None = None) -> DataFrame:
-    """``df`` with the measures, ``rejected_by`` and ``kept``; input columns of these names are replaced."""
-    ordered = ordered if ordered is not None else measure_order(df, rules())
-    out = with_measures(df).withColumn("rejected_by", cascade(ordered))
-    return out.withColumn("kept", F.col("rejected_by").isNull())
+    """``df`` with the measures, ``base_failed``, ``rejected_by`` and ``kept``."""
+    ordered = ordered if ordered is not None else measure_order(df, OWN)
+    out = with_measures(df)
+    return out.withColumn("rejected_by", cascade(ordered, F.col("text"), F.col, F.when(F.col("base_failed"), F.lit("base")))).withColumn(
+        "kept", F.col("rejected_by").isNull()
+    )
+
+
+def keep_documents(df: DataFrame, ordered: list[Rule] | None = None) -> DataFrame:
+    """The rows of ``df`` that ``apply_rules`` would keep, as they are, with no more measures than their verdicts need."""
+    ordered = ordered if ordered is not None else measure_order(df, [*BASE, *OWN])
+    words, verdict = fresh(df, "__rule_words"), fresh(df, "__rule_verdict")
+    names = [F.col(f"`{c}`") for c in df.columns]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    rejected = cascade(ordered, text, measured(text, F.col(words)))
+    judged = df.withColumn(words, words_of(text)).withColumn(verdict, _one_row(rejected))
+    return judged.filter(F.col(verdict).isNull()).select(*names)
 
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdicts of all documents.
+
+    Nulls, empty texts, ties, repeated rows, empty tables and extra columns: see the module.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return apply_rules(docs).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"

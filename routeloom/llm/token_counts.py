@@ -12,12 +12,15 @@ the ends are stripped; otherwise the text is taken as it is.
 Scale.  Digests are shuffled, not texts, for the lookup and for choosing one
 representative of each missing digest (a partial minimum, so thousands of copies
 are a row for each map task).  Two texts of equal 64-bit row hash under one doc_id
-are taken for one row.  Texts cross the network once, by doc_id, as the
-streamed side of a hash join that keeps the representatives.  Copies of one text
+are taken for one row.  Texts cross the network once, by doc_id and row hash, into
+a sort-merge join, which spills, that keeps the representatives.  Copies of one text
 meet again only in the last join, on digests, which adaptive execution splits.
 
 Defined results.  Null counts as empty: no tokens.  Repeated rows and null ids
-keep their rows.  ``over_limit`` is n_tokens > limit.
+keep their rows.  ``over_limit`` is n_tokens > limit.  An empty table gives an
+empty result and an empty cache.  Only doc_id and text are read, so other columns,
+whatever they are called, neither clash nor pass through.  A text of any length is
+one call of the library, which holds it whole.
 """
 
 from __future__ import annotations
@@ -126,7 +129,7 @@ def cached_counts(df: DataFrame, path: str, cache_path: str, limit: int = LIMIT)
     )
     texts = docs.withColumn("row", row)
     same = texts["doc_id"].eqNullSafe(chosen["__id"]) & (texts["row"] == chosen["__row"])
-    missing = texts.join(chosen.hint("shuffle_hash"), same).select("content", "text")
+    missing = texts.join(chosen.hint("merge"), same).select("content", "text")
     # Rows that repeat whole are each a representative; their count is appended once.
     fresh = encode_counts(missing, path).dropDuplicates(["content"]).select("content", F.lit(version).alias("tokenizer"), "n_tokens")
     fresh.write.mode("append").parquet(cache_path)
@@ -145,6 +148,10 @@ def cached_counts(df: DataFrame, path: str, cache_path: str, limit: int = LIMIT)
 
 
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents under word_bpe_49k.json, through a cache that is empty at first.
+
+    Nulls, repeated rows, empty tables, long texts and other columns: see the module.
+    """
     import public_tokenizers as P
 
     cache = work_path(spark, "token-cache")

@@ -50,12 +50,37 @@ def test_quality_rules(spark):
 
 
 def test_rule_order_changes_no_verdict(spark):
-    rules = quality_rules.rules()
-    a = quality_rules.apply_rules(frame(spark), rules).select("doc_id", "kept").collect()
-    b = quality_rules.apply_rules(frame(spark), rules[::-1]).select("doc_id", "kept").collect()
+    a = quality_rules.apply_rules(frame(spark), quality_rules.OWN).select("doc_id", "kept").collect()
+    b = quality_rules.apply_rules(frame(spark), quality_rules.OWN[::-1]).select("doc_id", "kept").collect()
     assert key(a) == key(b)
-    ordered = quality_rules.measure_order(frame(spark), rules)
-    assert sorted(r.name for r in ordered) == sorted(r.name for r in rules)
+    every = [*quality_rules.BASE, *quality_rules.OWN]
+    ordered = quality_rules.measure_order(frame(spark), every)
+    assert sorted(r.name for r in ordered) == sorted(r.name for r in every)
+
+
+@pytest.mark.parametrize("step", [1, -1])
+def test_keep_documents_gives_the_rows_that_are_kept(spark, step):
+    got = quality_rules.keep_documents(frame(spark), [*quality_rules.BASE, *quality_rules.OWN][::step])
+    assert got.columns == frame(spark).columns
+    assert key((r.doc_id, r.text) for r in got.collect()) == key(r[:2] for r in ROWS if brute.kept(r[1]))
+
+
+def test_greedy_order_counts_rejections_among_what_is_left():
+    outcomes = [({"a": True, "b": True, "c": False}, 10), ({"a": False, "b": False, "c": True}, 3), ({"a": False, "b": True, "c": False}, 1)]
+    assert quality_rules.greedy_order(["a", "b", "c"], {"a": 1, "b": 2, "c": 1}, outcomes) == ["a", "c", "b"]
+    assert quality_rules.greedy_order(["b", "a"], {"a": 5, "b": 5}, []) == ["a", "b"]
+
+
+def test_a_reading_takes_the_time_of_its_rule(spark):
+    """A rule with much work costs many times one without any."""
+    rows = [(i, " ".join(f"w{(i * j) % 97}" for j in range(3000)), "x") for i in range(40)]
+    seen = {}
+    greedy, quality_rules.greedy_order = quality_rules.greedy_order, lambda names, cost, outcomes: seen.update(cost) or greedy(names, cost, outcomes)
+    try:
+        quality_rules.measure_order(frame(spark, rows), [*quality_rules.BASE, *quality_rules.OWN])
+    finally:
+        quality_rules.greedy_order = greedy
+    assert seen["repeat_words"] > 10 * seen["few_words"]
 
 
 def test_line_dedup(spark):
