@@ -22,7 +22,7 @@ from routeloom.llm.common import materialize, table
 from routeloom.llm.decontaminate import decontaminate
 from routeloom.llm.jaccard_join import jaccard_roots
 from routeloom.llm.line_dedup import dedup_lines
-from routeloom.llm.quality_rules import apply_rules
+from routeloom.llm.quality_rules import keep_documents
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -36,7 +36,7 @@ def _through(docs: DataFrame, operator: Callable[[DataFrame], DataFrame]) -> Dat
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the rules keep."""
-    return _through(docs, lambda d: apply_rules(d).filter("kept"))
+    return keep_documents(docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
