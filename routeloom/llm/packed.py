@@ -1,10 +1,92 @@
-"""Packed numpy columns as binary cells, so that one shuffled row carries thousands of entries."""
+"""Packed numpy columns as binary cells, so that one shuffled row carries thousands of entries.
+
+What one task has for one destination is a frame.  A sender writes one row for each
+of at most ``FAN`` groups of destinations, with the frames of the whole group; beyond
+so many destinations ``exchange`` routes the rows by group first, where the frames
+of many senders for one destination join.  So rows stay long at any size: their
+number grows with the data and not with senders times destinations.
+"""
 
 from __future__ import annotations
 
 import struct
+from collections.abc import Iterable, Iterator
 
 import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame
+
+#: Groups of destinations of one sender, and bytes that a router joins before it passes them on.
+FAN, ROUTE_BYTES = 1024, 32 << 20
+ROW = "to int, data binary"
+_HEAD = struct.Struct("<iiBI")
+
+
+class Frames:
+    """Frames (destination, source, kind, payload) of one sender for ``n`` destinations, by group."""
+
+    def __init__(self, n: int, fan: int | None = None):
+        self.step = -(-n // (fan or FAN))
+        self.held: dict[int, list[bytes]] = {}
+
+    def add(self, to: int, source: int, kind: int, payload: bytes) -> None:
+        self.held.setdefault(to // self.step, []).extend((_HEAD.pack(to, source, kind, len(payload)), payload))
+
+    def record(self) -> pa.RecordBatch:
+        out = pa.RecordBatch.from_arrays([pa.array(list(self.held), pa.int32()), pa.array([b"".join(v) for v in self.held.values()], pa.binary())], ["to", "data"])
+        self.held = {}
+        return out
+
+
+def frames(cells: Iterable[bytes]) -> Iterator[tuple[int, int, int, bytes]]:
+    for data in cells:
+        at = 0
+        while at < len(data):
+            to, source, kind, size = _HEAD.unpack_from(data, at)
+            at += _HEAD.size + size
+            yield to, source, kind, data[at - size : at]
+
+
+def cells(batches: Iterable[pa.RecordBatch]) -> Iterator[bytes]:
+    for b in batches:
+        for x in b.column("data"):
+            yield x.as_buffer().to_pybytes()
+
+
+def exchange(rows: DataFrame, n: int, fan: int | None = None) -> DataFrame:
+    """Rows (to, data) by group of destinations as rows by destination."""
+    if n <= (fan or FAN):
+        return rows
+
+    def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out, size = Frames(1, 1), 0
+        for data in cells(batches):
+            for to, source, kind, payload in frames([data]):
+                out.add(to, source, kind, payload)
+            size += len(data)
+            if size >= ROUTE_BYTES:
+                yield out.record()
+                size = 0
+        yield out.record()
+
+    return rows.repartition("to").mapInArrow(route, ROW)
+
+
+def pack_sorted(values: np.ndarray, low_bytes: int, high_bits: int) -> bytes:
+    """Sorted numbers under 2 ** (8 * low_bytes + high_bits): low bytes as planes, high parts in unary."""
+    n = len(values)
+    bits = np.zeros(n + (1 << high_bits), dtype=bool)
+    bits[(values >> np.uint64(8 * low_bytes)).astype(np.int64) + np.arange(n)] = True
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(n, 8)[:, :low_bytes].T.tobytes() if n else b""
+    return struct.pack("<I", n) + planes + np.packbits(bits).tobytes()
+
+
+def unpack_sorted(data: bytes, low_bytes: int) -> np.ndarray:
+    (n,) = struct.unpack_from("<I", data)
+    out = np.zeros((n, 8), dtype=np.uint8)
+    out[:, :low_bytes] = np.frombuffer(data, np.uint8, n * low_bytes, 4).reshape(low_bytes, n).T
+    high = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=4 + n * low_bytes)))[:n] - np.arange(n)
+    return out.reshape(-1).view(np.uint64) + (high.astype(np.uint64) << np.uint64(8 * low_bytes))
 
 
 def pack(arrays: list[np.ndarray]) -> bytes:
