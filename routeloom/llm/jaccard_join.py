@@ -3,11 +3,14 @@
 Steps, each over all rows:
 
 1. Each text becomes a sorted set of shingle hashes.  Equal sets are one class.
-2. Shingles of a fixed part of the hash space are posted; a shingle is *live* if a
-   second class has it.  A set that links with anything misses at most
-   ``n - ceil(t * n)`` of its shingles, so a class with more dead ones links with
-   nothing and leaves.  This needs no pairs, and removes all but near copies and
-   texts made of common passages.
+2. A class of n shingles posts its first ones in hash order: all of them up to
+   ``SMALL_SET``, else as many as a linked set may lack, and l(n) more.  Of two
+   linked classes the one whose posted part ends first in that order has all but
+   those it may lack of it in common with the other's posted part, so the two
+   share l of the smaller of them, at least.  A posted shingle is *live* if a
+   second class posts it; a class with fewer live ones than any linked class would
+   share leaves.  This needs no pairs, and removes all but near copies and texts
+   made of common passages.  Nothing here hangs on chance: see ``Measure.shared``.
 3. Remaining classes order their live shingles by document frequency.  By the
    prefix-filter argument two linked classes share one of their first shingles, so
    components of "share a prefix shingle" hold all links; common passages stand
@@ -24,14 +27,19 @@ Steps, each over all rows:
    give a spanning tree of links, not all pairs.
 5. Links become components; every document gets its class's component.
 
-Scale.  Postings are packed numpy columns bucketed by hash; a shingle that is
-common within a map batch is sent as one flag, so no bucket gathers a row for
-each of its documents.  Texts cross the network once, to bring the sets of
-clustered classes to their clusters.
+Scale.  Postings are packed numpy columns sent as frames (see ``packed``) to buckets
+of hashes; a shingle that is common within a map batch is sent as one flag, so no
+bucket gathers a row for each of its documents.  Of a class a batch sends one
+document, however many it has; the documents themselves are not dealt by class, and
+classes get their smallest one by a partial minimum.  Texts cross the network once,
+to bring the sets of clustered classes to their clusters.
 
 Defined results.  Null and empty texts have no shingles, and are alone.  A null
-doc_id counts as smaller than all others.  Rows with the same doc_id are one
-node.  Shingles are compared by 64 bits of hash, classes by 64 bits of their sets.
+doc_id counts as smaller than all others.  Rows of one doc_id are linked by their
+own texts; repeated rows are all returned.  An empty table gives an empty result.  Only
+doc_id and text are read, so other columns neither clash nor pass through.
+Shingles are compared by 64 bits of hash, classes by 64 bits of their sets.  A long
+text is hashed in pieces; its shingles are held whole.
 """
 
 from __future__ import annotations
@@ -45,24 +53,24 @@ from pyspark.sql import functions as F
 
 from ..operators.components import components
 from .common import materialize, table
-from .packed import mix, pack, runs, split_by, unpack
+from .packed import ROW, Frames, cells, exchange, frames, mix, pack, runs, split_by, unpack
 from .shingles import shingle_sets
 
 _U = np.uint64
 NULL_ID = -(2**63)
-#: Sets up to this size post all shingles, larger ones this part of the hash space.
-SMALL_SET, PART = 200, 0.3
-_CUT = _U(int(PART * 2**64))
+#: Sets up to this size post all shingles; larger ones this share of theirs beyond what a linked set may lack.
+SMALL_SET, MORE = 200, 15
 #: Classes of a batch that may share a shingle before it is sent as a flag, and shingles of a batch.
 COMMON, BATCH_SHINGLES = 64, 1_500_000
 COMMON_LEVEL = 2**31 - 1
 #: Text bytes for each bucket of the packed exchanges.
 BUCKET_BYTES = 12 << 20
-#: Classes in a block of a cluster, when blocks meet the first one and when what was left open meets
-#: all others, and shingles in a block of either kind; two blocks at most meet in one task.
-BLOCK, WIDE_BLOCK, BLOCK_SHINGLES = 128, 2048, 1_500_000
-_ROW = "bucket int, kind int, data binary"
-POST, LIVE, DOC = 0, 1, 2
+#: Classes in a block of a cluster, at least and, where many are left open, at most; and shingles in a
+#: block.  Two blocks meet in one task.
+BLOCK, WIDE_BLOCK, BLOCK_SHINGLES = 64, 2048, 1_500_000
+#: Edges whose components are one task's work.
+SMALL_GRAPH = 200_000
+POST, LIVE, FIRST, DOC, EDGE = range(5)
 
 
 class Measure:
@@ -81,6 +89,21 @@ class Measure:
     def most(self, n):
         return 100 * n // self.percent
 
+    def beyond(self, n: int) -> int:
+        """l(n): posted shingles beyond those that a linked set may lack; grows with n."""
+        return self.least(n) if n <= SMALL_SET else min(self.least(n), max(self.least(SMALL_SET), -(-MORE * n // 100)))
+
+    def posted(self, n: int) -> int:
+        return self.misses(n) + self.beyond(n)
+
+    def shared(self, n: int) -> int:
+        """Posted shingles that a class of n has in common with any class it links with, at least.
+
+        A class that posts its whole set loses nothing by where the other's part ends;
+        a larger one may meet another that posts in part, of ``least(n)`` shingles or more.
+        """
+        return self.beyond(n) if n <= SMALL_SET else self.beyond(max(SMALL_SET + 1, self.least(n)))
+
     def linked(self, inter, n, m):
         return 100 * inter >= self.percent * (n + m - inter)
 
@@ -99,36 +122,37 @@ def set_key(s: np.ndarray) -> int:
     return int(key.astype(np.int64)) or 1
 
 
-def _record(rows: list) -> pa.RecordBatch:
-    b, k, d = zip(*rows) if rows else ((), (), ())
-    return pa.RecordBatch.from_arrays([pa.array(b, pa.int32()), pa.array(k, pa.int32()), pa.array(d, pa.binary())], ["bucket", "kind", "data"])
-
-
-def _cells(batches) -> Iterator[list]:
-    for b in batches:
-        cols = [b.column(i) for i in range(b.num_columns)]
-        for i in range(b.num_rows):
-            yield [c[i] for c in cols]
-
-
 def _bucket(x: np.ndarray, n: int) -> np.ndarray:
     return (mix(x.view(_U)) % _U(n)).astype(np.int64)
 
 
-def _live_rows(token, cls, level, n_buckets: int) -> list:
-    return [
-        (b, LIVE, pack([cls[at], token[at], level[at].astype(np.int32)])) for b, at in split_by(_bucket(cls, n_buckets))
-    ] if len(token) else []
+def _send(out: Frames, kind: int, by: np.ndarray, columns: list[np.ndarray], n_buckets: int) -> None:
+    """Columns packed for the buckets of ``by``."""
+    if len(by):
+        for b, at in split_by(_bucket(by, n_buckets)):
+            out.add(b, 0, kind, pack([c[at] for c in columns]))
+
 
+def _by_kind(tables: Iterator[pa.RecordBatch]) -> dict[int, list]:
+    found: dict[int, list] = {}
+    for _, _, kind, payload in frames(cells(tables)):
+        found.setdefault(kind, []).append(unpack(payload))
+    return found
 
-def _post(k: int, m: Measure, n_buckets: int):
-    """Rows (doc_id, row, text) -> postings by shingle, documents by class."""
 
-    def finish(docs: list, tokens: list, classes: list) -> list:
-        out = []
+def _post(k: int, m: Measure, n_buckets: int, fan: int | None):
+    """Rows (doc_id, row, text) -> postings by shingle, a document of each class by class, documents."""
+
+    def finish(docs: list, tokens: list, classes: list) -> pa.RecordBatch:
+        out = Frames(n_buckets, fan)
         if docs:
-            ids, rows, cls, n, part = (np.array(x, dtype=np.int64) for x in zip(*docs))
-            out += [(b, DOC, pack([x[at] for x in (ids, rows, cls, n, part)])) for b, at in split_by(_bucket(cls, n_buckets))]
+            ids, rows, cls, n = (np.array(x, dtype=np.int64) for x in zip(*docs))
+            # Documents only pass through: a batch's stay together, wherever that is.
+            out.add(int(_bucket(rows[:1], n_buckets)[0]), 0, DOC, pack([ids, rows, cls, n]))
+            order = np.lexsort((rows, ids, cls))
+            lead = order[runs(cls[order])[:-1]]
+            lead = lead[n[lead] > 0]
+            _send(out, FIRST, cls[lead], [x[lead] for x in (ids, rows, cls, n)], n_buckets)
         if tokens:
             token, cls = np.concatenate(tokens), np.concatenate(classes)
             order = np.lexsort((cls, token))
@@ -139,19 +163,20 @@ def _post(k: int, m: Measure, n_buckets: int):
             first = np.zeros(len(token), dtype=bool)
             first[cut[:-1]] = True
             # A common shingle is live for its classes here; other batches need only hear of it.
-            out += _live_rows(token[common], cls[common], np.full(int(common.sum()), COMMON_LEVEL), n_buckets)
+            _send(out, LIVE, cls[common], [cls[common], token[common], np.full(int(common.sum()), COMMON_LEVEL, np.int32)], n_buckets)
             send = ~common | first
             token, cls, common = token[send], cls[send], common[send]
-            out += [(b, POST, pack([token[at], cls[at], common[at].astype(np.uint8)])) for b, at in split_by(_bucket(token, n_buckets))]
-        return out
+            _send(out, POST, token, [token, cls, common.astype(np.uint8)], n_buckets)
+        return out.record()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         docs, tokens, classes, seen, size, keep = [], [], [], set(), 0, []
 
         def texts():
-            for doc_id, row, text in _cells(batches):
-                keep.append((NULL_ID if not doc_id.is_valid else doc_id.as_py(), row.as_py()))
-                yield text.as_buffer().to_pybytes() if text.is_valid else b""
+            for b in batches:
+                for doc_id, row, text in zip(b.column("doc_id"), b.column("row"), b.column("text")):
+                    keep.append((NULL_ID if not doc_id.is_valid else doc_id.as_py(), row.as_py()))
+                    yield text.as_buffer().to_pybytes() if text.is_valid else b""
 
         done = 0
         for s in shingle_sets(texts(), k):
@@ -161,33 +186,30 @@ def _post(k: int, m: Measure, n_buckets: int):
                 del keep[:done]
                 done = 0
             key, n = set_key(s), len(s)
-            part = int(np.searchsorted(s, _CUT))
-            docs.append((doc_id, row, key, n, part))
+            docs.append((doc_id, row, key, n))
             if n and key not in seen:
                 seen.add(key)
-                posted = s if m.least(n) <= SMALL_SET else s[:part]
-                tokens.append(posted)
-                classes.append(np.full(len(posted), key, dtype=np.int64))
-                size += len(posted)
-            if size >= BATCH_SHINGLES:
-                yield _record(finish(docs, tokens, classes))
+                tokens.append(s[: m.posted(n)])
+                classes.append(np.full(len(tokens[-1]), key, dtype=np.int64))
+                size += len(tokens[-1])
+            if size >= BATCH_SHINGLES or len(docs) >= BATCH_SHINGLES // 8:
+                yield finish(docs, tokens, classes)
                 docs, tokens, classes, seen, size = [], [], [], set(), 0
-        yield _record(finish(docs, tokens, classes))
+        yield finish(docs, tokens, classes)
 
     return run
 
 
-def _find_live(n_buckets: int):
+def _find_live(n_buckets: int, fan: int | None):
     """Bucket of shingles: which are in two classes or more, told to their classes."""
 
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bucket, out, parts = key[0].as_py(), [], []
-        for _, kind, data in _cells(tables):
-            data = data.as_buffer().to_pybytes()
-            if kind.as_py() == POST:
-                parts.append(unpack(data))
+        out, parts = Frames(n_buckets, fan), []
+        for to, source, kind, payload in frames(cells(tables)):
+            if kind == POST:
+                parts.append(unpack(payload))
             else:
-                out.append((bucket, kind.as_py(), data))
+                out.add(to, source, kind, payload)
         if parts:
             token, cls, common = (np.concatenate(x) for x in zip(*parts))
             order = np.lexsort((cls, token))
@@ -196,10 +218,10 @@ def _find_live(n_buckets: int):
             cut = runs(token)
             df = np.add.reduceat(new.astype(np.int64), cut[:-1])
             flag = np.add.reduceat(common.astype(np.int64), cut[:-1]) > 0
-            level = np.repeat(np.where(flag, COMMON_LEVEL, df), np.diff(cut))
+            level = np.repeat(np.where(flag, COMMON_LEVEL, df), np.diff(cut)).astype(np.int32)
             tell = new & (level > 1)
-            out += _live_rows(token[tell], cls[tell], level[tell], n_buckets)
-        yield _record(out)
+            _send(out, LIVE, cls[tell], [cls[tell], token[tell], level[tell]], n_buckets)
+        yield out.record()
 
     return run
 
@@ -208,53 +230,38 @@ _CLASS = "kind int, class long, doc_id long, row long, n long, tokens binary"
 
 
 def _judge(m: Measure):
-    """Bucket of classes: its documents (kind 0) and, of classes that may link, a prefix (kind 1)."""
+    """Bucket of classes: documents (kind 0) and, of classes that may link, one with a prefix (kind 1)."""
+
+    def rows(kind: int, ids, own, cls, n, tokens: list) -> pa.RecordBatch:
+        cols = [pa.array(np.full(len(ids), kind), pa.int32()), *(pa.array(x, pa.int64()) for x in (cls, ids, own, n)), pa.array(tokens, pa.binary())]
+        return pa.RecordBatch.from_arrays(cols, ["kind", "class", "doc_id", "row", "n", "tokens"])
 
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        live, docs = [], []
-        for _, kind, data in _cells(tables):
-            (docs if kind.as_py() == DOC else live).append(unpack(data.as_buffer().to_pybytes()))
-        if not docs:
+        found = _by_kind(tables)
+        for ids, own, cls, n in found.pop(DOC, []):
+            yield rows(0, ids, own, cls, n, [None] * len(ids))
+        if LIVE not in found or FIRST not in found:
             return
-        ids, rows, cls, n, part = (np.concatenate(x) for x in zip(*docs))
-        cols = [np.zeros(len(ids), np.int64), cls, ids, rows, n]
-        tokens: list = [None] * len(ids)
-        more: list[list] = [[], [], [], [], []]
-        if live:
-            lc, lt, ll = (np.concatenate(x) for x in zip(*live))
-            order = np.lexsort((lt, lc))
-            lc, lt, ll = lc[order], lt[order], ll[order]
-            new = np.append(True, (lc[1:] != lc[:-1]) | (lt[1:] != lt[:-1]))
-            at = np.flatnonzero(new)
-            ll = np.maximum.reduceat(ll, at)
-            lc, lt = lc[at], lt[at]
-            order = np.lexsort((rows, ids, cls))
-            first = order[runs(cls[order])[:-1]]
-            a, b = np.searchsorted(lc, cls[first]), np.searchsorted(lc, cls[first], side="right")
-            for d, x, y in zip(first.tolist(), a.tolist(), b.tolist()):
-                if x == y:
-                    continue
-                token, level, size = lt[x:y], ll[x:y], int(n[d])
-                inside = token < _CUT
-                allowed = m.misses(size)
-                small = size <= SMALL_SET
-                dead = size - len(token) if small else int(part[d]) - int(inside.sum())
-                if dead > allowed:
-                    continue
-                picks = []
-                for whole in {small, m.most(size) <= SMALL_SET}:
-                    got = np.flatnonzero(np.ones(len(token), bool) if whole else inside)
-                    gone = (size if whole else int(part[d])) - len(got)
-                    got = got[np.lexsort((token[got], level[got]))]
-                    picks.append(token[got[: max(0, allowed + 1 - gone)]])
-                prefix = np.unique(np.concatenate(picks))
-                if len(prefix):
-                    for c, v in zip(more, (1, cls[d], ids[d], rows[d], size)):
-                        c.append(int(v))
-                    tokens.append(pack([prefix]))
-        cols = [np.concatenate([c, np.array(x, dtype=np.int64)]) for c, x in zip(cols, more)]
-        kinds = [pa.int32(), *[pa.int64()] * 4]
-        yield pa.RecordBatch.from_arrays([*[pa.array(c).cast(t) for c, t in zip(cols, kinds)], pa.array(tokens, pa.binary())], ["kind", "class", "doc_id", "row", "n", "tokens"])
+        lc, lt, ll = (np.concatenate(x) for x in zip(*found.pop(LIVE)))
+        order = np.lexsort((lt, lc))
+        lc, lt, ll = lc[order], lt[order], ll[order]
+        new = np.append(True, (lc[1:] != lc[:-1]) | (lt[1:] != lt[:-1]))
+        at = np.flatnonzero(new)
+        ll = np.maximum.reduceat(ll, at)
+        lc, lt = lc[at], lt[at]
+        ids, own, cls, n = (np.concatenate(x) for x in zip(*found.pop(FIRST)))
+        order = np.lexsort((own, ids, cls))
+        lead = order[runs(cls[order])[:-1]]
+        a, b = np.searchsorted(lc, cls[lead]), np.searchsorted(lc, cls[lead], side="right")
+        able, prefixes = [], []
+        for d, x, y in zip(lead.tolist(), a.tolist(), b.tolist()):
+            least = m.shared(int(n[d]))
+            if y - x < least:
+                continue
+            token, level = lt[x:y], ll[x:y]
+            able.append(d)
+            prefixes.append(pack([np.sort(token[np.lexsort((token, level))[: y - x - least + 1]])]))
+        yield rows(1, *(v[able] for v in (ids, own, cls, n)), prefixes)
 
     return run
 
@@ -270,42 +277,38 @@ def _edges_here(token: np.ndarray, cls: np.ndarray):
     return pairs, token[cut[:-1]], cls[cut[:-1]]
 
 
-EDGE = 3
-
-
-def _post_prefixes(n_buckets: int):
+def _post_prefixes(n_buckets: int, fan: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, classes, size = [], [], 0
 
         def finish() -> pa.RecordBatch:
-            if not tokens:
-                return _record([])
-            pairs, token, cls = _edges_here(np.concatenate(tokens), np.concatenate(classes))
-            out = [(b, POST, pack([token[at], cls[at]])) for b, at in split_by(_bucket(token, n_buckets))]
-            if len(pairs):
-                out += [(b, EDGE, pack([pairs[at, 0], pairs[at, 1]])) for b, at in split_by(_bucket(np.ascontiguousarray(pairs[:, 0]), n_buckets))]
-            return _record(out)
-
-        for cls, data in _cells(batches):
-            (t,) = unpack(data.as_buffer().to_pybytes())
-            tokens.append(t)
-            classes.append(np.full(len(t), cls.as_py(), dtype=np.int64))
-            size += len(t)
-            if size >= BATCH_SHINGLES:
-                yield finish()
-                tokens, classes, size = [], [], 0
+            out = Frames(n_buckets, fan)
+            if tokens:
+                pairs, token, cls = _edges_here(np.concatenate(tokens), np.concatenate(classes))
+                _send(out, POST, token, [token, cls], n_buckets)
+                a, b = np.ascontiguousarray(pairs[:, 0]), np.ascontiguousarray(pairs[:, 1])
+                _send(out, EDGE, a, [a, b], n_buckets)
+            return out.record()
+
+        for batch in batches:
+            for cls, data in zip(batch.column("class").to_pylist(), batch.column("tokens")):
+                (t,) = unpack(data.as_buffer().to_pybytes())
+                tokens.append(t)
+                classes.append(np.full(len(t), cls, dtype=np.int64))
+                size += len(t)
+                if size >= BATCH_SHINGLES:
+                    yield finish()
+                    tokens, classes, size = [], [], 0
         yield finish()
 
     return run
 
 
 def _make_edges(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    posts, found = [], []
-    for _, kind, data in _cells(tables):
-        (posts if kind.as_py() == POST else found).append(unpack(data.as_buffer().to_pybytes()))
-    pairs = [np.stack(x, axis=1) for x in found]
-    if posts:
-        pairs.append(_edges_here(*(np.concatenate(x) for x in zip(*posts)))[0])
+    found = _by_kind(tables)
+    pairs = [np.stack(x, axis=1) for x in found.get(EDGE, [])]
+    if POST in found:
+        pairs.append(_edges_here(*(np.concatenate(x) for x in zip(*found[POST])))[0])
     if pairs:
         p = np.unique(np.concatenate(pairs), axis=0)
         yield pa.RecordBatch.from_arrays([pa.array(p[:, 0].copy()), pa.array(p[:, 1].copy())], ["a", "b"])
@@ -485,7 +488,7 @@ def _meet(docs: DataFrame, spread: DataFrame, words: int, percent: int) -> DataF
     where = spread.select(F.coalesce("doc_id", F.lit(NULL_ID)).alias("__id"), F.col("row").alias("__row"), "class", "cluster", "at")
     full = (
         docs.withColumn("__k", F.coalesce("doc_id", F.lit(NULL_ID)))
-        .join(where.hint("shuffle_hash"), (F.col("__k") == F.col("__id")) & (F.col("row") == F.col("__row")))
+        .join(where.hint("merge"), (F.col("__k") == F.col("__id")) & (F.col("row") == F.col("__row")))
         .select("cluster", "class", "text", F.explode("at").alias("at"))
         .select("cluster", "at.i", "at.j", "class", "text")
         .mapInArrow(_full_sets(words), "cluster long, i int, j int, class long, shingles binary")
@@ -500,17 +503,17 @@ def _second_round(member: DataFrame, links: DataFrame) -> DataFrame:
     others meet every block, in blocks of their own.  The fewer they are, the smaller
     the blocks that come to them.
     """
-    root = components(links, "jaccard-first").select(F.bitwise_not("node").alias("__c"), F.col("root").alias("r"))
+    root = components(links, "jaccard-first", SMALL_GRAPH).select(F.bitwise_not("node").alias("__c"), F.col("root").alias("r"))
     big = member.filter("blocks > 1").withColumn("__n", F.bitwise_not("class")).join(root, F.col("__n") == F.col("__c"), "left").withColumn("r", F.coalesce("r", "class")).drop("__n", "__c")
     big = materialize(big, "jaccard-open")
     each = big.groupBy("cluster", "r").agg(F.count(F.lit(1)).alias("k"), F.sum("n").alias("n"))
     by = each.groupBy("cluster").agg(F.max(F.struct("k", "r", "n")).alias("top"), F.sum("k").alias("k"), F.sum("n").alias("n"))
     left, size = F.col("k") - F.col("top.k"), F.col("k")
-    wide = F.least(F.lit(WIDE_BLOCK), F.greatest(F.lit(BLOCK), left))
+    wide = F.least(F.lit(WIDE_BLOCK), F.greatest(F.lit(BLOCK), left / 4))
     by = by.filter(left > 0).select(
         F.bitwise_not("cluster").alias("__c"),
         F.col("top.r").alias("giant"),
-        _blocks(left, F.col("n") - F.col("top.n"), F.lit(WIDE_BLOCK)).alias("rest"),
+        _blocks(left, F.col("n") - F.col("top.n"), wide).alias("rest"),
         _blocks(size, F.col("n"), wide).alias("wide"),
     )
     both = big.withColumn("__n", F.bitwise_not("cluster")).join(by.hint("merge"), F.col("__n") == F.col("__c"))
@@ -522,12 +525,12 @@ def _second_round(member: DataFrame, links: DataFrame) -> DataFrame:
     return both.withColumn("at", F.when(F.col("r") == F.col("giant"), called).otherwise(F.array_distinct(F.concat(called, calls))))
 
 
-def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_components(df: DataFrame, words: int = 4, percent: int = 85, fan: int | None = None) -> DataFrame:
     """(doc_id, n_shingles, component_id, row) for each row of ``df``; ``row`` is xxhash64 of its text."""
-    return jaccard_roots(df, words, percent).drop("root")
+    return jaccard_roots(df, words, percent, fan).drop("root")
 
 
-def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
+def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85, fan: int | None = None) -> DataFrame:
     """As ``jaccard_components``, and the component's own ``root``, which doesn't hang on ids; null without shingles."""
     spark, m = df.sparkSession, Measure(percent)
     text = F.coalesce(F.col("text"), F.lit(""))
@@ -535,13 +538,16 @@ def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     b = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
 
-    posted = docs.mapInArrow(_post(words, m, b), _ROW).groupBy("bucket").applyInArrow(_find_live(b), _ROW)
-    judged = materialize(posted.groupBy("bucket").applyInArrow(_judge(m), _CLASS), "jaccard-classes")
+    def by_bucket(rows: DataFrame, how, schema: str) -> DataFrame:
+        return exchange(rows, b, fan).groupBy("to").applyInArrow(how, schema)
+
+    posted = by_bucket(docs.mapInArrow(_post(words, m, b, fan), ROW), _find_live(b, fan), ROW)
+    judged = materialize(by_bucket(posted, _judge(m), _CLASS), "jaccard-classes")
     members = judged.filter("kind = 0").drop("kind", "tokens")
     able = judged.filter("kind = 1").drop("kind")
 
-    edges = able.select("class", "tokens").mapInArrow(_post_prefixes(b), _ROW).groupBy("bucket").applyInArrow(_make_edges, "a long, b long")
-    cluster = components(edges, "jaccard-clusters")
+    edges = by_bucket(able.select("class", "tokens").mapInArrow(_post_prefixes(b, fan), ROW), _make_edges, "a long, b long")
+    cluster = components(edges, "jaccard-clusters", SMALL_GRAPH)
     placed = able.select("class", "doc_id", "row", "n").join(cluster, F.col("class") == F.col("node")).select("class", "doc_id", "row", "n", F.col("root").alias("cluster"))
     placed = materialize(placed, "jaccard-placed")
     sizes = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("n")).filter("size > 1")
@@ -559,7 +565,7 @@ def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
     if sizes.filter("blocks > 1").limit(1).count():
         links = links.unionByName(materialize(_meet(docs, _second_round(member, links), words, percent), "jaccard-more-links"))
 
-    linked = components(links, "jaccard-components")
+    linked = components(links, "jaccard-components", SMALL_GRAPH)
     firsts = members.filter("n > 0").groupBy("class").agg(F.min("doc_id").alias("low"))
     rooted = firsts.join(linked, F.col("class") == F.col("node"))
     lowest = rooted.groupBy("root").agg(F.min("low").alias("component"))
@@ -578,4 +584,8 @@ def jaccard_roots(df: DataFrame, words: int = 4, percent: int = 85) -> DataFrame
 
 
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents that link at 85 of 100 over sets of 4-word shingles.
+
+    Nulls, empty texts, ties, repeated rows, empty tables and other columns: see the module.
+    """
     return jaccard_components(table(spark, sf_dir, "documents")).drop("row")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,7 @@ _BYTE = _rng.integers(1, 2**63, 256, dtype=np.uint64) * _U(2) + _U(1)
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 2**64)
 _powers: dict[str, np.ndarray] = {}
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
 def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -67,15 +69,30 @@ def shingle_sets(texts: Iterator[bytes], k: int) -> Iterator[np.ndarray]:
 def _sets(held: list[bytes], k: int) -> Iterator[np.ndarray]:
     if not held:
         return
+    if len(held) == 1 and len(held[0]) > 2 * CHUNK_BYTES:
+        words = np.concatenate([word_hashes(x)[0] for x in _pieces(held[0])])
+        yield _shingles(words, combine(words, k) if len(words) >= k else words[:0], k)
+        return
     words, start = word_hashes(b"\n".join(held))
     bound = np.cumsum([0, *[len(x) + 1 for x in held]])
     at = np.searchsorted(start, bound)
     runs_ = combine(words, k) if len(words) >= k else words[:0]
     for a, b in zip(at, at[1:]):
-        if b - a >= k:
-            s = np.sort(runs_[a : b - k + 1])
-            yield s[np.append(True, s[1:] != s[:-1])]
-        elif b > a:
-            yield combine(words[a:b], int(b - a)) ^ _U(b - a)
-        else:
-            yield words[:0]
+        yield _shingles(words[a:b], runs_[a : max(a, b - k + 1)], k)
+
+
+def _shingles(words: np.ndarray, hashes: np.ndarray, k: int) -> np.ndarray:
+    if len(words) >= k:
+        s = np.sort(hashes)
+        return s[np.append(True, s[1:] != s[:-1])]
+    return combine(words, len(words)) ^ _U(len(words)) if len(words) else words
+
+
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    """A long text cut at white space after every ``CHUNK_BYTES``."""
+    at = 0
+    while at < len(raw):
+        space = _SPACE.search(raw, at + CHUNK_BYTES)
+        end = space.start() if space else len(raw)
+        yield raw[at:end]
+        at = end

@@ -76,6 +76,71 @@ def test_five_words_at_eighty_percent_in_blocks(spark, monkeypatch, block):
     assert result(spark, rows, words=5, percent=80) == brute(rows, 5, 80)
 
 
+def near_threshold(seed, n=250):
+    """Pairs of sets of 150 to 600 shingles whose similarity is one step above or below the threshold."""
+    rng = random.Random(seed)
+    words = [f"w{i}" for i in range(20_000)]
+    rows = []
+    for i in range(n):
+        size = rng.randrange(153, 604)
+        a = rng.sample(words, size)
+        r = round(0.15 / 1.85 * (size - 3)) + rng.choice([-1, 0, 1])
+        b = a[: size - r] + rng.sample(words, r) if rng.random() < 0.5 else rng.sample(words, r) + a[r:]
+        rows += [(2 * i, " ".join(a)), (2 * i + 1, " ".join(b))]
+    return rows
+
+
+def test_large_sets_at_the_threshold(spark):
+    rows = near_threshold(8)
+    want = brute(rows)
+    assert 100 < sum(d != c for d, _, c in want) < 200
+    assert result(spark, rows) == want
+    assert result(spark, rows, fan=2) == want
+
+
+@pytest.mark.parametrize("percent", [50, 80, 85, 95])
+def test_linked_sets_share_posted_shingles(percent):
+    """The bound that a class is judged by holds for every linked pair, and grows with the set."""
+    m, rng = J.Measure(percent), np.random.default_rng(percent)
+    assert all(m.beyond(n) <= m.beyond(n + 1) and m.shared(n) <= m.beyond(n) and m.posted(n) <= n for n in range(1, 3000))
+    for _ in range(400):
+        n = int(rng.integers(1, 900))
+        a = np.unique(rng.integers(0, 2**63, n, dtype=np.uint64))
+        out = int(rng.integers(0, m.misses(len(a)) + 1))
+        kept = np.sort(rng.choice(a, len(a) - out, replace=False)) if rng.random() < 0.5 else a[out:]
+        new = rng.integers(0, 2**63, max(0, 100 * len(kept) // percent - len(a)), dtype=np.uint64) >> np.uint64(rng.integers(0, 3))
+        b = np.unique(np.concatenate([kept, new]))
+        inter = len(np.intersect1d(a, b))
+        if m.linked(inter, len(a), len(b)):
+            both = len(np.intersect1d(a[: m.posted(len(a))], b[: m.posted(len(b))]))
+            assert both >= max(m.shared(len(a)), m.shared(len(b)))
+
+
+def test_a_long_text_has_the_shingles_of_its_words():
+    from routeloom.llm import shingles as S
+
+    text = " ".join(f"w{i % 5000}\t{i % 7}" for i in range(40_000))
+    whole, size = next(shingle_sets(iter([text.encode()]), 4)), S.CHUNK_BYTES
+    try:
+        S.CHUNK_BYTES = 1000
+        assert (next(shingle_sets(iter([text.encode()]), 4)) == whole).all()
+    finally:
+        S.CHUNK_BYTES = size
+    assert len(whole) == len(shingles(text))
+
+
+def test_many_documents_of_one_class_and_none(spark):
+    rows = [(i, None if i % 3 == 0 else "one text that many documents have word for word") for i in range(3000)]
+    assert result(spark, rows) == brute_classes(rows)
+
+
+def brute_classes(rows):
+    low = {}
+    for d, t in rows:
+        low.setdefault(t, d)
+    return sorted(((d, len(shingles(t)), low[t] if t else d) for d, t in rows), key=repr)
+
+
 def test_empty_table(spark):
     assert result(spark, []) == []
 
