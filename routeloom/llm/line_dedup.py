@@ -54,10 +54,12 @@ def dropped_lines(df: DataFrame, min_chars: int = 20, min_docs: int = 3) -> Data
         .groupBy("a", "b")
         .agg(F.count(F.lit(1)).alias("n_docs"), F.max("doc_id").alias("keeper"))
         .filter(F.col("n_docs") >= min_docs)
-        .select(F.col("a").alias("ra"), F.col("b").alias("rb"), "keeper")
+        .select(F.bitwise_not("a").alias("ra"), F.bitwise_not("b").alias("rb"), "keeper")
     )
-    # The lines come straight from the texts, so their exchange is their own and a hot hash can be split.
-    found = lines.join(hot.hint("merge"), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(
+    # Joined on the complements, which no partitioning in place satisfies: both sides get
+    # exchanges of their own, which adaptive execution splits where a hash is hot.
+    places = lines.select("doc_id", "row", "pos", F.bitwise_not("a").alias("a"), F.bitwise_not("b").alias("b"))
+    found = places.join(hot.hint("merge"), (F.col("a") == F.col("ra")) & (F.col("b") == F.col("rb"))).filter(
         ~F.col("doc_id").eqNullSafe(F.col("keeper"))
     )
     # Rows that repeat whole give each place several times.
