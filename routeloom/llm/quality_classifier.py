@@ -2,22 +2,29 @@
 
 1. Random indexing over all documents: every token has a sparse ternary index
    vector given by its hash; a token's word vector is the sum of the index vectors
-   of its neighbours everywhere.  Word vectors are kept by hash bucket, so the
-   table has a fixed size (``BUCKETS`` x ``DIM`` for words, a small one for word
-   shapes) and is a sum over map tasks, of 4 MB each at most.
-2. One pass pools each whole text into the mean of its tokens' vectors and a few
-   shape figures, and writes these features.
+   of its neighbours everywhere, two to each side, each permuted (rotated) by its
+   place.  Word vectors are kept by hash bucket, so the table has a fixed size
+   (``BUCKETS`` x ``DIM``) and is a sum over map tasks, of 4 MB each at most.
+2. One pass pools the vectors of each whole text's tokens: their mean, their
+   deviation, and the mean product of neighbours' vectors.  Nothing else is known
+   of a text.
 3. A two-layer numpy network learns from at most ``MAX_TRAIN`` labelled rows,
    taken by hash; a fifth of them is kept back to fit a temperature.
 4. Features are scored by map.
 
-Defined results.  Empty texts have zero features and get the network's score for
-them.  Rows with a null label don't train; without labels of both kinds all
-scores are the share of label 1 (0.5 if there are none).
+Defined results.  Null and empty texts have zero features and get the network's
+score for them.  Rows with a null label don't train, nor do rows without a doc_id;
+without labels of both kinds all scores are the share of label 1 (0.5 if there are
+none).  Repeated rows are each scored, and train once.  An empty table gives an
+empty result.  Only doc_id and text are read, so other columns neither clash nor
+pass through.  A text over ``PIECE`` bytes is taken in pieces, cut at white space
+where there is some: whole, in bounded memory, but neighbours across a cut don't
+count as such.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,152 +33,142 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import tables
-from .bpe import slices
 from .common import documents, materialize, table
-from .packed import mix, runs
+from .packed import mix
 
 _U = np.uint64
-BUCKETS, DIM, SHAPES, SHAPE_DIM = 1 << 14, 48, 1 << 9, 32
+BUCKETS, DIM = 1 << 14, 64
+#: Neighbours to each side that make a word's vector, and how far a place rotates an index vector.
+REACH, ROTATION = 2, 7
 #: Labelled rows that the network learns from, at most.
 MAX_TRAIN = 20_000
 HIDDEN, EPOCHS, BATCH = 32, 40, 256
 THRESHOLD = 0.3
+#: Bytes of text that are worked on at once, and how far a cut looks for white space.
+PIECE, LOOK = 1 << 19, 1 << 16
+N_FEATURES = 3 * DIM
 
-#: Class of a byte: 0 space, 1 lower case and non-ASCII, 2 upper case, 3 digit, else a symbol by itself.
+#: Class of a byte: 0 space, 1 letter or non-ASCII, 3 digit, else a symbol by itself.
 _KIND = np.array(
-    [0 if c == 32 or 9 <= c <= 13 else 1 if 97 <= c <= 122 or c >= 128 else 2 if 65 <= c <= 90 else 3 if 48 <= c <= 57 else 16 + c for c in range(256)],
+    [0 if c == 32 or 9 <= c <= 13 else 1 if 97 <= c <= 122 or 65 <= c <= 90 or c >= 128 else 3 if 48 <= c <= 57 else 16 + c for c in range(256)],
     dtype=np.uint8,
 )
+_SPACE = re.compile(rb"[ \t-\r]")
 
 
-def tokens_of(buf: np.ndarray):
-    """(start, word hash, shape hash, length, upper-case letters, first kind) of each token.
-
-    A token is a run of letters, of digits or of one symbol.
-    """
+def tokens_of(buf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(start, hash) of each token: a run of letters, of digits or of one symbol, case kept."""
     kind = _KIND[buf]
-    run = np.where(kind == 2, 1, kind)  # case doesn't break a word
-    edge = np.flatnonzero(np.append(True, run[1:] != run[:-1]))
+    edge = np.flatnonzero(np.append(True, kind[1:] != kind[:-1]))
     end = np.append(edge[1:], len(buf))
-    letter = run[edge]
-    real = letter != 0
-    start, end, letter = edge[real], end[real], letter[real]
-    size = end - start
-    upper = np.concatenate([[0], np.cumsum(kind == 2)])
-    caps = upper[end] - upper[start]
-    # A word's hash: position-weighted sums of its bytes under two weights.
-    pos = np.arange(len(buf), dtype=np.uint64) - np.repeat(edge, np.diff(np.append(edge, len(buf)))).astype(_U)
+    # Position-weighted sums of a token's bytes.
+    pos = np.arange(len(buf), dtype=np.uint64) - np.repeat(edge, end - edge).astype(_U)
     byte = mix((buf.astype(_U) + _U(1)) * _U(0x9E3779B97F4A7C15) + pos * _U(0xC2B2AE3D27D4EB4F))
     total = np.concatenate([np.zeros(1, _U), np.cumsum(byte)])
-    word = mix(total[end] - total[start])
-    case = np.where(caps == 0, 0, np.where(caps == size, 3, np.where(kind[start] == 2, 1, 2)))
-    span = np.minimum(np.ceil(np.log2(size + 1)), 7).astype(np.int64)
-    shape = mix(((letter.astype(np.int64) * 8 + span) * 4 + case).astype(_U) + _U(77))
-    return start, word, shape, size, caps, letter
+    real = kind[edge] != 0
+    return edge[real], mix(total[end[real]] - total[edge[real]])
 
 
-def _index(h: np.ndarray, dim: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Two (dimension, sign) pairs of each token's index vector."""
-    out = []
-    for shift in (40, 20):
-        x = (h >> _U(shift)) & _U(0xFFFFF)
-        out.append(((x >> _U(1)) % _U(dim), (x & _U(1)).astype(np.int64) * 2 - 1))
-    return out
+def _pieces(raw: bytes) -> Iterator[bytes]:
+    at = 0
+    while at + PIECE < len(raw):
+        space = _SPACE.search(raw, at + PIECE, at + PIECE + LOOK)
+        end = space.start() if space else at + PIECE + LOOK
+        yield raw[at:end]
+        at = end
+    yield raw[at:]
 
 
-def _accumulate(counts: np.ndarray, bucket: np.ndarray, h: np.ndarray, near: np.ndarray, dim: int) -> None:
-    """Adds the index vectors of the left and right neighbours (``near``: same text)."""
-    for d, sign in _index(h, dim):
-        d = d.astype(np.int64)
-        for here, there in ((slice(0, -1), slice(1, None)), (slice(1, None), slice(0, -1))):
-            cell = bucket[here][near] * dim + d[there][near]
-            s = sign[there][near]
-            counts += np.bincount(cell[s > 0], minlength=len(counts)) - np.bincount(cell[s < 0], minlength=len(counts))
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(row of each token, its hash, whether the next token stands in the same piece), chunk by chunk."""
 
+    def tokens(rows: list[int], held: list[bytes]):
+        start, word = tokens_of(np.frombuffer(b"\n".join([*held, b""]), dtype=np.uint8))
+        piece = np.searchsorted(np.cumsum([len(x) + 1 for x in held]), start, side="right")
+        return np.array(rows)[piece], word, np.append(piece[1:] == piece[:-1], False)
 
-def _joined(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    """Texts of a batch, each followed by a line feed, and their bounds."""
-    raw = [x.as_buffer().to_pybytes() if x.is_valid else b"" for x in batch.column("text")]
-    return np.frombuffer(b"\n".join([*raw, b""]), dtype=np.uint8), np.cumsum([0, *[len(x) + 1 for x in raw]])
+    rows, held, size = [], [], 0
+    for i, text in enumerate(batch.column("text")):
+        for raw in _pieces(text.as_buffer().to_pybytes() if text.is_valid else b""):
+            rows.append(i)
+            held.append(raw)
+            size += len(raw)
+            if size >= PIECE:
+                yield tokens(rows, held)
+                rows, held, size = [], [], 0
+    if size:
+        yield tokens(rows, held)
 
 
 def _count_neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    words = np.zeros(BUCKETS * DIM, dtype=np.int64)
-    shapes = np.zeros(SHAPES * SHAPE_DIM, dtype=np.int64)
-    for whole in batches:
-        for batch in slices(whole, "text", 1 << 19):
-            buf, bound = _joined(batch)
-            if not len(buf):
-                continue
-            start, word, shape, *_ = tokens_of(buf)
-            if len(start) < 2:
-                continue
-            text = np.searchsorted(bound, start, side="right")
-            near = text[1:] == text[:-1]
-            _accumulate(words, (word % _U(BUCKETS)).astype(np.int64), word, near, DIM)
-            _accumulate(shapes, (shape % _U(SHAPES)).astype(np.int64), shape, near, SHAPE_DIM)
-    yield from tables.emit({"words": words.astype(np.int32), "shapes": shapes.astype(np.int64)})
-
-
-def word_vectors(df: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Unit word and shape vectors from the neighbours in all rows."""
+    words = np.zeros(BUCKETS * DIM)
+    for batch in batches:
+        for _, word, near in _chunks(batch):
+            at = (word % _U(BUCKETS)).astype(np.int64) * DIM
+            index = []  # (dimension, sign) of the two places of each token's index vector
+            for shift in (40, 20):
+                x = (word >> _U(shift)) & _U(0xFFFFF)
+                index.append(((x >> _U(1)).astype(np.int64), (x & _U(1)).astype(np.int64) * 2 - 1))
+            cells, signs, together = [], [], near
+            for far in range(1, REACH + 1):
+                if len(word) <= far:
+                    break
+                together = near[:-far] if far == 1 else together[:-1] & near[far - 1 : len(word) - 1]
+                for here, there, turn in ((slice(0, -far), slice(far, None), far), (slice(far, None), slice(0, -far), -far)):
+                    for place, sign in index:
+                        cells.append((at[here] + (place[there] + turn * ROTATION) % DIM)[together])
+                        signs.append(sign[there][together])
+            if cells:
+                words += np.bincount(np.concatenate(cells), np.concatenate(signs), len(words))
+    yield from tables.emit({"words": words.astype(np.int32)})
+
+
+def word_vectors(df: DataFrame) -> np.ndarray:
+    """Unit word vectors, by bucket, from the neighbours in all rows."""
     rows = documents(df).select("text").mapInArrow(_count_neighbours, tables.SCHEMA)
-    sums = rows.groupBy("name", "block").applyInArrow(tables._sum, tables.SCHEMA).collect()
-    out = []
-    for name, n, dim in (("words", BUCKETS, DIM), ("shapes", SHAPES, SHAPE_DIM)):
-        flat = np.zeros(n * dim)
-        bound = np.cumsum([0, *[len(p) for p in np.array_split(np.empty(n * dim, np.int8), tables.BLOCKS)]])
-        for r in sums:
-            if r.name == name:
-                flat[bound[r.block] : bound[r.block + 1]] = tables.unpack(bytes(r.cells))[0]
-        m = flat.reshape(n, dim)
-        m = np.sign(m) * np.log1p(np.abs(m))
-        out.append((m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).astype(np.float32))
-    return out[0], out[1]
-
-
-N_FEATURES = DIM + SHAPE_DIM + 8
+    flat = tables.collect(rows, BUCKETS * DIM).get("words", np.zeros(BUCKETS * DIM))
+    m = flat.reshape(BUCKETS, DIM).astype(np.float64)
+    m = np.sign(m) * np.log1p(np.abs(m))
+    return (m / np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-9)).astype(np.float32)
+
+
+def pooled(batch: pa.RecordBatch, vectors: np.ndarray) -> np.ndarray:
+    """Mean and deviation of the word vectors of each text, and the mean product of neighbours."""
+    n = batch.num_rows
+    sums, count, pairs = np.zeros((n, 3, DIM)), np.zeros(n), np.zeros(n)
+    for row, word, near in _chunks(batch):
+        if not len(word):
+            continue
+        v = vectors[(word % _U(BUCKETS)).astype(np.int64)]
+        cut = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        at = row[cut]
+        count[at] += np.diff(np.append(cut, len(row)))
+        pairs[at] += np.add.reduceat(near.astype(np.int64), cut)
+        sums[at, 0] += np.add.reduceat(v, cut, axis=0)
+        sums[at, 1] += np.add.reduceat(v * v, cut, axis=0)
+        v[:-1] *= v[1:]
+        v[~near] = 0
+        sums[at, 2] += np.add.reduceat(v, cut, axis=0)
+    size = np.maximum(count, 1)[:, None]
+    mean = sums[:, 0] / size
+    return np.concatenate([mean, np.sqrt(np.maximum(sums[:, 1] / size - mean**2, 0)), sums[:, 2] / np.maximum(pairs, 1)[:, None]], axis=1)
 
 
 def _pool(vectors):
-    """Rows (doc_id, text) -> (doc_id, features)."""
+    """Rows (doc_id, text) -> (doc_id, features: halves, as bytes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, shapes = vectors.value
-        for whole in batches:
-            for batch in slices(whole, "text", 1 << 19):
-                buf, bound = _joined(batch)
-                n = batch.num_rows
-                f = np.zeros((n, N_FEATURES), dtype=np.float32)
-                start, word, shape, size, caps, letter = tokens_of(buf) if len(buf) else (np.zeros(0, np.int64),) * 6
-                at = np.searchsorted(start, bound)
-                full = np.flatnonzero(at[1:] > at[:-1])
-                if len(full):
-                    a, b = at[full], at[full + 1]
-                    count = (b - a).astype(np.float32)[:, None]
-                    inner = at[0], at[-1]
-                    assert inner == (0, len(start))
-                    for block, table_, size_, h in ((slice(0, DIM), words, BUCKETS, word), (slice(DIM, DIM + SHAPE_DIM), shapes, SHAPES, shape)):
-                        f[full, block] = np.add.reduceat(table_[(h % _U(size_)).astype(np.int64)], a, axis=0) / count
-                    text = np.repeat(np.arange(len(full)), b - a)
-                    order = np.lexsort((word, text))
-                    new = runs(text[order], word[order])[:-1]
-                    distinct = np.bincount(text[order][new], minlength=len(full))
-                    wordy = letter == 1
-                    letters = np.bincount(text, weights=size * wordy, minlength=len(full))
-                    n_words = np.bincount(text, weights=wordy, minlength=len(full))
-                    c = count[:, 0]
-                    capital = np.bincount(text, weights=wordy & (caps == size) & (size > 1), minlength=len(full))
-                    symbol = np.bincount(text, weights=letter > 3, minlength=len(full))
-                    repeat = np.bincount(text[1:], weights=(word[1:] == word[:-1]) & (text[1:] == text[:-1]), minlength=len(full))
-                    for k, v in enumerate((np.log1p(c), distinct / c, letters / np.maximum(n_words, 1), capital / np.maximum(n_words, 1), symbol / c, repeat / c, n_words / c, np.log1p(n_words))):
-                        f[full, DIM + SHAPE_DIM + k] = v
-                cells = pa.FixedSizeListArray.from_arrays(pa.array(f.reshape(-1)), N_FEATURES).cast(pa.list_(pa.float32()))
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), cells], ["doc_id", "features"])
+        for b in batches:
+            f = pooled(b, vectors.value).astype(np.float16)
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array([x.tobytes() for x in f], pa.binary())], ["doc_id", "features"])
 
     return run
 
 
+def _matrix(cells) -> np.ndarray:
+    return np.frombuffer(b"".join(cells), dtype=np.float16).reshape(-1, N_FEATURES).astype(np.float64)
+
+
 class Network:
     """Standardised input, one hidden ReLU layer, a logit, and a temperature."""
 
@@ -233,31 +230,34 @@ class Network:
         return 1 / (1 + np.exp(-np.clip(self._logit(self._norm(x)) / self.temperature, -30, 30)))
 
 
+def train_rows(pooled_: DataFrame, labels: DataFrame, folds: int, max_train: int) -> tuple[np.ndarray, np.ndarray]:
+    """Features and labels of at most ``max_train`` distinct labelled rows outside fold 0, the first in hash order."""
+    known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").filter(tables.fold(folds) != 0)
+    joined = known.join(pooled_, "doc_id").select("doc_id", "quality", "features").distinct()
+    rows = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features").limit(max_train).collect()
+    return _matrix([bytes(r.features) for r in rows]), np.array([r.quality for r in rows], dtype=np.int64)
+
+
 def quality_scores(df: DataFrame, labels: DataFrame, folds: int = 5, max_train: int = MAX_TRAIN) -> DataFrame:
     """(doc_id, held_out, score) for each row; rows of fold 0 never train."""
-    spark = df.sparkSession
-    vectors = spark.sparkContext.broadcast(word_vectors(df))
-    pooled = documents(df).mapInArrow(_pool(vectors), "doc_id long, features array<float>")
-    pooled = materialize(pooled, "quality-features")
-    train = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").filter(tables.fold(folds) != 0)
-    share = min(1.0, max_train / max(train.count(), 1))
-    cut = int(share * 2**31)
-    train = train.filter(F.pmod(F.xxhash64("doc_id"), F.lit(2**31)) < cut)
-    rows = train.join(pooled, "doc_id").select("quality", "features").toPandas()
-    x = np.array(rows["features"].tolist(), dtype=np.float64).reshape(len(rows), N_FEATURES)
-    y = rows["quality"].to_numpy()
-    order = np.lexsort((*x.T[::-1], y)) if len(y) else np.zeros(0, np.int64)  # whatever order the rows came in
-    net = Network(x[order], y[order])
+    vectors = df.sparkSession.sparkContext.broadcast(word_vectors(df))
+    features = documents(df).mapInArrow(_pool(vectors), "doc_id long, features binary")
+    features = materialize(features, "quality-features")
+    net = Network(*train_rows(features, labels, folds, max_train))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            f = b.column("features").flatten().to_numpy(zero_copy_only=False).reshape(b.num_rows, N_FEATURES)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.score(f.astype(np.float64)), pa.float64())], ["doc_id", "score"])
+            f = _matrix([x.as_buffer().to_pybytes() for x in b.column("features")])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(net.score(f), pa.float64())], ["doc_id", "score"])
 
-    scored = pooled.mapInArrow(run, "doc_id long, score double")
+    scored = features.mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", (tables.fold(folds) == 0).alias("held_out"), "score")
 
 
 def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scores of all documents, learned from the labels outside the held-out fold.
+
+    Nulls, empty and long texts, repeated rows, empty tables and other columns: see the module.
+    """
     out = quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return out.withColumn("predicted", F.when(F.col("score") >= THRESHOLD, 1).otherwise(0))

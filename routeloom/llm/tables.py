@@ -36,11 +36,16 @@ def _sum(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
     yield pa.RecordBatch.from_arrays([pa.array([key[0].as_py()]), pa.array([key[1].as_py()], pa.int32()), pa.array([pack([total])], pa.binary())], ["name", "block", "cells"])
 
 
+#: Map tasks whose tables are summed to one before those of all are.
+TOGETHER = 64
+
+
 def collect(rows: DataFrame, size: int) -> dict[str, np.ndarray]:
     """The summed tables, flat; their size doesn't depend on the number of documents."""
     out: dict[str, np.ndarray] = {}
     bounds = np.cumsum([0, *[len(p) for p in np.array_split(np.empty(size, np.int8), BLOCKS)]])
-    for r in rows.groupBy("name", "block").applyInArrow(_sum, SCHEMA).collect():
+    some = rows.withColumn("part", F.floor(F.spark_partition_id() / TOGETHER)).groupBy("name", "block", "part").applyInArrow(_sum, SCHEMA)
+    for r in some.groupBy("name", "block").applyInArrow(_sum, SCHEMA).collect():
         (x,) = unpack(bytes(r.cells))
         out.setdefault(r.name, np.zeros(size, dtype=np.int64))[bounds[r.block] : bounds[r.block + 1]] = x
     return out
