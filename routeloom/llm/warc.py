@@ -6,18 +6,25 @@ their own blocks.  Record ids are names: a digest of what the record is derived
 from, so a repeated run, or a task that runs again, gives the same ids.
 
 Building records is a map in built-in functions: no shuffle, no Python.  Reading
-WARC files streams each file's members in Python.
+WARC files and taking HTTP messages apart is a map in Python: ``read_warc``, then
+``http_responses``, then ``derive``.
 
 Defined results.  Null html is an empty payload, with an empty conversion and a
 metadata record without fields beyond the length; null url is an empty target.
-Repeated pages give repeated records.  Markup that never closes (a cut tag or
+Repeated pages give repeated records; an empty table gives none.  ``derive`` takes the
+columns of ``responses`` or ``http_responses`` and drops all others, whatever they are
+called.  Markup that never closes (a cut tag or
 script) is dropped to its end if it opened a script, style or comment, else kept
 as text.
 """
 
 from __future__ import annotations
 
+import base64
+import hashlib
 import json
+import re
+import uuid
 import zlib
 from collections.abc import Iterator
 from html.entities import html5
@@ -184,64 +191,166 @@ def record_bytes(records: DataFrame) -> DataFrame:
     return records.select("record_id", F.encode(F.concat(head, c("block"), F.lit("\r\n\r\n")), "UTF-8").alias("bytes"))
 
 
-def parse_records(data: bytes) -> Iterator[tuple[list[tuple[str, str]], bytes]]:
-    """(header fields, block) of each record of a WARC file, plain or gzip by member.
+#: A record, or the part of a file from ``at`` on that isn't one and why.
+Found = tuple[int, list[tuple[str, str]], bytes, str | None]
+DAMAGED = "no end of the header", "no length", "cut short", "damaged gzip member", "no record"
 
-    A record that is cut short ends the file; what is before it is kept.
+
+def parse_records(data: bytes) -> Iterator[Found]:
+    """(place, header fields, block, problem) of each record of a WARC file, plain or gzip by member.
+
+    What isn't a record is one, with a problem and without fields, and reading goes on at the
+    next record's mark or gzip member after it.
     """
-    data = b"".join(_members(data))
+    if data[:2] != b"\x1f\x8b":
+        yield from _plain(data, 0)
+        return
     at = 0
-    while True:
-        at = data.find(b"WARC/", at)
-        end = data.find(b"\r\n\r\n", at) if at >= 0 else -1
-        if end < 0:
-            return
+    while at < len(data):
+        d = zlib.decompressobj(31)
+        try:
+            member = d.decompress(data[at:])
+            if not d.eof:
+                raise zlib.error
+        except zlib.error:
+            yield at, [], b"", DAMAGED[3]
+            at = data.find(b"\x1f\x8b\x08", at + 1)
+            if at < 0:
+                return
+            continue
+        yield from ((at, fields, block, problem) for _, fields, block, problem in _plain(member, at))
+        at = len(data) - len(d.unused_data)
+
+
+def _plain(data: bytes, base: int) -> Iterator[Found]:
+    at = data.find(b"WARC/")
+    if at < 0 and data:
+        yield base, [], b"", DAMAGED[4]
+    while at >= 0:
+        end = data.find(b"\r\n\r\n", at)
+        after = data.find(b"\r\nWARC/", at + 1)
+        if end < 0 or 0 <= after < end:
+            yield base + at, [], b"", DAMAGED[0]
+            at = after + 2 if after >= 0 else -1
+            continue
         lines = data[at:end].decode("utf-8", "replace").split("\r\n")[1:]
         fields = [(k.strip(), v.strip()) for k, _, v in (x.partition(":") for x in lines)]
         size = next((int(v) for k, v in fields if k.lower() == "content-length" and v.isdigit()), None)
         if size is None or end + 4 + size > len(data):
-            return
-        yield fields, data[end + 4 : end + 4 + size]
-        at = end + 4 + size
+            yield base + at, fields, b"", DAMAGED[1] if size is None else DAMAGED[2]
+            after = data.find(b"\r\nWARC/", end)
+            at = after + 2 if after >= 0 else -1
+            continue
+        yield base + at, fields, data[end + 4 : end + 4 + size], None
+        at = data.find(b"WARC/", end + 4 + size)
 
 
-def _members(data: bytes) -> Iterator[bytes]:
-    if data[:2] != b"\x1f\x8b":
-        yield data
-        return
-    while data[:2] == b"\x1f\x8b":
-        d = zlib.decompressobj(31)
-        try:
-            yield d.decompress(data)
-        except zlib.error:
-            return
-        data = d.unused_data
+_RECORD = "file string, position long, record_type string, record_id string, target_uri string, date string, headers map<string,string>, block binary, problem string"
+_RECORD_TYPES = [pa.string(), pa.int64(), *[pa.string()] * 4, pa.map_(pa.string(), pa.string()), pa.binary(), pa.string()]
 
 
 def read_warc(spark: SparkSession, path: str) -> DataFrame:
-    """(file, position, record_type, record_id, target_uri, date, headers, block) of WARC files under ``path``.
+    """Records of WARC files under ``path``; what is damaged is a row, too, with its ``problem``.
 
-    A file is one task's work and is held in memory, plain and unpacked; files of
-    the customary size (about 1 GB) need executors made for that.
+    ``position`` is the record's byte in the file, or that of its gzip member.  A file
+    is one task's work and is held in memory, unpacked member by member; files of the
+    customary size (about 1 GB) need executors made for that.
     """
-    schema = "file string, position int, record_type string, record_id string, target_uri string, date string, headers map<string,string>, block binary"
+    names = [x.split()[0] for x in _RECORD.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for file, content in zip(b.column("path").to_pylist(), b.column("content")):
-                rows = []
-                for i, (fields, block) in enumerate(parse_records(content.as_buffer().to_pybytes())):
-                    low = {k.lower(): v for k, v in fields}
-                    rows.append((file, i, low.get("warc-type"), low.get("warc-record-id"), low.get("warc-target-uri"), low.get("warc-date"), list(dict(fields).items()), block))
+                rows, size = [], 0
+                for at, fields, block, problem in parse_records(content.as_buffer().to_pybytes()):
+                    low = {k.lower(): v for k, v in reversed(fields)}
+                    rows.append((file, at, *(low.get(f"warc-{x}") for x in ("type", "record-id", "target-uri", "date")), list({k: v for k, v in reversed(fields)}.items()), block, problem))
+                    size += len(block)
+                    if size >= 8 << 20:
+                        yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _RECORD_TYPES)], names)
+                        rows, size = [], 0
                 if rows:
-                    kinds = [pa.string(), pa.int32(), *[pa.string()] * 4, pa.map_(pa.string(), pa.string()), pa.binary()]
-                    names = ["file", "position", "record_type", "record_id", "target_uri", "date", "headers", "block"]
-                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), kinds)], names)
+                    yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows), _RECORD_TYPES)], names)
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, _RECORD)
+
+
+def http_message(block: bytes) -> tuple[str, bytes, str | None]:
+    """(status line and headers, body without transfer and content coding, problem) of a response's block."""
+    end = block.find(b"\r\n\r\n")
+    if not block.startswith(b"HTTP/") or end < 0:
+        return "", block, "no HTTP header"
+    head, body = block[: end + 2].decode("iso-8859-1"), block[end + 4 :]
+    fields = {k.strip().lower(): v.strip().lower() for k, _, v in (x.partition(":") for x in head.split("\r\n")[1:])}
+    problem = None
+    if "chunked" in fields.get("transfer-encoding", ""):
+        body, problem = _unchunked(body)
+    coding = fields.get("content-encoding", "")
+    if body[:2] == b"\x1f\x8b" and "gzip" in coding or "deflate" in coding:
+        try:
+            body = zlib.decompressobj(31 if "gzip" in coding else 15).decompress(body)
+        except zlib.error:
+            problem = "damaged content coding"
+    elif coding not in ("", "identity", "gzip"):
+        problem = f"content coding {coding}"
+    return head, body, problem
 
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, schema)
+
+def _unchunked(body: bytes) -> tuple[bytes, str | None]:
+    """A body put together from its chunks; one that has none, as some crawlers store it, stays."""
+    out, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        try:
+            size = int(body[at:end].split(b";")[0], 16) if end >= 0 else -1
+        except ValueError:
+            size = -1
+        if size < 0 or end + 2 + size > len(body):
+            return (b"".join(out), "chunks cut short") if out else (body, None)
+        if size == 0:
+            return b"".join(out), None
+        out.append(body[end + 2 : end + 2 + size])
+        at = end + 4 + size
+
+
+def _text(head: str, body: bytes) -> str:
+    named = re.search(r"(?im)^content-type:[^\r\n]*charset\s*=\s*[\"']?([\w.:-]+)", head)
+    try:
+        return body.decode(named[1] if named else "utf-8", "replace")
+    except (LookupError, ValueError):
+        return body.decode("utf-8", "replace")
+
+
+_RESPONSE = "page_id long, record_id string, target_uri string, date string, http_headers string, payload string, payload_digest string, problem string"
+
+
+def http_responses(records: DataFrame) -> DataFrame:
+    """Response records of ``read_warc`` as ``derive`` takes them, with a ``problem`` where one is not whole.
+
+    Keeps the record's own id, target, date, HTTP header and payload digest; a record
+    without an id or digest gets one of its block or body.  Other records are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows = []
+            for r in b.to_pylist():
+                block = r["block"] or b""
+                head, body, problem = ("", b"", r["problem"]) if r["problem"] else http_message(block)
+                low = {k.lower(): v for k, v in r["headers"] or []}
+                digest = low.get("warc-payload-digest") or "sha1:" + base64.b32encode(hashlib.sha1(body).digest()).decode()
+                own = r["record_id"] or f"<urn:uuid:{uuid.UUID(hashlib.md5(block).hexdigest())}>"
+                rows.append((None, own, r["target_uri"] or "", r["date"] or NO_DATE, head, _text(head, body), digest, problem))
+            cols = zip(*rows) if rows else [[]] * 8
+            yield pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, [pa.int64(), *[pa.string()] * 7])], [x.split()[0] for x in _RESPONSE.split(", ")])
+
+    damaged = F.col("record_type").isNull() & F.col("problem").isNotNull()
+    found = records.filter((F.col("record_type") == "response") | damaged)
+    return found.select("record_id", "target_uri", "date", "headers", "block", "problem").mapInArrow(run, _RESPONSE)
 
 
 def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two records for each page.  Nulls, repeated rows, empty tables, cut markup and other columns: see the module."""
     return derive(responses(table(spark, sf_dir, "pages").select("page_id", "url", "html")))
 
 

@@ -259,4 +259,50 @@ def test_warc_files_round_trip(spark, tmp_path):
     want = key((r.record_type, r.record_id, r.target_uri, r.block) for r in records.collect())
     for name in ("a.warc", "b.warc.gz"):
         assert key((r.record_type, r.record_id, r.target_uri, bytes(r.block).decode()) for r in got if r.file.endswith(name)) == want
-    assert [len(list(warc.parse_records(x))) for x in (b"", b"WARC/1.0\r\nContent-Length: 99\r\n\r\nshort", b"junk")] == [0, 0, 0]
+    problems = [[p for *_, p in warc.parse_records(x)] for x in (b"", b"WARC/1.0\r\nContent-Length: 99\r\n\r\nshort", b"WARC/1.0\r\nA: 1\r\n\r\n", b"WARC/1.0", b"junk")]
+    assert problems == [[], ["cut short"], ["no length"], ["no end of the header"], ["no record"]]
+
+
+def warc_record(kind, number, block, length=None, digest=None):
+    own = f"WARC-Payload-Digest: {digest}\r\n" if digest else ""
+    head = f"WARC/1.0\r\nWARC-Type: {kind}\r\nWARC-Record-ID: <urn:uuid:{number}>\r\nWARC-Target-URI: http://site/{number}\r\nWARC-Date: 2024-05-0{number}T00:00:00Z\r\n{own}"
+    return f"{head}Content-Type: application/http; msgtype={kind}\r\nContent-Length: {len(block) if length is None else length}\r\n\r\n".encode() + block + b"\r\n\r\n"
+
+
+def test_responses_of_warc_files_keep_their_headers_and_digests(spark, tmp_path):
+    import base64
+    import gzip
+
+    page = "<html lang=fr><title>Été</title><p>Un &amp; deux</p><a href=/x>y</a></html>"
+    plain = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nX-Own: 1\r\n\r\n" + page.encode()
+    latin = b"HTTP/1.0 404 Not Found\r\nContent-Type: text/html; charset=ISO-8859-1\r\n\r\n" + page.encode("latin-1")
+    packed = gzip.compress(page.encode())
+    pieces = b"".join(f"{len(x):x};ext=1\r\n".encode() + x + b"\r\n" for x in (packed[:30], packed[30:])) + b"0\r\n\r\n"
+    chunked = b"HTTP/1.1 200 OK\r\nTransfer-Encoding: chunked\r\nContent-Encoding: gzip\r\n\r\n" + pieces
+    records = [
+        warc_record("warcinfo", 1, b"software: x\r\n"), warc_record("response", 2, plain, digest="sha1:OWNDIGEST"), warc_record("request", 3, b"GET / HTTP/1.1\r\n\r\n"),
+        warc_record("response", 4, latin), warc_record("response", 5, chunked), warc_record("response", 6, chunked[:-20]), warc_record("response", 7, b"no header"),
+    ]
+    (tmp_path / "w").mkdir()
+    broken = warc_record("response", 8, b"x", length=10**6)
+    (tmp_path / "w/a.warc").write_bytes(b"".join(records[:3]) + broken + b"".join(records[3:]))
+    bad = bytearray(gzip.compress(records[3]))
+    bad[40:60] = b"\0" * 20
+    (tmp_path / "w/b.warc.gz").write_bytes(gzip.compress(records[1]) + bytes(bad) + gzip.compress(records[4]))
+    found = warc.http_responses(warc.read_warc(spark, f"file://{tmp_path}/w"))
+    rows = found.collect()
+    assert sorted(str(r.problem) for r in rows) == sorted(["None"] * 5 + ["cut short", "damaged gzip member", "chunks cut short", "no HTTP header"])
+    good = {r.record_id: r for r in rows if r.problem is None}
+    assert {r.payload for r in good.values()} == {page}
+    own = good["<urn:uuid:2>"]
+    assert (own.payload_digest, own.target_uri, own.date) == ("sha1:OWNDIGEST", "http://site/2", "2024-05-02T00:00:00Z")
+    assert own.http_headers == plain.split(b"\r\n\r\n")[0].decode() + "\r\n"
+    assert good["<urn:uuid:5>"].payload_digest == "sha1:" + base64.b32encode(hashlib.sha1(page.encode()).digest()).decode()
+    made = warc.derive(found.filter("problem is null"))
+    by = {(r.refers_to, r.record_type): r for r in made.collect()}
+    meta, text = by["<urn:uuid:4>", "metadata"], by["<urn:uuid:4>", "conversion"]
+    assert meta.block.split("\r\n")[1:-1] == ["title: Été", "language: fr", "outlink: /x"]
+    assert text.block.split("\n")[-1].endswith("y") and "Un & deux" in text.block
+    assert "404 Not Found" in meta.source_headers
+    out = [bytes(r.bytes) for r in warc.record_bytes(made).collect()]
+    assert any(b"WARC-Refers-To: <urn:uuid:2>" in x and b"WARC-X-Source-Header: X-Own: 1" in x and b"WARC-X-Source-Payload-Digest: sha1:OWNDIGEST" in x for x in out)
