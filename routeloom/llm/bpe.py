@@ -10,11 +10,15 @@ A row of n bytes needs up to n rounds, so pieces over ``LONG_PIECE`` bytes (runs
 of one character, base64) go through a heap that makes the same merges in
 O(n log n).
 
-Memory.  A task holds the pair table (a few MB), a cache of at most
-``CACHE_PIECES`` pieces and one slice of its Arrow batch.  The operator is a map:
+Memory.  A task holds the pair table (a few MB), a cache bounded by
+``CACHE_PIECES`` and ``CACHE_CHARS``, and one slice of its Arrow batch with the ids
+of its texts.  The operator is a map:
 no shuffle, and a lost executor costs only its own tasks.
 
 Defined results.  A null or empty text has no tokens; its decoded text is empty.
+Equal ranks can't occur, so there are no ties but by place: the leftmost pair merges.
+Repeated rows are each returned; an empty table gives an empty result.  Only doc_id
+and text are read, so other columns neither clash nor pass through.
 """
 
 from __future__ import annotations
@@ -33,8 +37,8 @@ from .common import documents, table
 
 #: Longest piece, in bytes, that is merged in a matrix.
 LONG_PIECE = 64
-#: Pieces remembered in one Python worker.
-CACHE_PIECES = 400_000
+#: Pieces remembered in one Python worker, and characters of them and their ids.
+CACHE_PIECES, CACHE_CHARS = 400_000, 64 << 20
 NO_RANK = np.int32(2**31 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -101,6 +105,7 @@ class Bpe:
         #: piece -> its ids as text, and such text -> the bytes that its ids decode to
         self.cache: dict[str, str] = {}
         self.decoded: dict[str, bytes] = {}
+        self.held = 0
 
     # -- merging ---------------------------------------------------------
 
@@ -206,14 +211,16 @@ class Bpe:
 
     def _keep(self, piece: str, ids: list[int]) -> None:
         text = self.cache[piece] = ",".join(map(str, ids))
+        self.held += 2 * (len(piece) + len(text))
         if text not in self.decoded:
             self.decoded[text] = self.decode_bytes(ids)
 
     def encode_batch(self, texts: list[str]) -> list[list[str]]:
         """For each text the ids of its pieces, each piece's as decimals joined by commas."""
-        if len(self.cache) > CACHE_PIECES:
+        if len(self.cache) > CACHE_PIECES or self.held > CACHE_CHARS:
             self.cache.clear()
             self.decoded.clear()
+            self.held = 0
         split = [self.find_pieces(t) for t in texts]
         self.learn(set().union(*split))
         return [list(map(self.cache.__getitem__, pieces)) for pieces in split]
@@ -278,6 +285,10 @@ def encode_documents(df: DataFrame, path: str, pattern: str, with_ids: bool = Fa
 
 
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids of all documents and the bytes that they decode to, as digests.
+
+    Nulls, long texts and pieces, repeated rows, empty tables and other columns: see the module.
+    """
     import public_tokenizers as P
 
     return encode_documents(table(spark, sf_dir, "documents"), P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)

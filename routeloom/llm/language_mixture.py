@@ -13,7 +13,10 @@ each language, of which there may be ``MAX_LANGUAGES``.
 
 Defined results.  ``und`` with score 0 for null texts and texts without a letter,
 and for every text if nothing could be learned.  Ties go to the language that
-sorts first.
+sorts first.  Repeated rows are each learned from and each predicted; an empty table
+gives an empty result.  Of the input only doc_id, text and lang are read, so other
+columns neither clash nor pass through.  A text of any length is at most ``CELLS``
+distinct n-grams.  More languages than ``MAX_LANGUAGES`` are an error.
 """
 
 from __future__ import annotations
@@ -129,6 +132,10 @@ def predict_languages(df: DataFrame, counts: dict[str, np.ndarray]) -> DataFrame
 
 
 def op5_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Languages of all documents, learned from those outside the held-out fold.
+
+    Nulls, texts without letters, ties, repeated rows, empty tables and other columns: see the module.
+    """
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     counts = language_counts(docs.filter(tables.fold(4) != 2))
     out = predict_languages(docs, counts)
