@@ -5,10 +5,11 @@ digits, the most significant first: bytes 0 to 24, then bytes 25 to 49.  A digit
 value is its 64-bit hash, so that suffixes spread evenly over buckets; groups of
 equal digits are those of any order.
 
-1. First pass.  Texts are dealt into batches.  A batch sorts the first digits of all
-   its suffixes and sends each value once to the bucket of its leading bits, which
-   finds the values that two batches or more have and tells them so.  Here digits
-   are cut to some two bytes beyond what tells a batch's own values apart.
+1. First pass, over one half of the digit's values after the other.  Texts are dealt
+   into batches.  A batch sorts the first digits of all its suffixes and sends each
+   value once to the bucket of its leading bits, which finds the values that two
+   batches or more have and tells them so.  Here digits are cut to some two bytes
+   beyond what tells a batch's own values apart.
 2. Drop-out.  A suffix stays if another batch, or another document of its batch, has
    its first digit; groups of one document end here, and that is most suffixes.
 3. Second pass.  The rest are sorted by both digits (96 bits).  In each group of the
@@ -21,8 +22,9 @@ Scale.  Two bytes a suffix travel in the first pass, some 14 bytes for each dist
 window that stays in the second, as frames (see ``packed``).  One entry stands for a
 value in a batch, so what a bucket hears of a passage, however common, grows with
 the number of batches and not with that of documents.  Texts cross the network once
-for each pass and once for the result.  Every pass ends in a table in the shared
-folder.
+for each half of the first pass, for the second and for the result.  Every one ends in
+a table in the shared folder and drops its shuffle files, so the halves need not lie
+on disk together.
 
 Defined results.  Null text counts as empty.  A null doc_id is smaller than every
 other.  Rows that share a doc_id never mark each other; each is judged by its own
@@ -35,6 +37,7 @@ one task, its suffixes in ranges of ``RANGE`` at a time.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +51,8 @@ WINDOW = 50
 #: Text bytes of a batch, of a bucket, and hashed at once; suffixes of a batch that are sorted at once.
 BATCH_BYTES, BUCKET_BYTES, CHUNK_BYTES, RANGE = 8 << 20, 6 << 20, 1 << 20, 16 << 20
 NULL_ID = np.iinfo(np.int64).min
+#: Parts of the first digit's values, one after another; bits of the table of wanted digits.
+PARTS, TABLE_BITS = 2, 25
 _U = np.uint64
 #: Kinds of frames: values or groups for a bucket, a bucket's answer, what a batch keeps for itself.
 VALUES, ANSWER, STATE = 0, 1, 2
@@ -126,11 +131,12 @@ class Batch:
                 room[max(0, end - WINDOW + 1 - a) : end + 1 - a] = False
             yield a, h, room
 
-    def ranges(self) -> list[tuple[int, int]]:
-        """Ranges of cut digits that hold about ``RANGE`` suffixes each."""
+    def ranges(self, part: int = 0, parts: int = 1) -> list[tuple[int, int]]:
+        """Ranges of cut digits that hold about ``RANGE`` suffixes each, in one part of all values."""
         total = int(self.end[-1]) if len(self.end) else 0
-        n, top = 1 + total // RANGE, 1 << (self.layout.bucket_bits + self.layout.digit_bits)
-        return [(top * i // n, top * (i + 1) // n) for i in range(n)]
+        n, top = 1 + total // parts // RANGE, 1 << (self.layout.bucket_bits + self.layout.digit_bits)
+        cuts = [top * (part * n + i) // (parts * n) for i in range(n + 1)]
+        return list(zip(cuts, cuts[1:]))
 
     def sorted_keys(self, low: int, high: int) -> np.ndarray:
         parts = [h[room & (h >= _U(low)) & (h < _U(high))] for _, h, room in self.keys()]
@@ -139,15 +145,18 @@ class Batch:
         return out
 
 
-def _first_pass(layout: Layout):
-    """Batch of texts -> its distinct first digits for the buckets."""
+def _distinct(s: np.ndarray) -> np.ndarray:
+    return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
+
+
+def _first_pass(layout: Layout, part: int):
+    """Batch of texts -> its distinct first digits, of one part of all, for the buckets."""
 
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         batch = Batch(pa.Table.from_batches(tables), layout)
         out, bits = Frames(layout.n_buckets, layout.fan), _U(layout.digit_bits)
-        for low, high in batch.ranges():
-            s = batch.sorted_keys(low, high)
-            s = s[np.append(True, s[1:] != s[:-1])] if len(s) else s
+        for low, high in batch.ranges(part, PARTS):
+            s = _distinct(batch.sorted_keys(low, high))
             cut = runs(s >> bits)
             for a, b in zip(cut, cut[1:]):
                 out.add(int(s[a] >> bits), key[0].as_py(), VALUES, pack_sorted(s[a:b] & _U((1 << layout.digit_bits) - 1), layout.low_bytes, layout.high_bits))
@@ -164,9 +173,8 @@ def _find_shared(layout: Layout):
         out = Frames(layout.n_batches, layout.fan)
         every = np.concatenate([x for _, _, x in lists])
         every.sort()
-        twice = every[1:][every[1:] == every[:-1]]
+        twice = _distinct(every[1:][every[1:] == every[:-1]])
         if len(twice):
-            twice = twice[np.append(True, twice[1:] != twice[:-1])]
             for to, batch, x in lists:
                 x = x[twice[np.minimum(np.searchsorted(twice, x), len(twice) - 1)] == x]
                 if len(x):
@@ -182,40 +190,37 @@ def _answers(rows: pa.Table) -> list[tuple[int, int, bytes]]:
 
 def _survivors(batch: Batch, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Places of suffixes whose first digit another batch (``shared``) or another document has, and
-    whether it is another batch."""
-    places, outside = [], []
+    whether it is another batch.
+
+    Digits are looked up in a bit table, which lets a few others pass for shared, as cut digits do.
+    """
+    mask, places, outside = _U((1 << TABLE_BITS) - 1), [], []
     for low, high in batch.ranges():
         s = batch.sorted_keys(low, high)
-        own = s[1:][s[1:] == s[:-1]]
-        wanted = np.unique(np.concatenate([own, shared[(shared >= _U(low)) & (shared < _U(high))]]))
-        if not len(wanted):
-            continue
-        # A bit table passes most of the others by before the exact search.
-        mask = _U((1 << 22) - 1)
-        maybe = np.zeros(1 << 22, dtype=bool)
-        maybe[(wanted & mask).astype(np.int64)] = True
-        at, keys = [], []
+        wanted = np.zeros(1 << TABLE_BITS, dtype=np.uint8)
+        wanted[(s[1:][s[1:] == s[:-1]] & mask).astype(np.int64)] = 1
+        wanted[(shared[(shared >= _U(low)) & (shared < _U(high))] & mask).astype(np.int64)] = 2
+        del s
+        own, keys = [], []
         for a, h, room in batch.keys():
-            near = np.flatnonzero(room & maybe[(h & mask).astype(np.int64)])
-            found = np.searchsorted(wanted, h[near])
-            near = near[wanted[np.minimum(found, len(wanted) - 1)] == h[near]]
-            at.append(near + a)
+            found = wanted[(h & mask).astype(np.int64)]
+            if len(batch.ranges()) > 1:
+                room &= (h >= _U(low)) & (h < _U(high))
+            found[~room] = 0
+            places.append(np.flatnonzero(found == 2) + a)
+            outside.append(np.ones(len(places[-1]), dtype=bool))
+            near = np.flatnonzero(found == 1)
+            own.append(near + a)
             keys.append(h[near])
-        at, keys = np.concatenate(at), np.concatenate(keys)
-        spread = np.zeros(len(at), dtype=bool)
-        if len(shared):
-            found = np.minimum(np.searchsorted(shared, keys), len(shared) - 1)
-            spread = shared[found] == keys
         # Groups of one document drop out.
-        ids = batch.ids[batch.documents(at)]
-        order = np.lexsort((ids, keys))
-        cut = runs(keys[order])
-        one = ids[order[cut[:-1]]] == ids[order[cut[1:] - 1]] if len(order) else np.zeros(0, bool)
-        several = np.empty(len(order), dtype=bool)
-        several[order] = ~np.repeat(one, np.diff(cut))
-        stay = spread | several
-        places.append(at[stay])
-        outside.append(spread[stay])
+        if own:
+            at, keys = np.concatenate(own), np.concatenate(keys)
+            ids = batch.ids[batch.documents(at)]
+            order = np.lexsort((ids, keys))
+            cut = runs(keys[order])
+            several = ids[order[cut[:-1]]] != ids[order[cut[1:] - 1]] if len(order) else np.zeros(0, bool)
+            places.append(at[order[np.repeat(several, np.diff(cut))]])
+            outside.append(np.zeros(len(places[-1]), dtype=bool))
     if not places:
         return np.zeros(0, np.int64), np.zeros(0, bool)
     return np.concatenate(places), np.concatenate(outside)
@@ -339,7 +344,7 @@ def drop_repeats(df: DataFrame, batch_bytes: int = BATCH_BYTES, bucket_bytes: in
     if (most or 0) > 1:
         docs = docs.groupBy("doc_id", "row").agg(F.first("text").alias("text"), F.sum("copies").alias("copies"))
     total, tasks = total or 0, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = Layout(total, max(tasks, total // batch_bytes), max(tasks, total // bucket_bytes), fan)
+    layout = Layout(total, max(tasks, total // batch_bytes), max(PARTS * tasks, total // bucket_bytes), fan)
     docs = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "row", F.lit(5)), F.lit(layout.n_batches)).cast("int"))
 
     def to_buckets(rows: DataFrame, how) -> DataFrame:
@@ -351,8 +356,8 @@ def drop_repeats(df: DataFrame, batch_bytes: int = BATCH_BYTES, bucket_bytes: in
     def to_batches(rows: DataFrame) -> DataFrame:
         return exchange(rows, layout.n_batches, fan)
 
-    values = docs.groupBy("batch").applyInArrow(_first_pass(layout), ROW)
-    shared = materialize(to_buckets(values, _find_shared), "suffix-first")
+    halves = [docs.groupBy("batch").applyInArrow(_first_pass(layout, i), ROW) for i in range(PARTS)]
+    shared = reduce(DataFrame.unionByName, [materialize(to_buckets(x, _find_shared), "suffix-first") for x in halves])
     groups = materialize(with_answers(to_batches(shared), _second_pass, f"kind int, {ROW}"), "suffix-second")
     smaller = materialize(to_buckets(groups.filter(F.col("kind") == VALUES).drop("kind"), _find_smaller), "suffix-smaller")
     known = to_batches(smaller).unionByName(groups.filter(F.col("kind") == STATE).drop("kind"))

@@ -86,9 +86,10 @@ def test_ranges_and_chunks():
         parts = np.concatenate([batch.sorted_keys(*r) for r in batch.ranges()])
         shared = whole[::5]
         several = S._survivors(batch, np.unique(shared))
+        halves = np.concatenate([batch.sorted_keys(*r) for i in range(2) for r in batch.ranges(i, 2)])
     finally:
         S.CHUNK_BYTES, S.RANGE = chunk, size
-    assert (parts == whole).all()
+    assert (parts == whole).all() and (halves == whole).all()
     once = S._survivors(batch, np.unique(shared))
     assert sorted(zip(*map(list, several))) == sorted(zip(*map(list, once)))
 
