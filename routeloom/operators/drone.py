@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import flight_cost
+from . import terrain
 
 PAYLOADS = ("full", "empty")
 
@@ -41,10 +42,42 @@ def corridors(legs: DataFrame) -> DataFrame:
     return legs.select("network_id", F.least("origin", "destination").alias("end_a"), F.greatest("origin", "destination").alias("end_b"), "distance_m").groupBy("network_id", "end_a", "end_b").agg(F.min("distance_m").alias("distance_m"))
 
 
-def with_corridors(legs: DataFrame, sampled: DataFrame) -> DataFrame:
-    """Legs with what was sampled for their corridor (network_id, end_a, end_b, ...)."""
+def ends(customers: DataFrame) -> DataFrame:
+    """(network_id, name, x, y) of every place that a leg starts or ends at, by its name there."""
+    place = lambda name, x, y: F.struct(name.alias("name"), F.col(x).alias("x"), F.col(y).alias("y"))
+    named = [place(F.concat(F.lit("anchor:"), "terminal_id"), "anchor_x", "anchor_y"), place(F.concat(F.lit("customer:"), "terminal_id"), "x", "y"), place(F.col("terminal_id"), "x", "y")]
+    return customers.select("network_id", F.explode(F.array(*named)).alias("e")).select("network_id", "e.name", "e.x", "e.y")
+
+
+def corridor_points(pairs: DataFrame, customers: DataFrame, step_m: float) -> DataFrame:
+    """(network_id, end_a, end_b, k, n, x, y): places along each corridor, ends included, a step apart at most."""
+    at = ends(customers)
+    a = at.select("network_id", F.col("name").alias("end_a"), F.col("x").alias("xa"), F.col("y").alias("ya"))
+    b = at.select("network_id", F.col("name").alias("end_b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
+    line = pairs.select("network_id", "end_a", "end_b").join(a, ["network_id", "end_a"]).join(b, ["network_id", "end_b"])
+    n = F.greatest(F.ceil(F.hypot(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")) / step_m), F.lit(1))
+    each = line.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))))
+    t = F.col("k") / F.col("n")
+    return each.select("network_id", "end_a", "end_b", "k", "n", (F.col("xa") + t * (F.col("xb") - F.col("xa"))).alias("x"), (F.col("ya") + t * (F.col("yb") - F.col("ya"))).alias("y"))
+
+
+def corridor_ground(points: DataFrame, dem: DataFrame, grid: dict) -> DataFrame:
+    """(network_id, end_a, end_b, z_a, z_b, z_max): ground at both ends and the highest of a corridor.
+
+    A place outside the elevation model or on nodata is an error.
+    """
+    sampled = terrain.require_samples(terrain.sample_dem(points, dem, grid["x0"], grid["y0"], grid["cell_m"]))
+    by = sampled.groupBy("network_id", "end_a", "end_b")
+    return by.agg(F.max(F.when(F.col("k") == 0, F.col("z"))).alias("z_a"), F.max(F.when(F.col("k") == F.col("n"), F.col("z"))).alias("z_b"), F.max("z").alias("z_max"))
+
+
+def with_corridors(legs: DataFrame, ground: DataFrame) -> DataFrame:
+    """Legs with z_from, z_to and z_max of their corridor (network_id, end_a, end_b, z_a, z_b, z_max)."""
     keyed = legs.withColumn("end_a", F.least("origin", "destination")).withColumn("end_b", F.greatest("origin", "destination"))
-    return keyed.join(sampled, ["network_id", "end_a", "end_b"]).drop("end_a", "end_b")
+    out = keyed.join(ground, ["network_id", "end_a", "end_b"])
+    ahead = F.col("origin") == F.col("end_a")
+    z = {"z_from": F.when(ahead, F.col("z_a")).otherwise(F.col("z_b")), "z_to": F.when(ahead, F.col("z_b")).otherwise(F.col("z_a"))}
+    return out.withColumns(z).drop("end_a", "end_b", "z_a", "z_b")
 
 
 def cost_legs(legs: DataFrame, cfg: dict) -> DataFrame:

@@ -40,8 +40,8 @@ def _share(arcs: DataFrame):
     return arcs.sparkSession.sparkContext.broadcast(out)
 
 
-def search(adjacent: dict[str, list], source: str, blocked: frozenset[str] | set[str] = frozenset()) -> dict[str, tuple[int, int, tuple[str, ...]]]:
-    """Best (time, distance, arc ids) of every node; blocked nodes are reached but not passed."""
+def search(adjacent: dict[str, list], source: str, blocked: frozenset[str] | set[str] = frozenset(), limit: int | None = None) -> dict[str, tuple[int, int, tuple[str, ...]]]:
+    """Best (time, distance, arc ids) of every node within the time ``limit``; blocked nodes are reached but not passed."""
     done: dict[str, tuple[int, int, tuple[str, ...]]] = {}
     heap: list = [(0, 0, (), source)]
     while heap:
@@ -52,20 +52,27 @@ def search(adjacent: dict[str, list], source: str, blocked: frozenset[str] | set
         if node in blocked and node != source:
             continue
         for to, dt, dd, arc in adjacent.get(node, ()):
-            if to not in done:
+            if to not in done and (limit is None or t + dt <= limit):
                 heapq.heappush(heap, (t + dt, d + dd, (*path, arc), to))
     return done
 
 
-def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | None = None) -> DataFrame:
+def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, targets: DataFrame | None = None, max_minutes: float | None = None) -> DataFrame:
     """(source, node, time_u, distance_u, arc_ids) from each row of ``sources`` (source).
 
     ``blockers`` (source, node): nodes that paths from that source may end at but not pass.
+    ``targets`` (node): the only ends that are returned.  A search goes no farther than
+    ``max_minutes``.
     """
     costed = _costed(arcs)
     shared = _share(costed)
+    limit = None if max_minutes is None else round(max_minutes * 1_000_000)
+    ends = None if targets is None else targets.select("node").distinct()
     if shared is None:
-        return relax(costed, sources, blockers)
+        found = relax(costed, sources, blockers, limit=limit)
+        return found if ends is None else found.join(ends, "node", "left_semi").select(found.columns)
+    # Ends that aren't nodes of the shared arcs can only be sources themselves.
+    wanted = None if ends is None else arcs.sparkSession.sparkContext.broadcast(frozenset(r.node for r in ends.join(_nodes(costed, sources), "node", "left_semi").toLocalIterator()))
     stops = blockers.groupBy("source").agg(F.collect_set("node").alias("blocked")) if blockers is not None else None
     plan = sources.select("source").distinct()
     plan = plan.join(stops, "source", "left") if stops is not None else plan.withColumn("blocked", F.lit(None).cast("array<string>"))
@@ -73,15 +80,23 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | No
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for source, blocked in zip(b["source"], b["blocked"]):
-                found = search(shared.value, source, frozenset(blocked) if blocked is not None else frozenset())
-                yield pd.DataFrame([(source, n, t, d, list(p)) for n, (t, d, p) in found.items()], columns=["source", "node", "time_u", "distance_u", "arc_ids"])
+                found = search(shared.value, source, frozenset(blocked) if blocked is not None else frozenset(), limit)
+                rows = [(source, n, t, d, list(p)) for n, (t, d, p) in found.items() if wanted is None or n in wanted.value]
+                yield pd.DataFrame(rows, columns=["source", "node", "time_u", "distance_u", "arc_ids"])
 
     n = max(1, int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     return plan.repartition(n, "source").mapInPandas(run, PATHS)
 
 
-def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = None) -> DataFrame:
-    """The same paths by joining a frontier with the arcs until no path improves."""
+def _nodes(costed: DataFrame, sources: DataFrame) -> DataFrame:
+    return costed.select(F.explode(F.array("from_node", "to_node")).alias("node")).unionByName(sources.select(F.col("source").alias("node"))).distinct()
+
+
+def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, stops: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+    """The same paths by joining a frontier with the arcs until no path improves.
+
+    ``stops`` (node): nodes that no path but one from there passes.
+    """
     best = materialize(
         sources.select("source").distinct().select("source", F.col("source").alias("node"), F.lit(0).cast("long").alias("time_u"), F.lit(0).cast("long").alias("distance_u"), F.array().cast("array<string>").alias("arc_ids")),
         "paths",
@@ -91,9 +106,13 @@ def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = No
         live = frontier
         if blockers is not None:
             live = frontier.join(blockers.select("source", "node"), ["source", "node"], "left_anti").unionByName(frontier.filter("source = node")).distinct()
+        if stops is not None:
+            live = live.join(stops.select(F.col("node").alias("stop")), F.col("node") == F.col("stop"), "left").filter("stop is null or source = node").drop("stop")
         step = live.join(costed.withColumnsRenamed({"time_u": "dt", "distance_u": "dd"}), F.col("node") == F.col("from_node")).select(
             "source", F.col("to_node").alias("node"), (F.col("time_u") + F.col("dt")).alias("time_u"), (F.col("distance_u") + F.col("dd")).alias("distance_u"), F.concat("arc_ids", F.array("arc_id")).alias("arc_ids")
         )
+        if limit is not None:
+            step = step.filter(F.col("time_u") <= limit)
         cost = F.struct("time_u", "distance_u", "arc_ids")
         both = best.withColumn("old", F.lit(True)).unionByName(step.withColumn("old", F.lit(False)))
         # The old path wins a tie with itself, so that only improved nodes go on.
@@ -196,12 +215,11 @@ def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | No
         live = live.join(scope.select("terminal_id"), "terminal_id", "left_semi")
     anchors = live.select(F.col("truck_anchor_id").alias("source")).distinct()
     # Blockers are the other anchors; a search passes its own source, so one set serves all.
-    nodes = [r.source for r in anchors.limit(MAX_SHARED_ARCS + 1).collect()]
-    if len(nodes) > MAX_SHARED_ARCS:
-        raise GateError(f"more than {MAX_SHARED_ARCS} anchors in one scope")
     costed = _costed(arcs)
-    shared = _share(costed)
+    few = anchors.limit(MAX_SHARED_ARCS + 1).count() <= MAX_SHARED_ARCS
+    shared = _share(costed) if few else None
     if shared is not None:
+        nodes = [r.source for r in anchors.collect()]
         blocked = arcs.sparkSession.sparkContext.broadcast(frozenset(nodes))
 
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -214,8 +232,7 @@ def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | No
         paths = anchors.repartition(max(1, min(len(nodes), int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "source").mapInPandas(run, PATHS)
     else:
         stops = anchors.select(F.col("source").alias("node"))
-        every = anchors.crossJoin(F.broadcast(stops)).filter("source <> node")
-        paths = relax(costed, anchors, every).join(stops, "node", "left_semi").filter("source <> node")
+        paths = relax(costed, anchors, stops=stops).join(stops, "node", "left_semi").filter("source <> node")
     a = live.select(F.col("terminal_id").alias("from_terminal"), F.col("truck_anchor_id").alias("source"))
     b = live.select(F.col("terminal_id").alias("to_terminal"), F.col("truck_anchor_id").alias("node"))
     logical = paths.join(a, "source").join(b, "node").select(

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import json
+import uuid
 import zipfile
 from collections.abc import Callable
 
@@ -76,15 +77,16 @@ def exists(spark: SparkSession, path: str) -> bool:
 
 
 def publish(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]], root: str, manifest: dict | None = None, fmt: str = "parquet", keys: dict[str, list[str]] | None = None) -> dict:
-    """Writes tables under a staging folder beside ``root`` and renames it when all are there.
+    """Writes tables under a staging folder of its own beside ``root`` and renames it when all are there.
 
-    An existing ``root`` is an error; a table or gate that fails leaves nothing.
-    CSV tables are sorted by their keys into one file each; Parquet ones stay as
+    An existing ``root`` is an error, also where another publisher makes it meanwhile;
+    a table or gate that fails leaves nothing, and nobody else's files are touched.
+    Digests are of the tables as they were written, read back.  CSV tables are sorted by their keys into one file each; Parquet ones stay as
     they are distributed.
     """
     if exists(spark, root):
         raise GateError(f"{root} must be a new, unprotected path")
-    stage = f"{root.rstrip('/')}.staging"
+    stage = f"{root.rstrip('/')}.staging-{uuid.uuid4().hex}"
     fs, path = _fs(spark, root)
     try:
         hashes = {}
@@ -95,27 +97,42 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], Data
                 out = df.orderBy(*(keys or {}).get(name, sorted(df.columns))).coalesce(1)
             writer = out.write.mode("errorifexists")
             (writer.option("header", True).csv if fmt == "csv" else writer.parquet)(f"{stage}/{name}")
-            # Digested as written: float columns of CSV files keep their text.
-            hashes[name] = content_digest(df, name).first().digest
+            reader = spark.read.schema(df.schema)
+            written = reader.option("header", True).csv(f"{stage}/{name}") if fmt == "csv" else reader.parquet(f"{stage}/{name}")
+            hashes[name] = content_digest(written, name).first().digest
         note = {"status": "published", **(manifest or {}), "core_hashes": hashes}
         write_text(spark, f"{stage}/manifest.json", json.dumps(note, indent=1, sort_keys=True))
-        if not fs.rename(path(stage), path(root)):
-            raise GateError(f"{root} could not be published")
+        _move(spark, stage, root)
         return note
     except BaseException:
         fs.delete(path(stage), True)
         raise
 
 
-def write_text(spark: SparkSession, file: str, text: str) -> None:
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    """Renames a folder; an existing target is an error and never gets it inside."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    fs, path = _fs(spark, target)
+    none = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), conf).rename(path(source), path(target), none)
+    except Exception as e:
+        raise GateError(f"{target} could not be published") from e
+
+
+def write_bytes(spark: SparkSession, file: str, data: bytes) -> None:
     fs, path = _fs(spark, file)
     out = fs.create(path(file), False)
     try:
-        out.write(bytearray(text.encode()))
+        out.write(bytearray(data))
     finally:
         out.close()
 
 
+def write_text(spark: SparkSession, file: str, text: str) -> None:
+    write_bytes(spark, file, text.encode())
+
+
 def read_text(spark: SparkSession, file: str) -> str:
     return spark.read.format("binaryFile").load(file).select("content").first().content.decode()
 

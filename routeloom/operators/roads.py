@@ -34,63 +34,94 @@ def _segments(roads: DataFrame) -> DataFrame:
     return roads.filter(F.size("pts") >= 2).select("source_id", "grade_key", at.alias("seq", "s")).select("source_id", "grade_key", "seq", "s.a", "s.b")
 
 
+def snapped(v: Column, precision_m: float) -> Column:
+    scale = F.lit(1 / precision_m)
+    return F.rint(v * scale) / scale
+
+
 def _cells(cell_m: float, pad: float = 0.0) -> Column:
-    """Grid cells that the box of segment a-b touches."""
+    """Grid cells that segment a-b passes through, or within ``pad`` of it: for each column of cells the
+    rows between the heights at which it enters and leaves."""
+    x1, x2 = F.least("a.x", "b.x") - pad, F.greatest("a.x", "b.x") + pad
+    low, high = F.least("a.y", "b.y") - pad, F.greatest("a.y", "b.y") + pad
+    slope = F.when(F.col("b.x") == F.col("a.x"), F.lit(None)).otherwise((F.col("b.y") - F.col("a.y")) / (F.col("b.x") - F.col("a.x")))
+    reach = F.lit(pad) + F.lit(pad) * F.abs(slope)
 
-    def span(axis: str) -> Column:
-        low, high = F.least(f"a.{axis}", f"b.{axis}") - pad, F.greatest(f"a.{axis}", f"b.{axis}") + pad
-        return F.sequence(F.floor(low / cell_m), F.floor(high / cell_m))
+    def column(i: Column) -> Column:
+        at = [F.col("a.y") + slope * (F.greatest(F.least(i * cell_m + shift, x2), x1) - F.col("a.x")) for shift in (0.0, cell_m)]
+        bottom = F.coalesce(F.greatest(F.least(*at) - reach, low), low)
+        top = F.coalesce(F.least(F.greatest(*at) + reach, high), high)
+        return F.transform(F.sequence(F.floor(bottom / cell_m), F.floor(top / cell_m)), lambda j: F.struct(i.alias("i"), j.alias("j")))
 
-    return F.flatten(F.transform(span("x"), lambda i: F.transform(span("y"), lambda j: F.struct(i.alias("i"), j.alias("j")))))
+    return F.flatten(F.transform(F.sequence(F.floor(x1 / cell_m), F.floor(x2 / cell_m)), column))
 
 
-def cuts(roads: DataFrame, cell_m: float = 500.0) -> DataFrame:
-    """(source_id, cut): positions along a road (segment number plus fraction) where another piece of
-    the same grade crosses or touches it.
+def cuts(roads: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) -> DataFrame:
+    """(source_id, pos, x, y): places along a road (segment number plus fraction) where another piece of
+    the same grade crosses or touches it, and the node there.
 
-    Pieces meet by grid cell and grade, so only near ones are compared; a pair that
-    shares several cells is compared in each and counted once.
+    Pieces meet by grid cell and grade, so only near ones are compared.  A crossing is
+    worked out once, for both roads, in the cell that it lies in: its node is the end
+    that touches, or the crossing on the precision grid, and both roads are cut at it.
     """
-    s = _segments(roads).withColumn("cell", F.explode(_cells(cell_m)))
-    p = s.select("grade_key", "cell", F.col("source_id").alias("p_id"), F.col("seq").alias("p_seq"), F.col("a").alias("p0"), F.col("b").alias("p1"))
-    q = s.select("grade_key", "cell", F.col("source_id").alias("q_id"), F.col("seq").alias("q_seq"), F.col("a").alias("q0"), F.col("b").alias("q1"))
-    pairs = p.join(q, ["grade_key", "cell"]).filter((F.col("p_id") != F.col("q_id")) | (F.abs(F.col("p_seq") - F.col("q_seq")) > 1))
+    s = _segments(roads).withColumn("cell", F.explode(_cells(cell_m, 2 * precision_m)))
+
+    def side(n: str) -> DataFrame:
+        return s.select("grade_key", "cell", F.struct(F.col("source_id").alias("id"), "seq").alias(n), F.col("a").alias(f"{n}0"), F.col("b").alias(f"{n}1"))
+
+    pairs = side("p").join(side("q"), ["grade_key", "cell"]).filter("p < q and (p.id <> q.id or q.seq - p.seq > 1)")
     d = lambda v, w, axis: F.col(f"{w}.{axis}") - F.col(f"{v}.{axis}")
     cross = d("p0", "p1", "x") * d("q0", "q1", "y") - d("p0", "p1", "y") * d("q0", "q1", "x")
     t = (d("p0", "q0", "x") * d("q0", "q1", "y") - d("p0", "q0", "y") * d("q0", "q1", "x")) / cross
     u = (d("p0", "q0", "x") * d("p0", "p1", "y") - d("p0", "q0", "y") * d("p0", "p1", "x")) / cross
-    eps = 1e-9
-    met = pairs.filter(cross != 0).withColumn("t", t).withColumn("u", u).filter(F.col("t").between(-eps, 1 + eps) & F.col("u").between(-eps, 1 + eps))
-    return met.select(F.col("p_id").alias("source_id"), F.round(F.col("p_seq") + F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.col("t"))), 9).alias("cut")).distinct()
+    met = pairs.filter(cross != 0).withColumn("t", t).withColumn("u", u)
+    place = F.struct((F.col("p0.x") + F.col("t") * d("p0", "p1", "x")).alias("x"), (F.col("p0.y") + F.col("t") * d("p0", "p1", "y")).alias("y"))
+    met = met.withColumn("at", place).filter((F.floor(F.col("at.x") / cell_m) == F.col("cell.i")) & (F.floor(F.col("at.y") / cell_m) == F.col("cell.j")))
+
+    def end(fraction: str, n: str) -> Column:
+        """0 or 1 where the place lies at that end, within the precision; the fraction where it lies between; else null."""
+        near = F.lit(1.5 * precision_m) / F.hypot(d(f"{n}0", f"{n}1", "x"), d(f"{n}0", f"{n}1", "y"))
+        f = F.col(fraction)
+        return F.when(F.abs(f) <= near, 0.0).when(F.abs(f - 1) <= near, 1.0).when(f.between(0, 1), f)
 
+    met = met.withColumn("t", end("t", "p")).withColumn("u", end("u", "q")).filter("t is not null and u is not null")
+    grid = F.struct(snapped(F.col("at.x"), precision_m).alias("x"), snapped(F.col("at.y"), precision_m).alias("y"))
+    ends = F.when(F.col("t") == 0, F.col("p0")).when(F.col("t") == 1, F.col("p1")).when(F.col("u") == 0, F.col("q0")).when(F.col("u") == 1, F.col("q1"))
+    met = met.withColumn("node", F.coalesce(ends, grid))
+    both = F.array(*[F.struct(F.col(f"{n}.id").alias("source_id"), (F.col(f"{n}.seq") + F.col(f)).alias("pos")) for n, f in (("p", "t"), ("q", "u"))])
+    return met.select(F.explode(both).alias("c"), "node").select("c.source_id", "c.pos", "node.x", "node.y").distinct()
 
-def noded_segments(roads: DataFrame, cell_m: float = 500.0) -> DataFrame:
+
+def noded_segments(roads: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) -> DataFrame:
     """Roads cut where they meet others of their grade: (segment_id, attributes, pts).
 
-    No piece is invented.  A closed ring that meets nothing is cut at its start and
-    at its middle vertex.  Pieces that lie along one another aren't noded.
+    Vertices are put on the precision grid first; two roads that meet share their node
+    exactly.  No piece is invented.  A closed ring that meets nothing is cut at its
+    start and at its middle vertex.  Pieces that lie along one another aren't noded.
     """
-    found = cuts(roads, cell_m).groupBy("source_id").agg(F.collect_list("cut").alias("found"))
+    place = lambda p: F.struct(snapped(p["x"], precision_m).alias("x"), snapped(p["y"], precision_m).alias("y"))
+    roads = roads.filter(F.size("pts") >= 2).withColumn("pts", F.transform("pts", place))
+    kind = "array<struct<pos:double,x:double,y:double>>"
+    found = cuts(roads, cell_m, precision_m).groupBy("source_id").agg(F.collect_list(F.struct("pos", "x", "y")).alias("found"))
     last = (F.size("pts") - 1).cast("double")
-    inner = F.filter(F.coalesce("found", F.array().cast("array<double>")), lambda c: (c > 0) & (c < last))
-    ring = F.element_at("pts", 1).eqNullSafe(F.element_at("pts", -1))
-    inner = F.when(ring & (F.size(inner) == 0) & (F.size("pts") > 3), F.array(F.floor(last / 2).cast("double"))).otherwise(inner)
-    marks = F.sort_array(F.array_distinct(F.concat(F.array(F.lit(0.0)), inner, F.array(last))))
+    mark = lambda pos, p: F.struct(pos.alias("pos"), p["x"].alias("x"), p["y"].alias("y"))
+    first, final = F.element_at("pts", 1), F.element_at("pts", -1)
+    inner = F.filter(F.coalesce("found", F.array().cast(kind)), lambda c: (c["pos"] > 0) & (c["pos"] < last))
+    ring = first.eqNullSafe(final)
+    middle = F.floor(last / 2)
+    half = F.array(mark(middle.cast("double"), F.get("pts", middle.cast("int")))).cast(kind)
+    inner = F.when(ring & (F.size(inner) == 0) & (F.size("pts") > 3), half).otherwise(inner)
+    marks = F.sort_array(F.array_distinct(F.concat(F.array(mark(F.lit(0.0), first)).cast(kind), inner, F.array(mark(last, final)).cast(kind))))
     runs = F.posexplode(F.expr("transform(sequence(0, size(marks) - 2), i -> struct(marks[i] as c0, marks[i + 1] as c1))"))
-    out = roads.filter(F.size("pts") >= 2).join(found, "source_id", "left").withColumn("marks", marks)
+    out = roads.join(found, "source_id", "left").withColumn("marks", marks)
     out = out.select("*", runs.alias("part", "m"))
-
-    def point(c: str) -> Column:
-        return F.expr(
-            f"struct(pts[cast(floor({c}) as int)].x + ({c} - floor({c})) * (coalesce(get(pts, cast(floor({c}) as int) + 1).x, pts[cast(floor({c}) as int)].x) - pts[cast(floor({c}) as int)].x) as x, "
-            f"pts[cast(floor({c}) as int)].y + ({c} - floor({c})) * (coalesce(get(pts, cast(floor({c}) as int) + 1).y, pts[cast(floor({c}) as int)].y) - pts[cast(floor({c}) as int)].y) as y)"
-        )
-
-    between = F.expr("filter(pts, (p, i) -> i > m.c0 and i < m.c1)")
+    point = lambda c: F.struct(F.col(f"{c}.x").alias("x"), F.col(f"{c}.y").alias("y"))
+    between = F.expr("filter(pts, (p, i) -> i > m.c0.pos and i < m.c1.pos)")
+    # Several roads may meet in one place at positions that differ by rounding: nothing lies between those.
     return out.select(
         F.concat_ws(":", "source_id", F.col("part").cast("string")).alias("segment_id"), "source_id", "grade_key", "road_class", "oneway",
         F.concat(F.array(point("m.c0")), between, F.array(point("m.c1"))).alias("pts"),
-    )
+    ).filter(F.size(F.array_distinct("pts")) > 1)
 
 
 def node_key(x: Column, y: Column, decimals: int = 6) -> Column:

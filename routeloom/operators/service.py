@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import GateError
+from ..workspace import materialize
+from .components import components
 
-#: Candidate sites of one exact search, and site-demand pairs brought to the driver for it.
-MAX_SITES, MAX_PAIRS = 24, 100_000
 MINUTES, METRES = 45.0, 10_000.0
 
 
@@ -24,32 +27,45 @@ def serviceable_pairs(paths: DataFrame, demands: DataFrame, minutes: float = MIN
     return near.filter("site <> demand").unionByName(own).join(demands, "demand")
 
 
-def min_site_cover(pairs: DataFrame, demands: DataFrame, max_sites: int | None = MAX_SITES) -> list[dict]:
+COVER = "demand string, site string, time_min double, population double"
+
+
+def min_site_cover(pairs: DataFrame, demands: DataFrame) -> DataFrame:
     """The exact cover: fewest sites, then least population-weighted time, then smallest ids.
 
-    Each demand goes to its quickest chosen site.  Searches sets of growing size by
-    branch and bound on the driver, so pairs are bounded, and sites unless
-    ``max_sites`` is None; more are an error and never an approximation.
+    Each demand goes to its quickest chosen site.  Sites and demands that no chain of
+    pairs joins can't influence one another, so each such part is searched by itself,
+    by branch and bound, on the executors; numbers, times and ids of the parts add up
+    to those of the whole.  There is no limit on sites, and never an approximation;
+    a part is one task's work, and its search can take long if it is large.
     """
-    rows = pairs.select("site", "demand", "time_min", "population").limit(MAX_PAIRS + 1).collect()
-    if len(rows) > MAX_PAIRS:
-        raise GateError(f"more than {MAX_PAIRS} site-demand pairs")
-    wanted = sorted(r.demand for r in demands.select("demand").limit(MAX_PAIRS + 1).collect())
-    sites = sorted({r.site for r in rows})
-    if max_sites is not None and len(sites) > max_sites:
-        raise GateError(f"more than {max_sites} candidate sites")
-    cost: dict[str, dict[str, tuple[float, float]]] = {}
-    for r in rows:
-        cost.setdefault(r.demand, {})[r.site] = (r.time_min, r.population)
-    if any(d not in cost for d in wanted):
+    pairs = materialize(pairs.select("site", "demand", F.col("time_min").cast("double").alias("time_min"), F.col("population").cast("double").alias("population")), "cover-pairs")
+    if not demands.join(pairs, "demand", "left_anti").isEmpty():
         raise GateError("a demand has no site within its limits")
-    if not wanted:
-        return []
-    for k in range(1, len(wanted) + 1):
+    wanted = pairs.join(demands.select("demand"), "demand", "left_semi")
+    part = components(wanted.select(F.xxhash64("site").alias("a"), F.xxhash64("demand").alias("b")), "cover-parts", SMALL_PARTS)
+    own = F.xxhash64("demand")
+    dealt = wanted.withColumn("n", own).join(part, F.col("n") == F.col("node"), "left").withColumn("part", F.coalesce("root", "n")).drop("n", "node", "root")
+    return dealt.groupBy("part").applyInArrow(_cover_part, COVER)
+
+
+#: Pairs whose parts are found in one task.
+SMALL_PARTS = 200_000
+
+
+def _cover_part(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    cost: dict[str, dict[str, tuple[float, float]]] = {}
+    for b in tables:
+        for d, s, t, n in zip(*(b.column(c).to_pylist() for c in ("demand", "site", "time_min", "population"))):
+            cost.setdefault(d, {})[s] = (t, n)
+    wanted = sorted(cost)
+    k, pick = 0, None
+    while pick is None:
+        k += 1
         pick = _best_cover(k, wanted, cost)
-        if pick is not None:
-            return [{"demand": d, "site": s, "time_min": t, "population": cost[d][s][1]} for d, (t, s) in zip(wanted, pick)]
-    raise GateError("no set of sites serves all demands")
+    cols = [wanted, [s for _, s in pick], [t for t, _ in pick], [cost[d][s][1] for d, (_, s) in zip(wanted, pick)]]
+    kinds = [pa.string(), pa.string(), pa.float64(), pa.float64()]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds)], ["demand", "site", "time_min", "population"])
 
 
 def _best_cover(k: int, wanted: list[str], cost: dict[str, dict[str, tuple[float, float]]]) -> list[tuple[float, str]] | None:

@@ -18,13 +18,14 @@ def sample_dem(points: DataFrame, dem: DataFrame, x0: float, y0: float, cell_m:
     c, r = (F.col("x") - x0) / cell_m - 0.5, (F.lit(y0) - F.col("y")) / cell_m - 0.5
     at = points.withColumn("__c", F.floor(c)).withColumn("__r", F.floor(r)).withColumn("__u", c - F.floor(c)).withColumn("__v", r - F.floor(r))
     corner = F.explode(F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)]))
-    near = at.withColumn("k", corner).withColumn("__row", F.col("__r") + F.col("k.i")).withColumn("__col", F.col("__c") + F.col("k.j"))
-    weight = F.when(F.col("k.i") == 1, F.col("__v")).otherwise(1 - F.col("__v")) * F.when(F.col("k.j") == 1, F.col("__u")).otherwise(1 - F.col("__u"))
+    near = at.withColumn("__k", corner).withColumn("__row", F.col("__r") + F.col("__k.i")).withColumn("__col", F.col("__c") + F.col("__k.j"))
+    weight = F.when(F.col("__k.i") == 1, F.col("__v")).otherwise(1 - F.col("__v")) * F.when(F.col("__k.j") == 1, F.col("__u")).otherwise(1 - F.col("__u"))
     grid = dem.select(F.col("row").cast("long").alias("__row"), F.col("col").cast("long").alias("__col"), "z", F.lit(1).alias("__there"))
-    met = near.withColumn("__w", weight).join(grid, ["__row", "__col"], "left")
-    out = met.groupBy(*[F.col(x) for x in points.columns]).agg(F.count("__there").alias("__n"), F.count("z").alias("__z"), F.sum(F.col("__w") * F.col("z")).alias("z"))
-    status = F.when(F.col("__n") < 4, "interpolation margin").when(F.col("__z") < 4, "nodata").otherwise("ok")
-    return out.withColumn("status", status).withColumn("z", F.when(F.col("status") == "ok", F.col("z"))).drop("__n", "__z")
+    names = [F.col(x) for x in points.columns]
+    met = near.select(*names, "__row", "__col", weight.alias("__w")).join(grid.withColumnRenamed("z", "__z"), ["__row", "__col"], "left")
+    out = met.groupBy(*[F.col(x) for x in points.columns]).agg(F.count("__there").alias("__n"), F.count("__z").alias("__known"), F.sum(F.col("__w") * F.col("__z")).alias("z"))
+    status = F.when(F.col("__n") < 4, "interpolation margin").when(F.col("__known") < 4, "nodata").otherwise("ok")
+    return out.withColumn("status", status).withColumn("z", F.when(F.col("status") == "ok", F.col("z"))).drop("__n", "__known")
 
 
 def require_samples(sampled: DataFrame) -> DataFrame:

@@ -31,15 +31,30 @@ ACTIVE = f"SELECT * FROM ({TERMINALS}) WHERE k % 4 = 0"
 PROFILE_POINTS = """
 SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) * 10.0 AS d, value AS z,
        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events"""
-#: Straight streets: even keys run east, odd keys north; every third is one-way.
-STREETS = """
+#: Streets of two pieces in the map's own metres, two to four steps from the axes: even keys run along,
+#: odd ones across; every third is one-way.  The piece between is bent by a few metres.
+PLACE_X, PLACE_Y = "1300000.0 + 0.8 * {x} - 0.6 * {y}", "5002000.0 + 0.6 * {x} + 0.8 * {y}"
+_STREET = """
 SELECT 'S' || lpad(CAST(n_nationkey AS STRING), 2, '0') AS source_id, n_nationkey AS k, CASE WHEN n_nationkey % 10 = 9 THEN '1' ELSE '0' END AS grade_key,
        CASE WHEN n_nationkey % 4 = 0 THEN 'secondary' ELSE 'residential' END AS road_class, CASE WHEN n_nationkey % 3 = 0 THEN 'yes' WHEN n_nationkey % 7 = 1 THEN '-1' ELSE 'no' END AS oneway,
        CASE WHEN n_nationkey = 11 THEN 'private' END AS access,
        CASE WHEN n_nationkey % 2 = 0 THEN 0.0 ELSE n_nationkey * 40.0 END AS x1, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 40.0 ELSE 0.0 END AS y1,
-       CASE WHEN n_nationkey % 2 = 0 THEN 300.0 + n_nationkey * 30.0 ELSE n_nationkey * 40.0 END AS x2, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 40.0 ELSE 350.0 + n_nationkey * 20.0 END AS y2
+       CASE WHEN n_nationkey % 2 = 0 THEN 300.0 + n_nationkey * 30.0 ELSE n_nationkey * 40.0 + 13.0 END AS x3, CASE WHEN n_nationkey % 2 = 0 THEN n_nationkey * 40.0 + 17.0 ELSE 350.0 + n_nationkey * 20.0 END AS y3
 FROM nation"""
+
+
+def _placed(x: str, y: str, n: int) -> str:
+    return f"round({PLACE_X.format(x=x, y=y)}, 3) AS x{n}, round({PLACE_Y.format(x=x, y=y)}, 3) AS y{n}"
+
+
+STREETS = f"SELECT source_id, k, grade_key, road_class, oneway, access, {_placed('x1', 'y1', 1)}, {_placed('((x1 + x3) / 2 + 3.0)', '((y1 + y3) / 2 - 4.0)', 2)}, {_placed('x3', 'y3', 3)} FROM ({_STREET})"
+#: The open streets' straight pieces.
+PIECES = f"""
+SELECT source_id, grade_key, 0 AS seq, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS "by" FROM ({STREETS}) WHERE access IS NULL
+UNION ALL SELECT source_id, grade_key, 1, x2, y2, x3, y3 FROM ({STREETS}) WHERE access IS NULL"""
 CUSTOMER_POINTS = "SELECT c_custkey AS id, (c_custkey * 37 % 1499) * 1.0 AS x, (c_custkey * 91 % 1493) * 1.0 AS y, c_nationkey AS nation FROM customer"
+#: The same points among the streets.
+PLACED_POINTS = f"SELECT id, {PLACE_X.format(x='x', y='y')} AS x, {PLACE_Y.format(x='x', y='y')} AS y FROM ({CUSTOMER_POINTS})"
 #: Every supplier, two networks for each forty keys: legs are quadratic in a network of twenty at most, and grow with the table.
 NETWORK_CUSTOMERS = """
 SELECT 'W' || CAST(CAST(floor(s_suppkey / 40) AS BIGINT) * 2 + s_suppkey % 2 AS STRING) AS network_id,

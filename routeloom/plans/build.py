@@ -17,7 +17,7 @@ from ..operators import drone, paths, population, release, roads, scenarios, ser
 from ..sources.profile import validate_profile
 from ..workspace import materialize
 
-MOTHER = ["terminals", "physical_edges", "arc_costs", "elevation_profiles", "road_source_assessment"]
+MOTHER = ["terminals", "physical_edges", "arc_costs", "elevation_profiles", "road_source_assessment", "elevation_model", "elevation_grid"]
 SPEEDS = {"secondary": 60.0, "residential": 35.0}
 SAMPLE_STEP_M = 50.0
 
@@ -92,9 +92,14 @@ def build_mother(spark: SparkSession, profile: dict, raw: dict) -> dict[str, Dat
         "terminal_id", "population", "x_m", "y_m", "z", "is_depot", "truck_anchor_id", F.col("p.x").alias("anchor_x"), F.col("p.y").alias("anchor_y"), "distance_covered",
         F.when(F.col("distance_covered"), "active").otherwise("inaccessible").alias("truck_service_status"),
     )
+    grid = spark.createDataFrame([tuple(float(raw["grid"][k]) for k in ("x0", "y0", "cell_m"))], "x0 double, y0 double, cell_m double")
     keep = ["attempt", "provider", "qualified", "demand_denominator", "inaccessible_count", "inaccessible_ratio", "depot_attached", "depot_terminal_id", "rule"]
     gate = spark.createDataFrame([tuple(r[k] for k in keep) for r in assessed], "attempt int, provider string, qualified boolean, demand_denominator long, inaccessible_count long, inaccessible_ratio double, depot_attached boolean, depot_terminal_id string, rule string")
-    return {"terminals": materialize(placed, "placed"), "physical_edges": edges, "arc_costs": materialize(arc_costs(edges, profiles, profile), "arcs"), "elevation_profiles": profiles, "road_source_assessment": gate}
+    return {"terminals": materialize(placed, "placed"), "physical_edges": edges, "arc_costs": materialize(arc_costs(edges, profiles, profile), "arcs"), "elevation_profiles": profiles, "road_source_assessment": gate, "elevation_model": raw["dem"], "elevation_grid": grid}
+
+
+def _grid(mother: dict[str, DataFrame]) -> dict:
+    return mother["elevation_grid"].first().asDict()
 
 
 def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict, profile: dict, reference: DataFrame | None) -> dict[str, DataFrame]:
@@ -121,29 +126,27 @@ def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict
     e, demand = profile["energy"], who.filter("not is_depot")
     needs = demand.select("terminal_id", "population", fn.goods_kg(F.col("population"), e["kg_per_person"]).alias("goods_kg"), fn.household_energy_kwh(F.col("population"), e["household_size"], e["annual_household_kwh"]).alias("energy_kwh"))
     sites = who.select(F.col("truck_anchor_id").alias("source"))
-    whole = paths.shortest_paths(arcs, sites)
+    whole = paths.shortest_paths(arcs, sites, targets=sites.withColumnRenamed("source", "node"), max_minutes=service.MINUTES)
     at = who.select("terminal_id", F.col("truck_anchor_id").alias("anchor"))
     routes = whole.join(at.select(F.col("terminal_id").alias("site"), F.col("anchor").alias("source")), "source").join(at.select(F.col("terminal_id").alias("demand"), F.col("anchor").alias("node")), "node")
     routes = routes.select("site", "demand", (F.col("time_u") / 1e6).alias("time_min"), (F.col("distance_u") / 1e6).alias("distance_m"))
     people = demand.select(F.col("terminal_id").alias("demand"), "population")
     eligible = routes.join(people.select("demand"), "demand", "left_semi").join(people.select(F.col("demand").alias("site")), "site", "left_semi")
-    cover = service.min_site_cover(service.serviceable_pairs(eligible, people), people)
-    assigned = spark.createDataFrame(cover, "demand string, site string, time_min double, population double")
-
-    c = who.select(name.alias("network_id"), "terminal_id", F.col("x_m").alias("x"), F.col("y_m").alias("y"), "anchor_x", "anchor_y", "z")
-    top = profile["drone"].get("corridor_margin_m", 0.0)
-    high = who.agg(F.max("z")).first()[0] + top
-    legs = drone.raw_legs(c).join(c.select(F.col("terminal_id").alias("anchor_terminal"), F.col("z").alias("za")), "anchor_terminal").join(c.select(F.col("terminal_id").alias("customer"), F.col("z").alias("zb")), "customer")
-    full = F.col("payload") == "full"
-    legs = drone.cost_legs(legs.withColumn("z_from", F.when(full, F.col("za")).otherwise(F.col("zb"))).withColumn("z_to", F.when(full, F.col("zb")).otherwise(F.col("za"))).withColumn("z_max", F.lit(high)).drop("za", "zb"), profile["drone"])
-    flat = drone.centroid_legs(c).join(c.select(F.col("terminal_id").alias("origin"), F.col("z").alias("z_from")), "origin").join(c.select(F.col("terminal_id").alias("destination"), F.col("z").alias("z_to")), "destination")
-    flat = drone.cost_legs(flat.withColumn("z_max", F.lit(high)), profile["drone"])
+    assigned = materialize(service.min_site_cover(service.serviceable_pairs(eligible, people), people), "cover")
+
+    c = who.select(name.alias("network_id"), "terminal_id", F.col("x_m").alias("x"), F.col("y_m").alias("y"), "anchor_x", "anchor_y")
+    raw_legs, flat_legs = drone.raw_legs(c), drone.centroid_legs(c)
+    pairs = drone.corridors(raw_legs.select("network_id", "origin", "destination", "distance_m").unionByName(flat_legs.select("network_id", "origin", "destination", "distance_m")))
+    points = drone.corridor_points(pairs, c, profile["drone"].get("corridor_step_m", SAMPLE_STEP_M))
+    ground = materialize(drone.corridor_ground(materialize(points, "corridor-points"), mother["elevation_model"], _grid(mother)), "corridors")
+    ground = ground.withColumn("z_max", F.col("z_max") + profile["drone"].get("corridor_margin_m", 0.0))
+    legs, flat = (drone.cost_legs(drone.with_corridors(x, ground), profile["drone"]) for x in (raw_legs, flat_legs))
 
     s = profile["scenarios"]
     registry = scenarios.scenario_registry(spark.createDataFrame([(scope["id"],)], "network_id string"), s["enabled"], s.get("seed", 1))
     base = logical.select(name.alias("network_id"), F.col("contracted_logical_arc_id").alias("arc"), F.col("contracted_logical_connection_id").alias("connection"), "time_min", F.col("truck_energy_kwh").alias("energy_kwh"), F.col("midrank").alias("rank"))
     out = {
-        "customers": who, "logical_arcs": logical, "lineage": lineage, "demands": needs, "microgrid": assigned, "backbone": paths.backbone(lineage, arcs), "drone_raw_legs": legs, "drone_centroid_legs": flat,
+        "customers": who, "logical_arcs": logical, "lineage": lineage, "demands": needs, "microgrid": assigned, "backbone": paths.backbone(lineage, arcs), "drone_raw_legs": legs, "drone_centroid_legs": flat, "drone_corridors": ground,
         "scenario_registry": registry, "scenario_arcs": scenarios.disrupted_arcs(base, registry, s.get("seed", 1)), "slopes": slopes,
     }
     return {k: v if "network_id" in v.columns else v.withColumn("network_id", name) for k, v in out.items()}
@@ -157,9 +160,17 @@ def violations(mother: dict[str, DataFrame], net: dict[str, DataFrame]) -> dict[
     legs = net["drone_raw_legs"].groupBy("network_id").agg(F.count(F.lit(1)).alias("legs")).join(who.groupBy("network_id").agg(F.count(F.lit(1)).alias("n")), "network_id")
     demands = net["demands"].select("network_id", F.col("terminal_id").alias("demand"), "population")
     served = net["microgrid"].groupBy("network_id", "demand").agg(F.count(F.lit(1)).alias("k"), F.sum("population").alias("served"))
-    flat_kwh = arcs.filter("truck_energy_kwh <= 0 or (cumulative_ascent_m < 0) or (cumulative_descent_m < 0)")
+    # The two arcs of an edge read one profile: what one climbs the other descends, and the one that climbs more needs more.
+    way = lambda sign: arcs.filter(F.col("arc_id").endswith(sign)).select("edge_id", *[F.col(x).alias(f"{x}{sign}") for x in ("truck_energy_kwh", "cumulative_ascent_m", "cumulative_descent_m")])
+    both = way("+").join(way("-"), "edge_id")
+    up, kwh = F.col("`cumulative_ascent_m+`") - F.col("`cumulative_ascent_m-`"), F.col("`truck_energy_kwh+`") - F.col("`truck_energy_kwh-`")
+    mirrored = (F.abs(F.col("`cumulative_ascent_m+`") - F.col("`cumulative_descent_m-`")) > 1e-6) | (F.abs(F.col("`cumulative_ascent_m-`") - F.col("`cumulative_descent_m+`")) > 1e-6)
+    directional = both.filter(mirrored | ((F.abs(up) > 1e-6) & (up * kwh <= 0)) | ((F.abs(up) <= 1e-6) & (F.abs(kwh) > 1e-6))).select("edge_id")
+    flat_kwh = directional.unionByName(arcs.filter("truck_energy_kwh <= 0 or cumulative_ascent_m < 0 or cumulative_descent_m < 0").select("edge_id"))
+    places = mother["physical_edges"].select(F.explode(F.array(F.struct(F.col("from_node").alias("n"), F.element_at("pts", 1).alias("p")), F.struct(F.col("to_node").alias("n"), F.element_at("pts", -1).alias("p")))).alias("e")).select("e.n", "e.p.x", "e.p.y").groupBy("n").agg(F.min(F.struct("x", "y")).alias("p"))
+    off = who.join(places, F.col("truck_anchor_id") == F.col("n"), "left").filter("n is null or abs(anchor_x - p.x) > 0.01 or abs(anchor_y - p.y) > 0.01 or x_m is null or y_m is null or x_m = 'NaN' or y_m = 'NaN'")
     return {
-        "customer_coordinates": who.filter("x_m is null or y_m is null or anchor_x is null"),
+        "customer_coordinates": off,
         "depot_roles": depots,
         "directional_energy": flat_kwh,
         "microgrid_assignment_conservation": demands.join(served, ["network_id", "demand"], "full_outer").filter("coalesce(k, 0) <> 1 or abs(population - served) > 1e-9"),

@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
+import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
 from ..operators import drone, paths, population, release, roads, scenarios, service, terrain
+from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
+from ..workspace import materialize, work_path
 from . import bridges as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,53 +209,87 @@ def dem_bilinear(spark: SparkSession, sf: str) -> DataFrame:
 
 def streets(spark: SparkSession, sf: str) -> DataFrame:
     point = lambda i: F.struct(F.col(f"x{i}").cast("double").alias("x"), F.col(f"y{i}").cast("double").alias("y"))
-    return B.rows(spark, sf, B.STREETS).select("source_id", "k", "grade_key", "road_class", "oneway", "access", F.array(point(1), point(2)).alias("pts"))
+    return B.rows(spark, sf, B.STREETS).select("source_id", "k", "grade_key", "road_class", "oneway", "access", F.array(point(1), point(2), point(3)).alias("pts"))
 
 
+def street_graph(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    return roads.build_graph(roads.noded_segments(roads.open_roads(streets(spark, sf))))
+
+
+def placed_services(spark: SparkSession, sf: str) -> DataFrame:
+    points = B.rows(spark, sf, B.PLACED_POINTS)
+    return points.select(F.col("id").cast("string").alias("terminal_id"), F.col("x").cast("double").alias("access_reference_x_m"), F.col("y").cast("double").alias("access_reference_y_m"))
+
+
+#: Each pair of pieces of one grade by the textbook's formula; a place within 1.5 mm of an end is that end.
+#: ``c`` has the places inside streets, ``n`` the streets with their number of edges.
 _CUTS = f"""
-WITH s AS (SELECT * FROM ({B.STREETS}) WHERE access IS NULL),
-x AS (SELECT h.source_id AS h, v.source_id AS v, v.x1 AS hx, h.y1 AS vy, h.x2 AS hlen, v.y2 AS vlen FROM s h JOIN s v ON h.k % 2 = 0 AND v.k % 2 = 1 AND h.grade_key = v.grade_key AND v.x1 BETWEEN 0 AND h.x2 AND h.y1 BETWEEN 0 AND v.y2),
-c AS (SELECT h AS source_id, hx AS at FROM x WHERE hx > 0 AND hx < hlen UNION SELECT v, vy FROM x WHERE vy > 0 AND vy < vlen),
-n AS (SELECT s.source_id, count(c.at) + 1 AS n_edges, abs(x2 - x1) + abs(y2 - y1) AS length_m, road_class, oneway FROM s LEFT JOIN c ON s.source_id = c.source_id GROUP BY ALL)
+WITH g AS ({B.PIECES}),
+w AS (SELECT p.source_id AS ps, q.source_id AS qs, p.seq AS pn, q.seq AS qn, p.ax, p.ay, p.bx - p.ax AS px, p."by" - p.ay AS py, q.bx - q.ax AS qx, q."by" - q.ay AS qy, q.ax - p.ax AS dx, q.ay - p.ay AS dy
+      FROM g p JOIN g q ON p.grade_key = q.grade_key AND p.source_id < q.source_id),
+v AS (SELECT *, (dx * qy - dy * qx) / (px * qy - py * qx) AS t, (dx * py - dy * px) / (px * qy - py * qx) AS u, 0.0015 / sqrt(px * px + py * py) AS et, 0.0015 / sqrt(qx * qx + qy * qy) AS eu FROM w WHERE px * qy - py * qx <> 0),
+x AS (SELECT ps, qs, ax + t * px AS x, ay + t * py AS y, pn + CASE WHEN abs(t) <= et THEN 0 WHEN abs(t - 1) <= et THEN 1 ELSE t END AS pc, qn + CASE WHEN abs(u) <= eu THEN 0 WHEN abs(u - 1) <= eu THEN 1 ELSE u END AS qc
+      FROM v WHERE t BETWEEN -et AND 1 + et AND u BETWEEN -eu AND 1 + eu),
+c AS (SELECT source_id, round(pos, 7) AS pos FROM (SELECT ps AS source_id, pc AS pos FROM x UNION ALL SELECT qs, qc FROM x) WHERE pos > 0 AND pos < 2 GROUP BY 1, 2),
+k AS (SELECT source_id, count(*) AS n FROM c GROUP BY 1),
+m AS (SELECT source_id, sum(sqrt((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay))) AS length_m FROM g GROUP BY 1),
+n AS (SELECT s.source_id, coalesce(k.n, 0) + 1 AS n_edges, length_m, road_class, oneway FROM ({B.STREETS}) s JOIN m ON s.source_id = m.source_id LEFT JOIN k ON s.source_id = k.source_id)
 """
 
 
-@query(_CUTS + "SELECT source_id, n_edges, round(length_m, 6) AS length_m FROM (SELECT source_id, n_edges, length_m FROM n)")
+@query(_CUTS + "SELECT source_id, n_edges, round(length_m, 2) AS length_m FROM n")
 def road_noding(spark: SparkSession, sf: str) -> DataFrame:
-    """Open streets cut at same-grade crossings; their length is kept."""
+    """Open streets cut at same-grade crossings; their length is kept but for the precision."""
     cut = roads.noded_segments(roads.open_roads(streets(spark, sf)))
-    return cut.withColumn("m", roads.length_m()).groupBy("source_id").agg(F.count(F.lit(1)).alias("n_edges"), F.round(F.sum("m"), 6).alias("length_m"))
+    return cut.withColumn("m", roads.length_m()).groupBy("source_id").agg(F.count(F.lit(1)).alias("n_edges"), F.round(F.sum("m"), 2).alias("length_m"))
+
+
+@query(_CUTS + """, ends AS (SELECT source_id, x1 AS x, y1 AS y FROM (%s) WHERE access IS NULL UNION ALL SELECT source_id, x3, y3 FROM (%s) WHERE access IS NULL),
+met AS (SELECT DISTINCT round(x, 2) AS x, round(y, 2) AS y FROM x),
+loose AS (SELECT * FROM ends WHERE NOT EXISTS (SELECT 1 FROM x WHERE abs(x.x - ends.x) < 0.01 AND abs(x.y - ends.y) < 0.01 AND source_id IN (ps, qs)))
+SELECT (SELECT count(*) FROM met) + (SELECT count(*) FROM loose) AS n_nodes, (SELECT CAST(sum(n_edges) AS BIGINT) FROM n) AS n_edges""" % (B.STREETS, B.STREETS))
+def road_nodes(spark: SparkSession, sf: str) -> DataFrame:
+    """Streets that meet share one node: nodes are the places where they meet and the loose ends."""
+    nodes, edges = street_graph(spark, sf)
+    return nodes.agg(F.count(F.lit(1)).alias("n_nodes")).join(edges.agg(F.count(F.lit(1)).alias("n_edges")))
 
 
 @query(_CUTS + "SELECT source_id, CASE WHEN oneway = '-1' THEN 0 ELSE n_edges END AS n_forward, CASE WHEN oneway = 'yes' THEN 0 ELSE n_edges END AS n_reverse, road_class AS final_road_class FROM n")
 def directed_graph(spark: SparkSession, sf: str) -> DataFrame:
     """Arcs by direction of the noded streets."""
-    _, edges = roads.build_graph(roads.noded_segments(roads.open_roads(streets(spark, sf))))
+    _, edges = street_graph(spark, sf)
     arcs = roads.directed_arcs(edges).join(edges.select("edge_id", "source_id"), "edge_id")
     return arcs.groupBy("source_id", "final_road_class").agg(F.count_if(F.col("arc_id").endswith("+")).alias("n_forward"), F.count_if(F.col("arc_id").endswith("-")).alias("n_reverse"))
 
 
+_TO_PIECE = """greatest(0.0, least(1.0, ((x - ax) * (bx - ax) + (y - ay) * ("by" - ay)) / ((bx - ax) * (bx - ax) + ("by" - ay) * ("by" - ay))))"""
+
+
 @query(f"""
-WITH s AS (SELECT * FROM ({B.STREETS}) WHERE access IS NULL), p AS ({B.CUSTOMER_POINTS}),
-d AS (SELECT id, sqrt(pow(x - greatest(least(x, x2), x1), 2) + pow(y - greatest(least(y, y2), y1), 2)) AS d FROM p, s),
-m AS (SELECT id, min(d) AS d FROM d GROUP BY id)
-SELECT CAST(id AS VARCHAR) AS terminal_id, d <= 60.0 AS distance_covered, CASE WHEN d <= 60.0 THEN round(d, 6) END AS distance_m FROM m""")
+WITH g AS ({B.PIECES}), p AS ({B.PLACED_POINTS}),
+t AS (SELECT id, x, y, ax, ay, bx, "by", {_TO_PIECE} AS t FROM p, g),
+m AS (SELECT id, min(sqrt(pow(x - (ax + t * (bx - ax)), 2) + pow(y - (ay + t * ("by" - ay)), 2))) AS d FROM t GROUP BY id)
+SELECT CAST(id AS VARCHAR) AS terminal_id, d <= 60.0 AS distance_covered, CASE WHEN d <= 60.0 THEN round(d, 5) END AS distance_m FROM m""")
 def service_snaps(spark: SparkSession, sf: str) -> DataFrame:
-    """Services to their nearest place on a street within 60 m, ends included."""
-    _, edges = roads.build_graph(roads.noded_segments(roads.open_roads(streets(spark, sf))))
-    pts = B.rows(spark, sf, B.CUSTOMER_POINTS).select(F.col("id").cast("string").alias("terminal_id"), F.col("x").cast("double").alias("access_reference_x_m"), F.col("y").cast("double").alias("access_reference_y_m"))
-    _, snaps = roads.insert_services(edges, pts, 60.0)
-    return snaps.select("terminal_id", "distance_covered", F.round("distance_m", 6).alias("distance_m"))
+    """Services to their nearest place on a street, not noded here, within 60 m, ends included."""
+    whole = roads.open_roads(streets(spark, sf)).withColumn("segment_id", F.col("source_id"))
+    _, snaps = roads.insert_services(roads.build_graph(whole)[1], placed_services(spark, sf), 60.0)
+    return snaps.select("terminal_id", "distance_covered", F.round("distance_m", 5).alias("distance_m"))
 
 
-@query(_CUTS + "SELECT CAST(round(sum(length_m), 4) AS DOUBLE) AS length_m, true AS on_geometry FROM n")
+@query(_CUTS + "SELECT source_id, round(length_m, 1) AS length_m, true AS on_geometry FROM n")
 def split_edges(spark: SparkSession, sf: str) -> DataFrame:
-    """Splitting edges at anchors keeps every metre on the streets."""
-    _, edges = roads.build_graph(roads.noded_segments(roads.open_roads(streets(spark, sf))))
-    pts = B.rows(spark, sf, B.CUSTOMER_POINTS).select(F.col("id").cast("string").alias("terminal_id"), F.col("x").cast("double").alias("access_reference_x_m"), F.col("y").cast("double").alias("access_reference_y_m"))
-    out, _ = roads.insert_services(edges, pts, 60.0)
-    straight = F.forall("pts", lambda p: (p["x"] == F.col("pts")[0]["x"]) | (p["y"] == F.col("pts")[0]["y"]))
-    return out.agg(F.round(F.sum("length_m"), 4).alias("length_m"), F.every(straight).alias("on_geometry"))
+    """Splitting edges at anchors keeps every metre on the streets: no point of a part is off its street's pieces."""
+    out, _ = roads.insert_services(street_graph(spark, sf)[1], placed_services(spark, sf), 60.0)
+    street = streets(spark, sf).select("source_id", F.col("pts").alias("street"))
+
+    def near(p):
+        pieces = F.sequence(F.lit(0), F.size("street") - 2)
+        end = lambda i, axis: F.get("street", i)[axis]
+        return F.exists(pieces, lambda i: fn.segment_distance(p["x"], p["y"], end(i, "x"), end(i, "y"), end(i + 1, "x"), end(i + 1, "y")) < 0.003)
+
+    lying = out.join(street, "source_id").select("source_id", "length_m", F.forall("pts", near).alias("on"))
+    return lying.groupBy("source_id").agg(F.round(F.sum("length_m"), 1).alias("length_m"), F.every("on").alias("on_geometry"))
 
 
 _CHAIN = "SELECT 'G' || CAST(n_nationkey AS STRING) AS edge_id, 'V' || CAST(n_nationkey AS STRING) AS from_node, 'V' || CAST(n_nationkey + 1 AS STRING) AS to_node, CAST((n_nationkey * 377) % 1000 AS DOUBLE) AS length_m, CASE WHEN n_nationkey % 2 = 0 THEN 'secondary' ELSE 'residential' END AS final_road_class, n_nationkey AS k FROM nation WHERE n_nationkey % 5 <> 4"
@@ -388,7 +426,7 @@ def microgrid_cover(spark: SparkSession, sf: str) -> DataFrame:
     Without SQL, which would have to list all sets of 25 sites; tested by brute force.
     """
     pairs, demands = _pairs(spark, sf)
-    return spark.createDataFrame(service.min_site_cover(pairs, demands, max_sites=None), "demand string, site string, time_min double, population double")
+    return service.min_site_cover(pairs, demands)
 
 
 @query(_PAIRS + """, a AS (SELECT demand, min(row(time_min, distance_m, site)) AS p FROM pair GROUP BY demand)
@@ -435,6 +473,30 @@ def drone_corridors(spark: SparkSession, sf: str) -> DataFrame:
     return n.join(c.groupBy("network_id").agg(F.count(F.lit(1)).alias("n_customers")), "network_id")
 
 
+#: A grid over the networks' customers; cells without people are low ground.
+_GROUND = f"SELECT CAST(i AS INT) AS r, CAST(j AS INT) AS c, coalesce(pop, 3.0) AS z FROM (SELECT explode(sequence(0, 39)) AS i) a CROSS JOIN (SELECT explode(sequence(0, 39)) AS j) b LEFT JOIN ({B.CELLS}) k ON k.r = i AND k.c = j"
+_GRID = {"x0": -300.0, "y0": 5300.0, "cell_m": 150.0}
+
+
+@query(_RAW + f""", dem AS (SELECT i AS r, j AS c, coalesce(pop, 3.0) AS z FROM (SELECT unnest(range(40)) AS i) a, (SELECT unnest(range(40)) AS j) b LEFT JOIN ({B.CELLS}) k ON k.r = i AND k.c = j),
+pair AS (SELECT a.network_id, 'anchor:' || a.terminal_id AS end_a, 'customer:' || b.terminal_id AS end_b, a.anchor_x AS xa, a.anchor_y AS ya, b.x AS xb, b.y AS yb FROM c a JOIN c b ON a.network_id = b.network_id
+         UNION ALL SELECT a.network_id, a.terminal_id, b.terminal_id, a.x, a.y, b.x, b.y FROM c a JOIN c b ON a.network_id = b.network_id AND a.terminal_id < b.terminal_id),
+step AS (SELECT *, greatest(ceil(sqrt(pow(xb - xa, 2) + pow(yb - ya, 2)) / 100.0), 1) AS n FROM pair),
+p AS (SELECT *, unnest(range(CAST(n AS BIGINT) + 1)) AS k FROM step),
+f AS (SELECT network_id, end_a, end_b, k, n, (xa + k / n * (xb - xa) + 300.0) / 150.0 - 0.5 AS fc, (5300.0 - (ya + k / n * (yb - ya))) / 150.0 - 0.5 AS fr FROM p),
+v AS (SELECT network_id, end_a, end_b, k, n, sum((CASE WHEN i = 1 THEN fr - floor(fr) ELSE 1 - (fr - floor(fr)) END) * (CASE WHEN j = 1 THEN fc - floor(fc) ELSE 1 - (fc - floor(fc)) END) * z) AS z
+      FROM f, (VALUES (0), (1)) y(i), (VALUES (0), (1)) x(j), dem WHERE dem.r = floor(fr) + i AND dem.c = floor(fc) + j GROUP BY 1, 2, 3, 4, 5)
+SELECT network_id, end_a, end_b, round(max(CASE WHEN k = 0 THEN z END), 4) AS z_a, round(max(CASE WHEN k = n THEN z END), 4) AS z_b, round(max(z), 4) AS z_max FROM v GROUP BY 1, 2, 3""")
+def drone_corridor_ground(spark: SparkSession, sf: str) -> DataFrame:
+    """The highest ground of each corridor, N^2 to the anchors and N (N - 1) / 2 between customers, sampled once."""
+    c = customers(spark, sf)
+    columns = ("network_id", "origin", "destination", "distance_m")
+    pairs = drone.corridors(drone.raw_legs(c).select(*columns).unionByName(drone.centroid_legs(c).select(*columns)))
+    dem = B.rows(spark, sf, _GROUND).select(F.col("r").alias("row"), F.col("c").alias("col"), "z")
+    ground = drone.corridor_ground(materialize(drone.corridor_points(pairs, c, 100.0), "corridor-points"), dem, _GRID)
+    return ground.select("network_id", "end_a", "end_b", *[F.round(z, 4).alias(z) for z in ("z_a", "z_b", "z_max")])
+
+
 _D = CFG["drone"]
 
 
@@ -569,7 +631,7 @@ def release_checks(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
     total = cells.agg(F.sum("pop").alias("p"))
     legs, n = drone.raw_legs(c).groupBy("network_id").agg(F.count(F.lit(1)).alias("legs")), c.groupBy("network_id").agg(F.count(F.lit(1)).alias("n"))
     pairs, demands = _pairs(spark, sf)
-    assigned = spark.createDataFrame(service.min_site_cover(pairs, demands, max_sites=None), "demand string, site string, time_min double, population double")
+    assigned = service.min_site_cover(pairs, demands)
     gate = paths.assess(t.select("terminal_id", "truck_anchor_id", F.lit(True).alias("distance_covered")), a, "T00")
     energy = a.select("edge_id", fn.truck_energy(F.col("distance_m"), F.lit(10.0), _T).alias("up"), fn.truck_energy(F.col("distance_m"), F.lit(0.0), _T).alias("flat"))
     return {
@@ -592,3 +654,86 @@ def release_validation(spark: SparkSession, sf: str) -> DataFrame:
     """Eleven checks, each passed if its query of violating rows is empty."""
     found = release.validate(release_checks(spark, sf))["checks"]
     return spark.createDataFrame(sorted(found.items()), "check_name string, passed boolean")
+
+
+# -- files: written to the shared folder, read back ---------------------------------------------
+
+
+@query(f"SELECT r AS \"row\", c AS col, pop AS value FROM ({B.CELLS})")
+def geotiff_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """A raster of 40 x 40 cells through a GeoTIFF; cells without people are nodata."""
+    grid = np.full((40, 40), -1.0)
+    for r in B.rows(spark, sf, B.CELLS).collect():
+        grid[r.r, r.c] = r["pop"]
+    file = work_path(spark, "cells") + ".tif"
+    release.write_bytes(spark, file, geotiff.encode(grid, 0.0, 4000.0, 100.0, -1.0, True))
+    return geotiff.read_grid(spark, file, drop_nodata=True).select("row", "col", "value")
+
+
+@query(f"SELECT source_id AS name, road_class, round(x1, 3) AS x1, round(y1, 3) AS y1, round(x3, 3) AS x3, round(y3, 3) AS y3 FROM ({B.STREETS})")
+def geopackage_streets(spark: SparkSession, sf: str) -> DataFrame:
+    """The streets through a GeoPackage layer with attributes."""
+    lines = [({"name": r.source_id, "road_class": r.road_class}, [(p.x, p.y) for p in r.pts]) for r in streets(spark, sf).collect()]
+    file = work_path(spark, "streets") + ".gpkg"
+    release.write_bytes(spark, file, vector.write_geopackage(lines, "roads"))
+    df = vector.read_geopackage(spark, file, "roads")
+    named = F.from_json("attributes", "name string, road_class string")
+    ends = {"x1": F.col("pts")[0]["x"], "y1": F.col("pts")[0]["y"], "x3": F.element_at("pts", -1)["x"], "y3": F.element_at("pts", -1)["y"]}
+    return df.select(named.alias("a"), "pts").select("a.name", "a.road_class", *[F.round(v, 3).alias(k) for k, v in ends.items()])
+
+
+@query("SELECT s_suppkey, s_name, s_acctbal, true AS same_digest FROM supplier")
+def csv_release(spark: SparkSession, sf: str) -> DataFrame:
+    """A published CSV table, sorted by its key into one file, read back under its schema with an equal digest."""
+    df = B.rows(spark, sf, "SELECT s_suppkey, s_name, s_acctbal FROM supplier")
+    root = work_path(spark, "release")
+    note = release.publish(spark, {"supplier": df}, root, fmt="csv", keys={"supplier": ["s_suppkey"]})
+    back = tables.read_csv(spark, f"{root}/supplier", "s_suppkey bigint, s_name string, s_acctbal double")
+    own = release.content_digest(df, "supplier").first().digest
+    return back.withColumn("same_digest", F.lit(own == note["core_hashes"]["supplier"]))
+
+
+@query("SELECT n_nationkey, n_name, true AS reused FROM nation")
+def mother_reuse(spark: SparkSession, sf: str) -> DataFrame:
+    """A published mother release, used again instead of built."""
+    root = work_path(spark, "mother")
+    release.publish(spark, {"nation": B.rows(spark, sf, "SELECT n_nationkey, n_name FROM nation")}, root)
+    got, reused = release.reuse_or_build(spark, root, ["nation"], dict)
+    return got["nation"].withColumn("reused", F.lit(reused))
+
+
+_FALLBACK = f"SELECT terminal_id, node AS truck_anchor_id, k % 3 <> 1 AS distance_covered FROM ({B.TERMINALS})"
+
+
+@query(f"""
+SELECT attempt, provider, count(*) AS demand_denominator, count(*) FILTER (WHERE bad) AS inaccessible_count, 100 * count(*) FILTER (WHERE bad) < 20 * count(*) AS qualified
+FROM (SELECT 1 AS attempt, 'osm' AS provider, k % 3 = 1 AS bad FROM ({B.TERMINALS}) WHERE k <> 0 UNION ALL SELECT 2, 'local', k % 11 = 10 FROM ({B.TERMINALS}) WHERE k <> 0) GROUP BY 1, 2""")
+def source_fallback(spark: SparkSession, sf: str) -> DataFrame:
+    """The first source fails its gate, the second one, of verified licence, is taken."""
+    a = arcs(spark, sf)
+    tried = paths.choose_source([("osm", B.rows(spark, sf, _FALLBACK), a, True), ("local", B.rows(spark, sf, _SNAPS), a, True)], "T00")
+    keep = ("attempt", "provider", "demand_denominator", "inaccessible_count", "qualified")
+    return spark.createDataFrame([tuple(r[k] for k in keep) for r in tried], "attempt int, provider string, demand_denominator long, inaccessible_count long, qualified boolean")
+
+
+def _krueger() -> str:
+    """Krueger's series for EPSG:2193 in SQL, of places named lon and lat."""
+    f = 1 / 298.257222101
+    n, e = f / (2 - f), math.sqrt(f * (2 - f))
+    terms = [n / 2 - 2 * n**2 / 3 + 5 * n**3 / 16 + 41 * n**4 / 180, 13 * n**2 / 48 - 3 * n**3 / 5 + 557 * n**4 / 1440, 61 * n**3 / 240 - 103 * n**4 / 140, 49561 * n**4 / 161280]
+    radius = 0.9996 * 6378137.0 / (1 + n) * (1 + n**2 / 4 + n**4 / 64)
+    x = " + ".join(["eta", *(f"{c!r} * cos({2 * j} * xi) * sinh({2 * j} * eta)" for j, c in enumerate(terms, 1))])
+    y = " + ".join(["xi", *(f"{c!r} * sin({2 * j} * xi) * cosh({2 * j} * eta)" for j, c in enumerate(terms, 1))])
+    return f"""
+WITH p AS (SELECT c_custkey AS id, radians(172 + c_custkey % 300 / 100 - 173) AS d, sin(radians(-45 + c_custkey % 500 / 100)) AS s FROM customer),
+t AS (SELECT id, d, sinh(atanh(s) - {e!r} * atanh({e!r} * s)) AS t FROM p),
+u AS (SELECT id, atan2(t, cos(d)) AS xi, atanh(sin(d) / sqrt(1 + t * t)) AS eta FROM t)
+SELECT id, round(1600000 + {radius!r} * ({x}), 3) AS x, round(10000000 + {radius!r} * ({y}), 3) AS y FROM u"""
+
+
+@query(_krueger())
+def projection(spark: SparkSession, sf: str) -> DataFrame:
+    """Degrees to the national grid's metres."""
+    df = B.rows(spark, sf, "SELECT c_custkey AS id, 172 + c_custkey % 300 / 100 AS lon, -45 + c_custkey % 500 / 100 AS lat FROM customer")
+    x, y = fn.transverse_mercator(F.col("lon").cast("double"), F.col("lat").cast("double"), **fn.NZTM)
+    return df.select("id", F.round(x, 3).alias("x"), F.round(y, 3).alias("y"))

@@ -44,7 +44,7 @@ def demo_profile() -> dict:
         "demand": {"official_population": 1080.0, "cell_m": 100.0, "depot_cell": [2, 2]},
         "roads": {"access_threshold_m": 200.0, "max_inaccessible_percent": 20},
         "energy": {"annual_household_kwh": 7000.0, "household_size": 2.7, "kg_per_person": 2.0},
-        "truck": {"flat_kwh_per_km": 1.03, "mass_kg": 28000.0, "gravity_m_s2": 9.81, "uphill_efficiency": 0.9},
+        "truck": {"flat_kwh_per_km": 0.85, "mass_kg": 18000.0, "gravity_m_s2": 9.80665, "uphill_efficiency": 0.82},
         "drone": {
             "nominal_battery_kwh": 12.0, "reserve_share": 0.2, "cruise_m_s": 20.0, "climb_m_s": 4.0, "descend_m_s": 3.0, "clearance_m": 60.0,
             "full_cruise_kw": 80.0, "full_climb_kw": 110.0, "full_descend_kw": 60.0, "empty_cruise_kw": 50.0, "empty_climb_kw": 70.0, "empty_descend_kw": 40.0,

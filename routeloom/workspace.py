@@ -6,6 +6,9 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,6 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
+#: Paths of the tables that the innermost ``temporary`` of this thread has seen written.
+_made: ContextVar[list[str] | None] = ContextVar("routeloom_tables", default=None)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """``spark.checkpoint.dir``; in local mode, where it is unset, a temporary folder."""
     base = spark.conf.get("spark.checkpoint.dir", None)
@@ -42,4 +49,26 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
         df.write.option("compression", "zstd").parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    made = _made.get()
+    if made is not None:
+        made.append(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def drop(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder; nothing may read it any more."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
+@contextmanager
+def temporary(spark: SparkSession) -> Iterator[list[str]]:
+    """Tables that ``materialize`` writes meanwhile are deleted at the end; take out of the list what stays."""
+    made: list[str] = []
+    token = _made.set(made)
+    try:
+        yield made
+    finally:
+        _made.reset(token)
+        for path in made:
+            drop(spark, path)

@@ -94,5 +94,5 @@ def test_exact_cover_of_more_than_24_sites(spark):
         pop = {f"{i:02d}": float(rng.randrange(1, 9)) for i in range(n)}
         pairs = {(s, d): (float(rng.randrange(1, 6)) if s != d else 0.0, pop[d]) for s in pop for d in pop if s == d or rng.random() < 0.25}
         rows = spark.createDataFrame([(s, d, t, p) for (s, d), (t, p) in pairs.items()], "site string, demand string, time_min double, population double")
-        got = service.min_site_cover(rows, spark.createDataFrame(list(pop.items()), "demand string, population double"), max_sites=None)
+        got = service.min_site_cover(rows, spark.createDataFrame(list(pop.items()), "demand string, population double")).collect()
         assert {r["demand"]: r["site"] for r in got} == best_cover(pairs)
