@@ -72,23 +72,6 @@ def exchange(rows: DataFrame, n: int, fan: int | None = None) -> DataFrame:
     return rows.repartition("to").mapInArrow(route, ROW)
 
 
-def pack_sorted(values: np.ndarray, low_bytes: int, high_bits: int) -> bytes:
-    """Sorted numbers under 2 ** (8 * low_bytes + high_bits): low bytes as planes, high parts in unary."""
-    n = len(values)
-    bits = np.zeros(n + (1 << high_bits), dtype=bool)
-    bits[(values >> np.uint64(8 * low_bytes)).astype(np.int64) + np.arange(n)] = True
-    planes = np.ascontiguousarray(values).view(np.uint8).reshape(n, 8)[:, :low_bytes].T.tobytes() if n else b""
-    return struct.pack("<I", n) + planes + np.packbits(bits).tobytes()
-
-
-def unpack_sorted(data: bytes, low_bytes: int) -> np.ndarray:
-    (n,) = struct.unpack_from("<I", data)
-    out = np.zeros((n, 8), dtype=np.uint8)
-    out[:, :low_bytes] = np.frombuffer(data, np.uint8, n * low_bytes, 4).reshape(low_bytes, n).T
-    high = np.flatnonzero(np.unpackbits(np.frombuffer(data, np.uint8, offset=4 + n * low_bytes)))[:n] - np.arange(n)
-    return out.reshape(-1).view(np.uint64) + (high.astype(np.uint64) << np.uint64(8 * low_bytes))
-
-
 def pack(arrays: list[np.ndarray]) -> bytes:
     """Arrays as bytes; each is stored byte plane by byte plane, which the shuffle's codec compresses."""
     out = [struct.pack("<I", len(arrays))]

@@ -1,43 +1,45 @@
 """Repeated byte windows across documents by a depth-limited radix sort of suffixes.
 
-A suffix matters only through its first ``window`` bytes.  It is sorted by two
-digits, the most significant first: bytes 0 to 24, then bytes 25 to 49.  A digit's
-value is its 64-bit hash, so that suffixes spread evenly over buckets; groups of
-equal digits are those of any order.
-
-1. First pass, over one half of the digit's values after the other.  Texts are dealt
-   into batches.  A batch sorts the first digits of all its suffixes and sends each
-   value once to the bucket of its leading bits, which finds the values that two
-   batches or more have and tells them so.  Here digits are cut to some two bytes
-   beyond what tells a batch's own values apart.
-2. Drop-out.  A suffix stays if another batch, or another document of its batch, has
-   its first digit; groups of one document end here, and that is most suffixes.
-3. Second pass.  The rest are sorted by both digits (96 bits).  In each group of the
-   batch all but the smallest document are marked; one entry, with that document's
-   id, goes to the bucket, which tells every batch whose smallest document isn't
-   the smallest of all.  Groups equal in both digits are exactly the repeated
-   windows.
-
-Scale.  Two bytes a suffix travel in the first pass, some 14 bytes for each distinct
-window that stays in the second, as frames (see ``packed``).  One entry stands for a
-value in a batch, so what a bucket hears of a passage, however common, grows with
-the number of batches and not with that of documents.  Texts cross the network once
-for each half of the first pass, for the second and for the result.  Every one ends in
-a table in the shared folder and drops its shuffle files, so the halves need not lie
-on disk together.
+A suffix matters only through its first ``window`` bytes.  Sorting every suffix of
+the corpus by digits moves several times the corpus (measured, see the README), so
+suffixes are packed first, and only those that packing leaves open are sorted one by
+one:
+
+1. Packing.  The *anchor* of a suffix is the smallest-hash 24-byte string inside its
+   window.  Equal windows have equal anchors, and neighbouring suffixes mostly share
+   one, so one entry stands for a run of about 13 suffixes.  It carries the hash of
+   the anchor and that of the run's whole *context*, all bytes of its windows.  Runs
+   whose anchor no other document has drop out.  Where an anchor has one context
+   everywhere (the inside of copies) its windows are equal one by one, and the run is
+   settled as a whole.
+2. First digit.  The suffixes of runs whose anchor stands in two or more contexts (the
+   edges of copies) are sorted by their first digit, bytes 0 to 24.
+3. Second digit.  Groups that agree in the first digit are sorted by the second, bytes
+   25 to 49.  Groups equal in both are exactly the repeated windows; in each, every
+   suffix of a document that isn't the smallest is marked.
+
+Digits, anchors and contexts are compared by 64-bit hashes (two for a window), so
+groups stand in the order of hashes; anchors by 32 bits beyond those that deal them.
+
+Scale.  Entries travel as packed numpy columns in frames (see ``packed``), about 20
+bytes for 13 bytes of text.  A batch settles its own repeats first: it sends one entry
+for each context and marks the others at once, and an anchor with several contexts in
+a batch is sent as one flag.  So what reaches a reducer for one anchor, however
+common, grows with the number of batches and not with that of documents.  Each
+intermediate table is written to the shared folder, its shuffle files are dropped, and
+texts meet their marks in a sort-merge join on document and text hash.
 
 Defined results.  Null text counts as empty.  A null doc_id is smaller than every
 other.  Rows that share a doc_id never mark each other; each is judged by its own
-text.  Rows that repeat whole are judged once and all returned.  Texts shorter than
-the window lose nothing; an empty table gives an empty result.  Only doc_id and text
-are read, so other columns neither clash nor pass through.  A text is held whole by
-one task, its suffixes in ranges of ``RANGE`` at a time.
+text.  Rows that repeat whole are all returned.  Texts shorter than the window lose
+nothing; an empty table gives an empty result.  Only doc_id and text are read, so
+other columns neither clash nor pass through.  A long text is hashed in pieces of
+``PIECE`` bytes that overlap by a window; its asked windows in runs of ``ASKED``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -45,31 +47,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialize, table
-from .packed import ROW, Frames, cells, exchange, frames, mix, pack, pack_sorted, runs, unpack, unpack_sorted
+from .packed import ROW, Frames, cells, exchange, frames, mix, pack, runs, split_by, unpack
 
 WINDOW = 50
-#: Text bytes of a batch, of a bucket, and hashed at once; suffixes of a batch that are sorted at once.
-BATCH_BYTES, BUCKET_BYTES, CHUNK_BYTES, RANGE = 8 << 20, 6 << 20, 1 << 20, 16 << 20
+#: Text bytes hashed at once, and text bytes whose entries a batch settles among themselves.
+CHUNK_BYTES, BATCH_BYTES = 1 << 20, 24 << 20
+#: Text bytes for each bucket of the packed exchanges.
+BUCKET_BYTES = 12 << 20
 NULL_ID = np.iinfo(np.int64).min
-#: Parts of the first digit's values, one after another; bits of the table of wanted digits.
-PARTS, TABLE_BITS = 2, 25
+#: Asked windows of a text that are hashed at once.
+ASKED = 1 << 20
 _U = np.uint64
-#: Kinds of frames: values or groups for a bucket, a bucket's answer, what a batch keeps for itself.
-VALUES, ANSWER, STATE = 0, 1, 2
-
-
-class Layout:
-    """How many batches and buckets there are, and how first digits are cut."""
-
-    def __init__(self, total: int, n_batches: int, n_buckets: int, fan: int | None = None):
-        self.n_batches, self.fan = n_batches, fan
-        self.bucket_bits = max(0, (n_buckets - 1).bit_length())
-        self.n_buckets = 1 << self.bucket_bits
-        #: A value that only one batch has passes for shared by a chance of n_batches / 2 ** (8 * low_bytes).
-        self.low_bytes = 2 if n_batches <= 1 << 13 else 3 if n_batches <= 1 << 21 else 4
-        self.high_bits = (total // n_batches >> self.bucket_bits).bit_length()
-        self.digit_bits = 8 * self.low_bytes + self.high_bits
-        self.shift = _U(64 - self.bucket_bits - self.digit_bits)
 
 
 def _loads(buf: np.ndarray) -> np.ndarray:
@@ -77,17 +65,6 @@ def _loads(buf: np.ndarray) -> np.ndarray:
     return np.ndarray((len(buf) - 7,), dtype="<u8", buffer=buf, strides=(1,))
 
 
-def digits(words: np.ndarray, size: int) -> np.ndarray:
-    """64-bit hashes of the ``size`` bytes from each position."""
-    n = len(words) - size + 8
-    h = words[:n] * _U(0xC2B2AE3D27D4EB4F)
-    for step in [*range(8, size - 8, 8), size - 8]:
-        h ^= h >> _U(29)
-        h += words[step : step + n]
-        h *= _U(0x9FB21C651E98DF25)
-    return mix(h)
-
-
 def window_hash(words: np.ndarray, at: np.ndarray, window: int, seed: int) -> np.ndarray:
     """64-bit hashes of the windows that start at ``at``."""
     h = np.full(len(at), _U(seed))
@@ -96,140 +73,262 @@ def window_hash(words: np.ndarray, at: np.ndarray, window: int, seed: int) -> np
     return h
 
 
+def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, window: int = WINDOW):
+    """Runs of windows that share an anchor: (document index, first, last start, anchor hash).
+
+    ``buf`` holds the texts one after another, then eight bytes; ``starts`` and
+    ``ends`` are their bounds.
+    """
+    k = 8 * max(1, window // 16)
+    w = window - k + 1
+    bits = max(1, int(np.ceil(np.log2(w))))
+    words = _loads(buf)
+    n = len(buf) - 8 - k + 1
+    if n < w:
+        z = np.zeros(0, dtype=np.int64)
+        return z, z, z, z.astype(_U)
+    h = words[:n] * _U(0xC2B2AE3D27D4EB4F)
+    for step in range(8, k, 8):
+        h ^= h >> _U(29)
+        h += words[step : step + n]
+        h *= _U(0x9FB21C651E98DF25)
+    h ^= h >> _U(32)
+    h <<= _U(bits)  # the low bits take the offset within the span, so that ties go to the left
+    span, low = 1, h
+    while span * 2 <= w:
+        low = np.minimum(low[:-span], low[span:] + _U(span))
+        span *= 2
+    if span < w:
+        rest = w - span
+        low = np.minimum(low[: len(low) - rest], low[rest:] + _U(rest))
+    doc = np.repeat(np.arange(len(starts)), np.maximum(ends - starts - window + 1, 0))
+    if not len(doc):
+        z = np.zeros(0, dtype=np.int64)
+        return z, z, z, z.astype(_U)
+    count = np.maximum(ends - starts - window + 1, 0)
+    first_of = np.cumsum(count) - count
+    p = np.arange(len(doc)) - first_of[doc] + starts[doc]
+    key = low[p]
+    at = p + (key & _U((1 << bits) - 1)).astype(np.int64)
+    cut = runs(doc, at)
+    a, b = cut[:-1], cut[1:] - 1
+    return doc[a], p[a], p[b], key[a] >> _U(bits)
+
+
 class Batch:
-    """The texts of one batch, one after another in the order of (id, row)."""
-
-    def __init__(self, rows: pa.Table, layout: Layout):
-        ids = rows.column("doc_id").combine_chunks()
-        self.null = np.asarray(ids.is_null())
-        ids = np.asarray(ids.fill_null(0)).astype(np.int64)
-        ids[self.null] = NULL_ID
-        order = np.lexsort((np.asarray(rows.column("row")), ids))
-        self.ids, self.null = ids[order], self.null[order]
-        self.copies = np.asarray(rows.column("copies")).astype(np.int64)[order]
-        texts = rows.column("text")
-        self.texts = [texts[int(i)].as_buffer().to_pybytes() for i in order]
-        self.size = np.array([len(x) for x in self.texts], dtype=np.int64)
-        # A byte between texts, so that removed runs of neighbours don't touch.
-        self.start = np.cumsum(self.size + 1) - (self.size + 1)
-        self.end = self.start + self.size
-        self.words = _loads(np.frombuffer(b"\0".join([*self.texts, b"\0" * (WINDOW + 8)]), dtype=np.uint8))
-        self.layout = layout
-
-    def documents(self, at: np.ndarray) -> np.ndarray:
-        return np.searchsorted(self.start, at, side="right") - 1
-
-    def keys(self) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-        """(start, first digits cut to the layout, whether a whole window starts there), chunk by chunk."""
-        total = int(self.end[-1]) if len(self.end) else 0
-        for a in range(0, total, CHUNK_BYTES):
-            b = min(a + CHUNK_BYTES, total)
-            h = digits(self.words[a : b + WINDOW // 2 - 8], WINDOW // 2) >> self.layout.shift
-            room = np.ones(b - a, dtype=bool)
-            first, last = np.searchsorted(self.end, [a, b + WINDOW])
-            for end in self.end[first:last].tolist():
-                room[max(0, end - WINDOW + 1 - a) : end + 1 - a] = False
-            yield a, h, room
-
-    def ranges(self, part: int = 0, parts: int = 1) -> list[tuple[int, int]]:
-        """Ranges of cut digits that hold about ``RANGE`` suffixes each, in one part of all values."""
-        total = int(self.end[-1]) if len(self.end) else 0
-        n, top = 1 + total // parts // RANGE, 1 << (self.layout.bucket_bits + self.layout.digit_bits)
-        cuts = [top * (part * n + i) // (parts * n) for i in range(n + 1)]
-        return list(zip(cuts, cuts[1:]))
-
-    def sorted_keys(self, low: int, high: int) -> np.ndarray:
-        parts = [h[room & (h >= _U(low)) & (h < _U(high))] for _, h, room in self.keys()]
-        out = np.concatenate(parts) if parts else np.zeros(0, _U)
-        out.sort()
-        return out
-
-
-def _distinct(s: np.ndarray) -> np.ndarray:
-    return s[np.append(True, s[1:] != s[:-1])] if len(s) else s
-
-
-def _first_pass(layout: Layout, part: int):
-    """Batch of texts -> its distinct first digits, of one part of all, for the buckets."""
+    """Entries of one map batch."""
 
-    def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        batch = Batch(pa.Table.from_batches(tables), layout)
-        out, bits = Frames(layout.n_buckets, layout.fan), _U(layout.digit_bits)
-        for low, high in batch.ranges(part, PARTS):
-            s = _distinct(batch.sorted_keys(low, high))
-            cut = runs(s >> bits)
-            for a, b in zip(cut, cut[1:]):
-                out.add(int(s[a] >> bits), key[0].as_py(), VALUES, pack_sorted(s[a:b] & _U((1 << layout.digit_bits) - 1), layout.low_bytes, layout.high_bits))
-        yield out.record()
+    def __init__(self) -> None:
+        self.ids: list[int] = []
+        self.rows: list[int] = []
+        self.parts: list[tuple[np.ndarray, ...]] = []
+        self.bytes = 0
+
+    def columns(self, n: int) -> tuple[np.ndarray, ...]:
+        if not self.parts:
+            return tuple(np.zeros(0, dtype=np.int64) for _ in range(n))
+        return tuple(np.concatenate(x) for x in zip(*self.parts))
+
+    def documents(self) -> tuple[np.ndarray, np.ndarray]:
+        return np.array(self.ids, dtype=np.int64), np.array(self.rows, dtype=np.int64)
+
+
+def _id(x) -> int:
+    return NULL_ID if x is None else x
+
+
+def _doc_bucket(ids: np.ndarray, rows: np.ndarray, n: int) -> np.ndarray:
+    return (mix(ids.view(_U) * _U(3) ^ rows.view(_U)) % _U(n)).astype(np.int64)
+
+
+def _record(rows: list[tuple[int, int, bytes]], n: int, fan: int | None) -> pa.RecordBatch:
+    out = Frames(n, fan)
+    for to, kind, payload in rows:
+        out.add(to, 0, kind, payload)
+    return out.record()
+
+
+ENTRY, MARK, ASK = 0, 1, 2
+
+
+def _to_docs(kind: int, doc: np.ndarray, first: np.ndarray, length: np.ndarray, ids, rows, n: int) -> list:
+    """Marks or asks packed for the buckets of their documents."""
+    if not len(doc):
+        return []
+    out = []
+    for bucket, at in split_by(_doc_bucket(ids[doc], rows[doc], n)):
+        used, local = np.unique(doc[at], return_inverse=True)
+        out.append((bucket, kind, pack([ids[used], rows[used], local.astype(np.uint32), first[at].astype(np.uint32), length[at].astype(np.uint32)])))
+    return out
+
+
+def _entries(keys: list[np.ndarray], doc, first, length, bucket, ids, rows) -> list:
+    out = []
+    for b, at in split_by(bucket):
+        used, local = np.unique(doc[at], return_inverse=True)
+        out.append((b, ENTRY, pack([ids[used], rows[used], local.astype(np.uint32), first[at].astype(np.uint32), length[at].astype(np.uint8), *[k[at] for k in keys]])))
+    return out
+
+
+def settle_contexts(d, c, doc_id, flagged):
+    """Over entries sorted by anchor, context, doc_id: which are marked, which must be asked for
+    windows, which stand for their context alone (the only one of its anchor)."""
+    n = len(d)
+    cut = runs(d, c)
+    size = np.diff(cut)
+    low = np.repeat(doc_id[cut[:-1]], size)
+    marked = doc_id > low
+    dcut = runs(d)
+    contexts = np.searchsorted(cut[:-1], dcut[1:]) - np.searchsorted(cut[:-1], dcut[:-1])
+    flags = np.add.reduceat(flagged.astype(np.int64), dcut[:-1]) if n else np.zeros(0, dtype=np.int64)
+    several = np.repeat((contexts > 1) | (flags > 0), np.diff(dcut))
+    return marked, several & ~marked, ~several & ~marked
+
+
+def _finish_contexts(batch: Batch, n_buckets: int) -> list:
+    doc, first, length, d, c = batch.columns(5)
+    batch.parts = []
+    ids, rows = batch.documents()
+    if not len(doc):
+        return []
+    order = np.lexsort((ids[doc], c, d))
+    doc, first, length, d, c = (x[order] for x in (doc, first, length, d, c))
+    marked, asked, alone = settle_contexts(d, c, ids[doc], np.zeros(len(doc), dtype=bool))
+    out = _to_docs(MARK, doc[marked], first[marked], length[marked] + WINDOW, ids, rows, n_buckets)
+    out += _to_docs(ASK, doc[asked], first[asked], length[asked], ids, rows, n_buckets)
+    bucket = ((d >> _U(8)) % _U(n_buckets)).astype(np.int64)
+    d32 = (mix(d) >> _U(32)).astype(np.uint32)
+    # One flag for an anchor that has several contexts here.
+    flag = np.flatnonzero(asked)
+    flag = flag[np.unique(d[flag], return_index=True)[1]]
+    at = np.concatenate([np.flatnonzero(alone), flag])
+    size = length.astype(np.int64).copy()
+    size[flag] = 255
+    return out + _entries([d32[at], c[at]], doc[at], first[at], size[at], bucket[at], ids, rows)
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]):
+    for b in batches:
+        cols = [b.column(i) for i in range(b.num_columns)]
+        for i in range(b.num_rows):
+            yield [c[i] for c in cols]
+
+
+#: Longest piece of a text that is hashed at once; pieces overlap by a window less one byte.
+PIECE = 4 << 20
+
+
+def _map_contexts(n_buckets: int, fan: int | None = None):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch, held, size = Batch(), [], 0
+
+        def hash_held() -> None:
+            nonlocal held, size
+            if not held:
+                return
+            buf = np.frombuffer(b"".join([x[0] for x in held]) + b"\0" * 8, dtype=np.uint8)
+            ends = np.cumsum([len(x[0]) for x in held])
+            starts = ends - [len(x[0]) for x in held]
+            doc, p1, p2, d = anchors(buf, starts, ends)
+            if len(doc):
+                words = _loads(buf)
+                c = mix(window_hash(words, p1, WINDOW, 11) * _U(3) + mix(window_hash(words, p2, WINDOW, 12) ^ (p2 - p1).astype(_U)))
+                local = np.array([x[1] for x in held])[doc]
+                shift = np.array([x[2] for x in held])[doc]
+                batch.parts.append((local.astype(np.uint32), (p1 - starts[doc] + shift).astype(np.uint32), (p2 - p1).astype(np.uint8), d, c))
+            batch.bytes += size
+            held, size = [], 0
+
+        for doc_id, row, text in _rows_of(batches):
+            raw = text.as_buffer().to_pybytes() if text.is_valid else b""
+            if len(raw) < WINDOW:
+                continue
+            batch.ids.append(_id(doc_id.as_py()))
+            batch.rows.append(row.as_py())
+            for a in range(0, len(raw) - WINDOW + 1, PIECE):
+                part = raw[a : a + PIECE + WINDOW - 1]
+                held.append((part, len(batch.ids) - 1, a))
+                size += len(part)
+                if size >= CHUNK_BYTES:
+                    hash_held()
+            if batch.bytes >= BATCH_BYTES:
+                hash_held()
+                yield _record(_finish_contexts(batch, n_buckets), n_buckets, fan)
+                batch = Batch()
+        hash_held()
+        yield _record(_finish_contexts(batch, n_buckets), n_buckets, fan)
 
     return run
 
 
-def _find_shared(layout: Layout):
-    """Bucket: tells each batch which of its values another batch has, too."""
-
+def _gather(tables: Iterator[pa.RecordBatch] | list, width: int):
+    """Entry columns of a bucket over one list of documents, and what only passes through."""
+    ids, rows, cols, passing, base = [], [], [], [], 0
+    for _, _, kind, data in frames(cells(tables)):
+        if kind != ENTRY:
+            passing.append((kind, data))
+            continue
+        a, b, local, *rest = unpack(data)
+        ids.append(a)
+        rows.append(b)
+        cols.append((local.astype(np.int64) + base, *rest))
+        base += len(a)
+    if not cols:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), None, passing
+    return np.concatenate(ids), np.concatenate(rows), [np.concatenate(x) for x in zip(*cols)], passing
+
+
+def _reduce_contexts(n_buckets: int, fan: int | None = None):
     def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = [(to, batch, unpack_sorted(x, layout.low_bytes)) for to, batch, _, x in frames(cells(tables))]
-        out = Frames(layout.n_batches, layout.fan)
-        every = np.concatenate([x for _, _, x in lists])
-        every.sort()
-        twice = _distinct(every[1:][every[1:] == every[:-1]])
-        if len(twice):
-            for to, batch, x in lists:
-                x = x[twice[np.minimum(np.searchsorted(twice, x), len(twice) - 1)] == x]
-                if len(x):
-                    out.add(batch, to, ANSWER, pack_sorted(x, layout.low_bytes, layout.high_bits))
-        yield out.record()
+        bucket = key[0].as_py()
+        ids, rows, cols, passing = _gather(tables, 5)
+        out = [(bucket, kind, data) for kind, data in passing]
+        if cols is not None:
+            doc, first, length, d, c = cols
+            order = np.lexsort((ids[doc], c, d))
+            doc, first, length, d, c = (x[order] for x in (doc, first, length, d, c))
+            flagged = length == 255
+            # A flag stands for other batches' contexts: it is itself neither marked nor asked.
+            marked, asked, _ = settle_contexts(d, np.where(flagged, _U(0), c), np.where(flagged, NULL_ID, ids[doc]), flagged)
+            marked, asked = marked & ~flagged, asked & ~flagged
+            out += _to_docs(MARK, doc[marked], first[marked], length[marked].astype(np.int64) + WINDOW, ids, rows, n_buckets)
+            out += _to_docs(ASK, doc[asked], first[asked], length[asked], ids, rows, n_buckets)
+        yield _record(out, n_buckets, fan)
 
     return run
 
 
-def _answers(rows: pa.Table) -> list[tuple[int, int, bytes]]:
-    return [(source, kind, x) for _, source, kind, x in frames(cells(rows.to_batches()))]
+def _by_digits(doc, first, one, two, ids):
+    """Entries sorted by first digit, second digit and document, and the bounds of the groups.
 
+    Groups of the first digit that hold one document alone drop out before the second.
+    """
+    order = np.lexsort((ids[doc], one))
+    cut = runs(one[order])
+    several = ids[doc[order[cut[:-1]]]] != ids[doc[order[cut[1:] - 1]]] if len(order) else np.zeros(0, bool)
+    order = order[np.repeat(several, np.diff(cut))]
+    order = order[np.lexsort((ids[doc[order]], two[order], one[order]))]
+    doc, first, one, two = (x[order] for x in (doc, first, one, two))
+    return doc, first, runs(one, two)
 
-def _survivors(batch: Batch, shared: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Places of suffixes whose first digit another batch (``shared``) or another document has, and
-    whether it is another batch.
 
-    Digits are looked up in a bit table, which lets a few others pass for shared, as cut digits do.
-    """
-    mask, places, outside = _U((1 << TABLE_BITS) - 1), [], []
-    for low, high in batch.ranges():
-        s = batch.sorted_keys(low, high)
-        wanted = np.zeros(1 << TABLE_BITS, dtype=np.uint8)
-        wanted[(s[1:][s[1:] == s[:-1]] & mask).astype(np.int64)] = 1
-        wanted[(shared[(shared >= _U(low)) & (shared < _U(high))] & mask).astype(np.int64)] = 2
-        del s
-        own, keys = [], []
-        for a, h, room in batch.keys():
-            found = wanted[(h & mask).astype(np.int64)]
-            if len(batch.ranges()) > 1:
-                room &= (h >= _U(low)) & (h < _U(high))
-            found[~room] = 0
-            places.append(np.flatnonzero(found == 2) + a)
-            outside.append(np.ones(len(places[-1]), dtype=bool))
-            near = np.flatnonzero(found == 1)
-            own.append(near + a)
-            keys.append(h[near])
-        # Groups of one document drop out.
-        if own:
-            at, keys = np.concatenate(own), np.concatenate(keys)
-            ids = batch.ids[batch.documents(at)]
-            order = np.lexsort((ids, keys))
-            cut = runs(keys[order])
-            several = ids[order[cut[:-1]]] != ids[order[cut[1:] - 1]] if len(order) else np.zeros(0, bool)
-            places.append(at[order[np.repeat(several, np.diff(cut))]])
-            outside.append(np.zeros(len(places[-1]), dtype=bool))
-    if not places:
-        return np.zeros(0, np.int64), np.zeros(0, bool)
-    return np.concatenate(places), np.concatenate(outside)
+def _reduce_windows(n_buckets: int, fan: int | None = None):
+    def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bucket = key[0].as_py()
+        ids, rows, cols, passing = _gather(tables, 5)
+        out = [(bucket, kind, data) for kind, data in passing]
+        if cols is not None:
+            doc, first, _, one, two = cols
+            doc, first, cut = _by_digits(doc, first, one, two, ids)
+            marked = ids[doc] > np.repeat(ids[doc][cut[:-1]], np.diff(cut))
+            out += _to_docs(MARK, doc[marked], first[marked], np.full(int(marked.sum()), WINDOW), ids, rows, n_buckets)
+        yield _record(out, n_buckets, fan)
+
+    return run
 
 
 def merge_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs [first, last) of sorted or unsorted ranges."""
-    if not len(first):
-        return first, last
     order = np.argsort(first, kind="stable")
     first, last = first[order], np.maximum.accumulate(last[order])
     new = np.append(True, first[1:] > last[:-1])
@@ -237,134 +336,152 @@ def merge_spans(first: np.ndarray, last: np.ndarray) -> tuple[np.ndarray, np.nda
     return first[at], last[np.append(at[1:] - 1, len(last) - 1)]
 
 
-def _second_pass(layout: Layout):
-    """Batch of texts and its shared values -> groups for the buckets (kind 0), what it knows (kind 2)."""
-
-    def run(key: tuple, texts: pa.Table, replies: pa.Table) -> pa.Table:
-        batch, me = Batch(texts, layout), key[0].as_py()
-        lists = [(_U(source) << _U(layout.digit_bits)) + unpack_sorted(x, layout.low_bytes) for source, _, x in _answers(replies)]
-        shared = np.sort(np.concatenate(lists)) if lists else np.zeros(0, _U)
-        at, outside = _survivors(batch, shared)
-        h, check = window_hash(batch.words, at, WINDOW, 21), (window_hash(batch.words, at, WINDOW, 22) >> _U(32)).astype(np.uint32)
-        ids = batch.ids[batch.documents(at)]
-        order = np.lexsort((ids, check, h))
-        at, outside, h, check, ids = (x[order] for x in (at, outside, h, check, ids))
-        cut = runs(h, check)
-        low = np.repeat(ids[cut[:-1]], np.diff(cut))
-        marked = ids > low
-        spans = merge_spans(at[marked], at[marked] + WINDOW)
-        # Groups that other batches may have; the places of their smallest document are still open.
-        group = np.repeat(np.arange(len(cut) - 1), np.diff(cut))
-        sent = np.zeros(len(cut) - 1, dtype=bool)
-        sent[group[outside]] = True
-        number = np.cumsum(sent) - 1
-        still = sent[group] & ~marked
-        lead = cut[:-1][sent]
-        bucket = (h[lead] >> _U(64 - layout.bucket_bits) if layout.bucket_bits else np.zeros(len(lead), _U)).astype(np.int64)
-        out = Frames(layout.n_buckets, layout.fan)
-        b = runs(bucket)
-        for x, y in zip(b, b[1:]):
-            used, local = np.unique(ids[lead[x:y]], return_inverse=True)
-            out.add(int(bucket[x]), me, VALUES, pack([used, local.astype(np.uint32), h[lead[x:y]], check[lead[x:y]]]))
-        own = Frames(1, 1)
-        own.add(me, 0, STATE, pack([*spans, at[still].astype(np.uint32), number[group[still]].astype(np.uint32), bucket[b[:-1]].astype(np.uint32), np.diff(b).astype(np.uint32)]))
-        parts = [(VALUES, out.record()), (STATE, own.record())]
-        return pa.Table.from_batches([pa.RecordBatch.from_arrays([pa.array([k] * r.num_rows, pa.int32()), *r.columns], ["kind", "to", "data"]) for k, r in parts])
-
-    return run
-
+def _by_document(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Marks and asks of a bucket's documents, a row for each document."""
+    found = {MARK: [], ASK: []}
+    for _, _, kind, data in frames(cells(tables)):
+        a, b, local, first, length = unpack(data)
+        found[kind].append((a[local], b[local], first, length))
+    by_row: dict[tuple[int, int], list] = {}
+    for kind, parts in found.items():
+        if not parts:
+            continue
+        ids, rows, first, length = (np.concatenate(x) for x in zip(*parts))
+        order = np.lexsort((first, rows, ids))
+        ids, rows, first, length = (x[order] for x in (ids, rows, first, length))
+        cut = runs(ids, rows)
+        for a, b in zip(cut, cut[1:]):
+            x, y = first[a:b].astype(np.int64), length[a:b].astype(np.int64)
+            if kind == MARK:
+                s, e = merge_spans(x, x + y)
+                x, y = s, e - s
+            by_row.setdefault((int(ids[a]), int(rows[a])), [None, None])[kind - MARK] = pack([x.astype(np.uint32), y.astype(np.uint32)])
+        del ids, rows, first, length
+    keys = list(by_row)
+    yield pa.RecordBatch.from_arrays(
+        [
+            pa.array([None if k[0] == NULL_ID else k[0] for k in keys], pa.int64()),
+            pa.array([k[1] for k in keys], pa.int64()),
+            pa.array([by_row[k][0] for k in keys], pa.binary()),
+            pa.array([by_row[k][1] for k in keys], pa.binary()),
+        ],
+        ["__id", "__row", "marks", "asks"],
+    )
 
-def _find_smaller(layout: Layout):
-    """Bucket: tells each batch of which of its groups another batch has a smaller document."""
 
-    def run(key: tuple, tables: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lists = [(to, batch, unpack(x)) for to, batch, _, x in frames(cells(tables))]
-        out = Frames(layout.n_batches, layout.fan)
-        ids = np.concatenate([x[0][x[1]] for _, _, x in lists])
-        h, check = (np.concatenate([x[i] for _, _, x in lists]) for i in (2, 3))
-        order = np.lexsort((ids, check, h))
-        cut = runs(h[order], check[order])
-        smaller = np.empty(len(order), dtype=bool)
-        smaller[order] = ids[order] > np.repeat(ids[order[cut[:-1]]], np.diff(cut))
-        at = 0
-        for to, batch, x in lists:
-            out.add(batch, to, ANSWER, np.packbits(smaller[at : at + len(x[2])]).tobytes())
-            at += len(x[2])
-        yield out.record()
+_DOC = "__id long, __row long, marks binary, asks binary"
+
+
+def _map_windows(n_buckets: int, fan: int | None = None):
+    """Rows (doc_id, row, text, asks): the windows of the asked runs."""
+
+    def finish(batch: Batch) -> list:
+        doc, first, one, two = batch.columns(4)
+        ids, rows = batch.documents()
+        if not len(doc):
+            return []
+        # All of a group but its smallest document are marked here; that one is sent on.
+        order = np.lexsort((ids[doc], two, one))
+        doc, first, one, two = (x[order] for x in (doc, first, one, two))
+        cut = runs(one, two)
+        marked = ids[doc] > np.repeat(ids[doc][cut[:-1]], np.diff(cut))
+        out = _to_docs(MARK, doc[marked], first[marked], np.full(int(marked.sum()), WINDOW), ids, rows, n_buckets)
+        at = np.flatnonzero(~marked)
+        bucket = ((one[at] >> _U(16)) % _U(n_buckets)).astype(np.int64)
+        return out + _entries([one[at], two[at]], doc[at], first[at], np.zeros(len(at)), bucket, ids, rows)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        batch = Batch()
+        for doc_id, row, text, asks in _rows_of(batches):
+            raw = text.as_buffer().to_pybytes()
+            first, length = (x.astype(np.int64) for x in unpack(asks.as_buffer().to_pybytes()))
+            words = _loads(np.frombuffer(raw + b"\0" * 8, dtype=np.uint8))
+            size = length + 1
+            part = np.cumsum(size) // ASKED
+            for a in np.flatnonzero(np.append(True, part[1:] != part[:-1])).tolist():
+                own = part == part[a]
+                n = size[own]
+                at = np.repeat(first[own] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                batch.ids.append(_id(doc_id.as_py()))
+                batch.rows.append(row.as_py())
+                one, two = (window_hash(words, x, WINDOW // 2, seed) for x, seed in ((at, 21), (at + WINDOW // 2, 22)))
+                batch.parts.append((np.full(len(at), len(batch.ids) - 1, dtype=np.uint32), at.astype(np.uint32), one, two))
+                batch.bytes += len(at) * 32
+                if batch.bytes >= BATCH_BYTES * 2:
+                    yield _record(finish(batch), n_buckets, fan)
+                    batch = Batch()
+        yield _record(finish(batch), n_buckets, fan)
 
     return run
 
 
-_SPANS = pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))
-_OUT = "doc_id long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary, copies long"
-
-
-def _cut(layout: Layout):
-    """Batch of texts, what it knows and the answers -> spans and the bytes that stay."""
-
-    def run(key: tuple, texts: pa.Table, known: pa.Table) -> pa.Table:
-        batch = Batch(texts, layout) if texts.num_rows else None
-        if batch is None:
-            return pa.Table.from_batches([], pa.schema([("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("spans", _SPANS), ("kept", pa.binary()), ("copies", pa.int64())]))
-        first, last = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        got = _answers(known)
-        for _, kind, x in got:
-            if kind == STATE:
-                first, last, at, number, buckets, counts = unpack(x)
-                bits = {source: y for source, k, y in got if k == ANSWER}
-                smaller = [np.unpackbits(np.frombuffer(bits[int(s)], np.uint8), count=int(n)).astype(bool) for s, n in zip(buckets, counts)]
-                smaller = np.concatenate(smaller) if smaller else np.zeros(0, bool)
-                more = at.astype(np.int64)[smaller[number]]
-                first, last = merge_spans(np.concatenate([first, more]), np.concatenate([last, more + WINDOW]))
-        doc = batch.documents(first)
-        bound = np.searchsorted(doc, np.arange(len(batch.texts) + 1))
-        spans, kept = [], []
-        for i, raw in enumerate(batch.texts):
-            base = int(batch.start[i])
-            a, b = ((v[bound[i] : bound[i + 1]] - base).tolist() for v in (first, last))
-            spans.append([{"a": x, "b": y} for x, y in zip(a, b)])
-            kept.append(b"".join(raw[x:y] for x, y in zip([0, *b], [*a, len(raw)])) if a else raw)
-        return pa.table(
-            [pa.array(batch.ids, pa.int64(), mask=batch.null), pa.array(batch.size), pa.array(spans, _SPANS), pa.array(kept, pa.binary()), pa.array(batch.copies)],
-            names=["doc_id", "n_bytes", "spans", "kept", "copies"],
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, text, marks): spans and the bytes that stay."""
+    for b in batches:
+        n_bytes, spans, kept = [], [], []
+        for _, text, marks in _rows_of([b]):
+            raw = text.as_buffer().to_pybytes()
+            n_bytes.append(len(raw))
+            if not marks.is_valid:
+                spans.append([])
+                kept.append(raw)
+                continue
+            first, length = (x.astype(np.int64).tolist() for x in unpack(marks.as_buffer().to_pybytes()))
+            spans.append([{"a": x, "b": x + y} for x, y in zip(first, length)])
+            at = [0, *[x + y for x, y in zip(first, length)]]
+            kept.append(b"".join(raw[x:y] for x, y in zip(at, [*first, len(raw)])))
+        yield pa.RecordBatch.from_arrays(
+            [b.column(0), pa.array(n_bytes, pa.int64()), pa.array(spans, pa.list_(pa.struct([("a", pa.int64()), ("b", pa.int64())]))), pa.array(kept, pa.binary())],
+            ["doc_id", "n_bytes", "spans", "kept"],
         )
 
-    return run
-
 
-def drop_repeats(df: DataFrame, batch_bytes: int = BATCH_BYTES, bucket_bytes: int = BUCKET_BYTES, fan: int | None = None) -> DataFrame:
+def repeated_spans(df: DataFrame, fan: int | None = None) -> DataFrame:
+    """(__id, __row, marks, asks): marked byte runs of each document that has any."""
+    spark = df.sparkSession
+    text = F.coalesce(F.col("text"), F.lit(""))
+    docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), total // BUCKET_BYTES)
+
+    def grouped(rows: DataFrame, how, schema: str) -> DataFrame:
+        return exchange(rows, n, fan).groupBy("to").applyInArrow(how, schema)
+
+    entries = docs.mapInArrow(_map_contexts(n, fan), ROW)
+    settled = grouped(entries, _reduce_contexts(n, fan), ROW)
+    by_doc = materialize(grouped(settled, _by_document, _DOC), "suffix-contexts")
+    asks = by_doc.filter(F.col("asks").isNotNull()).select("__id", "__row", "asks")
+    same = docs["doc_id"].eqNullSafe(asks["__id"]) & (docs["row"] == asks["__row"])
+    asked = docs.join(asks.hint("merge"), same).select("doc_id", "row", "text", "asks")
+    windows = grouped(asked.mapInArrow(_map_windows(n, fan), ROW), _reduce_windows(n, fan), ROW)
+    more = materialize(grouped(windows, _by_document, _DOC), "suffix-windows")
+
+    both = by_doc.select("__id", "__row", "marks").unionByName(more.select("__id", "__row", "marks"))
+    return both.filter(F.col("marks").isNotNull()).groupBy("__id", "__row").agg(F.collect_list("marks").alias("parts"))
+
+
+def _join_parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        merged = []
+        for parts in b.column(2).to_pylist():
+            got = [unpack(x) for x in parts]
+            first = np.concatenate([x[0] for x in got]).astype(np.int64)
+            last = first + np.concatenate([x[1] for x in got])
+            s, e = merge_spans(first, last)
+            merged.append(pack([s.astype(np.uint32), (e - s).astype(np.uint32)]))
+        yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(merged, pa.binary())], ["__id", "__row", "marks"])
+
+
+def drop_repeats(df: DataFrame, fan: int | None = None) -> DataFrame:
     """(doc_id, n_bytes, spans, kept) for each row of ``df``: byte runs that repeat 50 bytes of a
     document with a smaller id, and the bytes that stay."""
-    spark = df.sparkSession
+    marks = repeated_spans(df, fan).mapInArrow(_join_parts, "__id long, __row long, marks binary")
+    marks = materialize(marks, "suffix-marks")
     text = F.coalesce(F.col("text"), F.lit(""))
     docs = df.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("row"), text.alias("text"))
-    each = docs.groupBy("doc_id", "row").agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("size"))
-    total, most = each.agg(F.sum("size"), F.max("n")).first()
-    docs = docs.withColumn("copies", F.lit(1).cast("long"))
-    if (most or 0) > 1:
-        docs = docs.groupBy("doc_id", "row").agg(F.first("text").alias("text"), F.sum("copies").alias("copies"))
-    total, tasks = total or 0, int(spark.conf.get("spark.sql.shuffle.partitions"))
-    layout = Layout(total, max(tasks, total // batch_bytes), max(PARTS * tasks, total // bucket_bytes), fan)
-    docs = docs.withColumn("batch", F.pmod(F.xxhash64("doc_id", "row", F.lit(5)), F.lit(layout.n_batches)).cast("int"))
-
-    def to_buckets(rows: DataFrame, how) -> DataFrame:
-        return exchange(rows, layout.n_buckets, fan).groupBy("to").applyInArrow(how(layout), ROW)
-
-    def with_answers(rows: DataFrame, how, schema: str) -> DataFrame:
-        return docs.groupBy("batch").cogroup(rows.groupBy("to")).applyInArrow(how(layout), schema)
-
-    def to_batches(rows: DataFrame) -> DataFrame:
-        return exchange(rows, layout.n_batches, fan)
-
-    halves = [docs.groupBy("batch").applyInArrow(_first_pass(layout, i), ROW) for i in range(PARTS)]
-    shared = reduce(DataFrame.unionByName, [materialize(to_buckets(x, _find_shared), "suffix-first") for x in halves])
-    groups = materialize(with_answers(to_batches(shared), _second_pass, f"kind int, {ROW}"), "suffix-second")
-    smaller = materialize(to_buckets(groups.filter(F.col("kind") == VALUES).drop("kind"), _find_smaller), "suffix-smaller")
-    known = to_batches(smaller).unionByName(groups.filter(F.col("kind") == STATE).drop("kind"))
-    out = with_answers(known, _cut, _OUT)
-    if (most or 0) > 1:
-        out = out.withColumn("copies", F.explode(F.array_repeat("copies", F.col("copies").cast("int"))))
-    return out.drop("copies")
+    same = docs["doc_id"].eqNullSafe(marks["__id"]) & (docs["row"] == marks["__row"])
+    joined = docs.join(marks.hint("merge"), same, "left").select("doc_id", "text", "marks")
+    return joined.mapInArrow(_cut, "doc_id long, n_bytes long, spans array<struct<a:long,b:long>>, kept binary")
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
