@@ -5,8 +5,10 @@ shared folder and read back as the next stage's docs.  All but the last return
 the columns of ``documents``, extra ones included.  Near duplicates are judged on
 five-word shingles at a similarity of 0.8.
 
-Null text, empty text, repeated rows and empty tables: see the operators.  Of rows
-that repeat whole inside a group of near duplicates one stays.
+Null text, empty text and empty tables: see the operators.  Of rows of one doc_id
+and text near_duplicates keeps one, whatever their other columns: which one is not
+defined.  Texts of one doc_id that don't link all stay; of those that do, and of all
+texts of a group under its smallest doc_id, the one of smallest hash stays.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from routeloom.llm.decontaminate import decontaminate
 from routeloom.llm.jaccard_join import jaccard_roots
 from routeloom.llm.line_dedup import dedup_lines
 from routeloom.llm.quality_rules import keep_documents
+from routeloom.workspace import drop, temporary
 
 TOKENIZER = "byte_bpe_multi_50k.tiktoken"
 
@@ -62,7 +65,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     def keep(d: DataFrame) -> DataFrame:
         keyed = d.withColumn("__text_row", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("__no_text", F.col("text").isNull())
         same = keyed["doc_id"].eqNullSafe(first["__id"]) & (keyed["__text_row"] == first["__row"])
-        return keyed.join(first.hint("shuffle_hash"), same, "left_semi").dropDuplicates(["doc_id", "__text_row", "__no_text"])
+        return keyed.join(first.hint("merge"), same, "left_semi").dropDuplicates(["doc_id", "__text_row", "__no_text"])
 
     return _through(docs, keep)
 
@@ -90,7 +93,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    """All stages, one after another; what a stage wrote on the way, and its input, goes when it is done."""
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        with temporary(spark) as made:
+            docs = materialize(stage(spark, docs, sf_dir), f"pipeline-{name}")
+            own = made.pop()
+        if last:
+            drop(spark, last)
+        last = own
     return docs
