@@ -25,7 +25,7 @@ MAX_SHARED_ARCS = 400_000
 PATHS = "source string, node string, time_u long, distance_u long, arc_ids array<string>"
 
 
-def _costed(arcs: DataFrame) -> DataFrame:
+def costed(arcs: DataFrame) -> DataFrame:
     micro = lambda c: F.round(F.col(c) * 1_000_000).cast("long")
     return arcs.select("arc_id", "from_node", "to_node", micro("time_min").alias("time_u"), micro("distance_m").alias("distance_u"))
 
@@ -64,15 +64,15 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | No
     ``targets`` (node): the only ends that are returned.  A search goes no farther than
     ``max_minutes``.
     """
-    costed = _costed(arcs)
-    shared = _share(costed)
+    weighed = costed(arcs)
+    shared = _share(weighed)
     limit = None if max_minutes is None else round(max_minutes * 1_000_000)
     ends = None if targets is None else targets.select("node").distinct()
     if shared is None:
-        found = relax(costed, sources, blockers, limit=limit)
+        found = relax(weighed, sources, blockers, limit=limit)
         return found if ends is None else found.join(ends, "node", "left_semi").select(found.columns)
     # Ends that aren't nodes of the shared arcs can only be sources themselves.
-    wanted = None if ends is None else arcs.sparkSession.sparkContext.broadcast(frozenset(r.node for r in ends.join(_nodes(costed, sources), "node", "left_semi").toLocalIterator()))
+    wanted = None if ends is None else arcs.sparkSession.sparkContext.broadcast(frozenset(r.node for r in ends.join(_nodes(weighed, sources), "node", "left_semi").toLocalIterator()))
     stops = blockers.groupBy("source").agg(F.collect_set("node").alias("blocked")) if blockers is not None else None
     plan = sources.select("source").distinct()
     plan = plan.join(stops, "source", "left") if stops is not None else plan.withColumn("blocked", F.lit(None).cast("array<string>"))
@@ -88,11 +88,11 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | No
     return plan.repartition(n, "source").mapInPandas(run, PATHS)
 
 
-def _nodes(costed: DataFrame, sources: DataFrame) -> DataFrame:
-    return costed.select(F.explode(F.array("from_node", "to_node")).alias("node")).unionByName(sources.select(F.col("source").alias("node"))).distinct()
+def _nodes(weighed: DataFrame, sources: DataFrame) -> DataFrame:
+    return weighed.select(F.explode(F.array("from_node", "to_node")).alias("node")).unionByName(sources.select(F.col("source").alias("node"))).distinct()
 
 
-def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, stops: DataFrame | None = None, limit: int | None = None) -> DataFrame:
+def relax(weighed: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, stops: DataFrame | None = None, limit: int | None = None) -> DataFrame:
     """The same paths by joining a frontier with the arcs until no path improves.
 
     ``stops`` (node): nodes that no path but one from there passes.
@@ -108,7 +108,7 @@ def relax(costed: DataFrame, sources: DataFrame, blockers: DataFrame | None = No
             live = frontier.join(blockers.select("source", "node"), ["source", "node"], "left_anti").unionByName(frontier.filter("source = node")).distinct()
         if stops is not None:
             live = live.join(stops.select(F.col("node").alias("stop")), F.col("node") == F.col("stop"), "left").filter("stop is null or source = node").drop("stop")
-        step = live.join(costed.withColumnsRenamed({"time_u": "dt", "distance_u": "dd"}), F.col("node") == F.col("from_node")).select(
+        step = live.join(weighed.withColumnsRenamed({"time_u": "dt", "distance_u": "dd"}), F.col("node") == F.col("from_node")).select(
             "source", F.col("to_node").alias("node"), (F.col("time_u") + F.col("dt")).alias("time_u"), (F.col("distance_u") + F.col("dd")).alias("distance_u"), F.concat("arc_ids", F.array("arc_id")).alias("arc_ids")
         )
         if limit is not None:
@@ -215,9 +215,9 @@ def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | No
         live = live.join(scope.select("terminal_id"), "terminal_id", "left_semi")
     anchors = live.select(F.col("truck_anchor_id").alias("source")).distinct()
     # Blockers are the other anchors; a search passes its own source, so one set serves all.
-    costed = _costed(arcs)
+    weighed = costed(arcs)
     few = anchors.limit(MAX_SHARED_ARCS + 1).count() <= MAX_SHARED_ARCS
-    shared = _share(costed) if few else None
+    shared = _share(weighed) if few else None
     if shared is not None:
         nodes = [r.source for r in anchors.collect()]
         blocked = arcs.sparkSession.sparkContext.broadcast(frozenset(nodes))
@@ -232,7 +232,7 @@ def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | No
         paths = anchors.repartition(max(1, min(len(nodes), int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "source").mapInPandas(run, PATHS)
     else:
         stops = anchors.select(F.col("source").alias("node"))
-        paths = relax(costed, anchors, stops=stops).join(stops, "node", "left_semi").filter("source <> node")
+        paths = relax(weighed, anchors, stops=stops).join(stops, "node", "left_semi").filter("source <> node")
     a = live.select(F.col("terminal_id").alias("from_terminal"), F.col("truck_anchor_id").alias("source"))
     b = live.select(F.col("terminal_id").alias("to_terminal"), F.col("truck_anchor_id").alias("node"))
     logical = paths.join(a, "source").join(b, "node").select(

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import drone, paths, population, release, roads, scenarios, service, terrain
+from ..operators import components, drone, paths, population, release, roads, scenarios, service, terrain
 from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
 from ..workspace import materialize, work_path
@@ -361,6 +361,35 @@ def backbone_edges(spark: SparkSession, sf: str) -> DataFrame:
     return paths.backbone(lineage, a)
 
 
+@query(_paths_sql(_CORNERS, "SELECT node FROM anchor WHERE false") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best")
+def paths_by_joins(spark: SparkSession, sf: str) -> DataFrame:
+    """The same paths by relaxation, the way that graphs too large to send around go."""
+    sources = B.rows(spark, sf, _CORNERS).select(F.col("node").alias("source"))
+    return paths.relax(paths.costed(arcs(spark, sf)), sources).withColumn("arc_ids", F.array_join("arc_ids", ","))
+
+
+@query(_paths_sql(_ANCHORS, "SELECT node FROM anchor") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best WHERE source <> node AND node IN (SELECT node FROM anchor)")
+def strict_paths_by_joins(spark: SparkSession, sf: str) -> DataFrame:
+    """Strict paths by relaxation: anchors end each other's paths."""
+    anchors = B.rows(spark, sf, _ANCHORS)
+    found = paths.relax(paths.costed(arcs(spark, sf)), anchors.select(F.col("node").alias("source")), stops=anchors)
+    return found.join(anchors, "node", "left_semi").filter("source <> node").withColumn("arc_ids", F.array_join("arc_ids", ",")).select("source", "node", "time_u", "distance_u", "arc_ids")
+
+
+#: Customers in chains and stars: each with one of larger key, if there is one.
+_LINKS = "SELECT c_custkey AS a, c_custkey + 1 + (c_custkey * 7) % 13 AS b FROM customer WHERE c_custkey % 5 <> 0"
+
+
+@query(f"""
+WITH RECURSIVE e AS ({_LINKS}), twice AS (SELECT a, b FROM e UNION SELECT b, a FROM e),
+reach AS (SELECT DISTINCT a AS n, a AS r FROM twice UNION SELECT reach.n, twice.b FROM reach JOIN twice ON reach.r = twice.a)
+SELECT n AS node, min(r) AS root FROM reach GROUP BY n""")
+def component_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Connected components by rounds of star contractions."""
+    edges = B.rows(spark, sf, _LINKS).select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"))
+    return components.components(edges, "component-rounds")
+
+
 _SCOPE = f"SELECT node FROM ({B.ACTIVE}) WHERE k % 8 = 0"
 
 
