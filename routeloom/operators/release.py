@@ -147,20 +147,67 @@ def reuse_or_build(spark: SparkSession, root: str | None, names: list[str], buil
     return {n: spark.read.parquet(f"{root}/{n}") for n in names}, True
 
 
-def bundle(inputs: list[dict], files: dict[str, bytes], out: str, include_raw: bool) -> dict:
-    """A ZIP of a release's files and the inputs that may be passed on, with a manifest of the rest."""
-    allowed = {i["path"] for i in inputs if include_raw and i.get("redistribution_permitted")}
-    omitted = [i for i in inputs if i["path"] not in allowed]
-    kept = {k: v for k, v in files.items() if k not in {i["path"] for i in inputs} or k in allowed}
-    note = {"omitted_inputs": omitted, "members": sorted(kept)}
-    data = io.BytesIO()
-    with zipfile.ZipFile(data, "w", zipfile.ZIP_DEFLATED) as z:
-        for name in sorted(kept):
-            z.writestr(zipfile.ZipInfo(name), kept[name])
-        z.writestr(zipfile.ZipInfo("DATASET_BUNDLE_MANIFEST.json"), json.dumps(note, indent=1, sort_keys=True))
-    with open(out, "xb") as f:
-        f.write(data.getvalue())
-    return {"omitted_input_count": len(omitted), "members": len(kept) + 1}
+class _Stream(io.RawIOBase):
+    """A file of the release's file system, for writing from front to back."""
+
+    def __init__(self, out):
+        super().__init__()
+        self.out = out
+
+    def writable(self) -> bool:
+        return True
+
+    def write(self, data) -> int:
+        self.out.write(bytearray(data))
+        return len(data)
+
+
+def release_files(spark: SparkSession, root: str) -> dict[str, str]:
+    """Members of a published release by name; one whose manifest or a table of it is missing is an error."""
+    fs, path = _fs(spark, root)
+    if not exists(spark, f"{root}/manifest.json"):
+        raise GateError(f"{root} has no manifest")
+    note = json.loads(read_text(spark, f"{root}/manifest.json"))
+    base, found, files = fs.makeQualified(path(root)).toString(), {}, fs.listFiles(path(root), True)
+    while files.hasNext():
+        file = files.next().getPath()
+        if not file.getName().startswith((".", "_")):
+            found[file.toString()[len(base) + 1 :]] = file.toString()
+    absent = sorted(t for t in note.get("core_hashes", {}) if not any(name.startswith(f"{t}/") for name in found))
+    if note.get("status") != "published" or absent:
+        raise GateError(f"{root} is no whole release: {absent or note.get('status')}")
+    return found
+
+
+def bundle(spark: SparkSession, root: str, inputs: list[dict], out: str, include_raw: bool) -> dict:
+    """A ZIP of a published release and of the inputs that may be passed on, with a manifest of the rest.
+
+    ``inputs``: role, path and redistribution_permitted of each.  Files are read one by
+    one and streamed to ``out``, which must be new, in the release's file system.
+    """
+    members = {f"release/{k}": v for k, v in release_files(spark, root).items()}
+    allowed = [i for i in inputs if include_raw and i.get("redistribution_permitted")]
+    omitted = [i for i in inputs if i not in allowed]
+    members |= {f"inputs/{i['role']}/{i['path'].rpartition('/')[2]}": i["path"] for i in allowed}
+    if exists(spark, out):
+        raise GateError(f"{out} must be a new, unprotected path")
+    fs, path = _fs(spark, out)
+    part = f"{out}.part-{uuid.uuid4().hex}"
+    sink = fs.create(path(part), False)
+    try:
+        with zipfile.ZipFile(_Stream(sink), "w", zipfile.ZIP_DEFLATED) as z:
+            for name in sorted(members):
+                content = spark.read.format("binaryFile").load(members[name]).select("content").first().content
+                z.writestr(zipfile.ZipInfo(name), bytes(content))
+            note = {"omitted_inputs": omitted, "members": sorted(members)}
+            z.writestr(zipfile.ZipInfo("DATASET_BUNDLE_MANIFEST.json"), json.dumps(note, indent=1, sort_keys=True))
+        sink.close()
+        _move(spark, part, out)
+    except BaseException:
+        sink.close()
+        fs.delete(path(part), False)
+        raise
+    return {"omitted_input_count": len(omitted), "members": len(members) + 1}
 
 
 def download_plan(catalogue: DataFrame) -> DataFrame:

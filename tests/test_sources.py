@@ -138,14 +138,32 @@ def test_digests_and_comparison(spark):
     assert {r.table for r in release.differences(release.science_keys(one), release.science_keys(two)).collect()} == {"u", "v"}
 
 
-def test_bundle(spark, tmp_path):
-    inputs = [{"path": "raw/a.tif", "role": "dem", "redistribution_permitted": True}, {"path": "raw/b.gpkg", "role": "roads", "redistribution_permitted": False}]
-    files = {"raw/a.tif": b"1", "raw/b.gpkg": b"2", "release/nodes.csv": b"3"}
-    assert release.bundle(inputs, files, str(tmp_path / "x.zip"), True) == {"omitted_input_count": 1, "members": 3}
+def test_bundle_of_a_published_release(spark, tmp_path):
+    root, raw = f"file://{tmp_path}/release", tmp_path / "raw"
+    raw.mkdir()
+    (raw / "a.tif").write_bytes(b"1" * 1000)
+    (raw / "b.gpkg").write_bytes(b"2")
+    inputs = [{"path": f"file://{raw}/a.tif", "role": "dem", "redistribution_permitted": True}, {"path": f"file://{raw}/b.gpkg", "role": "roads", "redistribution_permitted": False}]
+    with pytest.raises(GateError, match="no manifest"):
+        release.bundle(spark, root, inputs, f"file://{tmp_path}/x.zip", True)
+    release.publish(spark, tables(spark), root, fmt="csv")
+    got = release.bundle(spark, root, inputs, f"file://{tmp_path}/x.zip", True)
+    assert got["omitted_input_count"] == 1
     with zipfile.ZipFile(tmp_path / "x.zip") as z:
-        assert set(z.namelist()) == {"raw/a.tif", "release/nodes.csv", "DATASET_BUNDLE_MANIFEST.json"}
-    with pytest.raises(FileExistsError):
-        release.bundle(inputs, files, str(tmp_path / "x.zip"), True)
+        names = z.namelist()
+        assert got["members"] == len(names) and z.read("inputs/dem/a.tif") == b"1" * 1000
+        assert {"release/manifest.json", "DATASET_BUNDLE_MANIFEST.json"} < set(names) and any(n.startswith("release/nodes/") for n in names)
+        assert not any("gpkg" in n for n in names)
+        assert [i["role"] for i in json.loads(z.read("DATASET_BUNDLE_MANIFEST.json"))["omitted_inputs"]] == ["roads"]
+    with pytest.raises(GateError, match="new, unprotected"):
+        release.bundle(spark, root, inputs, f"file://{tmp_path}/x.zip", True)
+    assert release.bundle(spark, root, inputs, f"file://{tmp_path}/y.zip", False)["omitted_input_count"] == 2
+    import shutil
+
+    shutil.rmtree(tmp_path / "release/nodes")
+    with pytest.raises(GateError, match="nodes"):
+        release.bundle(spark, root, inputs, f"file://{tmp_path}/z.zip", True)
+    assert sorted(p.name for p in tmp_path.iterdir() if p.suffix == ".zip") == ["x.zip", "y.zip"]
     df = spark.createDataFrame([(i["path"], i["redistribution_permitted"]) for i in inputs], "path string, redistribution_permitted boolean")
     assert [r.path for r in release.omitted_inputs(df).collect()] == ["raw/b.gpkg"]
 
