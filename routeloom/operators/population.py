@@ -19,6 +19,27 @@ def resample_sum(cells: DataFrame, factor: int = 2) -> DataFrame:
     return cells.groupBy((F.floor(F.col("row") / factor)).cast("int").alias("row"), (F.floor(F.col("col") / factor)).cast("int").alias("col")).agg(F.sum("pop").alias("pop"))
 
 
+def resample_area(cells: DataFrame, source: dict, target: dict) -> DataFrame:
+    """Cells of one grid on another by the share of each cell's area: keeps the total.
+
+    Grids: x0 and y0 of the upper left corner and cell_m; rows go down.  A cell meets
+    only the target cells that it overlaps.
+    """
+    s, t = source["cell_m"], target["cell_m"]
+    left = F.lit(source["x0"] - target["x0"]) + F.col("col") * s
+    top = F.lit(target["y0"] - source["y0"]) + F.col("row") * s
+
+    def overlaps(start: Column) -> Column:
+        """(i, share): target cells along one axis and the share of the source cell in each."""
+        last = F.ceil((start + s) / t) - 1
+        each = F.sequence(F.floor(start / t), F.greatest(last, F.floor(start / t)))
+        share = lambda i: (F.least((i + 1) * t, start + s) - F.greatest(i * t, start)) / s
+        return F.filter(F.transform(each, lambda i: F.struct(i.cast("int").alias("i"), share(i).alias("share"))), lambda e: e["share"] > 0)
+
+    parts = cells.select(F.explode(overlaps(top)).alias("r"), "col", "pop").select("r", F.explode(overlaps(left)).alias("c"), "pop")
+    return parts.groupBy(F.col("r.i").alias("row"), F.col("c.i").alias("col")).agg(F.sum(F.col("pop") * F.col("r.share") * F.col("c.share")).alias("pop"))
+
+
 def inside_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
     """Ray casting against a closed ring of fixed vertices: odd crossings are inside."""
     crossings = F.lit(0)

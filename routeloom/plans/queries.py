@@ -75,6 +75,19 @@ def grid_resample_sum(spark: SparkSession, sf: str) -> DataFrame:
     return population.resample_sum(B.rows(spark, sf, B.CELLS).select(F.col("r").alias("row"), F.col("c").alias("col"), "pop"))
 
 
+_WIDE = {"x0": -20.0, "y0": 4030.0, "cell_m": 130.0}
+
+
+@query(f"""
+WITH cell AS ({B.CELLS}), t AS (SELECT CAST(i AS INTEGER) AS i FROM (SELECT unnest(range(33)) AS i)),
+w AS (SELECT t.i AS tr, u.i AS tc, pop, least((t.i + 1) * 130.0, r * 100.0 + 130.0) - greatest(t.i * 130.0, r * 100.0 + 30.0) AS h, least((u.i + 1) * 130.0, c * 100.0 + 120.0) - greatest(u.i * 130.0, c * 100.0 + 20.0) AS b FROM cell, t, t u)
+SELECT tr AS "row", tc AS col, round(sum(pop * h * b / 10000), 6) AS pop FROM w WHERE h > 0 AND b > 0 GROUP BY 1, 2""")
+def grid_resample_area(spark: SparkSession, sf: str) -> DataFrame:
+    """100 m cells on a grid of 130 m that lies 20 m and 30 m off, by area."""
+    cells = B.rows(spark, sf, B.CELLS).select(F.col("r").alias("row"), F.col("c").alias("col"), "pop")
+    return population.resample_area(cells, {"x0": 0.0, "y0": 4000.0, "cell_m": 100.0}, _WIDE).withColumn("pop", F.round("pop", 6))
+
+
 RING = [(100.0, 100.0), (1200.0, 250.0), (900.0, 800.0), (1300.0, 1400.0), (150.0, 1100.0)]
 _SIDES = "SELECT * FROM (VALUES " + ", ".join(f"({a}, {b}, {c}, {d})" for (a, b), (c, d) in zip(RING, RING[1:] + RING[:1])) + ") s(x1, y1, x2, y2)"
 _NEAREST = "sqrt(pow(x - (x1 + t * (x2 - x1)), 2) + pow(y - (y1 + t * (y2 - y1)), 2))"
