@@ -231,11 +231,16 @@ class Network:
 
 
 def train_rows(pooled_: DataFrame, labels: DataFrame, folds: int, max_train: int) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels of at most ``max_train`` distinct labelled rows outside fold 0, the first in hash order."""
+    """Features and labels of distinct labelled rows outside fold 0: all, or a share by hash that makes ``max_train`` at most."""
     known = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter("quality in (0, 1)").filter(tables.fold(folds) != 0)
-    joined = known.join(pooled_, "doc_id").select("doc_id", "quality", "features").distinct()
-    rows = joined.orderBy(F.xxhash64("doc_id"), "doc_id", "quality", "features").limit(max_train).collect()
-    return _matrix([bytes(r.features) for r in rows]), np.array([r.quality for r in rows], dtype=np.int64)
+    joined = materialize(known.join(pooled_, "doc_id").select("doc_id", "quality", "features").distinct(), "quality-train")
+    n = joined.count()
+    if n > max_train:
+        # A little less than the share, so that the number of rows taken stays under the bound.
+        cut = int(max(0.0, max_train - 4 * max_train**0.5) / n * 2**31)
+        joined = joined.filter(F.pmod(F.xxhash64("doc_id", "quality", "features"), F.lit(2**31)) < cut).limit(max_train)
+    rows = sorted((r.doc_id, r.quality, bytes(r.features)) for r in joined.collect())
+    return _matrix([f for _, _, f in rows]), np.array([q for _, q, _ in rows], dtype=np.int64)
 
 
 def quality_scores(df: DataFrame, labels: DataFrame, folds: int = 5, max_train: int = MAX_TRAIN) -> DataFrame:
