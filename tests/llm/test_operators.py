@@ -115,6 +115,16 @@ def test_decontaminate(spark, limit):
             assert [raw[s.a : s.b].decode() for s in r.byte_spans] == ["ALPHA beta gamma-delta epsilon zeta eta theta iota kappa lambda mu nu"]
 
 
+def test_blocks_of_items_change_no_column(spark):
+    text = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron"
+    rows = [*contaminated_rows(), (95, f"one {text}; short one. {text.upper()}"), (96, f"{text} short one {text}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame(items(), "item_id long, text string")
+    whole = decontaminate.decontaminate(df, bench).collect()
+    assert decontaminate.item_blocks(bench, 60)[1] > 1
+    assert key(decontaminate.decontaminate(df, bench, max_item_bytes=60).collect()) == key(whole)
+
+
 def test_decontaminate_empty(spark):
     df = frame(spark, [])
     assert decontaminate.decontaminate(df, spark.createDataFrame(items(), "item_id long, text string")).collect() == []
