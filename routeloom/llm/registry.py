@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op7_byte_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
+from .fill_in_middle import OP13_SQL, op13_fill_in_middle
 from .jaccard_join import op6_jaccard_join
 from .language_mixture import op5_language_mixture
 from .line_dedup import OP3_SQL, op3_line_dedup
@@ -27,6 +28,7 @@ def queries() -> dict:
         "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
+        "op13_fill_in_middle": op13_fill_in_middle,
     }
 
 
@@ -38,4 +40,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_jaccard_join": OP6_SQL,
         "op9_decontaminate": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
+        "op13_fill_in_middle": OP13_SQL,
     }
