@@ -93,10 +93,10 @@ def units(text: Column, grammar: Grammar) -> Column:
 
 def restore(output: Column, form: Column, marks: Marks = Marks()) -> Column:
     """The text again, from what the transformation made of it."""
-    part = F.split(output, marks.pattern, -1)
-    psm = F.concat(F.get(part, F.lit(1)), F.get(part, F.lit(3)), F.get(part, F.lit(2)))
-    spm = F.concat(F.get(part, F.lit(2)), F.get(part, F.lit(3)), F.get(part, F.lit(1)))
-    return F.when(form == "psm", psm).when(form == "spm", spm).otherwise(output)
+    order = F.when(form == "psm", F.array(F.lit(1), F.lit(3), F.lit(2))).otherwise(F.array(F.lit(2), F.lit(3), F.lit(1)))
+    # An array of one, so that the output is split once for its three parts.
+    joined = F.transform(F.array(F.split(output, marks.pattern, -1)), lambda part: F.array_join(F.transform(order, lambda i: F.get(part, i)), ""))
+    return F.when(form == "plain", output).otherwise(F.get(joined, F.lit(0)))
 
 
 def fill_in_middle(df: DataFrame, grammar: Grammar = LINES, seed: int = 7, percent: int = 100, spm_percent: int = 50, marks: Marks = Marks()) -> DataFrame:
