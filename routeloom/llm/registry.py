@@ -11,6 +11,7 @@ from .line_dedup import OP3_SQL, op3_line_dedup
 from .oracles import OP4_SQL, OP6_SQL
 from .quality_classifier import op1_quality_classifier
 from .quality_rules import OP10_SQL, op10_quality_rules
+from .source_divergence import OP11_SQL, op11_source_divergence
 from .suffix_dedup import op4_suffix_dedup
 from .token_counts import op8_token_counts
 from .warc import OP2_SQL, op2_warc_derivatives
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_token_counts": op8_token_counts,
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
+        "op11_source_divergence": op11_source_divergence,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
 
@@ -40,5 +42,6 @@ def oracle_sql() -> dict[str, str]:
         "op6_jaccard_join": OP6_SQL,
         "op9_decontaminate": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
+        "op11_source_divergence": OP11_SQL,
         "op13_fill_in_middle": OP13_SQL,
     }
