@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from .bpe import op7_byte_bpe
 from .decontaminate import OP9_SQL, op9_decontaminate
+from .embedding_dedup import OP12_SQL, op12_embedding_dedup
 from .fill_in_middle import OP13_SQL, op13_fill_in_middle
 from .jaccard_join import op6_jaccard_join
 from .language_mixture import op5_language_mixture
@@ -30,6 +31,7 @@ def queries() -> dict:
         "op9_decontaminate": op9_decontaminate,
         "op10_quality_rules": op10_quality_rules,
         "op11_source_divergence": op11_source_divergence,
+        "op12_embedding_dedup": op12_embedding_dedup,
         "op13_fill_in_middle": op13_fill_in_middle,
     }
 
@@ -43,5 +45,6 @@ def oracle_sql() -> dict[str, str]:
         "op9_decontaminate": OP9_SQL,
         "op10_quality_rules": OP10_SQL,
         "op11_source_divergence": OP11_SQL,
+        "op12_embedding_dedup": OP12_SQL,
         "op13_fill_in_middle": OP13_SQL,
     }
