@@ -15,7 +15,9 @@ Repeated pages give repeated records; an empty table gives none.  ``derive`` tak
 columns of ``responses`` or ``http_responses`` and drops all others, whatever they are
 called.  Markup that never closes (a cut tag or
 script) is dropped to its end if it opened a script, style or comment, else kept
-as text.
+as text.  A tag ends at its first ``>``, and one that meets another ``<`` before is
+text; attributes are looked for up to that ``<``.  Every step's time is in proportion
+to the page, whatever it opens and doesn't close.
 """
 
 from __future__ import annotations
@@ -45,19 +47,22 @@ SQL_ENTITIES = {
     "ndash": "–", "mdash": "—", "lsquo": "‘", "rsquo": "’", "ldquo": "“", "rdquo": "”", "euro": "€",
 }
 SQL_REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z]{2,6});"
-SQL_LINK = r'(?i)<a\s[^>]*?href\s*=\s*"([^"]*)"'
-SQL_LANG = r'(?i)<html\b[^>]*?lang\s*=\s*"([^"]*)"'
+SQL_LINK = r'(?i)^<a\s[^>]*?href\s*=\s*"([^"]*)"'
+SQL_LANG = r'(?i)^<html\b[^>]*?lang\s*=\s*"([^"]*)"'
 #: All named references that end in a semicolon, common ones first as a map is searched in order; no-break spaces are blanks.
 ENTITIES = SQL_ENTITIES | {k[:-1]: v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";") and k[:-1] not in SQL_ENTITIES}
 REFERENCE = "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[a-zA-Z][a-zA-Z0-9]{1,31});"
 #: Comments and elements that are dropped with what is in them, to their end or the text's.
 GONE = "(?is)<(?:!--.*?(?:-->|$)|" + "|".join(rf"{t}\b.*?(?:</{t}\s*>|$)" for t in DROPPED) + ")"
-BREAK = rf"(?i)</?(?:{BREAKS})\b[^>]*>"
-TAG = r"<[/!?a-zA-Z][^>]*>"
+BREAK = rf"(?i)</?(?:{BREAKS})\b[^<>]*>"
+TAG = r"<[/!?a-zA-Z][^<>]*>"
+#: What opens a title, and what closes it.
+TITLE, TITLE_END = r"(?i)<title\b[^<>]*>", "(?i)</title"
+#: A tag to the next one, in which its attributes are looked for.
+A_PIECE, HTML_PIECE = r"(?i)<a[\s/][^<]*", r"(?i)<html[\s/][^<]*"
 #: Blanks other than a single space, and line feeds with blanks around them; neither matches a plain space.
 BLANKS = r"[\t\r\f\x0B][ \t\r\f\x0B]*| [ \t\r\f\x0B]+"
 LINES = r" ?\n[ \n]*"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title"
 #: A value in double, single or no quotes, and what may stand between attributes.  Loops don't give back, so they take no stack.
 VALUE = r"""(?:"[^"]*+"|'[^']*+'|[^\s"'>][^\s>]*+)"""
 OTHER = rf"""(?:[^\s=>"'/][^\s=>/]*+(?:\s*+=\s*+{VALUE})?+|["'=])[\s/]*+"""
@@ -65,12 +70,28 @@ OTHER = rf"""(?:[^\s=>"'/][^\s=>/]*+(?:\s*+=\s*+{VALUE})?+|["'=])[\s/]*+"""
 
 def attribute(tag: str, name: str) -> str:
     """Pattern of a tag with the value of its first attribute of that name, quotes included, as its group."""
-    return rf"(?i)<{tag}(?=[\s/])[\s/]*+(?:(?!{name}\s*=){OTHER})*+{name}\s*=\s*({VALUE})"
+    return rf"(?i)^<{tag}(?=[\s/])[\s/]*+(?:(?!{name}\s*=){OTHER})*+{name}\s*=\s*({VALUE})"
 
 
 LINK, LANG = attribute("a", "href"), attribute("html", "(?:xml:)?lang")
 
 
+def attribute_values(html: str, piece: str, pattern: str) -> Column:
+    """Values of an attribute, quotes included, of all tags of a kind that have it.
+
+    Each tag is looked at by itself, up to the next one, so a page of tags that never
+    close takes time in proportion to its length.
+    """
+    pieces = F.regexp_extract_all(html, F.lit(piece), F.lit(0))
+    return F.filter(F.transform(pieces, lambda x: F.regexp_extract(x, pattern, 1)), lambda v: v != "")
+
+
+def title(html: str) -> Column:
+    """What stands between the first title's tag and the next end of a title; nothing if either is missing."""
+    rest = F.split(F.get(F.split(html, TITLE, 2), F.lit(1)), TITLE_END, 2)
+    return F.coalesce(F.when(F.size(rest) == 2, F.get(rest, F.lit(0))), F.lit(""))
+
+
 def unquoted(value: Column) -> Column:
     return F.when(F.substring(value, 1, 1).isin('"', "'"), F.substr(value, F.lit(2), F.length(value) - 2)).otherwise(value)
 
@@ -142,11 +163,11 @@ def derive(responses_: DataFrame) -> DataFrame:
     c = F.col
     # Fields stand in columns of their own first, so that each is worked out once.
     found = (
-        responses_.withColumn("__title", F.regexp_extract("payload", TITLE, 1))
+        responses_.withColumn("__title", title("payload"))
         .withColumn("__title", decode_references(c("__title")))
         .withColumn("__title", F.regexp_replace(squeeze(c("__title")), "\n", " "))
-        .withColumn("__lang", squeeze(unquoted(F.regexp_extract("payload", LANG, 1))))
-        .withColumn("__links", F.transform(F.regexp_extract_all("payload", F.lit(LINK), F.lit(1)), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(unquoted(x))), F.lit("\r\n"))))
+        .withColumn("__lang", squeeze(unquoted(F.coalesce(F.get(attribute_values("payload", HTML_PIECE, LANG), F.lit(0)), F.lit("")))))
+        .withColumn("__links", F.transform(attribute_values("payload", A_PIECE, LINK), lambda x: F.concat(F.lit("outlink: "), squeeze(decode_references(unquoted(x))), F.lit("\r\n"))))
     )
     found = with_plain_text(found, "payload", "__text")
     field = lambda name, v: F.when(v == "", "").otherwise(F.concat(F.lit(f"{name}: "), v, F.lit("\r\n")))
@@ -388,9 +409,9 @@ WITH r AS (
   FROM pages),
 d AS (SELECT *, {sha("payload")} AS source_payload_digest FROM r),
 i AS (SELECT *, {rid("'response'", "coalesce(CAST(page_id AS VARCHAR), '')", "target_uri", "source_payload_digest")} AS refers_to,
-             replace({squeezed(decoded(f"regexp_extract(payload, '{TITLE}', 1)"))}, chr(10), ' ') AS title,
-             {squeezed(f"regexp_extract(payload, '{SQL_LANG}', 1)")} AS lang,
-             list_transform(regexp_extract_all(payload, '{SQL_LINK}', 1), lambda h: 'outlink: ' || {squeezed(decoded("h"))} || {crlf}) AS links
+             replace({squeezed(decoded(f"regexp_extract(payload, '(?is){TITLE[4:]}(.*?)</title', 1)"))}, chr(10), ' ') AS title,
+             {squeezed(f"coalesce(list_filter(list_transform(regexp_extract_all(payload, '{HTML_PIECE}'), lambda h: regexp_extract(h, '{SQL_LANG}', 1)), lambda h: h <> '')[1], '')")} AS lang,
+             list_transform(list_transform(list_filter(regexp_extract_all(payload, '{A_PIECE}'), lambda h: regexp_matches(h, '{SQL_LINK}')), lambda h: regexp_extract(h, '{SQL_LINK}', 1)), lambda h: 'outlink: ' || {squeezed(decoded("h"))} || {crlf}) AS links
       FROM d),
 m AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS content_type,
