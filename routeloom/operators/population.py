@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..errors import GateError
+from .boundary import clip  # noqa: F401  cells and points are clipped alike
 from .components import components
 
 #: Adjacencies that one task labels; larger grids are labelled by rounds of joins.
@@ -40,38 +41,6 @@ def resample_area(cells: DataFrame, source: dict, target: dict) -> DataFrame:
     return parts.groupBy(F.col("r.i").alias("row"), F.col("c.i").alias("col")).agg(F.sum(F.col("pop") * F.col("r.share") * F.col("c.share")).alias("pop"))
 
 
-def inside_ring(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
-    """Ray casting against a closed ring of fixed vertices: odd crossings are inside."""
-    crossings = F.lit(0)
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-        if y1 == y2:
-            continue
-        spans = (F.lit(y1) > y) != (F.lit(y2) > y)
-        at = F.lit(x1) + (y - F.lit(y1)) * F.lit((x2 - x1) / (y2 - y1))
-        crossings = crossings + F.when(spans & (x < at), 1).otherwise(0)
-    return crossings % 2 == 1
-
-
-def ring_distance(x: Column, y: Column, ring: list[tuple[float, float]]) -> Column:
-    """Distance to the nearest edge of the ring."""
-    sides = []
-    for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1]):
-        dx, dy = x2 - x1, y2 - y1
-        t = F.greatest(F.lit(0.0), F.least(F.lit(1.0), ((x - x1) * dx + (y - y1) * dy) / (dx * dx + dy * dy)))
-        sides.append(F.hypot(x - (F.lit(x1) + t * dx), y - (F.lit(y1) + t * dy)))
-    return F.least(*sides)
-
-
-def clip(points: DataFrame, ring: list[tuple[float, float]], buffer_m: float = 0.0, x: str = "x", y: str = "y") -> DataFrame:
-    """Rows inside the ring or within ``buffer_m`` of it; a bounding box comes first, so scans can prune."""
-    xs, ys = [p[0] for p in ring], [p[1] for p in ring]
-    box = F.col(x).between(min(xs) - buffer_m, max(xs) + buffer_m) & F.col(y).between(min(ys) - buffer_m, max(ys) + buffer_m)
-    within = inside_ring(F.col(x), F.col(y), ring)
-    if buffer_m > 0:
-        within = within | (ring_distance(F.col(x), F.col(y), ring) <= buffer_m)
-    return points.filter(box).filter(within)
-
-
 def above_threshold(cells: DataFrame, threshold: float = 0.0) -> DataFrame:
     return cells.filter(F.col("pop") > threshold)
 

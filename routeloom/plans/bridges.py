@@ -53,6 +53,16 @@ PIECES = f"""
 SELECT source_id, grade_key, 0 AS seq, x1 AS ax, y1 AS ay, x2 AS bx, y2 AS "by" FROM ({STREETS}) WHERE access IS NULL
 UNION ALL SELECT source_id, grade_key, 1, x2, y2, x3, y3 FROM ({STREETS}) WHERE access IS NULL"""
 CUSTOMER_POINTS = "SELECT c_custkey AS id, (c_custkey * 37 % 1499) * 1.0 AS x, (c_custkey * 91 % 1493) * 1.0 AS y, c_nationkey AS nation FROM customer"
+#: A boundary that grows with the tables, as rings of vertices: one round the points with an order at each vertex, 25 holes
+#: with a customer at each, and an island with a part at each.
+RING_VERTICES = """
+SELECT ring, k, round(cx + radius * cos(2 * pi() * k / n), 6) AS x, round(cy + radius * sin(2 * pi() * k / n), 6) AS y FROM (
+  SELECT 0 AS ring, o_orderkey AS k, 750.0 AS cx, 750.0 AS cy, 500 + 150 * sin(14 * pi() * o_orderkey / (SELECT count(*) FROM orders)) + (o_orderkey * 7919 % 101) / 2.0 AS radius, (SELECT count(*) FROM orders) AS n FROM orders
+  UNION ALL
+  SELECT 1 + h, k, 750.0 + 60.0 * (h % 5 - 2), 750.0 + 60.0 * (floor(h / 5) - 2), pi() * 0 + 12 + (c_custkey * 31 % 17) / 2.0, count(*) OVER (PARTITION BY h)
+  FROM (SELECT CAST(c_custkey % 25 AS INT) AS h, CAST(floor(c_custkey / 25) AS BIGINT) AS k, c_custkey FROM customer) c
+  UNION ALL
+  SELECT 26, p_partkey, 1380.0, 1380.0, pi() * 0 + 40 + (p_partkey * 13 % 29) / 2.0, (SELECT count(*) FROM part) FROM part) v"""
 #: The same points among the streets.
 PLACED_POINTS = f"SELECT id, {PLACE_X.format(x='x', y='y')} AS x, {PLACE_Y.format(x='x', y='y')} AS y FROM ({CUSTOMER_POINTS})"
 #: Every supplier, two networks for each forty keys: legs are quadratic in a network of twenty at most, and grow with the table.

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import components, drone, paths, population, release, roads, scenarios, service, terrain
+from ..operators import boundary, components, drone, paths, population, release, roads, scenarios, service, terrain
 from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
 from ..workspace import materialize, work_path
@@ -108,6 +108,30 @@ def boundary_clip(spark: SparkSession, sf: str) -> DataFrame:
     return population.clip(B.rows(spark, sf, B.CUSTOMER_POINTS).select("id", "x", "y"), RING)
 
 
+_DETAIL = f"""
+WITH p AS ({B.CUSTOMER_POINTS}), v AS ({B.RING_VERTICES}), m AS (SELECT ring, max(k) + 1 AS n FROM v GROUP BY ring),
+s AS (SELECT a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2 FROM v a JOIN m ON a.ring = m.ring JOIN v b ON a.ring = b.ring AND b.k = (a.k + 1) % m.n),
+c AS (SELECT id, x, y, CASE WHEN (y1 > y) <> (y2 > y) AND x < x1 + (y - y1) * ((x2 - x1) / (y2 - y1)) THEN 1 ELSE 0 END AS hit,
+             greatest(0.0, least(1.0, ((x - x1) * (x2 - x1) + (y - y1) * (y2 - y1)) / ((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1)))) AS t, x1, y1, x2, y2 FROM p, s)
+SELECT id, x, y FROM c GROUP BY id, x, y HAVING sum(hit) % 2 = 1 OR min({_NEAREST}) <= """
+
+
+def detailed_boundary(spark: SparkSession, sf: str, buffer_m: float = 0.0) -> boundary.Boundary:
+    """Rings with a vertex for every order, customer and part: an outer one, holes and an island."""
+    return boundary.boundary(boundary.vertex_edges(B.rows(spark, sf, B.RING_VERTICES)), buffer_m)
+
+
+@query(_DETAIL + "-1.0")
+def boundary_detail_clip(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers' points against a boundary that has as many vertices as the tables have orders, customers and parts."""
+    return detailed_boundary(spark, sf).clip(B.rows(spark, sf, B.CUSTOMER_POINTS).select("id", "x", "y"))
+
+
+@query(_DETAIL + "5.0")
+def boundary_detail_buffer(spark: SparkSession, sf: str) -> DataFrame:
+    return detailed_boundary(spark, sf, 5.0).clip(B.rows(spark, sf, B.CUSTOMER_POINTS).select("id", "x", "y"))
+
+
 # -- scalars --------------------------------------------------------------------
 
 

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..errors import GateError
-from ..operators.population import clip
+from ..operators.boundary import Boundary, Ring, clip
 
 PTS = "array<struct<x:double,y:double>>"
 
@@ -217,10 +217,13 @@ def read_osm_pbf(spark: SparkSession, path: str, tag: str = "highway") -> DataFr
     return ways.join(pts, "way_id").select("way_id", "tags", F.transform("p", lambda p: F.struct(p["x"].alias("x"), p["y"].alias("y"))).alias("pts"))
 
 
-def prepare(features: DataFrame, ring: list[tuple[float, float]], out: str, buffer_m: float = 0.0, selector: tuple[str, str] | None = None) -> dict:
-    """Features with a vertex inside the boundary or its buffer, written as Parquet; the audit counts them."""
+def prepare(features: DataFrame, shape: DataFrame | Boundary | Ring, out: str, buffer_m: float = 0.0, selector: tuple[str, str] | None = None) -> dict:
+    """Features with a vertex inside the boundary or its buffer, written as Parquet; the audit counts them.
+
+    ``shape`` is a boundary's index, a table of rings (``read_geopackage`` gives one), or one ring's places.
+    """
     df = features if selector is None else features.filter(F.get_json_object("attributes", f"$.{selector[0]}") == selector[1])
     ids = [c for c in df.columns if c != "pts"]
-    inside = clip(df.select(*ids, F.explode("pts").alias("p")).select(*ids, F.col("p.x").alias("x"), F.col("p.y").alias("y")), ring, buffer_m).select(*ids).distinct()
+    inside = clip(df.select(*ids, F.explode("pts").alias("p")).select(*ids, F.col("p.x").alias("x"), F.col("p.y").alias("y")), shape, buffer_m).select(*ids).distinct()
     df.join(inside, ids, "left_semi").write.mode("errorifexists").parquet(out)
     return {"feature_count": df.sparkSession.read.parquet(out).count()}
