@@ -4,14 +4,15 @@ Costs are compared as integers (millionths), so equal sums tie exactly: less tim
 then less distance, then the lexicographically smaller sequence of arc ids.
 
 While the arcs are within ``MAX_SHARED_ARCS`` (counted first) they are sent to all
-executors and each source is searched there by one heap search; beyond that,
-paths grow by a relaxation loop of joins.
+executors and each source is searched there by one heap search.  Beyond that, paths
+between stated nodes go through an overlay of cells (``overlay``); without cells, or
+without stated ends, they grow by a relaxation loop of joins, a round for each arc.
 """
 
 from __future__ import annotations
 
-import heapq
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +20,7 @@ from pyspark.sql import functions as F
 
 from ..errors import GateError
 from ..workspace import materialize
+from . import overlay, strong
 
 #: Arcs that are sent to every executor, at most (about 300 bytes each there).
 MAX_SHARED_ARCS = 400_000
@@ -40,34 +42,52 @@ def _share(arcs: DataFrame):
     return arcs.sparkSession.sparkContext.broadcast(out)
 
 
-def search(adjacent: dict[str, list], source: str, blocked: frozenset[str] | set[str] = frozenset(), limit: int | None = None) -> dict[str, tuple[int, int, tuple[str, ...]]]:
-    """Best (time, distance, arc ids) of every node within the time ``limit``; blocked nodes are reached but not passed."""
-    done: dict[str, tuple[int, int, tuple[str, ...]]] = {}
-    heap: list = [(0, 0, (), source)]
-    while heap:
-        t, d, path, node = heapq.heappop(heap)
-        if node in done:
-            continue
-        done[node] = (t, d, path)
-        if node in blocked and node != source:
-            continue
-        for to, dt, dd, arc in adjacent.get(node, ()):
-            if to not in done and (limit is None or t + dt <= limit):
-                heapq.heappush(heap, (t + dt, d + dd, (*path, arc), to))
-    return done
-
-
-def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, targets: DataFrame | None = None, max_minutes: float | None = None) -> DataFrame:
+def search(adjacent: dict[str, list], source: str, blocked: frozenset[str] | set[str] = frozenset(), limit: int | None = None, wanted: frozenset[str] | None = None) -> dict[str, tuple[int, int, tuple[str, ...]]]:
+    """Best (time, distance, arc ids) of every (wanted) node within the time ``limit``; blocked nodes are reached but not passed."""
+    tree = overlay.Tree(lambda n: adjacent.get(n, ()), source, blocked, limit)
+    return {n: (t, d, tree.path(n)) for n, (t, d, _, _) in tree.done.items() if wanted is None or n in wanted}
+
+
+def by_overlay(
+    weighed: DataFrame, cells: DataFrame, sources: DataFrame, targets: DataFrame, blockers: DataFrame | None = None, stops: DataFrame | None = None, limit: int | None = None, max_arcs: int = overlay.MAX_OVERLAY_ARCS
+) -> DataFrame:
+    """(source, node, time_u, distance_u, arc_ids) from each of ``sources`` (source) to each of ``targets`` (node) that it reaches.
+
+    ``cells`` (node, cell) has all nodes, a cell's number without its last bits that of a
+    larger one.  ``blockers`` (source, node) and ``stops`` (node): nodes that the paths
+    from that source, or from any other node, may end at but not pass.
+    """
+    ends = [(sources.select(F.col("source").alias("node")), False), (targets, False), (blockers, True), (stops, True)]
+    keep = reduce(DataFrame.unionByName, [x.select("node", F.lit(hard).alias("hard")) for x, hard in ends if x is not None])
+    keep = materialize(keep.groupBy("node").agg(F.max("hard").alias("hard")), "overlay-kept")
+    levels = overlay.levels(weighed, cells, keep, limit, max_arcs)
+    wanted = targets.select("node").distinct()
+    if levels[-1].limit(max_arcs + 1).count() <= max_arcs:
+        found = overlay.search_shared(levels[-1], sources, wanted, blockers, stops, limit)
+    else:
+        found = relax(levels[-1].drop("parts"), sources, blockers, stops, limit).join(wanted, "node", "left_semi").filter("source <> node")
+    for up in reversed(levels):
+        found = overlay.unpack(found, up)
+    own = sources.select("source").distinct().join(wanted, F.col("source") == F.col("node"))
+    zero = F.lit(0).cast("long")
+    return found.unionByName(own.select("source", "node", zero.alias("time_u"), zero.alias("distance_u"), F.array().cast("array<string>").alias("arc_ids")))
+
+
+def shortest_paths(
+    arcs: DataFrame, sources: DataFrame, blockers: DataFrame | None = None, targets: DataFrame | None = None, max_minutes: float | None = None, cells: DataFrame | None = None
+) -> DataFrame:
     """(source, node, time_u, distance_u, arc_ids) from each row of ``sources`` (source).
 
     ``blockers`` (source, node): nodes that paths from that source may end at but not pass.
     ``targets`` (node): the only ends that are returned.  A search goes no farther than
-    ``max_minutes``.
+    ``max_minutes``.  ``cells`` (node, cell): how a graph too large to send is dealt.
     """
     weighed = costed(arcs)
     shared = _share(weighed)
     limit = None if max_minutes is None else round(max_minutes * 1_000_000)
     ends = None if targets is None else targets.select("node").distinct()
+    if shared is None and ends is not None and cells is not None:
+        return by_overlay(weighed, cells, sources, ends, blockers, limit=limit)
     if shared is None:
         found = relax(weighed, sources, blockers, limit=limit)
         return found if ends is None else found.join(ends, "node", "left_semi").select(found.columns)
@@ -80,8 +100,8 @@ def shortest_paths(arcs: DataFrame, sources: DataFrame, blockers: DataFrame | No
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
             for source, blocked in zip(b["source"], b["blocked"]):
-                found = search(shared.value, source, frozenset(blocked) if blocked is not None else frozenset(), limit)
-                rows = [(source, n, t, d, list(p)) for n, (t, d, p) in found.items() if wanted is None or n in wanted.value]
+                found = search(shared.value, source, frozenset(blocked) if blocked is not None else frozenset(), limit, None if wanted is None else wanted.value)
+                rows = [(source, n, t, d, list(p)) for n, (t, d, p) in found.items()]
                 yield pd.DataFrame(rows, columns=["source", "node", "time_u", "distance_u", "arc_ids"])
 
     n = max(1, int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
@@ -152,39 +172,47 @@ def reachable(arcs: DataFrame, start: str, backward: bool = False) -> DataFrame:
         seen, frontier = seen.unionByName(new), new
 
 
-def assess(snaps: DataFrame, arcs: DataFrame, depot: str, percent: int = 20, provider: str = "osm") -> DataFrame:
-    """The road source's gate: one row.
+def _placed(snaps: DataFrame, arcs: DataFrame, cells: DataFrame | None) -> DataFrame:
+    """(terminal_id, usable, root): whether a terminal's road is near enough, and its anchor's strong component."""
+    root = strong.strong_components(arcs, cells)
+    near = snaps.select("terminal_id", "truck_anchor_id", (F.coalesce("distance_covered", F.lit(False)) & F.col("truck_anchor_id").isNotNull()).alias("usable"))
+    return near.join(root, F.col("truck_anchor_id") == F.col("node"), "left").select("terminal_id", "usable", F.coalesce("root", "truck_anchor_id").alias("root"))
+
+
+def assess_depots(snaps: DataFrame, arcs: DataFrame, depots: DataFrame, percent: int = 20, provider: str = "osm", cells: DataFrame | None = None) -> DataFrame:
+    """The road source's gate from each of ``depots`` (terminal_id): one row each.
 
     A terminal is usable if its road is near enough and it and the Depot reach each
     other.  The source qualifies if the Depot is attached and fewer than ``percent``
-    in a hundred demand terminals are unusable, compared in integers.
+    in a hundred demand terminals are unusable, compared in integers.  Strong
+    components are found once, and a Depot is looked up among them.
     """
-    anchor = snaps.filter(F.col("terminal_id") == depot).select("truck_anchor_id", "distance_covered").first()
-    if anchor is None:
+    placed = materialize(_placed(snaps, arcs, cells), "gate-terminals")
+    n = placed.count()
+    together = placed.filter("usable").groupBy("root").agg(F.count(F.lit(1)).alias("together"))
+    own = placed.join(depots.select("terminal_id").distinct(), "terminal_id", "left_semi").join(together, "root", "left")
+    demand, usable = F.lit(n - 1).cast("long"), F.when(F.col("usable"), F.col("together") - 1).otherwise(0)
+    out = own.select(demand.alias("demand_denominator"), (demand - usable).alias("inaccessible_count"), F.col("usable").alias("depot_attached"), F.col("terminal_id").alias("depot_terminal_id"))
+    d, k = F.col("demand_denominator"), F.col("inaccessible_count")
+    return out.select(
+        "demand_denominator", "inaccessible_count", F.when(d > 0, k / d).otherwise(0.0).alias("inaccessible_ratio"), "depot_attached", "depot_terminal_id", F.lit(provider).alias("provider"),
+        (F.col("depot_attached") & (100 * k < percent * d)).alias("qualified"), F.lit(f"inaccessible < {percent}% of demand and Depot attached").alias("rule"),
+    )
+
+
+def inaccessible(snaps: DataFrame, arcs: DataFrame, depot: str, cells: DataFrame | None = None) -> DataFrame:
+    """(terminal_id): the terminals that are unusable from a Depot."""
+    placed = materialize(_placed(snaps, arcs, cells), "gate-terminals")
+    home = placed.filter((F.col("terminal_id") == depot) & F.col("usable")).select("root").distinct()
+    met = placed.filter("usable").join(home, "root", "left_semi").select("terminal_id")
+    return placed.filter(F.col("terminal_id") != depot).join(met, "terminal_id", "left_anti").select("terminal_id")
+
+
+def assess(snaps: DataFrame, arcs: DataFrame, depot: str, percent: int = 20, provider: str = "osm", cells: DataFrame | None = None) -> DataFrame:
+    """The gate from one Depot; which terminals it can't use is ``inaccessible``'s table."""
+    if snaps.filter(F.col("terminal_id") == depot).isEmpty():
         raise GateError(f"no Depot terminal {depot}")
-    attached = bool(anchor.distance_covered) and anchor.truck_anchor_id is not None
-    if attached:
-        both = reachable(arcs, anchor.truck_anchor_id).intersect(reachable(arcs, anchor.truck_anchor_id, backward=True))
-    else:
-        both = snaps.sparkSession.createDataFrame([], "node string")
-    judged = snaps.filter(F.col("terminal_id") != depot).join(both, F.col("truck_anchor_id") == F.col("node"), "left")
-    bad = ~(F.coalesce("distance_covered", F.lit(False)) & F.col("node").isNotNull())
-    out = judged.agg(
-        F.count(F.lit(1)).alias("demand_denominator"),
-        F.count_if(bad).alias("inaccessible_count"),
-        F.sort_array(F.collect_list(F.when(bad, F.col("terminal_id")))).alias("inaccessible_ids"),
-    )
-    n, k = F.col("demand_denominator"), F.col("inaccessible_count")
-    return out.withColumns(
-        {
-            "inaccessible_ratio": F.when(n > 0, k / n).otherwise(0.0),
-            "depot_attached": F.lit(attached),
-            "depot_terminal_id": F.lit(depot),
-            "provider": F.lit(provider),
-            "qualified": F.lit(attached) & (100 * k < percent * n),
-            "rule": F.lit(f"inaccessible < {percent}% of demand and Depot attached"),
-        }
-    )
+    return assess_depots(snaps, arcs, snaps.filter(F.col("terminal_id") == depot), percent, provider, cells)
 
 
 def choose_source(candidates: list[tuple[str, DataFrame, DataFrame, bool]], depot: str, percent: int = 20) -> list[dict]:
@@ -202,13 +230,13 @@ def choose_source(candidates: list[tuple[str, DataFrame, DataFrame, bool]], depo
     raise GateError("licensed_local_source_required")
 
 
-def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | None = None, cells: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """(logical arcs, lineage) between the active terminals of a scope.
 
     Paths end at the first other anchor they meet.  They are searched anew for the
     scope, as an anchor outside it blocks nothing.  Terminals that share an anchor
     stay apart and get no arc to one another.  Lineage has a row for each arc of a
-    path, in order.
+    path, in order.  ``cells`` (node, cell): how a graph too large to send is dealt.
     """
     live = terminals.filter(F.col("truck_service_status") == "active").filter("truck_anchor_id is not null")
     if scope is not None:
@@ -225,14 +253,15 @@ def logical_network(arcs: DataFrame, terminals: DataFrame, scope: DataFrame | No
         def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             for b in batches:
                 for source in b["source"]:
-                    found = search(shared.value, source, blocked.value)
-                    rows = [(source, n, t, d, list(p)) for n, (t, d, p) in found.items() if n in blocked.value and n != source]
+                    found = search(shared.value, source, blocked.value, wanted=blocked.value)
+                    rows = [(source, n, t, d, list(p)) for n, (t, d, p) in found.items() if n != source]
                     yield pd.DataFrame(rows, columns=["source", "node", "time_u", "distance_u", "arc_ids"])
 
         paths = anchors.repartition(max(1, min(len(nodes), int(arcs.sparkSession.conf.get("spark.sql.shuffle.partitions")))), "source").mapInPandas(run, PATHS)
     else:
         stops = anchors.select(F.col("source").alias("node"))
-        paths = relax(weighed, anchors, stops=stops).join(stops, "node", "left_semi").filter("source <> node")
+        found = relax(weighed, anchors, stops=stops) if cells is None else by_overlay(weighed, cells, anchors, stops, stops=stops)
+        paths = found.join(stops, "node", "left_semi").filter("source <> node")
     a = live.select(F.col("terminal_id").alias("from_terminal"), F.col("truck_anchor_id").alias("source"))
     b = live.select(F.col("terminal_id").alias("to_terminal"), F.col("truck_anchor_id").alias("node"))
     logical = paths.join(a, "source").join(b, "node").select(

@@ -26,8 +26,27 @@ SELECT 'A' || lpad(CAST(a.k AS STRING), 2, '0') || '-' || lpad(CAST(b.k AS STRIN
        a.node AS from_node, b.node AS to_node, CAST(1000 + (a.w * 7 + b.w * 3 + a.k * 13 + b.k * 29) % 200 AS DOUBLE) AS distance_m,
        (10 + (a.w + b.w + a.k * b.k) % 3) / 10.0 AS time_min, a.k AS ak, b.k AS bk
 FROM ({TERMINALS}) a JOIN ({TERMINALS}) b ON abs(a.x - b.x) + abs(a.y - b.y) = 1000"""
-#: Every fourth terminal is an anchor whose paths others may not pass.
-ACTIVE = f"SELECT * FROM ({TERMINALS}) WHERE k % 4 = 0"
+#: All terminals with their status: every fourth is active, an anchor whose paths others may not pass.
+SERVED = f"SELECT *, CASE WHEN k % 4 = 0 THEN 'active' WHEN k % 4 = 1 THEN 'inaccessible' ELSE 'suspended' END AS truck_service_status FROM ({TERMINALS})"
+ACTIVE = f"SELECT * FROM ({SERVED}) WHERE truck_service_status = 'active'"
+#: A road grid with a node for every order: arcs both ways but for some, with few different costs, so that paths tie.
+_SQUARE = "SELECT o_orderkey AS k, (SELECT count(*) FROM orders) AS n, (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) FROM orders) AS w FROM orders"
+GRID_NODES = f"SELECT 'V' || CAST(k AS STRING) AS node, CAST(k % w AS DOUBLE) AS x, CAST(floor(k / w) AS DOUBLE) AS y FROM ({_SQUARE}) q"
+_STEPS = f"SELECT k AS a, k + 1 AS b FROM ({_SQUARE}) q WHERE (k + 1) % w <> 0 AND k + 1 < n UNION ALL SELECT k, k + w FROM ({_SQUARE}) q WHERE k + w < n"
+GRID_ARCS = f"""
+SELECT 'R' || CAST(a AS STRING) || '>' || CAST(b AS STRING) AS arc_id, 'V' || CAST(a AS STRING) AS from_node, 'V' || CAST(b AS STRING) AS to_node,
+       (10 + (a * 7 + b * 13) % 5) / 10.0 AS time_min, CAST(1000 + (a * 31 + b * 17) % 3 * 100 AS DOUBLE) AS distance_m
+FROM (SELECT a, b FROM ({_STEPS}) s UNION ALL SELECT b, a FROM ({_STEPS}) s) e WHERE (a * 3 + b * 5) % 11 <> 0"""
+#: A terminal for every supplier at a node of that grid.
+GRID_TERMINALS = "SELECT DISTINCT 'V' || CAST(s_suppkey * 97 % (SELECT count(*) FROM orders) AS STRING) AS node FROM supplier"
+#: One-way streets with a node for every customer, in rows that mostly run one way.
+_PLACES = "SELECT c_custkey AS k, (SELECT count(*) FROM customer) AS n, (SELECT CAST(floor(sqrt(count(*))) AS BIGINT) FROM customer) AS w FROM customer"
+ONE_WAY_ARCS = f"""
+SELECT 'V' || CAST(a AS STRING) AS from_node, 'V' || CAST(b AS STRING) AS to_node FROM (
+  SELECT k AS a, k + 1 AS b FROM ({_PLACES}) q WHERE (k + 1) % w <> 0 AND k + 1 < n AND k * 7 % 10 < 7
+  UNION ALL SELECT k + w, k FROM ({_PLACES}) q WHERE k + w < n AND k * 3 % 10 < 4
+  UNION ALL SELECT k, k + w FROM ({_PLACES}) q WHERE k + w < n AND k * 13 % 10 < 3) e"""
+ONE_WAY_NODES = f"SELECT 'V' || CAST(k AS STRING) AS node, CAST(k % w AS DOUBLE) AS x, CAST(floor(k / w) AS DOUBLE) AS y FROM ({_PLACES}) q"
 PROFILE_POINTS = """
 SELECT user_id, (row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) - 1) * 10.0 AS d, value AS z,
        row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS i FROM events"""

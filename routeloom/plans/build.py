@@ -178,7 +178,7 @@ def violations(mother: dict[str, DataFrame], net: dict[str, DataFrame]) -> dict[
         "population_conservation": who.join(mother["terminals"].select("terminal_id", F.col("population").alias("p")), "terminal_id", "left").filter("p is null or abs(p - population) > 1e-9"),
         "raw_drone_2NN_roles": legs.filter("legs <> 2 * n * n"),
         "real_source_lineage": mother["physical_edges"].filter("source_id is null"),
-        "runtime_paths_active_only": net["logical_arcs"].join(who.filter("truck_service_status = 'active'").select("network_id", F.col("terminal_id").alias("from_terminal")), ["network_id", "from_terminal"], "left_anti"),
+        "runtime_paths_active_only": net["logical_arcs"].select("network_id", F.explode(F.array("from_terminal", "to_terminal")).alias("terminal_id")).join(who.filter("truck_service_status = 'active'"), ["network_id", "terminal_id"], "left_anti"),
         "source_gate": mother["road_source_assessment"].groupBy().agg(F.max_by("qualified", "attempt").alias("q")).filter("not q"),
         "strict_lineage_and_cost_sums": net["logical_arcs"].join(sums, "contracted_logical_arc_id", "left").filter("t is null or abs(t - time_min) > 1e-6 or abs(d - distance_m) > 1e-6 or time_min <= 0 or from_terminal = to_terminal"),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import boundary, components, drone, paths, population, release, roads, scenarios, service, terrain
+from ..operators import boundary, components, drone, overlay, paths, population, release, roads, scenarios, service, strong, terrain
 from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
 from ..workspace import materialize, work_path
@@ -345,11 +345,11 @@ def arcs(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def terminals(spark: SparkSession, sf: str) -> DataFrame:
-    return B.rows(spark, sf, B.ACTIVE).select("terminal_id", F.col("node").alias("truck_anchor_id"), F.lit("active").alias("truck_service_status"), "region", "k")
+    return B.rows(spark, sf, B.SERVED).select("terminal_id", F.col("node").alias("truck_anchor_id"), "truck_service_status", "region", "k")
 
 
 def _paths_sql(anchors: str, blocked: str) -> str:
-    """Best simple paths of up to ten arcs from each anchor, not passing ``blocked`` nodes."""
+    """Best simple paths from each anchor, not passing ``blocked`` nodes; eight arcs reach all of a grid of 5 x 5, and more cost more."""
     return f"""
 WITH RECURSIVE arc AS ({B.ARCS}), anchor AS ({anchors}),
 walk AS (
@@ -362,13 +362,13 @@ best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY source, node O
 """
 
 
-_CORNERS = f"SELECT node FROM ({B.TERMINALS}) WHERE k IN (0, 12, 24)"
+_EVERY = f"SELECT node FROM ({B.TERMINALS})"
 
 
-@query(_paths_sql(_CORNERS, "SELECT node FROM anchor WHERE false") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best")
+@query(_paths_sql(_EVERY, "SELECT node FROM anchor WHERE false") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best")
 def shortest_paths(spark: SparkSession, sf: str) -> DataFrame:
-    """Least time, then distance, then arc ids, from three nodes of the grid."""
-    out = paths.shortest_paths(arcs(spark, sf), B.rows(spark, sf, _CORNERS).select(F.col("node").alias("source")))
+    """Least time, then distance, then arc ids, from every node of the grid to every other."""
+    out = paths.shortest_paths(arcs(spark, sf), B.rows(spark, sf, _EVERY).select(F.col("node").alias("source")))
     return out.withColumn("arc_ids", F.array_join("arc_ids", ","))
 
 
@@ -398,10 +398,10 @@ def backbone_edges(spark: SparkSession, sf: str) -> DataFrame:
     return paths.backbone(lineage, a)
 
 
-@query(_paths_sql(_CORNERS, "SELECT node FROM anchor WHERE false") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best")
+@query(_paths_sql(_EVERY, "SELECT node FROM anchor WHERE false") + "SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best")
 def paths_by_joins(spark: SparkSession, sf: str) -> DataFrame:
     """The same paths by relaxation, the way that graphs too large to send around go."""
-    sources = B.rows(spark, sf, _CORNERS).select(F.col("node").alias("source"))
+    sources = B.rows(spark, sf, _EVERY).select(F.col("node").alias("source"))
     return paths.relax(paths.costed(arcs(spark, sf)), sources).withColumn("arc_ids", F.array_join("arc_ids", ","))
 
 
@@ -413,6 +413,60 @@ def strict_paths_by_joins(spark: SparkSession, sf: str) -> DataFrame:
     return found.join(anchors, "node", "left_semi").filter("source <> node").withColumn("arc_ids", F.array_join("arc_ids", ",")).select("source", "node", "time_u", "distance_u", "arc_ids")
 
 
+#: Within the limit from every terminal to every other, node by node: what is worse than what is known goes no farther.
+_MINUTES = 9.0
+_NEARBY = f"""
+WITH RECURSIVE arc AS (SELECT arc_id, from_node, to_node, CAST(round(time_min * 1000000) AS BIGINT) AS dt, CAST(round(distance_m * 1000000) AS BIGINT) AS dd FROM ({B.GRID_ARCS}) g), term AS ({B.GRID_TERMINALS}),
+best(source, node, t, d, ids) USING KEY (source, node) AS (
+  SELECT node, node, CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST([] AS VARCHAR[]) FROM term
+  UNION
+  SELECT x.source, x.node, x.m.t, x.m.d, x.m.ids FROM (
+    SELECT b.source, arc.to_node AS node, min(struct_pack(t := b.t + dt, d := b.d + dd, ids := list_append(b.ids, arc_id))) AS m
+    FROM best b JOIN arc ON b.node = arc.from_node WHERE b.t + dt <= {int(_MINUTES * 1_000_000)} GROUP BY b.source, arc.to_node) x
+  LEFT JOIN recurring.best r ON r.source = x.source AND r.node = x.node
+  WHERE r.source IS NULL OR x.m < struct_pack(t := r.t, d := r.d, ids := r.ids))
+SELECT source, node, t AS time_u, d AS distance_u, array_to_string(ids, ',') AS arc_ids FROM best WHERE node IN (SELECT node FROM term)"""
+
+
+def _grid(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Arcs, cells and terminals of the road grid."""
+    return B.rows(spark, sf, B.GRID_ARCS), overlay.quad_cells(B.rows(spark, sf, B.GRID_NODES)), B.rows(spark, sf, B.GRID_TERMINALS)
+
+
+@query(_NEARBY)
+def grid_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Paths between nearby suppliers over a grid with a node for every order: sent around while it is small, by an overlay beyond."""
+    a, cells, t = _grid(spark, sf)
+    out = paths.shortest_paths(a, t.select(F.col("node").alias("source")), targets=t, max_minutes=_MINUTES, cells=cells)
+    return out.withColumn("arc_ids", F.array_join("arc_ids", ","))
+
+
+@query(_NEARBY)
+def grid_paths_by_overlay(spark: SparkSession, sf: str) -> DataFrame:
+    """The same paths through the overlay, whatever the size."""
+    a, cells, t = _grid(spark, sf)
+    out = paths.by_overlay(paths.costed(a), cells, t.select(F.col("node").alias("source")), t, limit=int(_MINUTES * 1_000_000))
+    return out.withColumn("arc_ids", F.array_join("arc_ids", ","))
+
+
+_STRONG = f"""
+WITH RECURSIVE arc AS ({B.ONE_WAY_ARCS}), node AS (SELECT from_node AS n FROM arc UNION SELECT to_node FROM arc),
+reach AS (SELECT n AS a, n AS b FROM node UNION SELECT reach.a, arc.to_node FROM reach JOIN arc ON reach.b = arc.from_node)
+SELECT x.a AS node, min(x.b) AS root FROM reach x JOIN reach y ON x.a = y.b AND x.b = y.a GROUP BY x.a"""
+
+
+@query(_STRONG)
+def strong_components(spark: SparkSession, sf: str) -> DataFrame:
+    """Which nodes of one-way streets reach one another."""
+    return strong.strong_components(B.rows(spark, sf, B.ONE_WAY_ARCS))
+
+
+@query(_STRONG)
+def strong_components_by_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The same by cells, contracted until little is left."""
+    return strong.strong_components(B.rows(spark, sf, B.ONE_WAY_ARCS), overlay.quad_cells(B.rows(spark, sf, B.ONE_WAY_NODES), 100), small=200)
+
+
 #: Customers in chains and stars: each with one of larger key, if there is one.
 _LINKS = "SELECT c_custkey AS a, c_custkey + 1 + (c_custkey * 7) % 13 AS b FROM customer WHERE c_custkey % 5 <> 0"
 
@@ -443,17 +497,35 @@ _ONEWAY = f"SELECT arc_id, edge_id, from_node, to_node, distance_m, time_min FRO
 _SNAPS = f"SELECT terminal_id, node AS truck_anchor_id, k % 11 <> 10 AS distance_covered FROM ({B.TERMINALS})"
 
 
-@query(f"""
+_GATE = f"""
 WITH RECURSIVE arc AS ({_ONEWAY}), s AS ({_SNAPS}),
-f AS (SELECT 'N00' AS node UNION SELECT to_node FROM f JOIN arc ON f.node = arc.from_node),
-b AS (SELECT 'N00' AS node UNION SELECT from_node FROM b JOIN arc ON b.node = arc.to_node),
-j AS (SELECT terminal_id, NOT (distance_covered AND truck_anchor_id IN (SELECT node FROM f INTERSECT SELECT node FROM b)) AS bad FROM s WHERE terminal_id <> 'T00')
-SELECT count(*) AS demand_denominator, count(*) FILTER (WHERE bad) AS inaccessible_count, string_agg(CASE WHEN bad THEN terminal_id END, ',' ORDER BY terminal_id) AS inaccessible_ids,
-       round(count(*) FILTER (WHERE bad) / count(*), 9) AS inaccessible_ratio, true AS depot_attached, 'T00' AS depot_terminal_id, 'osm' AS provider, 100 * count(*) FILTER (WHERE bad) < 20 * count(*) AS qualified FROM j""")
+r AS (SELECT node AS a, node AS b FROM ({B.TERMINALS}) UNION SELECT r.a, to_node FROM r JOIN arc ON r.b = arc.from_node),
+j AS (SELECT d.terminal_id AS depot, d.distance_covered AS attached, s.terminal_id, NOT (d.distance_covered AND s.distance_covered AND x.a IS NOT NULL AND y.a IS NOT NULL) AS bad
+      FROM s d JOIN s ON s.terminal_id <> d.terminal_id LEFT JOIN r x ON x.a = d.truck_anchor_id AND x.b = s.truck_anchor_id LEFT JOIN r y ON y.b = d.truck_anchor_id AND y.a = s.truck_anchor_id),
+g AS (SELECT count(*) AS demand_denominator, count(*) FILTER (WHERE bad) AS inaccessible_count, round(count(*) FILTER (WHERE bad) / count(*), 9) AS inaccessible_ratio, attached AS depot_attached,
+             depot AS depot_terminal_id, 'osm' AS provider, attached AND 100 * count(*) FILTER (WHERE bad) < 20 * count(*) AS qualified FROM j GROUP BY depot, attached)
+"""
+
+
+@query(_GATE + "SELECT * FROM g WHERE depot_terminal_id = 'T00'")
 def source_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Coverage and mutual reachability with the Depot, against 20%."""
     out = paths.assess(B.rows(spark, sf, _SNAPS), B.rows(spark, sf, _ONEWAY), "T00")
-    return out.withColumn("inaccessible_ids", F.array_join("inaccessible_ids", ",")).withColumn("inaccessible_ratio", F.round("inaccessible_ratio", 9)).drop("rule")
+    return out.withColumn("inaccessible_ratio", F.round("inaccessible_ratio", 9)).drop("rule")
+
+
+@query(_GATE + "SELECT * FROM g")
+def depot_gates(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with each terminal as the Depot, looked up in one set of components."""
+    snaps = B.rows(spark, sf, _SNAPS)
+    out = paths.assess_depots(snaps, B.rows(spark, sf, _ONEWAY), snaps)
+    return out.withColumn("inaccessible_ratio", F.round("inaccessible_ratio", 9)).drop("rule")
+
+
+@query(_GATE + "SELECT terminal_id FROM j WHERE bad AND depot = 'T00'")
+def source_gate_inaccessible(spark: SparkSession, sf: str) -> DataFrame:
+    """The terminals that the Depot can't use, as rows."""
+    return paths.inaccessible(B.rows(spark, sf, _SNAPS), B.rows(spark, sf, _ONEWAY), "T00")
 
 
 @query(f"WITH RECURSIVE arc AS ({_ONEWAY}), f AS (SELECT 'N00' AS node UNION SELECT to_node FROM f JOIN arc ON f.node = arc.from_node), b AS (SELECT 'N00' AS node UNION SELECT from_node FROM b JOIN arc ON b.node = arc.to_node) SELECT node FROM f INTERSECT SELECT node FROM b")
@@ -709,7 +781,7 @@ def release_checks(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         "population_conservation": population.demand_nodes(cells).agg(F.sum("population").alias("q")).crossJoin(total).filter("abs(p - q) > 1e-6 * p"),
         "raw_drone_2NN_roles": legs.join(n, "network_id").filter("legs <> 2 * n * n"),
         "real_source_lineage": a.filter("edge_id is null"),
-        "runtime_paths_active_only": logical.join(t.select(F.col("terminal_id").alias("from_terminal")), "from_terminal", "left_anti"),
+        "runtime_paths_active_only": logical.select("contracted_logical_arc_id", F.explode(F.array("from_terminal", "to_terminal")).alias("terminal_id")).join(t.filter("truck_service_status = 'active'"), "terminal_id", "left_anti"),
         "source_gate": gate.filter("not qualified"),
         "strict_lineage_and_cost_sums": logical.join(sums, "contracted_logical_arc_id", "left").filter("t is null or abs(t - time_min) > 1e-6 or abs(d - distance_m) > 1e-6 or time_min <= 0 or distance_m <= 0 or from_terminal = to_terminal"),
     }
