@@ -158,6 +158,23 @@ def test_mixtures_equal_loops(spark):
         assert np.allclose([v for _, v in got], [v for _, v in want], atol=1e-6)
 
 
+@pytest.mark.parametrize("block", [2, 5])
+def test_languages_in_blocks(spark, block):
+    """More languages than one broadcast holds: the block that knows a text's language gives it the same answer."""
+    rng = random.Random(11)
+    letters = {f"l{i:02d}": "".join(rng.sample("abcdefghijklmnopqrstuvwxyzäöüßéèñç", 7)) for i in range(11)}
+    vocabulary = {k: ["".join(rng.choice(v) for _ in range(rng.randrange(3, 8))) for _ in range(50)] for k, v in letters.items()}
+    say = lambda k, n: " ".join(rng.choice(vocabulary[k]) for _ in range(n))
+    train = spark.createDataFrame([(i, say(k, 80), k) for i, k in enumerate([*letters] * 4)], "doc_id long, text string, lang string")
+    rows = [(i, say(k, 60)) for i, k in enumerate(letters)] + [(50, say("l01", 60) + " " + say("l09", 50)), (51, None), (52, ""), (53, "123"), (54, "x")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = {r.doc_id: r for r in L.mixture_languages(df, train).collect()}
+    got = {r.doc_id: r for r in L.mixture_languages(df, train, block).collect()}
+    assert {i: r.lang_pred for i, r in got.items()} == {i: r.lang_pred for i, r in whole.items()} and [got[i].lang_pred for i in (51, 52, 53)] == ["und"] * 3
+    assert {r.lang for r in got[50].languages} == {"l01", "l09"} and all(abs(got[i].score - whole[i].score) < 0.02 for i in got if i != 54)
+    assert [got[i].lang_pred for i in range(11)] == [*letters]
+
+
 @needs_data
 def test_languages_of_held_out_rows(spark):
     rows = L.op5_language_mixture(spark, DATA).filter("held_out").join(spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "lang", "text"), "doc_id").filter(F.length("text") > 0).collect()
