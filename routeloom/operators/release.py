@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import io
 import json
 import uuid
-import zipfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -76,12 +74,13 @@ def exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p(path))
 
 
-def publish(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]], root: str, manifest: dict | None = None, fmt: str = "parquet", keys: dict[str, list[str]] | None = None) -> dict:
+def publish(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], DataFrame]], root: str, manifest: dict | None = None, fmt: str = "parquet", keys: dict[str, list[str]] | None = None, check: Callable[[str], None] | None = None) -> dict:
     """Writes tables under a staging folder of its own beside ``root`` and renames it when all are there.
 
     An existing ``root`` is an error, also where another publisher makes it meanwhile;
     a table or gate that fails leaves nothing, and nobody else's files are touched.
-    Digests are of the tables as they were written, read back.  CSV tables are sorted by their keys into one file each; Parquet ones stay as
+    Digests are of the tables as they were written, read back; ``check`` gets the staging
+    folder when all is written and may raise.  CSV tables are sorted by their keys into one file each; Parquet ones stay as
     they are distributed.
     """
     if exists(spark, root):
@@ -100,6 +99,8 @@ def publish(spark: SparkSession, tables: dict[str, DataFrame | Callable[[], Data
             reader = spark.read.schema(df.schema)
             written = reader.option("header", True).csv(f"{stage}/{name}") if fmt == "csv" else reader.parquet(f"{stage}/{name}")
             hashes[name] = content_digest(written, name).first().digest
+        if check is not None:
+            check(stage)
         note = {"status": "published", **(manifest or {}), "core_hashes": hashes}
         write_text(spark, f"{stage}/manifest.json", json.dumps(note, indent=1, sort_keys=True))
         _move(spark, stage, root)
@@ -147,21 +148,6 @@ def reuse_or_build(spark: SparkSession, root: str | None, names: list[str], buil
     return {n: spark.read.parquet(f"{root}/{n}") for n in names}, True
 
 
-class _Stream(io.RawIOBase):
-    """A file of the release's file system, for writing from front to back."""
-
-    def __init__(self, out):
-        super().__init__()
-        self.out = out
-
-    def writable(self) -> bool:
-        return True
-
-    def write(self, data) -> int:
-        self.out.write(bytearray(data))
-        return len(data)
-
-
 def release_files(spark: SparkSession, root: str) -> dict[str, str]:
     """Members of a published release by name; one whose manifest or a table of it is missing is an error."""
     fs, path = _fs(spark, root)
@@ -182,8 +168,9 @@ def release_files(spark: SparkSession, root: str) -> dict[str, str]:
 def bundle(spark: SparkSession, root: str, inputs: list[dict], out: str, include_raw: bool) -> dict:
     """A ZIP of a published release and of the inputs that may be passed on, with a manifest of the rest.
 
-    ``inputs``: role, path and redistribution_permitted of each.  Files are read one by
-    one and streamed to ``out``, which must be new, in the release's file system.
+    ``inputs``: role, path and redistribution_permitted of each.  Files are copied one by
+    one, piece by piece and by Hadoop's streams, to ``out``, which must be new; no file
+    is ever held whole.
     """
     members = {f"release/{k}": v for k, v in release_files(spark, root).items()}
     allowed = [i for i in inputs if include_raw and i.get("redistribution_permitted")]
@@ -193,14 +180,25 @@ def bundle(spark: SparkSession, root: str, inputs: list[dict], out: str, include
         raise GateError(f"{out} must be a new, unprotected path")
     fs, path = _fs(spark, out)
     part = f"{out}.part-{uuid.uuid4().hex}"
-    sink = fs.create(path(part), False)
+    jvm = spark._jvm
+    sink = jvm.java.util.zip.ZipOutputStream(fs.create(path(part), False))
+
+    def put(name: str, source) -> None:
+        entry = jvm.java.util.zip.ZipEntry(name)
+        entry.setTimeLocal(jvm.java.time.LocalDateTime.of(1980, 1, 1, 0, 0))
+        sink.putNextEntry(entry)
+        try:
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, sink, 1 << 16, False)
+        finally:
+            source.close()
+        sink.closeEntry()
+
     try:
-        with zipfile.ZipFile(_Stream(sink), "w", zipfile.ZIP_DEFLATED) as z:
-            for name in sorted(members):
-                content = spark.read.format("binaryFile").load(members[name]).select("content").first().content
-                z.writestr(zipfile.ZipInfo(name), bytes(content))
-            note = {"omitted_inputs": omitted, "members": sorted(members)}
-            z.writestr(zipfile.ZipInfo("DATASET_BUNDLE_MANIFEST.json"), json.dumps(note, indent=1, sort_keys=True))
+        for name in sorted(members):
+            at, where = _fs(spark, members[name])
+            put(name, at.open(where(members[name])))
+        note = json.dumps({"omitted_inputs": omitted, "members": sorted(members)}, indent=1, sort_keys=True)
+        put("DATASET_BUNDLE_MANIFEST.json", jvm.java.io.ByteArrayInputStream(bytearray(note.encode())))
         sink.close()
         _move(spark, part, out)
     except BaseException:

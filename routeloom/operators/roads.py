@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import segment_distance, segment_fraction
+from ..workspace import materialize
 
 FORWARD_TAGS, REVERSE_TAGS = ("yes", "true", "1"), ("-1", "reverse")
 #: Values of the access tag that close a road to service.
@@ -57,8 +58,8 @@ def _cells(cell_m: float, pad: float = 0.0) -> Column:
 
 
 def cuts(roads: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) -> DataFrame:
-    """(source_id, pos, x, y): places along a road (segment number plus fraction) where another piece of
-    the same grade crosses or touches it, and the node there.
+    """(source_id, grade_key, pos, x, y): places along a road (segment number plus fraction) where another piece
+    of the same grade crosses or touches it, and the node there.
 
     Pieces meet by grid cell and grade, so only near ones are compared.  A crossing is
     worked out once, for both roads, in the cell that it lies in: its node is the end
@@ -89,20 +90,72 @@ def cuts(roads: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) ->
     ends = F.when(F.col("t") == 0, F.col("p0")).when(F.col("t") == 1, F.col("p1")).when(F.col("u") == 0, F.col("q0")).when(F.col("u") == 1, F.col("q1"))
     met = met.withColumn("node", F.coalesce(ends, grid))
     both = F.array(*[F.struct(F.col(f"{n}.id").alias("source_id"), (F.col(f"{n}.seq") + F.col(f)).alias("pos")) for n, f in (("p", "t"), ("q", "u"))])
-    return met.select(F.explode(both).alias("c"), "node").select("c.source_id", "c.pos", "node.x", "node.y").distinct()
+    return met.select(F.explode(both).alias("c"), "grade_key", "node").select("c.source_id", "grade_key", "c.pos", "node.x", "node.y").distinct()
+
+
+def hot_cuts(roads: DataFrame, met: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) -> DataFrame:
+    """(source_id, pos, x, y): where a road passes the grid's pixel around a vertex or crossing of its grade.
+
+    Crossings that are moved to the grid, and vertices of roads that lie along one another,
+    are nodes of every road that comes so near to them, so no crossing is left between
+    nodes and what overlaps has the same pieces.  A vertex that only its own road passes,
+    once, is no node.  ``met``: the crossings (grade_key, x, y).
+    """
+    s = _segments(roads).withColumn("cell", F.explode(_cells(cell_m, 2 * precision_m)))
+    spots = roads.select("grade_key", F.explode("pts").alias("p")).select("grade_key", "p.x", "p.y").unionByName(met.select("grade_key", "x", "y")).distinct()
+    cell = F.struct(F.floor(F.col("x") / cell_m).alias("i"), F.floor(F.col("y") / cell_m).alias("j"))
+    near = s.join(spots.withColumn("cell", cell), ["grade_key", "cell"])
+    dx, dy, x, y = F.col("b.x") - F.col("a.x"), F.col("b.y") - F.col("a.y"), F.col("x"), F.col("y")
+    half = precision_m / 2 * (1 + 1e-6)
+    beside = lambda v, axis: v.between(F.least(f"a.{axis}", f"b.{axis}") - half, F.greatest(f"a.{axis}", f"b.{axis}") + half)
+    across = F.abs(dx * (y - F.col("a.y")) - dy * (x - F.col("a.x"))) <= half * (F.abs(dx) + F.abs(dy))
+    along = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (dx * (x - F.col("a.x")) + dy * (y - F.col("a.y"))) / (dx * dx + dy * dy)))
+    at = F.when((x == F.col("a.x")) & (y == F.col("a.y")), 0.0).when((x == F.col("b.x")) & (y == F.col("b.y")), 1.0).otherwise(along)
+    hits = near.filter(beside(x, "x") & beside(y, "y") & across & ((dx != 0) | (dy != 0))).select("grade_key", "x", "y", F.struct("source_id", (F.col("seq") + at).alias("pos")).alias("c"))
+    nodes = hits.groupBy("grade_key", "x", "y").agg(F.collect_set("c").alias("c")).filter(F.size("c") > 1)
+    return nodes.select(F.explode("c").alias("c"), "x", "y").select("c.source_id", "c.pos", "x", "y")
+
+
+def merge_overlaps(segments: DataFrame) -> DataFrame:
+    """Straight segments of one grade between the same two nodes as one, that of the smallest id.
+
+    It may be used in each direction that one of them may be used in, and is of a
+    secondary class if one of them is.
+    """
+    p, q = F.element_at("pts", 1), F.element_at("pts", -1)
+    straight = (F.size("pts") == 2) & (p != q)
+    forward, reverse = directions(F.col("oneway"))
+    flip = p > q
+    lines = segments.filter(straight).withColumns({"__p": F.least(p, q), "__q": F.greatest(p, q), "__flip": flip, "__f": F.when(flip, reverse).otherwise(forward), "__r": F.when(flip, forward).otherwise(reverse)})
+    own = F.struct("segment_id", "source_id", "road_class", "oneway", "pts", "__flip")
+    best = F.min(F.struct((final_class(F.col("road_class")) != "secondary").alias("minor"), "road_class"))
+    one = lines.groupBy("grade_key", "__p", "__q").agg(F.min(own).alias("o"), F.bool_or("__f").alias("f"), F.bool_or("__r").alias("r"), best.alias("b"), F.count(F.lit(1)).alias("n"))
+    ahead, back = F.when(F.col("o.__flip"), F.col("r")).otherwise(F.col("f")), F.when(F.col("o.__flip"), F.col("f")).otherwise(F.col("r"))
+    several = F.col("n") > 1
+    merged = one.select(
+        "o.segment_id", "o.source_id", "grade_key", F.when(several, F.col("b.road_class")).otherwise(F.col("o.road_class")).alias("road_class"),
+        F.when(~several, F.col("o.oneway")).when(ahead & back, "no").when(ahead, "yes").otherwise("-1").alias("oneway"), "o.pts",
+    )
+    return segments.filter(~straight).unionByName(merged)
 
 
 def noded_segments(roads: DataFrame, cell_m: float = 500.0, precision_m: float = 0.001) -> DataFrame:
     """Roads cut where they meet others of their grade: (segment_id, attributes, pts).
 
     Vertices are put on the precision grid first; two roads that meet share their node
-    exactly.  No piece is invented.  A closed ring that meets nothing is cut at its
-    start and at its middle vertex.  Pieces that lie along one another aren't noded.
+    exactly, and a road that passes a node's pixel goes through the node, so moving
+    crossings to the grid makes no new ones.  Pieces that lie along one another are cut
+    at each other's vertices and become one.  No piece is invented.  A closed ring that
+    meets nothing is cut at its start and at its middle vertex.
     """
     place = lambda p: F.struct(snapped(p["x"], precision_m).alias("x"), snapped(p["y"], precision_m).alias("y"))
     roads = roads.filter(F.size("pts") >= 2).withColumn("pts", F.transform("pts", place))
     kind = "array<struct<pos:double,x:double,y:double>>"
-    found = cuts(roads, cell_m, precision_m).groupBy("source_id").agg(F.collect_list(F.struct("pos", "x", "y")).alias("found"))
+    met = materialize(cuts(roads, cell_m, precision_m), "road-cuts")
+    every = met.select("source_id", "pos", "x", "y").unionByName(hot_cuts(roads, met, cell_m, precision_m))
+    # A place found both ways has positions that differ by rounding; at a vertex the whole number is meant.
+    each = every.groupBy("source_id", "x", "y", F.round("pos", 4).alias("near")).agg(F.min_by("pos", F.struct(F.abs(F.col("pos") - F.rint("pos")), "pos")).alias("pos"))
+    found = each.groupBy("source_id").agg(F.collect_list(F.struct("pos", "x", "y")).alias("found"))
     last = (F.size("pts") - 1).cast("double")
     mark = lambda pos, p: F.struct(pos.alias("pos"), p["x"].alias("x"), p["y"].alias("y"))
     first, final = F.element_at("pts", 1), F.element_at("pts", -1)
@@ -118,10 +171,16 @@ def noded_segments(roads: DataFrame, cell_m: float = 500.0, precision_m: float =
     point = lambda c: F.struct(F.col(f"{c}.x").alias("x"), F.col(f"{c}.y").alias("y"))
     between = F.expr("filter(pts, (p, i) -> i > m.c0.pos and i < m.c1.pos)")
     # Several roads may meet in one place at positions that differ by rounding: nothing lies between those.
-    return out.select(
+    parts = out.select(
         F.concat_ws(":", "source_id", F.col("part").cast("string")).alias("segment_id"), "source_id", "grade_key", "road_class", "oneway",
         F.concat(F.array(point("m.c0")), between, F.array(point("m.c1"))).alias("pts"),
     ).filter(F.size(F.array_distinct("pts")) > 1)
+    # A part that turns back on itself on the grid ends where it turns, so its two ways become one.
+    turns = F.expr("filter(sequence(1, size(pts) - 1), i -> i < size(pts) - 1 and pts[i - 1] = pts[i + 1])")
+    bounds = parts.withColumn("turns", F.concat(F.array(F.lit(0)), turns, F.array(F.size("pts") - 1)))
+    legs = bounds.select("*", F.posexplode(F.expr("transform(sequence(0, size(turns) - 2), i -> slice(pts, turns[i] + 1, turns[i + 1] - turns[i] + 1))")).alias("leg", "leg_pts"))
+    whole = F.when(F.size("turns") == 2, F.col("segment_id")).otherwise(F.concat_ws(".", "segment_id", F.col("leg").cast("string")))
+    return merge_overlaps(legs.select(whole.alias("segment_id"), "source_id", "grade_key", "road_class", "oneway", F.col("leg_pts").alias("pts")))
 
 
 def node_key(x: Column, y: Column, decimals: int = 6) -> Column:

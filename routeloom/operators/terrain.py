@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import GateError
+from ..workspace import materialize
 
 
 def sample_dem(points: DataFrame, dem: DataFrame, x0: float, y0: float, cell_m: float) -> DataFrame:
@@ -98,24 +99,55 @@ def profile_costs(profiles: DataFrame) -> DataFrame:
 RANK_RANGES = 256
 
 
-def midrank(values: DataFrame, reference: DataFrame, column: str = "value") -> DataFrame:
-    """``values`` with midrank: (smaller + half of equal) / n against the frozen reference.
-
-    Reference values are counted, cut into ranges by approximate quantiles and
-    summed within each; only the sums of ranges (``RANK_RANGES`` rows at most) are
-    broadcast.  Values need not occur in the reference.  An empty reference gives
-    null.
-    """
-    counts = reference.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("__v")).agg(F.count(F.lit(1)).alias("__n"))
-    edges = counts.agg(F.percentile_approx("__v", [i / RANK_RANGES for i in range(1, RANK_RANGES)], 10_000)).first()[0]
+def _frozen(counts: DataFrame) -> DataFrame:
+    """(range, value, n, below) of distinct values (value, n)."""
+    edges = counts.agg(F.percentile_approx("value", [i / RANK_RANGES for i in range(1, RANK_RANGES)], 10_000)).first()[0]
     bounds = sorted(set(edges or []))
     cut = F.lit(bounds) if bounds else F.array().cast("array<double>")
-    bucket = lambda c: F.size(F.filter(cut, lambda b: b < c))
-    own = values.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("__v")).distinct().withColumn("__n", F.lit(0).cast("long"))
-    each = counts.unionByName(own).groupBy("__v").agg(F.sum("__n").alias("__n")).withColumn("__b", bucket(F.col("__v")))
-    sums = each.groupBy("__b").agg(F.sum("__n").alias("__s"))
-    base = sums.withColumn("__base", F.coalesce(F.sum("__s").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).withColumn("__total", F.sum("__s").over(Window.partitionBy(F.lit(1))))
-    inside = F.coalesce(F.sum("__n").over(Window.partitionBy("__b").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = each.withColumn("__below", inside).join(F.broadcast(base.drop("__s")), "__b")
-    ranked = ranked.select("__v", F.when(F.col("__total") > 0, (F.col("__base") + F.col("__below") + F.col("__n") / 2) / F.col("__total")).alias("midrank"))
+    each = counts.withColumn("range", F.size(F.filter(cut, lambda b: b < F.col("value"))))
+    before = lambda by: F.coalesce(F.sum("n").over(by.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = each.groupBy("range").agg(F.sum("n").alias("n")).select("range", before(Window.orderBy("range")).alias("base"))
+    return each.join(F.broadcast(base), "range").select("range", "value", "n", (F.col("base") + before(Window.partitionBy("range").orderBy("value"))).alias("below"))
+
+
+def freeze(reference: DataFrame, column: str = "value") -> DataFrame:
+    """The reference as a table that can be kept: (range, value, n, below), a row for each distinct value.
+
+    ``below`` is the number of smaller values in the whole reference.  Values are cut
+    into ranges by approximate quantiles and summed within each; only the sums of ranges
+    (``RANK_RANGES`` rows at most) are broadcast.
+    """
+    return _frozen(reference.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n")))
+
+
+def extend_frozen(frozen: DataFrame, more: DataFrame, column: str = "value") -> DataFrame:
+    """The table of the reference with more values: equal to one frozen from all of them."""
+    new = more.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("value")).agg(F.count(F.lit(1)).alias("n"))
+    return _frozen(frozen.select("value", "n").unionByName(new).groupBy("value").agg(F.sum("n").alias("n")))
+
+
+def midrank_frozen(values: DataFrame, frozen: DataFrame, column: str = "value") -> DataFrame:
+    """``values`` with midrank: (smaller + half of equal) / n against a frozen reference.
+
+    Values need not occur in the reference; each meets the range it falls into.  An
+    empty reference gives null.
+    """
+    ranges = frozen.groupBy("range").agg(F.min("value").alias("low"), F.min("below").alias("base"), F.sum("n").alias("n")).orderBy("range").collect()
+    total, lows = sum(r.n for r in ranges), [float(r.low) for r in ranges]
+    own = values.filter(F.col(column).isNotNull()).select(F.col(column).cast("double").alias("__v")).distinct()
+    low = F.lit(lows) if lows else F.array().cast("array<double>")
+    own = own.withColumn("__r", F.size(F.filter(low, lambda b: b <= F.col("__v"))) - 1)
+    index = {r.range: i for i, r in enumerate(ranges)}
+    number = F.create_map(*[F.lit(x) for pair in index.items() for x in pair]) if index else None
+    known = frozen.select(F.col("value").alias("__v"), (number[F.col("range")] if number is not None else F.col("range")).cast("int").alias("__r"), "n", "below")
+    none = F.lit(None).cast("long")
+    each = known.unionByName(own.select("__v", F.col("__r").cast("int").alias("__r"), none.alias("n"), none.alias("below"))).groupBy("__r", "__v").agg(F.max("n").alias("n"), F.max("below").alias("below"))
+    before = F.last(F.col("below") + F.col("n"), ignorenulls=True).over(Window.partitionBy("__r").orderBy("__v").rowsBetween(Window.unboundedPreceding, -1))
+    ranked = each.select("__v", (F.coalesce("below", before, F.lit(0)) + F.coalesce("n", F.lit(0)) / 2).alias("__place"))
+    ranked = ranked.select("__v", (F.col("__place") / F.lit(float(total)) if total else F.lit(None).cast("double")).alias("midrank"))
     return values.join(ranked, values[column].cast("double") == F.col("__v"), "left").drop("__v")
+
+
+def midrank(values: DataFrame, reference: DataFrame, column: str = "value") -> DataFrame:
+    """``midrank_frozen`` against a reference that is frozen for the purpose."""
+    return midrank_frozen(values, materialize(freeze(reference, column), "frozen-reference"), column)

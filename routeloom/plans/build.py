@@ -6,6 +6,7 @@ number of full runs; a full run searches paths anew in each scope.
 
 from __future__ import annotations
 
+import json
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +19,9 @@ from ..sources.profile import validate_profile
 from ..workspace import materialize
 
 MOTHER = ["terminals", "physical_edges", "arc_costs", "elevation_profiles", "road_source_assessment", "elevation_model", "elevation_grid"]
+FROZEN = "registry/frozen_slopes"
+#: Tables of a network that the checks read.
+CHECKED = ["customers", "logical_arcs", "lineage", "demands", "microgrid", "backbone", "drone_raw_legs"]
 SPEEDS = {"secondary": 60.0, "residential": 35.0}
 SAMPLE_STEP_M = 50.0
 
@@ -47,8 +51,18 @@ def sample_points(edges: DataFrame, step_m: float = SAMPLE_STEP_M) -> DataFrame:
     return p.select("edge_id", (F.col("before") + F.col("t") * F.col("m")).alias("d"), (F.col("s.a.x") + F.col("t") * (F.col("s.b.x") - F.col("s.a.x"))).alias("x"), (F.col("s.a.y") + F.col("t") * (F.col("s.b.y") - F.col("s.a.y"))).alias("y"))
 
 
-def elevation_profiles(edges: DataFrame, dem: DataFrame, grid: dict) -> DataFrame:
-    """Each edge's ground, sampled once for both directions."""
+def elevation_profiles(edges: DataFrame, dem: DataFrame, grid: dict, known: tuple[DataFrame, DataFrame] | None = None) -> DataFrame:
+    """Each edge's ground, sampled once for both directions.
+
+    ``known``: edges and their profiles over the same ground; only edges that aren't
+    among them, or lie otherwise, are sampled.
+    """
+    if known is not None:
+        before = known[0].select("edge_id", F.col("pts").alias("before"))
+        kept = materialize(edges.join(before, "edge_id").filter("pts = before").select("edge_id"), "edges-kept")
+        names = ["edge_id", "sample_distances_m", "smoothed_elevations_m"]
+        new = elevation_profiles(edges.join(kept, "edge_id", "left_anti"), dem, grid).select(*names)
+        return known[1].select(*names).join(kept, "edge_id", "left_semi").unionByName(new)
     sampled = terrain.require_samples(materialize(terrain.sample_dem(sample_points(edges), dem, grid["x0"], grid["y0"], grid["cell_m"]), "samples"))
     each = sampled.groupBy("edge_id").agg(F.sort_array(F.collect_list(F.struct("d", "z"))).alias("p"))
     return each.select("edge_id", F.transform("p", lambda p: p["d"]).alias("sample_distances_m"), terrain.smooth(F.transform("p", lambda p: p["z"])).alias("smoothed_elevations_m"))
@@ -63,9 +77,36 @@ def arc_costs(edges: DataFrame, profiles: DataFrame, profile: dict) -> DataFrame
     return a.withColumn("time_min", fn.truck_minutes(F.col("distance_m"), F.col("final_road_class"), SPEEDS)).withColumn("truck_energy_kwh", fn.truck_energy(F.col("distance_m"), F.col("cumulative_ascent_m"), profile["truck"]))
 
 
-def build_mother(spark: SparkSession, profile: dict, raw: dict) -> dict[str, DataFrame]:
+def made_of(profile: dict, raw: dict) -> dict:
+    """What a mother depends on: its settings, the grid, and the digests of its inputs."""
+    inputs = {"population": raw["population"], "dem": raw["dem"], **{f"roads/{i}/{provider}/{licensed}": table for i, (provider, table, licensed) in enumerate(raw["roads"])}}
+    hashes = {k: release.content_digest(v, k).first().digest for k, v in inputs.items()}
+    settings = {k: profile[k] for k in ("demand", "roads", "truck")}
+    return json.loads(json.dumps({"settings": settings, "grid": raw["grid"], "inputs": hashes}, sort_keys=True))
+
+
+def mother_of(spark: SparkSession, profile: dict, raw: dict, root: str | None) -> tuple[dict[str, DataFrame], dict]:
+    """(mother, note): that of ``root``'s release where it is made of the same, else a new one.
+
+    A new one takes over the old one's profiles where the ground is the same and the edge, too.
+    """
+    own = made_of(profile, raw)
+    if root is None:
+        return build_mother(spark, profile, raw), {"reused": False, "made_of": own}
+    old, _ = release.reuse_or_build(spark, f"{root}/registry/mother_network", MOTHER, dict)
+    then = json.loads(release.read_text(spark, f"{root}/registry/mother_network/manifest.json")).get("made_of", {})
+    if then == own:
+        return old, {"reused": True, "made_of": own}
+    same = then.get("grid") == own["grid"] and then.get("inputs", {}).get("dem") == own["inputs"]["dem"]
+    known = (old["physical_edges"], old["elevation_profiles"]) if same else None
+    mother = build_mother(spark, profile, raw, known)
+    kept = mother["elevation_profiles"].join(old["physical_edges"].select("edge_id", F.col("pts").alias("p")), "edge_id").join(mother["physical_edges"].select("edge_id", "pts"), "edge_id").filter("p = pts").count() if same else 0
+    return mother, {"reused": False, "profiles_reused": kept, "made_of": own}
+
+
+def build_mother(spark: SparkSession, profile: dict, raw: dict, known: tuple[DataFrame, DataFrame] | None = None) -> dict[str, DataFrame]:
     """``raw``: population cells, dem cells, grid (x0, y0, cell_m) and road sources
-    [(provider, roads, licence verified)], tried in order."""
+    [(provider, roads, licence verified)], tried in order.  ``known``: see ``elevation_profiles``."""
     who = terminals(raw["population"], profile)
     depot = who.filter("is_depot").first().terminal_id
     services = who.select("terminal_id", F.col("x_m").alias("access_reference_x_m"), F.col("y_m").alias("access_reference_y_m"))
@@ -84,7 +125,7 @@ def build_mother(spark: SparkSession, profile: dict, raw: dict) -> dict[str, Dat
             if len(tried) == len(raw["roads"]):
                 raise
     edges, snaps = built[assessed[-1]["provider"]]
-    profiles = materialize(elevation_profiles(edges, raw["dem"], raw["grid"]), "profiles")
+    profiles = materialize(elevation_profiles(edges, raw["dem"], raw["grid"], known), "profiles")
     anchors = edges.select(F.explode(F.array(F.struct(F.col("from_node").alias("n"), F.element_at("pts", 1).alias("p")), F.struct(F.col("to_node").alias("n"), F.element_at("pts", -1).alias("p")))).alias("e")).groupBy("e.n").agg(F.min("e.p").alias("p"))
     placed = who.join(snaps, "terminal_id").join(anchors, F.col("truck_anchor_id") == F.col("n"), "left")
     ground = terrain.require_samples(terrain.sample_dem(who.select("terminal_id", F.col("x_m").alias("x"), F.col("y_m").alias("y")), raw["dem"], raw["grid"]["x0"], raw["grid"]["y0"], raw["grid"]["cell_m"]))
@@ -103,7 +144,10 @@ def _grid(mother: dict[str, DataFrame]) -> dict:
 
 
 def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict, profile: dict, reference: DataFrame | None) -> dict[str, DataFrame]:
-    """One network: a scope (id, terminals or None for all, depot or None for the mother's)."""
+    """One network: a scope (id, terminals or None for all, depot or None for the mother's).
+
+    ``reference``: the frozen slopes that it is ranked against; without one, its own.
+    """
     name = F.lit(scope["id"])
     who = mother["terminals"]
     if scope.get("terminals") is not None:
@@ -120,7 +164,8 @@ def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict
     edges_of = lineage.join(arcs.select("arc_id", "edge_id"), "arc_id").groupBy("contracted_logical_arc_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("position", "edge_id"))), lambda e: e["edge_id"]).alias("canonical_physical_edge_ids"))
     slopes = terrain.slope_features(logical.join(edges_of, "contracted_logical_arc_id"), mother["elevation_profiles"])
     slopes = materialize(slopes, "slopes")
-    ranked = terrain.midrank(slopes.withColumn("value", F.col("smean_percent")), (reference if reference is not None else slopes).select(F.col("smean_percent").alias("value"))).drop("value", "contracted_logical_connection_id")
+    frozen = reference if reference is not None else materialize(terrain.freeze(slopes, "smean_percent"), "frozen-slopes")
+    ranked = terrain.midrank_frozen(slopes, frozen, "smean_percent").drop("contracted_logical_connection_id")
     logical = logical.join(costs, "contracted_logical_arc_id").join(ranked, "contracted_logical_arc_id")
 
     e, demand = profile["energy"], who.filter("not is_depot")
@@ -147,7 +192,7 @@ def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict
     base = logical.select(name.alias("network_id"), F.col("contracted_logical_arc_id").alias("arc"), F.col("contracted_logical_connection_id").alias("connection"), "time_min", F.col("truck_energy_kwh").alias("energy_kwh"), F.col("midrank").alias("rank"))
     out = {
         "customers": who, "logical_arcs": logical, "lineage": lineage, "demands": needs, "microgrid": assigned, "backbone": paths.backbone(lineage, arcs), "drone_raw_legs": legs, "drone_centroid_legs": flat, "drone_corridors": ground,
-        "scenario_registry": registry, "scenario_arcs": scenarios.disrupted_arcs(base, registry, s.get("seed", 1)), "slopes": slopes,
+        "frozen": frozen, "scenario_registry": registry, "scenario_arcs": scenarios.disrupted_arcs(base, registry, s.get("seed", 1)), "slopes": slopes,
     }
     return {k: v if "network_id" in v.columns else v.withColumn("network_id", name) for k, v in out.items()}
 
@@ -184,31 +229,57 @@ def violations(mother: dict[str, DataFrame], net: dict[str, DataFrame]) -> dict[
     }
 
 
-def run(spark: SparkSession, profile: dict, raw: dict, out: str, stage: str = "full", mother_root: str | None = None) -> dict:
-    """Builds and publishes a ``mother`` or a ``full`` release under ``out``; the manifest is returned."""
+def run(spark: SparkSession, profile: dict, raw: dict, out: str, stage: str = "full", mother_root: str | None = None, reference_root: str | None = None) -> dict:
+    """Builds and publishes a ``mother`` or a ``full`` release under ``out``; the manifest is returned.
+
+    ``mother_root``: a release whose mother is used again if it is made of the same
+    settings and inputs, and otherwise in what it shares.
+
+    Slopes are ranked against a frozen table that is part of the release, with its
+    digest in the manifest: that of ``reference_root``'s release, or else one made here.
+    """
     validate_profile(profile)
     if release.exists(spark, out):
         raise GateError(f"{out} must be a new, unprotected path")
-    mother, reused = release.reuse_or_build(spark, mother_root and f"{mother_root}/registry/mother_network", MOTHER, lambda: build_mother(spark, profile, raw))
+    mother, how = mother_of(spark, profile, raw, mother_root)
     nested = {f"registry/mother_network/{k}": v for k, v in mother.items()}
     if stage == "mother":
-        return _publish(spark, nested, out, {"stage": stage, "mother": {"reused": reused}})
-    whole = build_network(spark, mother, {"id": "whole"}, profile, None)
-    reference = whole["slopes"]
+        return _publish(spark, nested, out, {"stage": stage, "mother": how})
+    if reference_root is not None:
+        (kept, _) = release.reuse_or_build(spark, reference_root, [FROZEN], dict)
+        reference = kept[FROZEN]
+    else:
+        reference = build_network(spark, mother, {"id": "whole"}, profile, None)["frozen"].drop("network_id")
     nets = [build_network(spark, mother, scope, profile, reference) for scope in profile["scopes"]]
-    checks = [release.validate(violations(mother, net))["checks"] for net in nets]
-    failed = sorted({k for c in checks for k, ok in c.items() if not ok})
+    tables = {k: reduce(DataFrame.unionByName, [n[k] for n in nets]) for k in nets[0] if k != "frozen"}
+    counts = {"network_count": len(nets), "mother_terminals": mother["terminals"].count(), "scenario_count": tables["scenario_registry"].count(), "passed": True}
+    return _publish(spark, nested | {FROZEN: reference} | {f"networks/{k}": v for k, v in tables.items()}, out, {"stage": stage, "mother": how, **counts}, lambda root: require_valid(spark, root))
+
+
+def written(spark: SparkSession, root: str) -> tuple[dict[str, DataFrame], dict[str, dict[str, DataFrame]]]:
+    """(mother, tables of each network) of a release's files."""
+    read = lambda name: spark.read.parquet(f"{root}/{name}")
+    mother = {k: read(f"registry/mother_network/{k}") for k in MOTHER}
+    tables = {k: read(f"networks/{k}") for k in CHECKED}
+    names = [r.network_id for r in tables["customers"].select("network_id").distinct().orderBy("network_id").collect()]
+    return mother, {n: {k: v.filter(F.col("network_id") == n) for k, v in tables.items()} for n in names}
+
+
+def check_release(spark: SparkSession, root: str) -> dict[str, bool]:
+    """Each check of a release by reading its files again: passed if no network has a violating row."""
+    mother, nets = written(spark, root)
+    found = [release.validate(violations(mother, net))["checks"] for net in nets.values()]
+    return {k: all(c[k] for c in found) for k in found[0]}
+
+
+def require_valid(spark: SparkSession, root: str) -> None:
+    failed = sorted(k for k, ok in check_release(spark, root).items() if not ok)
     if failed:
         raise GateError(f"release checks failed: {failed}")
-    tables = {k: reduce(DataFrame.unionByName, [n[k] for n in nets]) for k in nets[0]}
-    counts = {"network_count": len(nets), "mother_terminals": mother["terminals"].count(), "scenario_count": tables["scenario_registry"].count(), "passed": True}
-    return _publish(spark, nested | {f"networks/{k}": v for k, v in tables.items()}, out, {"stage": stage, "mother": {"reused": reused}, **counts})
 
 
-def _publish(spark: SparkSession, tables: dict, out: str, note: dict) -> dict:
-    made = release.publish(spark, tables, out, note)
+def _publish(spark: SparkSession, tables: dict, out: str, note: dict, check=None) -> dict:
+    made = release.publish(spark, tables, out, note, check=check)
     inner = {k.rpartition("/")[2]: v for k, v in made["core_hashes"].items() if k.startswith("registry/mother_network/")}
-    import json
-
-    release.write_text(spark, f"{out}/registry/mother_network/manifest.json", json.dumps({"status": "published", "core_hashes": inner}))
+    release.write_text(spark, f"{out}/registry/mother_network/manifest.json", json.dumps({"status": "published", "core_hashes": inner, "made_of": note["mother"]["made_of"]}))
     return made

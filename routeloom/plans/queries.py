@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import functions as fn
-from ..operators import boundary, components, drone, overlay, paths, population, release, roads, scenarios, service, strong, terrain
+from ..operators import boundary, components, digest_tree, drone, overlay, paths, population, release, roads, scenarios, service, strong, terrain
 from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
 from ..workspace import materialize, work_path
@@ -731,12 +731,37 @@ def release_digests(spark: SparkSession, sf: str) -> DataFrame:
     return digests(spark, sf)
 
 
-@query("SELECT * FROM (VALUES ('nation', true), ('orders', false)) v(\"table\", in_both)")
+@query(f"""
+WITH one AS ({" UNION ALL ".join(_digest_sql(k, v) for k, v in _DIGESTED.items())}),
+two AS (SELECT "table", CASE WHEN n_rows % 5 = 0 THEN 'changed' ELSE digest END AS digest FROM one WHERE n_rows < (SELECT max(n_rows) FROM one))
+SELECT coalesce(one."table", two."table") AS "table", two.digest IS NOT NULL AS in_both FROM one FULL JOIN two ON one."table" = two."table" WHERE one.digest IS DISTINCT FROM two.digest""")
 def run_differences(spark: SparkSession, sf: str) -> DataFrame:
-    """Two runs of which one changed a table and one lacks a table; registry paths don't count."""
-    one = digests(spark, sf).select("table", "digest").unionByName(digests(spark, sf).filter("`table` = 'region'").select(F.lit("registry/x").alias("table"), "digest"))
-    two = one.filter("`table` <> 'orders'").withColumn("digest", F.when(F.col("table").isin("nation", "registry/x"), "changed").otherwise(F.col("digest")))
-    return release.differences(release.science_keys(one), release.science_keys(two)).select("table", F.col("second").isNotNull().alias("in_both"))
+    """Two runs of which one changed tables and lacks the largest; registry paths don't count."""
+    one = materialize(digests(spark, sf), "digests")
+    largest = one.agg(F.max("n_rows")).first()[0]
+    two = one.filter(F.col("n_rows") < largest).withColumn("digest", F.when(F.col("n_rows") % 5 == 0, "changed").otherwise(F.col("digest")))
+    extra = one.limit(1).select(F.lit("registry/x").alias("table"), "digest")
+    found = release.differences(release.science_keys(one.select("table", "digest").unionByName(extra)), release.science_keys(two.select("table", "digest")))
+    return found.select("table", F.col("second").isNotNull().alias("in_both"))
+
+
+#: The orders of a later release: some changed, some lost, some twice, some new.
+_LATER = """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 997 = 5 THEN 'X' ELSE o_orderstatus END AS o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 991 <> 7
+UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 983 = 11
+UNION ALL SELECT -o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderkey % 977 = 13"""
+_EARLIER = "SELECT o_orderkey, o_custkey, o_orderstatus, o_orderpriority FROM orders"
+
+
+@query(f"""
+WITH one AS (SELECT *, count(*) AS n FROM ({_EARLIER}) x GROUP BY ALL), two AS (SELECT *, count(*) AS n FROM ({_LATER}) x GROUP BY ALL),
+j AS (SELECT coalesce(one.o_orderkey, two.o_orderkey) AS o_orderkey, one.n AS a, two.n AS b
+      FROM one FULL JOIN two ON one.o_orderkey = two.o_orderkey AND one.o_custkey = two.o_custkey AND one.o_orderstatus = two.o_orderstatus AND one.o_orderpriority = two.o_orderpriority)
+SELECT o_orderkey, CASE WHEN sum(a) IS NULL THEN 'added' WHEN sum(b) IS NULL THEN 'lost' WHEN bool_and(a IS NOT NULL AND b IS NOT NULL) THEN 'repeated' ELSE 'changed' END AS difference
+FROM j GROUP BY o_orderkey HAVING bool_or(a IS DISTINCT FROM b)""")
+def row_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that differ between two releases of all orders, found down their digest trees."""
+    return digest_tree.row_differences(B.rows(spark, sf, _EARLIER), B.rows(spark, sf, _LATER), ["o_orderkey"])
 
 
 _INPUTS = "SELECT 'pages/' || CAST(page_id AS STRING) AS path, 'raw' AS role, CASE WHEN page_id % 3 = 0 THEN true WHEN page_id % 3 = 1 THEN false END AS redistribution_permitted FROM pages"

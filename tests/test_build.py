@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from routeloom.errors import GateError
+from routeloom.operators import release
 from routeloom.plans import build
 from routeloom.sources import demo, profile, tables
 
@@ -45,6 +46,43 @@ def test_full_release(spark, full):
     assert pair.filter("n = 2").count() > 0  # uphill costs more than down
 
 
+#: What is spoiled in which table, and the one check that must see it.
+FAULTS = {
+    "customer_coordinates": ("customers", lambda d: d.withColumn("anchor_x", F.when(F.col("is_depot"), F.col("anchor_x") + 1).otherwise(F.col("anchor_x")))),
+    "depot_roles": ("customers", lambda d: d.withColumn("is_depot", F.lit(True))),
+    "directional_energy": ("arc_costs", lambda d: d.withColumn("truck_energy_kwh", F.when(F.col("arc_id").endswith("+"), 0.0).otherwise(F.col("truck_energy_kwh")))),
+    "microgrid_assignment_conservation": ("microgrid", lambda d: d.filter(F.col("demand") != d.agg(F.min("demand")).first()[0])),
+    "no_synthetic_road_connectors": ("backbone", lambda d: d.unionByName(d.limit(1).withColumn("edge_id", F.lit("made up")))),
+    "population_conservation": ("customers", lambda d: d.withColumn("population", F.col("population") + F.when(F.col("is_depot"), 5.0).otherwise(0.0))),
+    "raw_drone_2NN_roles": ("drone_raw_legs", lambda d: d.unionByName(d.limit(1))),
+    "real_source_lineage": ("physical_edges", lambda d: d.withColumn("source_id", F.when(F.col("length_m") < 0, F.col("source_id")))),
+    "runtime_paths_active_only": ("logical_arcs", lambda d: d.withColumn("to_terminal", F.lit("elsewhere"))),
+    "source_gate": ("road_source_assessment", lambda d: d.withColumn("qualified", F.lit(False))),
+    "strict_lineage_and_cost_sums": ("lineage", lambda d: d.filter("position > 0")),
+}
+
+
+@pytest.mark.parametrize("name", FAULTS)
+def test_each_check_sees_its_fault_in_the_files(spark, full, name):
+    """The published files pass; with one table spoiled that check fails and no other does."""
+    mother, nets = build.written(spark, full[0])
+    table, spoil = FAULTS[name]
+    mother = {k: spoil(v) if k == table else v for k, v in mother.items()}
+    net = {k: spoil(v) if k == table else v for k, v in nets["full"].items()}
+    found = release.validate(build.violations(mother, net))["checks"]
+    assert [k for k, ok in found.items() if not ok] == [name]
+
+
+def test_a_release_that_fails_its_checks_is_not_published(spark, full, tmp_path, monkeypatch):
+    assert all(build.check_release(spark, full[0]).values())
+    monkeypatch.setattr(build, "violations", lambda mother, net: {"never": net["customers"]})
+    p = settings(spark)
+    p["scopes"] = p["scopes"][1:]
+    with pytest.raises(GateError, match="never"):
+        build.run(spark, p, inputs(spark), f"file://{tmp_path}/bad", mother_root=full[0], reference_root=full[0])
+    assert not list(tmp_path.iterdir())
+
+
 def test_repeat_is_equal_and_mother_is_reused(spark, full, tmp_path):
     root, note = full
     again = build.run(spark, settings(spark), inputs(spark), f"file://{tmp_path}/two", mother_root=root)
@@ -54,6 +92,41 @@ def test_repeat_is_equal_and_mother_is_reused(spark, full, tmp_path):
         build.run(spark, settings(spark), inputs(spark), root)
 
 
+def test_what_changed_is_built_again_and_nothing_else(spark, full, tmp_path):
+    """Other drones: the same mother.  One road moved: the profiles of all edges that stayed.  Other ground: none."""
+    root, note = full
+    p = settings(spark)
+    p["scopes"] = p["scopes"][1:]
+    p["drone"]["cruise_m_s"] = p["drone"]["cruise_m_s"] + 1
+    assert build.mother_of(spark, p, inputs(spark), root)[1]["reused"]
+    raw = inputs(spark)
+    provider, roads, licensed = raw["roads"][0]
+    moved = F.transform("pts", lambda q: F.struct((q["x"] + 3).alias("x"), (q["y"] + 2).alias("y")))
+    raw["roads"] = [(provider, roads.withColumn("pts", F.when(F.col("source_id") == "road0", moved).otherwise(F.col("pts"))), licensed)]
+    mother, how = build.mother_of(spark, p, raw, root)
+    edges, old = mother["physical_edges"], spark.read.parquet(f"{root}/registry/mother_network/physical_edges")
+    assert not how["reused"] and 0 < how["profiles_reused"] < edges.count()
+    fresh = build.elevation_profiles(edges, raw["dem"], raw["grid"])
+    assert sorted(map(str, mother["elevation_profiles"].select(fresh.columns).collect())) == sorted(map(str, fresh.collect()))
+    assert edges.exceptAll(old.select(edges.columns)).count() > 0
+    raw["dem"] = raw["dem"].withColumn("z", F.col("z") + 1)
+    assert build.mother_of(spark, p, raw, root)[1]["profiles_reused"] == 0
+
+
+def test_slopes_are_ranked_against_a_kept_table(spark, full, tmp_path):
+    """A later release of one scope alone, ranked against the table of the first one."""
+    root, note = full
+    p = settings(spark)
+    p["scopes"] = p["scopes"][1:]
+    later = build.run(spark, p, inputs(spark), f"file://{tmp_path}/later", mother_root=root, reference_root=root)
+    assert later["core_hashes"][build.FROZEN] == note["core_hashes"][build.FROZEN]
+    rank = lambda r, k: {x.contracted_logical_arc_id: x.midrank for x in spark.read.parquet(f"{r}/networks/logical_arcs").filter(F.col("network_id") == k).collect()}
+    assert rank(f"{tmp_path}/later", "part") == rank(root, "part")
+    kept = spark.read.parquet(f"{root}/{build.FROZEN}")
+    slopes = sorted(r.smean_percent for r in spark.read.parquet(f"{root}/networks/slopes").filter("network_id = 'full'").collect())
+    assert sorted((r.value, r.n, r.below) for r in kept.collect()) == sorted({(v, slopes.count(v), sum(x < v for x in slopes)) for v in slopes})
+
+
 def test_failed_gate_leaves_nothing_and_fallback_works(spark, tmp_path):
     out = f"file://{tmp_path}/fail"
     with pytest.raises(GateError, match="licensed_local_source_required"):
