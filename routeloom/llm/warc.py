@@ -123,7 +123,8 @@ def decode_references(text: Column) -> Column:
         good = number.between(1, 0x10FFFF) & ~number.between(0xD800, 0xDFFF)
         numeric = F.when(good, F.decode(F.unhex(F.lpad(F.hex(number), 8, "0")), "UTF-32"))
         char = F.when(F.startswith(name, F.lit("#")), numeric).otherwise(F.try_element_at(names, name))
-        return F.when(i == 0, x).otherwise(F.coalesce(F.concat(char, F.substr(x, F.length(name) + 2)), F.concat(F.lit("&"), x)))
+        # An ampersand without a name isn't looked up, as the map is searched from end to end.
+        return F.when(i == 0, x).when(name == "", F.concat(F.lit("&"), x)).otherwise(F.coalesce(F.concat(char, F.substr(x, F.length(name) + 2)), F.concat(F.lit("&"), x)))
 
     return F.when(F.instr(text, "&") == 0, text).otherwise(F.array_join(F.transform(F.split(text, "&"), part), ""))
 
