@@ -138,6 +138,38 @@ def read_text(spark: SparkSession, file: str) -> str:
     return spark.read.format("binaryFile").load(file).select("content").first().content.decode()
 
 
+def file_digest(spark: SparkSession, file: str) -> tuple[int, str]:
+    """(bytes, sha256) of a file of any size, by Hadoop's streams."""
+    jvm = spark._jvm
+    fs, path = _fs(spark, file)
+    digest = jvm.java.security.MessageDigest.getInstance("SHA-256")
+    source = jvm.java.security.DigestInputStream(fs.open(path(file)), digest)
+    try:
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(source, jvm.java.io.OutputStream.nullOutputStream(), 1 << 16, False)
+    finally:
+        source.close()
+    return fs.getFileStatus(path(file)).getLen(), bytes(digest.digest()).hex()
+
+
+INPUTS = "role string, path string, n_bytes long, sha256 string, provider string, licence string, license_verified boolean, redistribution_permitted boolean"
+
+
+def input_registry(spark: SparkSession, inputs: list[dict]) -> DataFrame:
+    """A row for each input of a profile: what it is, whose, under which licence, and its digest as it was used.
+
+    A missing file, or one that isn't what the profile says by ``sha256``, is an error.
+    """
+    rows = []
+    for i in inputs:
+        if not exists(spark, i["path"]):
+            raise GateError(f"input {i['role']}: {i['path']} is missing")
+        size, digest = file_digest(spark, i["path"])
+        if i.get("sha256") not in (None, digest):
+            raise GateError(f"input {i['role']}: {i['path']} is not the file that the profile names")
+        rows.append((i["role"], i["path"], size, digest, i.get("provider"), i.get("licence"), bool(i.get("license_verified")), bool(i.get("redistribution_permitted"))))
+    return spark.createDataFrame(rows, INPUTS)
+
+
 def reuse_or_build(spark: SparkSession, root: str | None, names: list[str], build: Callable[[], dict[str, DataFrame]]) -> tuple[dict[str, DataFrame], bool]:
     """Tables of a published mother release, or built ones: (tables, reused)."""
     if root is None:

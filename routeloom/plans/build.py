@@ -241,8 +241,9 @@ def run(spark: SparkSession, profile: dict, raw: dict, out: str, stage: str = "f
     validate_profile(profile)
     if release.exists(spark, out):
         raise GateError(f"{out} must be a new, unprotected path")
+    used = release.input_registry(spark, profile.get("inputs", []))
     mother, how = mother_of(spark, profile, raw, mother_root)
-    nested = {f"registry/mother_network/{k}": v for k, v in mother.items()}
+    nested = {"registry/inputs": used, **{f"registry/mother_network/{k}": v for k, v in mother.items()}}
     if stage == "mother":
         return _publish(spark, nested, out, {"stage": stage, "mother": how})
     if reference_root is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from functools import wraps
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
@@ -13,7 +14,7 @@ from .. import functions as fn
 from ..operators import boundary, components, digest_tree, drone, overlay, paths, population, release, roads, scenarios, service, strong, terrain
 from ..sources import geotiff, tables, vector
 from ..sources.profile import demo_profile
-from ..workspace import materialize, work_path
+from ..workspace import materialize, temporary, work_path
 from . import bridges as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,13 +23,25 @@ CFG = demo_profile()
 
 
 def query(sql: str | None = None):
-    """Registers a query under its function's name, and its SQL."""
+    """Registers a query under its function's name, and its SQL.
+
+    A query that writes tables on the way gives its result as a table, too, and drops the others.
+    """
 
     def add(f):
-        QUERIES[f.__name__] = f
+        @wraps(f)
+        def run(spark: SparkSession, sf: str) -> DataFrame:
+            with temporary(spark) as made:
+                out = f(spark, sf)
+                if made:
+                    out = materialize(out, f"query-{f.__name__}")
+                    made.pop()
+            return out
+
+        QUERIES[f.__name__] = run
         if sql is not None:
             ORACLES[f.__name__] = sql
-        return f
+        return run
 
     return add
 
@@ -59,13 +72,13 @@ def dense_cells(spark: SparkSession, sf: str) -> DataFrame:
 @query(_COMPONENTS + "SELECT component, n_cells, round(population, 6) AS population, round(x_m, 6) AS x_m, round(y_m, 6) AS y_m FROM nodes")
 def demand_components(spark: SparkSession, sf: str) -> DataFrame:
     """Threshold, calibration, 8-neighbour components, population and weighted centroid."""
-    nodes = population.require_several(population.demand_nodes(dense_cells(spark, sf), official_total=OFFICIAL))
+    nodes = population.require_several(materialize(population.demand_nodes(dense_cells(spark, sf), official_total=OFFICIAL), "demand-nodes"))
     return nodes.select("component", "n_cells", *r6("population", "x_m", "y_m"))
 
 
 @query(_COMPONENTS + "SELECT count(*) AS population_components_including_depot, count(*) FILTER (WHERE component <> (SELECT min(component) FROM nodes)) AS demand_nodes_excluding_depot, round(sum(population), 4) AS final_component_population_total FROM nodes")
 def demand_audit(spark: SparkSession, sf: str) -> DataFrame:
-    nodes = population.demand_nodes(dense_cells(spark, sf), official_total=OFFICIAL)
+    nodes = materialize(population.demand_nodes(dense_cells(spark, sf), official_total=OFFICIAL), "demand-nodes")
     depot = nodes.agg(F.min("component")).first()[0]
     return population.audit(nodes, depot).withColumn("final_component_population_total", F.round("final_component_population_total", 4))
 
@@ -181,6 +194,21 @@ def download_plan(spark: SparkSession, sf: str) -> DataFrame:
     return df.withColumn("status", F.when(F.col("url").isNull(), "manual_download_required").when(bad, "credential-bearing").otherwise("dry_run"))
 
 
+#: A catalogue of all pages: some without a URL, some with a user in it, some whose host is not among the allowed ones.
+_CATALOGUE = """
+SELECT 'page/' || CAST(page_id AS STRING) AS role, page_id % 3 AS kind, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host,
+       CASE WHEN page_id % 7 <> 0 THEN CASE WHEN page_id % 11 = 5 THEN replace(url, '://', '://user@') ELSE url END END AS download_url FROM pages"""
+
+
+@query(f"""
+SELECT role, CASE WHEN download_url IS NULL THEN 'manual_download_required' WHEN regexp_matches(download_url, '^[a-z]+://[^/?#]*@') THEN 'credential-bearing'
+       WHEN kind = 2 AND host <> 'example.org' THEN 'host_not_allowed' ELSE 'dry_run' END AS status FROM ({_CATALOGUE})""")
+def download_catalogue(spark: SparkSession, sf: str) -> DataFrame:
+    """The plan for a catalogue with allowed hosts: none stated, the page's own, or another."""
+    hosts = F.when(F.col("kind") == 1, F.array("host")).when(F.col("kind") == 2, F.array(F.lit("example.org")))
+    return release.download_plan(B.rows(spark, sf, _CATALOGUE).withColumn("allowed_hosts", hosts)).select("role", "status")
+
+
 # -- terrain ---------------------------------------------------------------------
 
 

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -137,6 +138,22 @@ def test_failed_gate_leaves_nothing_and_fallback_works(spark, tmp_path):
     assert note["status"] == "published" and [(r.provider, r.qualified) for r in rows] == [("osm", False), ("LOCAL", True)]
 
 
+def test_inputs_are_registered_with_licence_and_digest(spark, full, tmp_path):
+    data = b"cells" * 50_000
+    (tmp_path / "cells.bin").write_bytes(data)
+    digest = hashlib.sha256(data).hexdigest()
+    p = settings(spark)
+    p["inputs"] = [{"role": "population", "path": f"file://{tmp_path}/cells.bin", "licence": "CC BY 4.0", "provider": "demo", "redistribution_permitted": True, "sha256": digest}, {"role": "dem", "path": f"file://{tmp_path}/cells.bin"}]
+    note = build.run(spark, p, inputs(spark), f"file://{tmp_path}/out", stage="mother", mother_root=full[0])
+    rows = {r.role: r for r in spark.read.parquet(f"{tmp_path}/out/registry/inputs").collect()}
+    assert (rows["population"].sha256, rows["population"].n_bytes, rows["population"].licence, rows["population"].redistribution_permitted) == (digest, len(data), "CC BY 4.0", True)
+    assert rows["dem"].licence is None and not rows["dem"].redistribution_permitted and "registry/inputs" in note["core_hashes"]
+    for wrong, text in (({"sha256": "0" * 64}, "not the file"), ({"path": f"file://{tmp_path}/none"}, "missing")):
+        p["inputs"][0] = p["inputs"][0] | wrong
+        with pytest.raises(GateError, match=text):
+            build.run(spark, p, inputs(spark), f"file://{tmp_path}/two", stage="mother", mother_root=full[0])
+
+
 def test_missing_setting(spark, tmp_path):
     p = settings(spark)
     p["energy"]["annual_household_kwh"] = None
