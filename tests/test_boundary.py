@@ -106,3 +106,17 @@ def test_a_hundred_thousand_vertices(spark):
     assert [i for i, _, _ in some if i in got] == slow(some, rings)
     sizes = index.cells.select(F.size("edges").alias("n")).agg(F.max("n"), F.sum("n")).first()
     assert sizes[1] < 20 * 100_000
+
+
+def test_places_on_edges_are_where_the_expression_puts_them(spark):
+    """Whole places on slanted edges and at vertices: the ray's expression decides, not a grid's rounding."""
+    ring = [(100.0, 100.0), (1200.0, 250.0), (900.0, 800.0), (1300.0, 1400.0), (150.0, 1100.0)]
+    on = {(round(a + (c - a) * k / g), round(b + (d - b) * k / g)) for (a, b), (c, d) in zip(ring, ring[1:] + ring[:1]) for g in [math.gcd(int(c - a), int(d - b))] for k in range(g + 1)}
+    places = sorted({(x + i, y) for x, y in on for i in (-1, 0, 1)})
+    want = []
+    for n, (x, y) in enumerate(places):
+        hits = [(y1 > y) != (y2 > y) and x < x1 + (y - y1) * ((x2 - x1) / (y2 - y1)) for (x1, y1), (x2, y2) in zip(ring, ring[1:] + ring[:1])]
+        want += [n] if sum(hits) % 2 else []
+    assert len(on) > 100 and found(spark, [(n, x, y) for n, (x, y) in enumerate(places)], ring) == want
+    corner = [(0, 1200.0 + 30, 250.0 - 40), (1, 1200.0 + 30, 250.0 - 40.001), (2, 1300.0 + 48, 1400.0 + 14), (3, 100.0 - 40, 100.0 - 30)]
+    assert found(spark, corner, ring, 50.0) == [0, 2, 3]
