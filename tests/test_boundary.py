@@ -120,3 +120,32 @@ def test_places_on_edges_are_where_the_expression_puts_them(spark):
     assert len(on) > 100 and found(spark, [(n, x, y) for n, (x, y) in enumerate(places)], ring) == want
     corner = [(0, 1200.0 + 30, 250.0 - 40), (1, 1200.0 + 30, 250.0 - 40.001), (2, 1300.0 + 48, 1400.0 + 14), (3, 100.0 - 40, 100.0 - 30)]
     assert found(spark, corner, ring, 50.0) == [0, 2, 3]
+
+
+def dense(n):
+    """A ring whose edges are long and lie close together, so that many pass through each place."""
+    rng = random.Random(n)
+    return [star(rng, 0, 0, 60, 100, n)]
+
+
+@pytest.mark.parametrize("buffer_m", [0.0, 3.0])
+def test_long_edges_are_held_a_few_times(spark, buffer_m):
+    """Small cells that each held all edges through them would hold an edge of this ring some sixteen times, or more."""
+    rings = dense(6_000)
+    index = B.boundary(B.ring_edges(table(spark, rings)), buffer_m)
+    assert index.cells.select(F.sum(F.size("edges"))).first()[0] < 6 * 6_000
+    rng = random.Random(5)
+    points = [(i, rng.uniform(-110, 110), rng.uniform(-110, 110)) for i in range(1_500)]
+    df = spark.createDataFrame(points, "id long, x double, y double")
+    assert sorted(r.id for r in index.clip(df).collect()) == slow(points, rings, buffer_m)
+
+
+def test_full_cells_are_made_smaller_and_points_dealt_out(spark, monkeypatch):
+    monkeypatch.setattr(B, "GROUP_EDGES", 300)
+    monkeypatch.setattr(B, "GROUP_POINTS", 7)
+    monkeypatch.setattr(B, "FEW", 50)
+    rings = dense(1_000)
+    rng = random.Random(6)
+    points = [(i, rng.uniform(-110, 110), rng.uniform(-110, 110)) for i in range(800)]
+    for buffer_m in (0.0, 2.0):
+        assert found(spark, points, table(spark, rings), buffer_m) == slow(points, rings, buffer_m)
