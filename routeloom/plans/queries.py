@@ -535,11 +535,15 @@ g AS (SELECT count(*) AS demand_denominator, count(*) FILTER (WHERE bad) AS inac
 """
 
 
-@query(_GATE + "SELECT * FROM g WHERE depot_terminal_id = 'T00'")
+@query(_GATE + """SELECT demand_denominator, inaccessible_count, (SELECT string_agg(terminal_id, ',' ORDER BY terminal_id) FROM j WHERE bad AND depot = 'T00') AS inaccessible_ids,
+       inaccessible_ratio, depot_attached, depot_terminal_id, provider, qualified FROM g WHERE depot_terminal_id = 'T00'""")
 def source_gate(spark: SparkSession, sf: str) -> DataFrame:
-    """Coverage and mutual reachability with the Depot, against 20%."""
-    out = paths.assess(B.rows(spark, sf, _SNAPS), B.rows(spark, sf, _ONEWAY), "T00")
-    return out.withColumn("inaccessible_ratio", F.round("inaccessible_ratio", 9)).drop("rule")
+    """Coverage and mutual reachability with the Depot, against 20%, and the terminals that it can't use."""
+    snaps, arcs = B.rows(spark, sf, _SNAPS), B.rows(spark, sf, _ONEWAY)
+    out = paths.assess(snaps, arcs, "T00").withColumn("inaccessible_ratio", F.round("inaccessible_ratio", 9))
+    ids = paths.inaccessible(snaps, arcs, "T00").agg(F.sort_array(F.collect_list("terminal_id")).alias("ids"))
+    ids = ids.select(F.when(F.size("ids") > 0, F.array_join("ids", ",")).alias("inaccessible_ids"))
+    return out.crossJoin(ids).select("demand_denominator", "inaccessible_count", "inaccessible_ids", "inaccessible_ratio", "depot_attached", "depot_terminal_id", "provider", "qualified")
 
 
 @query(_GATE + "SELECT * FROM g")

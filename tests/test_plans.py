@@ -96,3 +96,11 @@ def test_exact_cover_of_more_than_24_sites(spark):
         rows = spark.createDataFrame([(s, d, t, p) for (s, d), (t, p) in pairs.items()], "site string, demand string, time_min double, population double")
         got = service.min_site_cover(rows, spark.createDataFrame(list(pop.items()), "demand string, population double")).collect()
         assert {r["demand"]: r["site"] for r in got} == best_cover(pairs)
+
+
+def test_gate_names_the_terminals_it_fails(spark, tmp_path):
+    spark.createDataFrame([(k, k % 5) for k in range(25)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
+    spark.createDataFrame([(i, i * i % 25) for i in range(200)], "c_custkey int, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
+    gate = Q.source_gate(spark, str(tmp_path)).first()
+    bad = sorted(r.terminal_id for r in Q.source_gate_inaccessible(spark, str(tmp_path)).collect())
+    assert gate.inaccessible_ids == ",".join(bad) and gate.inaccessible_count == len(bad) > 0
