@@ -485,8 +485,8 @@ SELECT x.a AS node, min(x.b) AS root FROM reach x JOIN reach y ON x.a = y.b AND
 
 @query(_STRONG)
 def strong_components(spark: SparkSession, sf: str) -> DataFrame:
-    """Which nodes of one-way streets reach one another."""
-    return strong.strong_components(B.rows(spark, sf, B.ONE_WAY_ARCS))
+    """Which nodes of one-way streets reach one another: one task's work while they are few, by cells beyond."""
+    return strong.strong_components(B.rows(spark, sf, B.ONE_WAY_ARCS), overlay.quad_cells(B.rows(spark, sf, B.ONE_WAY_NODES)))
 
 
 @query(_STRONG)

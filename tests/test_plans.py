@@ -5,7 +5,7 @@ import math
 import random
 from itertools import combinations
 
-from routeloom.operators import service
+from routeloom.operators import service, strong
 from routeloom.plans import queries as Q
 from routeloom.sources.profile import demo_profile
 
@@ -98,6 +98,22 @@ def test_exact_cover_of_more_than_24_sites(spark):
         assert {r["demand"]: r["site"] for r in got} == best_cover(pairs)
 
 
+def one_way(spark, tmp_path, n):
+    spark.createDataFrame([(k,) for k in range(n)], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    return str(tmp_path)
+
+
+def test_strong_components_of_many_streets_go_by_cells(spark, tmp_path, monkeypatch):
+    """Colouring takes a round for each arc of the longest way; with more streets than one task's work none of it may be needed."""
+    sf = one_way(spark, tmp_path, 1_500)
+    plain = strong.strong_components(Q.B.rows(spark, sf, Q.B.ONE_WAY_ARCS)).collect()
+    monkeypatch.setattr(strong, "by_colours", None)
+    monkeypatch.setattr(strong.strong_components, "__defaults__", (None, 300))
+    monkeypatch.setattr(Q.overlay.quad_cells, "__defaults__", (60,))
+    assert sorted(Q.strong_components(spark, sf).collect()) == sorted(plain) and len(plain) == 1_500
+    assert 1 < len({r.root for r in plain}) < 1_500
+
+
 def test_gate_names_the_terminals_it_fails(spark, tmp_path):
     spark.createDataFrame([(k, k % 5) for k in range(25)], "n_nationkey int, n_regionkey int").write.parquet(f"{tmp_path}/nation.parquet")
     spark.createDataFrame([(i, i * i % 25) for i in range(200)], "c_custkey int, c_nationkey int").write.parquet(f"{tmp_path}/customer.parquet")
