@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..errors import GateError
 from ..functions import flight_cost
+from ..workspace import materialize
 from . import terrain
 
 PAYLOADS = ("full", "empty")
@@ -49,18 +51,57 @@ def ends(customers: DataFrame) -> DataFrame:
     return customers.select("network_id", F.explode(F.array(*named)).alias("e")).select("network_id", "e.name", "e.x", "e.y")
 
 
-def corridor_points(pairs: DataFrame, customers: DataFrame, step_m: float) -> DataFrame:
-    """(network_id, end_a, end_b, k, n, x, y): places along each corridor, ends included, a step apart at most."""
+def lines(pairs: DataFrame, customers: DataFrame, step_m: float) -> DataFrame:
+    """(network_id, end_a, end_b, xa, ya, xb, yb, n): corridors with the places of their ends and their number of steps."""
     at = ends(customers)
     a = at.select("network_id", F.col("name").alias("end_a"), F.col("x").alias("xa"), F.col("y").alias("ya"))
     b = at.select("network_id", F.col("name").alias("end_b"), F.col("x").alias("xb"), F.col("y").alias("yb"))
     line = pairs.select("network_id", "end_a", "end_b").join(a, ["network_id", "end_a"]).join(b, ["network_id", "end_b"])
-    n = F.greatest(F.ceil(F.hypot(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")) / step_m), F.lit(1))
-    each = line.withColumn("n", n).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))))
+    return line.withColumn("n", F.greatest(F.ceil(F.hypot(F.col("xb") - F.col("xa"), F.col("yb") - F.col("ya")) / step_m), F.lit(1)))
+
+
+def corridor_points(pairs: DataFrame, customers: DataFrame, step_m: float) -> DataFrame:
+    """(network_id, end_a, end_b, k, n, x, y): places along each corridor, ends included, a step apart at most."""
+    each = lines(pairs, customers, step_m).withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n"))))
     t = F.col("k") / F.col("n")
     return each.select("network_id", "end_a", "end_b", "k", "n", (F.col("xa") + t * (F.col("xb") - F.col("xa"))).alias("x"), (F.col("ya") + t * (F.col("yb") - F.col("ya"))).alias("y"))
 
 
+def ground_along(pairs: DataFrame, customers: DataFrame, step_m: float, dem: DataFrame, grid: dict) -> DataFrame:
+    """``corridor_ground`` of the places of ``corridor_points``, none of which is shuffled or written.
+
+    The elevation model is dealt into square tiles.  While these are few, each place
+    meets its tile where it arises.  Beyond, a corridor is cut into the runs of its places
+    on one tile (they follow one another, as it is straight), and runs are dealt by tile.
+    """
+    x0, y0, cell = grid["x0"], grid["y0"], grid["cell_m"]
+    tiles = materialize(terrain.dem_tiles(dem), "dem-tiles")
+    t = F.col("k") / F.col("n")
+    x, y = F.col("xa") + t * (F.col("xb") - F.col("xa")), F.col("ya") + t * (F.col("yb") - F.col("ya"))
+    # Row and column of a place among the cells' centres, with fractions.
+    at = {"r": (F.lit(y0) - y) / cell - 0.5, "c": (x - x0) / cell - 0.5}
+    line = lines(pairs, customers, step_m)
+    each = line.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n")))).withColumns(at)
+    each = each.withColumns({"tr": F.floor(F.floor("r") / terrain.TILE), "tc": F.floor(F.floor("c") / terrain.TILE)})
+    if tiles.limit(terrain.FEW_TILES + 1).count() <= terrain.FEW_TILES:
+        met = each.join(F.broadcast(tiles), ["tr", "tc"], "left")
+    else:
+        runs = each.groupBy(*line.columns, "tr", "tc").agg(F.min("k").alias("k0"), F.max("k").alias("k1"))
+        met = runs.join(tiles, ["tr", "tc"], "left").withColumn("k", F.explode(F.sequence("k0", "k1"))).withColumns(at)
+    status, z = terrain.tile_sample("cells", F.col("r"), F.col("c"), F.col("tr"), F.col("tc"))
+    met = met.select("network_id", "end_a", "end_b", "n", "k", status.alias("status"), z.alias("z"))
+    by = met.groupBy("network_id", "end_a", "end_b").agg(
+        F.max(F.when(F.col("k") == 0, F.col("z"))).alias("z_a"), F.max(F.when(F.col("k") == F.col("n"), F.col("z"))).alias("z_b"), F.max("z").alias("z_max"),
+        *[F.count_if(F.col("status") == s).alias(s) for s in terrain.BAD],
+    )
+    by = materialize(by, "corridors")
+    counts = by.agg(*[F.sum(s).alias(s) for s in terrain.BAD]).first()
+    for s in terrain.BAD:
+        if counts[s]:
+            raise GateError(f"{counts[s]} points: {s}")
+    return by.drop(*terrain.BAD)
+
+
 def corridor_ground(points: DataFrame, dem: DataFrame, grid: dict) -> DataFrame:
     """(network_id, end_a, end_b, z_a, z_b, z_max): ground at both ends and the highest of a corridor.
 

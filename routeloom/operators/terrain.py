@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,6 +39,37 @@ def require_samples(sampled: DataFrame) -> DataFrame:
     return sampled
 
 
+#: Cells along a tile's side; a tile holds one more row and column, so that places between tiles have all four cells.
+TILE = 64
+#: Tiles that are broadcast, at most (about 100 KB each).
+FEW_TILES = 64
+#: What keeps a place from a sample.
+BAD = ("interpolation margin", "nodata")
+
+
+def dem_tiles(dem: DataFrame) -> DataFrame:
+    """(tr, tc, cells): squares of the elevation model, cells row by row; null where there is none, z null for nodata."""
+    r, c = F.col("row").cast("long"), F.col("col").cast("long")
+    near = lambda v: F.when(v % TILE == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    each = dem.select(r.alias("r"), c.alias("c"), F.col("z").cast("double").alias("z")).withColumn("i", F.explode(near(F.col("r")))).withColumn("j", F.explode(near(F.col("c"))))
+    each = each.withColumns({"tr": F.floor(F.col("r") / TILE) - F.col("i"), "tc": F.floor(F.col("c") / TILE) - F.col("j")})
+    each = each.withColumn("k", (F.col("r") - F.col("tr") * TILE) * (TILE + 1) + F.col("c") - F.col("tc") * TILE)
+    slots = each.select("tr", "tc").distinct().withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((TILE + 1) ** 2 - 1).cast("long"))))
+    filled = slots.join(each.select("tr", "tc", "k", F.struct("z").alias("cell")), ["tr", "tc", "k"], "left")
+    cells = F.sort_array(F.collect_list(F.struct("k", "cell")))
+    return filled.groupBy("tr", "tc").agg(F.transform(cells, lambda e: e["cell"]).alias("cells"))
+
+
+def tile_sample(cells: str, r: Column, c: Column, tr: Column, tc: Column) -> tuple[Column, Column]:
+    """(status, z) as ``sample_dem`` has them, at a row and column of the grid, with fractions, that lie on tile tr, tc."""
+    i, j = (F.floor(r) - tr * TILE).cast("int"), (F.floor(c) - tc * TILE).cast("int")
+    four = [F.get(cells, (i + a) * (TILE + 1) + j + b) for a in (0, 1) for b in (0, 1)]
+    u, v = c - F.floor(c), r - F.floor(r)
+    z = sum(y * x * e["z"] for (y, x), e in zip([(1 - v, 1 - u), (1 - v, u), (v, 1 - u), (v, u)], four))
+    missing, unknown = (reduce(lambda p, q: p | q, [t.isNull() for t in x]) for x in (four, [e["z"] for e in four]))
+    return F.when(missing, BAD[0]).when(unknown, BAD[1]).otherwise("ok"), z
+
+
 def smooth(z: Column) -> Column:
     """Mean of each value and its neighbours; the ends have one neighbour."""
     return F.transform(z, lambda v, i: (F.coalesce(F.get(z, i - 1), F.lit(0.0)) + v + F.coalesce(F.get(z, i + 1), F.lit(0.0))) / (1 + F.when(i > 0, 1).otherwise(0) + F.when(i < F.size(z) - 1, 1).otherwise(0)))

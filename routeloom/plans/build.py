@@ -182,8 +182,7 @@ def build_network(spark: SparkSession, mother: dict[str, DataFrame], scope: dict
     c = who.select(name.alias("network_id"), "terminal_id", F.col("x_m").alias("x"), F.col("y_m").alias("y"), "anchor_x", "anchor_y")
     raw_legs, flat_legs = drone.raw_legs(c), drone.centroid_legs(c)
     pairs = drone.corridors(raw_legs.select("network_id", "origin", "destination", "distance_m").unionByName(flat_legs.select("network_id", "origin", "destination", "distance_m")))
-    points = drone.corridor_points(pairs, c, profile["drone"].get("corridor_step_m", SAMPLE_STEP_M))
-    ground = materialize(drone.corridor_ground(materialize(points, "corridor-points"), mother["elevation_model"], _grid(mother)), "corridors")
+    ground = drone.ground_along(pairs, c, profile["drone"].get("corridor_step_m", SAMPLE_STEP_M), mother["elevation_model"], _grid(mother))
     ground = ground.withColumn("z_max", F.col("z_max") + profile["drone"].get("corridor_margin_m", 0.0))
     legs, flat = (drone.cost_legs(drone.with_corridors(x, ground), profile["drone"]) for x in (raw_legs, flat_legs))
 

@@ -663,7 +663,7 @@ def drone_corridor_ground(spark: SparkSession, sf: str) -> DataFrame:
     columns = ("network_id", "origin", "destination", "distance_m")
     pairs = drone.corridors(drone.raw_legs(c).select(*columns).unionByName(drone.centroid_legs(c).select(*columns)))
     dem = B.rows(spark, sf, _GROUND).select(F.col("r").alias("row"), F.col("c").alias("col"), "z")
-    ground = drone.corridor_ground(materialize(drone.corridor_points(pairs, c, 100.0), "corridor-points"), dem, _GRID)
+    ground = drone.ground_along(pairs, c, 100.0, dem, _GRID)
     return ground.select("network_id", "end_a", "end_b", *[F.round(z, 4).alias(z) for z in ("z_a", "z_b", "z_max")])
 
 
