@@ -32,8 +32,8 @@ from pyspark.sql import functions as F
 
 from ..workspace import materialize
 
-#: Overlay arcs that are sent to every executor, at most (about 25 bytes each).
-MAX_OVERLAY_ARCS = 2_000_000
+#: Overlay arcs that are sent to every executor, at most (some 300 bytes each in the driver meanwhile).
+MAX_OVERLAY_ARCS = 200_000
 CELL_NODES = 1_000
 DEPTH = 12
 _PASS = "from_node string, to_node string, time_u long, distance_u long, parts array<string>"
@@ -128,14 +128,18 @@ def _cell_paths(limit: int | None):
                 continue
             tree = Tree(lambda n: out.get(n, ()), source, hard, limit)
             past = tree.beyond(border)
-            found += [(source, n, *tree.done[n][:2], list(tree.path(n))) for n in border if n in tree.done and n not in past and n != source]
+            found += [(source, n, *tree.done[n][:2], list(tree.path(n))) for n in tree.done if n in border and n not in past and n != source]
         return pd.DataFrame(found, columns=["from_node", "to_node", "time_u", "distance_u", "parts"])
 
     return run
 
 
 def levels(weighed: DataFrame, cells: DataFrame, keep: DataFrame, limit: int | None, max_arcs: int) -> list[DataFrame]:
-    """Overlays, each over the one before it, until one has ``max_arcs`` at most or larger cells no longer help."""
+    """Overlays, each over the one before it, until one has ``max_arcs`` at most or larger cells no longer help.
+
+    They don't once a third of the nodes are kept ones, which are on every level.
+    """
+    kept = keep.count()
     cells = materialize(cells.select("node", F.col("cell").cast("long").alias("cell")), "overlay-cells")
     out, arcs, size = [], weighed, None
     while True:
@@ -144,7 +148,7 @@ def levels(weighed: DataFrame, cells: DataFrame, keep: DataFrame, limit: int | N
         if size is not None and n > 0.8 * size:
             return out
         out, arcs, size = [*out, made], made.drop("parts"), n
-        if n <= max_arcs:
+        if n <= max_arcs or made.select("from_node").distinct().count() < 3 * kept:
             return out
         cells = cells.withColumn("cell", F.greatest(F.shiftright("cell", 4), F.lit(1).cast("long")))
         if cells.select("cell").distinct().limit(4).count() < 4:
@@ -217,7 +221,7 @@ def search_shared(top: DataFrame, sources: DataFrame, targets: DataFrame, blocke
                     continue
                 mine = {g.number[n] for n in blocked if n in g.number} if blocked is not None else set()
                 tree = Tree(g.out, start, barred.value | mine, limit)
-                ends = [n for n in wanted.value if g.number[n] in tree.done and n != source]
+                ends = [n for n in (g.nodes[i] for i in tree.done) if n in wanted.value and n != source]
                 rows = [(source, n, *tree.done[g.number[n]][:2], [g.arc_id(a) for a in tree.path(g.number[n])]) for n in ends]
                 yield pd.DataFrame(rows, columns=["source", "node", "time_u", "distance_u", "arc_ids"])
 

@@ -116,3 +116,18 @@ def test_cells_are_no_larger_than_stated(spark):
     assert got.groupBy("cell").count().agg(F.max("count")).first()[0] <= 50
     assert overlay.quad_cells(nodes, 10_000).select("cell").distinct().count() == 1
     assert overlay.quad_cells(nodes.limit(0), 5).collect() == []
+
+
+def test_large_overlays_are_not_collected(spark, monkeypatch):
+    """With more arcs than the driver should hold the overlay is walked by joins, and where most nodes are kept no level is added."""
+    arcs = grid(14, 3)
+    marks = [f"{i}_{j}" for i in range(0, 14, 2) for j in range(0, 14, 2)]
+    monkeypatch.setattr(overlay, "search_shared", None)
+    made = []
+    level = overlay.level
+    monkeypatch.setattr(overlay, "level", lambda *a: made.append(1) or level(*a))
+    cells = overlay.quad_cells(places(spark, 14), 20)
+    got = paths.by_overlay(spark.createDataFrame(arcs, ARCS), cells, table(spark, marks, "source"), table(spark, marks, "node"), limit=4, max_arcs=50).collect()
+    want = {(s, n): v for s in marks for n, v in carrying(arcs, s, limit=4).items() if n in marks}
+    assert {(r.source, r.node): (r.time_u, r.distance_u, tuple(r.arc_ids)) for r in got} == want and len(made) == 1
+    assert overlay.MAX_OVERLAY_ARCS <= 200_000
